@@ -1,0 +1,126 @@
+"""Density clusters on the planted vectors."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from seqtide.catalog.neighbours import knn_sql
+from seqtide.catalog.registry import query
+from seqtide.config import DEMO, FULL
+from seqtide.operators import density
+from seqtide.operators.graph import spanning_forest
+from seqtide.operators.knn import exact_knn
+from seqtide.plans import views
+from seqtide.plans.views import duck
+from seqtide.session import materialise
+
+K, SAMPLES, RADIUS = 15, FULL.min_samples, 0.6
+
+NEAR = f"near as ({knn_sql('planted', K, True, distance='list_distance')})"
+CORE = NEAR + f",\ncore as (select query_id as id, distance as core from near where rn = {SAMPLES})"
+MUTUAL = CORE + """,
+pair as (select least(query_id, neighbour_id) as a, greatest(query_id, neighbour_id) as b, min(distance) as d
+         from near group by 1, 2),
+mutual as (select a, b, greatest(ca.core, cb.core, d) as w
+           from pair join core ca on ca.id = a join core cb on cb.id = b)"""
+FLAT = MUTUAL + f""",
+dense as (select id from core where core <= {RADIUS}),
+link as (select a, b from mutual where w <= {RADIUS} union select b, a from mutual where w <= {RADIUS}),
+reach as (select id as v, id as r from dense union select link.b, reach.r from reach join link on link.a = reach.v),
+comp as (select v, min(r) as cluster from reach group by v),
+flat as (select vec_id as id, coalesce(cluster, -1) as cluster from planted left join comp on v = vec_id)"""
+
+
+def _points(spark, sf):
+    return views.planted(spark, sf).select(F.col("vec_id").alias("id"), "embedding")
+
+
+def _graph(spark, sf):
+    points = _points(spark, sf)
+    near = materialise(exact_knn(points, points, K, query_id="id", base_id="id", metric="euclidean",
+                                 exclude_self=True), "near")
+    cores = materialise(density.core_distances(near, SAMPLES), "cores")
+    return points, near, cores
+
+
+@query("core_distance", duck(f"with {CORE} select id, round(core, 6) as core from core", "planted"))
+def core_distance(spark, sf):
+    _, _, cores = _graph(spark, sf)
+    return cores.select("id", F.round("core", 6).alias("core"))
+
+
+@query("mutual_reach", duck(f"with {MUTUAL} select a, b, round(w, 6) as w from mutual", "planted"))
+def mutual_reach(spark, sf):
+    _, near, cores = _graph(spark, sf)
+    return density.mutual_reachability(near, cores).select("a", "b", F.round("w", 6).alias("w"))
+
+
+# edges in order; an edge joins the forest when its ends still have different labels
+FOREST = MUTUAL + """,
+num as (select vec_id, row_number() over (order by vec_id) as i from planted),
+ed as (select x.i as a, y.i as b, w, row_number() over (order by w, a, b) as n
+       from mutual join num x on x.vec_id = a join num y on y.vec_id = b),
+grow as (select 0::bigint as n, (select list(i order by i) from num) as lab, false as used, 0::double as w
+         union all
+         select e.n, case when g.lab[e.a] <> g.lab[e.b]
+                          then list_transform(g.lab, lambda x: case when x = g.lab[e.b] then g.lab[e.a] else x end)
+                          else g.lab end, g.lab[e.a] <> g.lab[e.b], e.w
+         from grow g join ed e on e.n = g.n + 1)"""
+
+
+@query("spanning_forest", duck(f"""with recursive {FOREST}
+select x.vec_id as a, y.vec_id as b, round(grow.w, 6) as w
+from grow join ed using (n) join num x on x.i = ed.a join num y on y.i = ed.b where used""", "planted"))
+def forest(spark, sf):
+    _, near, cores = _graph(spark, sf)
+    return spanning_forest(density.mutual_reachability(near, cores)).select("a", "b", F.round("w", 6).alias("w"))
+
+
+def _flat(spark, sf):
+    points, near, cores = _graph(spark, sf)
+    edges = materialise(density.mutual_reachability(near, cores), "mutual")
+    return density.radius_clusters(points, cores, edges, RADIUS)
+
+
+@query("density_clusters", duck(f"with recursive {FLAT} select id, cluster from flat", "planted"))
+def density_clusters(spark, sf):
+    """Flat clusters at one radius."""
+    return _flat(spark, sf)
+
+
+@query("cluster_summary", duck(f"""with recursive {FLAT}
+select cluster as cluster_id, count(*) as size from flat group by 1""", "planted"))
+def cluster_summary(spark, sf):
+    return density.cluster_summary(_flat(spark, sf).withColumnRenamed("cluster", "cluster_id"))
+
+
+@query("cluster_counts", duck(f"""with recursive {FLAT}
+select count(distinct case when cluster <> -1 then cluster end) as clusters, count_if(cluster = -1) as noise from flat""", "planted"))
+def cluster_counts(spark, sf):
+    return density.cluster_counts(_flat(spark, sf).withColumnRenamed("cluster", "cluster_id"))
+
+
+@query("noise_points", duck(f"with recursive {FLAT} select id from flat where cluster = -1", "planted"))
+def noise_points(spark, sf):
+    return _flat(spark, sf).where(F.col("cluster") == -1).select("id")
+
+
+def _tree(spark, sf):
+    points, near, cores = _graph(spark, sf)
+    found = materialise(spanning_forest(density.mutual_reachability(near, cores)), "forest")
+    return points, density.hierarchy(points, found, DEMO.min_cluster_size, levels=FULL.levels)
+
+
+@query("condensed_tree")
+def condensed_tree(spark, sf):
+    """Clusters of the hierarchy with birth density and stability."""
+    _, tree = _tree(spark, sf)
+    return tree["clusters"].select(F.col("cluster.component").alias("cluster"), F.col("cluster.g").alias("cut"),
+                                   "birth", "size", "stability")
+
+
+@query("cluster_membership")
+def cluster_membership(spark, sf):
+    """Selected cluster and membership probability of every point."""
+    points, tree = _tree(spark, sf)
+    return density.labels(points, tree)

@@ -77,10 +77,11 @@ def token_window(spark, sf):
 @query("mean_pool", """
 select label, dim, round(avg(x), 6) + 0.0 as x from (
   select label, unnest(embedding)::double as x, generate_subscripts(embedding, 1) - 1 as dim
-  from embeddings where vec_id % 4 <> 0) t group by label, dim""")
+  from embeddings where embedding[64] < 0.1) t group by label, dim""")
 def mean_pool(spark, sf):
-    """Vectors stand for tokens, labels for sequences; every fourth token is padding."""
-    tokens = table(spark, sf, "embeddings").withColumn("mask", (F.col("vec_id") % 4 != 0).cast("int"))
+    """Vectors stand for tokens, labels for sequences; a high last component marks padding."""
+    padded = F.col("embedding")[63].cast("double") >= 0.1
+    tokens = table(spark, sf, "embeddings").withColumn("mask", (~padded).cast("int"))
     pooled = encode.mean_pool(tokens, "label", mask="mask")
     return pooled.select("label", F.posexplode("embedding").alias("dim", "x")).select(
         "label", "dim", (F.round("x", 6) + 0.0).alias("x"))
@@ -151,11 +152,11 @@ def vector_table_sink(spark, sf):
 
 
 @query("viewer_wide", """
-select """ + ", ".join(f"round(embedding[{i + 1}]::double, 6) as umap_{i}" for i in range(10)) + """,
+select """ + ", ".join(f"round(embedding[{i + 1}]::double, 6) as umap_{i}" for i in range(DIM)) + """,
   label as cluster_label, round(cast(cast((vec_id % 21) / 20.0 as float) as double), 5) as cluster_probability,
   'VEC' || lpad(cast(vec_id as varchar), 6, '0') as accession from embeddings""")
 def viewer_wide(spark, sf):
-    wide = sinks.viewer_table(_manifold(spark, sf), 10)
+    wide = sinks.viewer_table(_manifold(spark, sf), DIM)
     return wide.select(*[F.round(F.col(c).cast("double"), 6).alias(c) for c in wide.columns if c.startswith("umap_")],
                        "cluster_label", F.round(F.col("cluster_probability").cast("double"), 5).alias("cluster_probability"),
                        "accession")
@@ -169,12 +170,12 @@ def _manifold(spark, sf):
 
 @query("wide_to_array", """
 select 'VEC' || lpad(cast(vec_id as varchar), 6, '0') as accession, dim, x from (
-  select vec_id, unnest(embedding[1:12]) as v, generate_subscripts(embedding[1:12], 1) - 1 as dim,
+  select vec_id, unnest(embedding) as v, generate_subscripts(embedding, 1) - 1 as dim,
          round(v::double, 6) + 0.0 as x from embeddings) t""")
 def wide_to_array(spark, sf):
     """Viewer table in size-limited files, read back and stacked."""
     path = scratch_path(spark, "viewer")
-    sinks.write_viewer_table(sinks.viewer_table(_manifold(spark, sf), 12), path, 12, limit_bytes=16 * 1024)
+    sinks.write_viewer_table(sinks.viewer_table(_manifold(spark, sf), DIM), path, DIM, limit_bytes=16 * 1024)
     back = sinks.from_viewer_table(spark.read.parquet(path))
     return back.select("accession", F.posexplode("coords").alias("dim", "x")).select(
         "accession", "dim", (F.round(F.col("x").cast("double"), 6) + 0.0).alias("x"))

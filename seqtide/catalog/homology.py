@@ -17,8 +17,8 @@ K, M = FULL.kmer, FULL.kmers_per_sequence
 ID, COV = FULL.min_identity, FULL.min_coverage
 
 SKETCH = f"""{kmers_sql(K)},
-sk as (select accession, h as kmer, min(pos) as position from km group by all
-       qualify row_number() over (partition by accession order by h) <= {M})"""
+fp as (select accession, h as kmer, min(pos) as position from km group by all),
+sk as (select * from fp qualify row_number() over (partition by accession order by kmer) <= {M})"""
 # all later steps work on one sequence per group of identical ones
 UNIQUE = f"""
 cg as (select sequence, min(accession) as representative, count(*) as n from seqs group by sequence),

@@ -1,0 +1,236 @@
+"""Vector search: exact, indexed, and the graph and layouts built on it."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from seqtide.catalog.registry import query
+from seqtide.config import FULL
+from seqtide.functions.text import sequence_id
+from seqtide.functions.vectors import hamming, norm, normalise, sign_code
+from seqtide.operators import ivf, manifold
+from seqtide.operators.knn import exact_knn
+from seqtide.plans import views
+from seqtide.plans.views import duck, table
+from seqtide.session import materialise, scratch_path
+
+DIM, KNN, PROBES, REFINE = 64, FULL.vote_neighbours, 4, FULL.refine
+
+
+def knn_sql(source: str, k: int, other: bool = False, key: str = "vec_id", distance: str = "list_cosine_distance") -> str:
+    """Select of query_id, neighbour_id, distance, rn over a table with key and embedding."""
+    skip = f"where a.{key} <> b.{key}" if other else ""
+    return f"""select *, row_number() over (partition by query_id order by distance, neighbour_id) as rn
+from (select a.{key} as query_id, b.{key} as neighbour_id,
+             {distance}(a.embedding::double[], b.embedding::double[]) as distance
+      from {source} a cross join {source} b {skip}) p
+qualify rn <= {k}"""
+
+
+def rounded(near: DataFrame) -> DataFrame:
+    return near.select("query_id", "neighbour_id", F.abs(F.round("distance", 6)).alias("distance"),
+                       F.col("rn").cast("long").alias("rn"))
+
+
+ROUNDED = "select query_id, neighbour_id, abs(round(distance, 6)) as distance, rn from near"
+
+
+@query("knn_exact", f"with near as ({knn_sql('embeddings', KNN)}) {ROUNDED}")
+def knn_exact(spark, sf):
+    v = table(spark, sf, "embeddings")
+    return rounded(exact_knn(v, v, KNN, query_id="vec_id", base_id="vec_id"))
+
+
+@query("knn_euclidean", duck(f"with near as ({knn_sql('planted', KNN, True, distance='list_distance')}) {ROUNDED}", "planted"))
+def knn_euclidean(spark, sf):
+    v = views.planted(spark, sf)
+    return rounded(exact_knn(v, v, KNN, query_id="vec_id", base_id="vec_id", metric="euclidean", exclude_self=True))
+
+
+@query("knn_graph", f"with near as ({knn_sql('embeddings', FULL.layout_neighbours, True)}) {ROUNDED}")
+def knn_graph(spark, sf):
+    """Each vector with its 30 nearest others."""
+    v = table(spark, sf, "embeddings")
+    return rounded(exact_knn(v, v, FULL.layout_neighbours, query_id="vec_id", base_id="vec_id", exclude_self=True))
+
+
+@query("knn_across", """
+with p as (select d.vec_id as query_id, b.vec_id as neighbour_id,
+                  list_cosine_distance(d.embedding::double[], b.embedding::double[]) as distance
+           from embeddings d join embeddings b on d.label < 5 and b.label >= 5),
+near as (select *, row_number() over (partition by query_id order by distance, neighbour_id) as rn from p qualify rn <= 15)
+""" + ROUNDED)
+def knn_across(spark, sf):
+    """Queries and base are different tables."""
+    v = table(spark, sf, "embeddings")
+    return rounded(exact_knn(v.where("label < 5"), v.where("label >= 5"), KNN, query_id="vec_id", base_id="vec_id"))
+
+
+def fixed_centroids(spark: SparkSession, sf: str) -> np.ndarray:
+    """The first vector of each label as centroid, in label order: one row per label."""
+    rows = (table(spark, sf, "embeddings").groupBy("label")
+            .agg(F.min_by(normalise("embedding"), "vec_id").alias("c")).orderBy("label").collect())
+    return np.array([r["c"] for r in rows])
+
+
+CELLS = """cent as (select label as cell, first(embedding order by vec_id)::double[] as c from embeddings group by label),
+near_cells as (select vec_id, cell, row_number() over (partition by vec_id order by
+                 list_cosine_distance(embedding::double[], c), cell) as n from embeddings cross join cent),
+bits as (select vec_id, list_aggregate(list_transform(embedding, lambda x: case when x > 0 then '1' else '0' end), 'string_agg', '') as bits
+         from embeddings)"""
+IVF = f"""{CELLS},
+shortlist as (
+  select q.vec_id as query_id, b.vec_id as neighbour_id
+  from near_cells q join near_cells b on q.cell = b.cell and q.n <= {PROBES} and b.n = 1
+  join bits qb on qb.vec_id = q.vec_id join bits bb on bb.vec_id = b.vec_id
+  qualify row_number() over (partition by q.vec_id order by hamming(qb.bits, bb.bits), b.vec_id) <= {KNN * REFINE}),
+scored as (select query_id, neighbour_id, list_cosine_distance(a.embedding::double[], b.embedding::double[]) as distance
+           from shortlist join embeddings a on a.vec_id = query_id join embeddings b on b.vec_id = neighbour_id),
+near as (select *, row_number() over (partition by query_id order by distance, neighbour_id) as rn from scored qualify rn <= {KNN})"""
+
+
+@query("ivf_assign", f"with {CELLS} select vec_id, cell from near_cells where n = 1")
+def ivf_assign(spark, sf):
+    return ivf.assign_cells(table(spark, sf, "embeddings"), fixed_centroids(spark, sf)).select("vec_id", "cell")
+
+
+@query("sign_code", f"""with {CELLS}
+select vec_id, length(replace(bits, '0', '')) as ones, reverse(substr(bits, 1, 32)) as low, reverse(substr(bits, 33)) as high
+from bits""")
+def sign_codes(spark, sf):
+    v = ivf.quantise(table(spark, sf, "embeddings"), DIM)
+    def word(i):
+        return F.lpad(F.bin(F.col("code")[i]), 32, "0")
+    ones = F.bit_count(F.col("code")[0]) + F.bit_count(F.col("code")[1])
+    return v.select("vec_id", ones.alias("ones"), word(0).alias("low"), word(1).alias("high"))
+
+
+@query("code_alignment", """
+select vec_id, round(list_sum(list_transform(embedding, lambda x: abs(x::double))) / len / 8, 6) as align, round(len, 5) as norm
+from (select vec_id, embedding, sqrt(list_sum(list_transform(embedding, lambda y: y::double * y::double))) as len from embeddings) t""")
+def code_alignment(spark, sf):
+    v = ivf.quantise(table(spark, sf, "embeddings"), DIM)
+    return v.select("vec_id", F.round("align", 6).alias("align"), F.round("norm", 5).alias("norm"))
+
+
+@query("centroid_hamming", f"""with {CELLS},
+cb as (select cell, list_aggregate(list_transform(c, lambda x: case when x > 0 then '1' else '0' end), 'string_agg', '') as cbits from cent)
+select vec_id, cell, hamming(bits, cbits) as hamming from bits cross join cb""")
+def centroid_hamming(spark, sf):
+    """Differing bits of each vector's code and that of every centroid (one per label)."""
+    v = table(spark, sf, "embeddings").select("vec_id", sign_code(normalise("embedding"), DIM).alias("code"))
+    cents = [sign_code(F.array(*[F.lit(float(x)) for x in c]), DIM) for c in fixed_centroids(spark, sf)]
+    return v.select("vec_id", F.posexplode(F.array(*[hamming("code", c) for c in cents])).alias("cell", "hamming"))
+
+
+def _index(spark, sf):
+    v = table(spark, sf, "embeddings")
+    return v, fixed_centroids(spark, sf)
+
+
+@query("ivf_search", f"with {IVF} {ROUNDED}")
+def ivf_search(spark, sf):
+    v, cent = _index(spark, sf)
+    index = materialise(ivf.build_index(v, cent, DIM, seed=None), "index")
+    return rounded(ivf.search(v, index, cent, KNN, query_id="vec_id", base_id="vec_id", dimension=DIM,
+                              probes=PROBES, refine=REFINE, seed=None))
+
+
+@query("vector_lookup", duck(f"""with {IVF}
+select query_id, r.accession, r.taxid, r.superkingdom, r.phylum, r."class", r."order", r.family, r.genus, r.species,
+       abs(round(distance, 6)) as _distance
+from near join ranks r on r.vec_id = neighbour_id""", "ranks"))
+def vector_lookup(spark, sf):
+    """Search result with the stored lineage columns, from an index table written by cell."""
+    v, cent = _index(spark, sf)
+    path = scratch_path(spark, "index")
+    stored = v.join(views.ranks(spark, sf), "vec_id")
+    ivf.build_index(stored, cent, DIM, seed=None).write.partitionBy("cell").parquet(path)
+    index = spark.read.parquet(path)
+    hits = ivf.lookup(v, index, cent, KNN, query_id="vec_id", base_id="vec_id", dimension=DIM,
+                      probes=PROBES, refine=REFINE, seed=None)
+    return hits.select("query_id", "accession", "taxid", "superkingdom", "phylum", "class", "order", "family",
+                       "genus", "species", F.abs(F.round("_distance", 6)).alias("_distance"))
+
+
+@query("ivf_train")
+def ivf_train(spark, sf):
+    """Trained cells, each vector's cell, and its distance to the centroid."""
+    v = views.planted(spark, sf)
+    cent = ivf.train_cells(v, 16, seed=FULL.seed)
+    return ivf.assign_cells(v, cent).groupBy("cell").agg(F.count("*").alias("vectors"))
+
+
+@query("ivf_recall")
+def ivf_recall(spark, sf):
+    """Recall of the trained, rotated index against exact search."""
+    v = views.planted(spark, sf)
+    cent = ivf.train_cells(v, 16, seed=FULL.seed)
+    index = materialise(ivf.build_index(v, cent, DIM, seed=FULL.seed), "index")
+    found = ivf.search(v, index, cent, KNN, query_id="vec_id", base_id="vec_id", dimension=DIM,
+                       probes=PROBES, refine=REFINE, seed=FULL.seed)
+    exact = exact_knn(v, v, KNN, query_id="vec_id", base_id="vec_id")
+    return ivf.recall(found, exact)
+
+
+def fuzzy_sql(near: str, k: int) -> str:
+    """CTEs from a table of neighbours: bisection for sigma, then memberships."""
+    return f"""
+nl as (select query_id, list(distance order by distance) as ds from {near} group by query_id),
+nr as (select query_id, ds, list_min(list_filter(ds, lambda d: d > 0)) as rho from nl),
+bis as (select query_id, ds, rho, 0::double as lo, 'inf'::double as hi, 1::double as sigma, 0 as it from nr
+        union all
+        select query_id, ds, rho, case when up then lo else sigma end, case when up then sigma else hi end,
+               case when up then (lo + sigma) / 2 when isinf(hi) then sigma * 2 else (sigma + hi) / 2 end, it + 1
+        from (select *, list_sum(list_transform(ds, lambda d: exp(-greatest(d - rho, 0) / sigma))) > log2({k}) as up from bis) b
+        where it < 64),
+mem as (select n.query_id, n.neighbour_id, n.rn, rho, exp(-greatest(distance - rho, 0) / sigma) as weight
+        from {near} n join bis on bis.query_id = n.query_id and it = 64)"""
+
+
+def _near30(spark, sf):
+    v = table(spark, sf, "embeddings")
+    return exact_knn(v, v, FULL.layout_neighbours, query_id="vec_id", base_id="vec_id", exclude_self=True)
+
+
+@query("fuzzy_graph", f"""with recursive near as ({knn_sql('embeddings', 30, True)}), {fuzzy_sql('near', 30)}
+select least(query_id, neighbour_id) as a, greatest(query_id, neighbour_id) as b,
+       round(case when count(*) = 2 then max(weight) + min(weight) - max(weight) * min(weight) else max(weight) end, 5) as weight
+from mem group by 1, 2""")
+def fuzzy_graph(spark, sf):
+    return manifold.fuzzy_graph(_near30(spark, sf), 30).select("a", "b", F.round("weight", 5).alias("weight"))
+
+
+@query("membership_strength", f"""with recursive near as ({knn_sql('embeddings', 30, True)}), {fuzzy_sql('near', 30)}
+select query_id, neighbour_id, round(rho, 6) as rho, round(weight, 5) as weight from mem""")
+def membership_strength(spark, sf):
+    return manifold.memberships(_near30(spark, sf), 30).select(
+        "query_id", "neighbour_id", F.round("rho", 6).alias("rho"), F.round("weight", 5).alias("weight"))
+
+
+@query("manifold_layout")
+def manifold_layout(spark, sf):
+    """Ten-dimensional layout of the planted clusters."""
+    points = views.planted(spark, sf).select(F.col("vec_id").alias("id"), "embedding")
+    near = exact_knn(points, points, FULL.layout_neighbours, query_id="id", base_id="id", exclude_self=True)
+    graph = materialise(manifold.fuzzy_graph(near, FULL.layout_neighbours), "fuzzy")
+    return manifold.layout(points, graph, FULL.layout_dims, epochs=6, min_dist=FULL.layout_min_dist, seed=FULL.seed)
+
+
+@query("manifold_project", duck(f"""with recursive near as (select *, row_number() over (partition by query_id order by distance, neighbour_id) as rn from (
+  select a.vec_id as query_id, b.vec_id as neighbour_id, list_cosine_distance(a.embedding, b.embedding) as distance
+  from planted a join planted b on a.label = 9 and b.label <> 9) p qualify rn <= 15),
+{fuzzy_sql('near', 15)},
+parts as (select query_id, weight, unnest(embedding) as x, generate_subscripts(embedding, 1) - 1 as dim
+          from mem join planted p on p.vec_id = neighbour_id)
+select query_id as id, dim, round(sum(weight * x) / sum(weight), 5) + 0.0 as x from parts group by 1, 2""", "planted"))
+def manifold_project(spark, sf):
+    """The noise points drawn into the space of the clustered ones."""
+    v = views.planted(spark, sf)
+    fitted = v.where("label <> 9")
+    near = exact_knn(v.where("label = 9"), fitted, 15, query_id="vec_id", base_id="vec_id")
+    placed = manifold.project(near, fitted.select(F.col("vec_id").alias("id"), F.col("embedding").alias("coords")), 15)
+    return placed.select("id", F.posexplode("coords").alias("dim", "x")).select(
+        "id", "dim", (F.round("x", 5) + 0.0).alias("x"))

@@ -81,16 +81,18 @@ def blocked_topk(queries: DataFrame, base: DataFrame, k: int, score: Scorer,
          .select("cell", "bb", "qb", "query_key", "payload"))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids = right["ids"]
+        ids = ids.cast(pa.list_(pa.field("element", ids.type.value_type)))
         if left.num_rows == 0 or right.num_rows == 0:
             return pa.table({"query_key": left["query_key"].slice(0, 0),
-                             "ids": right["ids"].slice(0, 0),
+                             "ids": ids.slice(0, 0),
                              "score": pa.array([], pa.float64())})
-        first = pc.list_element(right["ids"], 0)
-        right = right.take(pc.sort_indices(first))
-        scores = score(left["payload"], right["payload"])
+        order = pc.sort_indices(pc.list_element(ids, 0))
+        ids = ids.take(order)
+        scores = score(left["payload"], right["payload"].take(order))
         rows, columns = smallest(scores, k)
         return pa.table({"query_key": left["query_key"].take(pa.array(rows)),
-                         "ids": right["ids"].take(pa.array(columns)),
+                         "ids": ids.take(pa.array(columns)),
                          "score": pa.array(scores[rows, columns], pa.float64())})
 
     keys = ["cell", "bb", "qb"]

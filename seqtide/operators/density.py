@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from seqtide.operators.graph import components, roots, spanning_forest
 from seqtide.operators.knn import exact_knn
 from seqtide.operators.skew import dense_index, salted_join
-from seqtide.session import Rounds, is_empty, materialise
+from seqtide.session import Rounds, materialise
 
 
 def core_distances(neighbours: DataFrame, min_samples: int) -> DataFrame:
@@ -150,8 +150,9 @@ def excess_of_mass(clusters: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("kids"))
     state = rounds.keep(tree.join(kids, "cluster", "left").select(
         "cluster", "parent", "root", "stability", F.coalesce("kids", F.lit(0)).alias("kids"),
-        F.lit(None).cast("double").alias("value"), F.lit(None).cast("boolean").alias("wins")))
-    while not is_empty(state.where(F.col("value").isNull())):
+        F.lit(None).cast("double").alias("value"), F.lit(None).cast("boolean").alias("wins"),
+        F.lit(True).alias("open")), "open")
+    while rounds.flagged:
         below = state.where(F.col("parent").isNotNull() & F.col("value").isNotNull()).groupBy(
             F.col("parent").alias("cluster")).agg(F.count("*").alias("ready"),
                                                   F.sum("value").alias("below"))
@@ -163,7 +164,8 @@ def excess_of_mass(clusters: DataFrame) -> DataFrame:
             "cluster", "parent", "root", "stability", "kids",
             F.when(open_, F.when(wins, F.col("stability")).otherwise(lower))
             .otherwise(F.col("value")).alias("value"),
-            F.when(open_, wins).otherwise(F.col("wins")).alias("wins")))
+            F.when(open_, wins).otherwise(F.col("wins")).alias("wins"),
+            (F.col("value").isNull() & ~open_).alias("open")), "open")
     # a winner below another winner is part of it: top-down, the highest winner stands
     return owners(state)
 
@@ -171,14 +173,16 @@ def excess_of_mass(clusters: DataFrame) -> DataFrame:
 def owners(state: DataFrame) -> DataFrame:
     """cluster -> owner: the highest winning cluster on its way up, itself included."""
     rounds = Rounds(state.sparkSession, "owner")
-    walk = rounds.keep(state.select("cluster", F.col("parent").alias("up"),
-                                    F.when(F.col("wins"), F.col("cluster")).alias("owner")))
-    while not is_empty(walk.where(F.col("up").isNotNull())):
+    walk = state.select("cluster", F.col("parent").alias("up"),
+                        F.when(F.col("wins"), F.col("cluster")).alias("owner"))
+    while True:
         step = walk.select(F.col("cluster").alias("up"), F.col("up").alias("next_up"),
                            F.col("owner").alias("higher"))
-        walk = rounds.keep(salted_join(walk.where(F.col("up").isNotNull()), step, "up").select(
+        moved = salted_join(walk, step, "up", "left").select(
             "cluster", F.col("next_up").alias("up"), F.coalesce("higher", "owner").alias("owner"))
-            .unionByName(walk.where(F.col("up").isNull())))
+        walk = rounds.keep(moved.withColumn("open", F.col("up").isNotNull()), "open").drop("open")
+        if not rounds.flagged:
+            break
     return walk.select("cluster", "owner")
 
 

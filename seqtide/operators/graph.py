@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqtide.operators.skew import salted_join
-from seqtide.session import Rounds, is_empty, materialise
+from seqtide.session import Rounds, materialise
 
 
 def components(vertices: DataFrame, edges: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -26,8 +26,8 @@ def components(vertices: DataFrame, edges: DataFrame, by: list[str] | None = Non
     start = vertices.select(*by, "v").join(lowest, [*by, "v"], "left").select(
         *by, "v", F.least("v", "low").alias("p"), F.lit(True).alias("changed"))
     rounds = Rounds(spark, "components")
-    state = rounds.keep(start)
-    while not is_empty(state.where("changed")):
+    state = rounds.keep(start, "changed")
+    while rounds.flagged:
         parents = state.select(*by, F.col("v").alias("p"), F.col("p").alias("gp"))
         grand = materialise(salted_join(state.select(*by, "v", "p"), parents, [*by, "p"]), "grand")
         seen = salted_join(both, grand.select(*by, F.col("v").alias("b"), "gp"), [*by, "b"], weights=hub)
@@ -40,19 +40,24 @@ def components(vertices: DataFrame, edges: DataFrame, by: list[str] | None = Non
         state = rounds.keep(
             state.select(*by, "v", "p").join(offers, [*by, "v"], "left").select(
                 *by, "v", F.least("p", "offer").alias("q"), F.col("p").alias("old"))
-            .select(*by, "v", F.col("q").alias("p"), (F.col("q") != F.col("old")).alias("changed")))
+            .select(*by, "v", F.col("q").alias("p"), (F.col("q") != F.col("old")).alias("changed")), "changed")
     return state.select(*by, "v", F.col("p").alias("component"))
 
 
 def roots(pointers: DataFrame) -> DataFrame:
     """``pointers`` (v, p), acyclic but for roots that point to themselves -> v, root."""
     rounds = Rounds(pointers.sparkSession, "roots")
-    state = rounds.keep(pointers.select("v", "p", F.lit(True).alias("changed")))
-    while not is_empty(state.where("changed")):
+    state = pointers.select("v", "p")
+    while True:
+        # the way is followed twice per stored round, so it shrinks to a third
         step = state.select(F.col("v").alias("p"), F.col("p").alias("q"))
-        state = rounds.keep(salted_join(state.select("v", "p"), step, "p").select(
-            "v", F.col("q").alias("p"), (F.col("q") != F.col("p")).alias("changed")))
-    return state.select("v", F.col("p").alias("root"))
+        once = salted_join(state, step, "p").select("v", "p", F.col("q"))
+        twice = salted_join(once, step.select(F.col("p").alias("q"), F.col("q").alias("r")), "q")
+        state = rounds.keep(twice.select("v", F.col("r").alias("p"),
+                                         (F.col("r") != F.col("p")).alias("moved")), "moved")
+        if not rounds.flagged:
+            return state.select("v", F.col("p").alias("root"))
+        state = state.select("v", "p")
 
 
 def spanning_forest(edges: DataFrame) -> DataFrame:
@@ -69,9 +74,9 @@ def spanning_forest(edges: DataFrame) -> DataFrame:
             .groupBy("a", "b").agg(F.min("w").alias("w")))
     live, kept = Rounds(spark, "live"), Rounds(spark, "forest")
     current = live.keep(tidy.select(F.col("a").alias("ca"), F.col("b").alias("cb"),
-                                    F.struct("w", "a", "b").alias("e")))
+                                    F.struct("w", "a", "b").alias("e"), F.lit(True).alias("open")), "open")
     chosen = None
-    while not is_empty(current):
+    while live.flagged:
         out = (current.select(F.col("ca").alias("c"), F.col("cb").alias("to"), "e")
                .unionByName(current.select(F.col("cb").alias("c"), F.col("ca").alias("to"), "e")))
         lightest = materialise(out.groupBy("c").agg(F.min(F.struct("e", "to")).alias("m"))
@@ -85,12 +90,12 @@ def spanning_forest(edges: DataFrame) -> DataFrame:
             F.when((F.col("back") == F.col("c")) & (F.col("c") < F.col("to")), F.col("c"))
             .otherwise(F.col("to")).alias("p"))
         root = materialise(roots(pointers), "root")
-        moved = salted_join(current, root.select(F.col("v").alias("ca"), F.col("root").alias("ra")), "ca")
+        moved = salted_join(current.drop("open"), root.select(F.col("v").alias("ca"), F.col("root").alias("ra")), "ca")
         moved = salted_join(moved, root.select(F.col("v").alias("cb"), F.col("root").alias("rb")), "cb")
         current = live.keep(
             moved.where(F.col("ra") != F.col("rb"))
             .groupBy(F.least("ra", "rb").alias("ca"), F.greatest("ra", "rb").alias("cb"))
-            .agg(F.min("e").alias("e")))
+            .agg(F.min("e").alias("e")).withColumn("open", F.lit(True)), "open")
     if chosen is None:
         return tidy.select("a", "b", "w").limit(0)
     return chosen

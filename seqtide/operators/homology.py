@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from seqtide.functions.kmers import matching_bases_udf, smallest_kmers_udf
 from seqtide.operators.dedup import copy_groups, copy_map
 from seqtide.operators.skew import salted_join
-from seqtide.session import Rounds, is_empty, materialise
+from seqtide.session import Rounds, materialise
 
 # Joins that carry whole sequences use smaller salts than joins of slim rows.
 SEQUENCE_HOT_ROWS = 5_000
@@ -92,15 +92,16 @@ def greedy_cover(pairs: DataFrame) -> DataFrame:
     spark = pairs.sparkSession
     pairs = materialise(pairs.select("centre", "member", "centre_length"), "edges")
     rounds, done = Rounds(spark, "cover"), Rounds(spark, "covered")
-    live, covered = pairs.select("centre", "member"), None
-    while not is_empty(live):
+    live, covered = rounds.keep(pairs.select("centre", "member", F.lit(True).alias("open")), "open"), None
+    while rounds.flagged:
         members = live.select(F.col("member").alias("centre")).distinct()
         roots = live.select("centre").distinct().join(members, "centre", "left_anti")
-        fresh = salted_join(live, roots, "centre").select("member").distinct()
+        fresh = salted_join(live.select("centre", "member"), roots, "centre").select("member").distinct()
         fresh = materialise(fresh, "fresh")
         flagged = fresh.select(F.col("member").alias("centre"), F.lit(True).alias("_covered"))
-        remaining = salted_join(live.join(fresh, "member", "left_anti"), flagged, "centre", "left")
-        live = rounds.keep(remaining.where(F.col("_covered").isNull()).select("centre", "member"))
+        remaining = salted_join(live.select("centre", "member").join(fresh, "member", "left_anti"), flagged, "centre", "left")
+        live = rounds.keep(remaining.where(F.col("_covered").isNull())
+                           .select("centre", "member", F.lit(True).alias("open")), "open")
         covered = done.keep(fresh if covered is None else covered.union(fresh))
     if covered is None:
         return pairs.select("member", F.col("centre").alias("representative")).limit(0)

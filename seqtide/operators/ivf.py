@@ -39,12 +39,12 @@ def searchable(vector: str = "embedding"):
 
 
 def nearest_cells_udf(centroids: np.ndarray, probes: int):
-    """unit vector -> its ``probes`` nearest cells, nearest first (ties: lower cell)."""
+    """vector -> its ``probes`` nearest cells, nearest first (ties: lower cell)."""
     @F.arrow_udf("array<int>")
     def nearest(vectors: pa.Array) -> pa.Array:
         if len(vectors) == 0:
             return pa.array([], pa.list_(pa.int32()))
-        d = pairwise(matrix(vectors), centroids)
+        d = pairwise(unit(matrix(vectors)), centroids)
         order = np.argsort(d, axis=1, kind="stable")[:, :probes]
         return lists(order.astype(np.int32))
     return nearest
@@ -53,7 +53,8 @@ def nearest_cells_udf(centroids: np.ndarray, probes: int):
 def assign_cells(vectors: DataFrame, centroids: np.ndarray, vector: str = "embedding") -> DataFrame:
     """Adds ``cell``. The centroid matrix is cells x d, whatever the number of rows."""
     nearest = nearest_cells_udf(centroids, 1)
-    return vectors.where(searchable(vector)).withColumn("cell", nearest(normalise(vector))[0])
+    return vectors.where(searchable(vector)).withColumn("_c", nearest(vector)) \
+        .withColumn("cell", F.col("_c")[0]).drop("_c")
 
 
 def rotation(dimension: int, seed: int) -> np.ndarray:
@@ -62,10 +63,18 @@ def rotation(dimension: int, seed: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def unit(rows: np.ndarray) -> np.ndarray:
+    """Rows scaled to length one; zero rows stay zero."""
+    rows = rows.astype(np.float64)
+    length = np.linalg.norm(rows, axis=1, keepdims=True)
+    return rows / np.where(length == 0, 1, length)
+
+
 def rotated_udf(turn: np.ndarray):
+    """vector -> its unit vector, rotated."""
     @F.arrow_udf("array<double>")
     def rotate(vectors: pa.Array) -> pa.Array:
-        return lists(matrix(vectors) @ turn.T) if len(vectors) else pa.array([], pa.list_(pa.float64()))
+        return lists(unit(matrix(vectors)) @ turn.T) if len(vectors) else pa.array([], pa.list_(pa.float64()))
     return rotate
 
 
@@ -76,8 +85,7 @@ def quantise(vectors: DataFrame, dimension: int, vector: str = "embedding",
     ``align`` is the inner product of the unit vector and its code direction. With a
     ``seed`` the vector is rotated first, which spreads its energy over the bits.
     """
-    unit = normalise(vector)
-    turned = unit if seed is None else rotated_udf(rotation(dimension, seed))(unit)
+    turned = normalise(vector) if seed is None else rotated_udf(rotation(dimension, seed))(vector)
     rows = vectors.withColumn("_u", turned)
     spread = F.aggregate("_u", F.lit(0.0), lambda s, x: s + F.abs(x))
     return (rows.withColumn("code", sign_code("_u", dimension))
@@ -104,7 +112,7 @@ def search(queries: DataFrame, index: DataFrame, centroids: np.ndarray, k: int,
     short = want * refine
     probe = nearest_cells_udf(centroids, probes)
     q_all = prepared(queries, query_id, vector, "cosine")
-    q_map = materialise(q_all.select("id", F.col("digest").alias("query_key")), "queries")
+    q_map = q_all.select("id", F.col("digest").alias("query_key"))
     q_rows = q_all.groupBy(F.col("digest").alias("query_key")).agg(
         F.any_value("payload").alias("unit"))
     q_rows = materialise(quantise(q_rows, dimension, "unit", seed)

@@ -1,6 +1,7 @@
 """Exact nearest neighbours of many queries at once.
 
-A Voronoi join: base vectors belong to the cell of their nearest pivot; a query first
+A base that fits a few blocks is compared with every query in block pairs. A larger one
+goes through a Voronoi join: base vectors belong to the cell of their nearest pivot; a query first
 searches the cells around it, which bounds its k-th distance, then only the cells
 that bound cannot rule out. Exact for any data; how much is ruled out depends on how
 clustered it is. For very large tables use ``ivf.search`` instead.
@@ -16,11 +17,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtide.functions.vectors import doubles, finite, matrix, norm, normalise, vector_key
-from seqtide.operators.blocks import blocked_topk, cosine_scores, euclidean_scores
+from seqtide.operators.blocks import Scorer, blocked_topk, cosine_scores, euclidean_scores
 from seqtide.operators.skew import salted_join
 from seqtide.session import materialise
 
 MAX_PIVOTS = 2048
+SMALL_BLOCKS = 4
 SLACK = 1e-9
 
 
@@ -47,10 +49,6 @@ def distinct_base(base: DataFrame, k: int) -> DataFrame:
                                       F.any_value("payload").alias("payload")))
 
 
-def _to_chord(distance: np.ndarray, metric: str) -> np.ndarray:
-    return np.sqrt(np.maximum(2 * distance, 0)) if metric == "cosine" else distance
-
-
 def pairwise(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Euclidean distances of the rows of two matrices."""
     square = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * (a @ b.T)
@@ -128,7 +126,23 @@ def exact_knn(queries: DataFrame, base: DataFrame, k: int, *, query_id: str, bas
     n = base_rows.count()
     if n == 0:
         raise ValueError("the base table holds no usable vector")
-    pivot = choose_pivots(base_rows, pivots or math.ceil(math.sqrt(n)))
+    q_map = q_all.select("id", F.col("digest").alias("query_key"))
+    q_rows = (q_all.groupBy(F.col("digest").alias("query_key"))
+              .agg(F.any_value("payload").alias("payload")))
+    score = cosine_scores if metric == "cosine" else euclidean_scores
+    if pivots is None and n <= SMALL_BLOCKS * block_rows:
+        scored = blocked_topk(q_rows.withColumn("cell", F.lit(0)), base_rows.withColumn("cell", F.lit(0)),
+                              want, score, block_rows)
+    else:
+        scored = voronoi_topk(q_rows, base_rows, n, want, metric, score,
+                              pivots or math.ceil(math.sqrt(n)), block_rows)
+    return unfold(q_map, _best(scored, want), k, exclude_self)
+
+
+def voronoi_topk(q_rows: DataFrame, base_rows: DataFrame, n: int, want: int, metric: str,
+                 score: Scorer, pivots: int, block_rows: int) -> DataFrame:
+    """Candidates that are sure to hold the ``want`` nearest ids of every query."""
+    pivot = choose_pivots(base_rows, pivots)
     near = nearest_pivot_udf(pivot)
     celled = materialise(
         base_rows.withColumn("p", near("payload"))
@@ -139,28 +153,21 @@ def exact_knn(queries: DataFrame, base: DataFrame, k: int, *, query_id: str, bas
              .orderBy("cell").toArrow())  # one row per pivot
     cells = stats["cell"].to_numpy()
     home = home_cells_udf(pivot, cells, stats["n"].to_numpy(), want)
-    q_map = materialise(q_all.select("id", F.col("digest").alias("query_key")), "queries")
-    q_rows = (q_all.groupBy(F.col("digest").alias("query_key"))
-              .agg(F.any_value("payload").alias("payload")))
     q_rows = materialise(q_rows.withColumn("home", home("payload")), "homes")
-
-    score = cosine_scores if metric == "cosine" else euclidean_scores
     members = celled.select("cell", "ids", "payload")
     first = materialise(
         blocked_topk(q_rows.select(F.explode("home").alias("cell"), "query_key", "payload"),
                      members, want, score, block_rows), "first")
-    # k-th distance over ids, not over distinct vectors: ids of one row share a distance
-    spread = _best(first, want)
-    bound = spread.groupBy("query_key").agg(
+    # the bound counts ids, not distinct vectors: ids of one row share a distance
+    bound = _best(first, want).groupBy("query_key").agg(
         F.when(F.count("*") >= want, F.max("score")).alias("bound"))
     chord = F.sqrt(F.greatest(2 * F.col("bound"), F.lit(0.0))) if metric == "cosine" else F.col("bound")
     rest = remaining_cells_udf(pivot, cells, stats["low"].to_numpy(), stats["high"].to_numpy())
-    more = (q_rows.join(bound, "query_key").withColumn("cells", rest("payload", chord, "home"))
+    more = (q_rows.join(bound.withColumn("bound", chord), "query_key")
+            .withColumn("cells", rest("payload", "bound", "home"))
             .select(F.explode("cells").alias("cell"), "query_key", "payload"))
-    more = materialise(more, "more")
-    second = blocked_topk(more, members, want, score, block_rows)
-    best = _best(first.unionByName(second), want)
-    return unfold(q_map, best, k, exclude_self)
+    second = blocked_topk(materialise(more, "more"), members, want, score, block_rows)
+    return first.unionByName(second)
 
 
 def _best(scored: DataFrame, k: int) -> DataFrame:

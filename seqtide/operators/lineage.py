@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from seqtide.config import RANKS
 from seqtide.functions.text import blank, present, taxid_of
 from seqtide.operators.skew import salted_join
-from seqtide.session import Rounds, is_empty
+from seqtide.session import Rounds
 
 MAX_ROUNDS = 40
 
@@ -43,10 +43,10 @@ def tree_lineages(tree: DataFrame, fill: bool = True, merged: DataFrame | None =
         *[F.when(F.col("rank") == r, F.col("name")).alias(n) for r, n in zip(RANKS, names)])
     rounds = Rounds(tree.sparkSession, "lineage")
     for _ in range(MAX_ROUNDS):
-        state = rounds.keep(state)
-        active = state.where(F.col("up").isNotNull())
-        if is_empty(active):
+        state = rounds.keep(state.withColumn("open", F.col("up").isNotNull()), "open").drop("open")
+        if not rounds.flagged:
             break
+        active = state.where(F.col("up").isNotNull())
         target = state.select(F.col("tax_id").alias("up"), F.col("up").alias("next_up"),
                               *[F.col(n).alias(f"p{n}") for n in names])
         moved = salted_join(active, target, "up", "left").select(

@@ -48,7 +48,7 @@ def memberships(neighbours: DataFrame, k: int) -> DataFrame:
     """Adds ``weight`` in (0, 1] to each neighbour row; k rows per query are grouped."""
     near = F.sort_array(F.collect_list(F.struct("distance", "rn", "neighbour_id")))
     packed = neighbours.groupBy("query_id").agg(near.alias("near"))
-    spread = packed.withColumn("b", bandwidth_udf(k)(F.transform("near", lambda s: s["distance"])))
+    spread = packed.withColumn("b", bandwidth_udf(k)(F.col("near.distance")))
     excess = F.greatest(F.col("s.distance") - F.col("b.rho"), F.lit(0.0))
     return (spread.select("query_id", "b", F.explode("near").alias("s"))
             .select("query_id", "s.neighbour_id", "s.distance", "s.rn", "b.rho", "b.sigma",

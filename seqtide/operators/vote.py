@@ -59,7 +59,7 @@ def vote(named: DataFrame) -> DataFrame:
     near = F.sort_array(F.collect_list(F.struct("rn", *[f"`{r}`" for r in RANKS])))
     packed = named.groupBy("query_id").agg(near.alias("near"))
     names = packed.select("query_id", F.size("near").alias("n_neighbours"), *[
-        F.filter(F.transform("near", lambda s, r=r: s[r]), lambda x: x.isNotNull() & (x != "")).alias(f"_{r}")
+        F.filter(F.col(f"near.`{r}`"), lambda x: x.isNotNull() & (x != "")).alias(f"_{r}")
         for r in RANKS])
     return names.select("query_id", "n_neighbours", *[_winner(F.col(f"_{r}")).alias(r) for r in RANKS])
 

@@ -119,7 +119,7 @@ def duck(body: str, *views: str, recursive: bool = False) -> str:
     parts = [f"{n} as ({DUCK[n]})" for n in names]
     body = body.strip()
     if body.lower().startswith("with "):
-        body = body[5:]
+        body = body[5:].lstrip()
         if body.lower().startswith("recursive "):
             recursive, body = True, body[10:]
         parts.append("")

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_DIRS: dict[str, str] = {}
 
@@ -70,16 +71,20 @@ class Rounds:
     """Tables of an iterative job: keeps the newest, drops the one before it."""
 
     def __init__(self, spark: SparkSession, label: str):
-        self.spark, self.label, self._last = spark, label, None
+        self.spark, self.label, self._last, self.flagged = spark, label, None, 0
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame, flag: str | None = None) -> DataFrame:
+        """Store ``df``. With ``flag``, the write itself counts the rows where that
+        column is true, as ``self.flagged``: no extra job is needed to test for the end."""
         path = scratch_path(self.spark, self.label)
-        df.write.parquet(path)
+        if flag is None:
+            df.write.parquet(path)
+        else:
+            seen = Observation()
+            df.observe(seen, F.count_if(F.col(flag)).alias("flagged")).write.parquet(path)
+            self.flagged = seen.get["flagged"]
         if self._last is not None:
             delete_path(self.spark, self._last)
         self._last = path
         return self.spark.read.schema(df.schema).parquet(path)
 
-
-def is_empty(df: DataFrame) -> bool:
-    return df.limit(1).count() == 0
