@@ -37,8 +37,7 @@ def _points(spark, sf):
 
 def _graph(spark, sf):
     points = _points(spark, sf)
-    near = materialise(exact_knn(points, points, K, query_id="id", base_id="id", metric="euclidean",
-                                 exclude_self=True), "near")
+    near = exact_knn(points, points, K, query_id="id", base_id="id", metric="euclidean", exclude_self=True)
     cores = materialise(density.core_distances(near, SAMPLES), "cores")
     return points, near, cores
 

@@ -26,8 +26,12 @@ def mutual_reachability(neighbours: DataFrame, cores: DataFrame) -> DataFrame:
              .groupBy(F.least("query_id", "neighbour_id").alias("a"),
                       F.greatest("query_id", "neighbour_id").alias("b"))
              .agg(F.min("distance").alias("distance")))
-    with_a = salted_join(edges, cores.select(F.col("id").alias("a"), F.col("core").alias("core_a")), "a")
-    with_b = salted_join(with_a, cores.select(F.col("id").alias("b"), F.col("core").alias("core_b")), "b")
+    edges = materialise(edges, "pairs")
+    weights = edges.groupBy("b").agg(F.count("*").alias("n"))
+    with_a = salted_join(edges, cores.select(F.col("id").alias("a"), F.col("core").alias("core_a")), "a",
+                         stored=True)
+    with_b = salted_join(with_a, cores.select(F.col("id").alias("b"), F.col("core").alias("core_b")), "b",
+                         weights=weights)
     return with_b.select("a", "b", F.greatest("core_a", "core_b", "distance").alias("w"))
 
 
@@ -198,7 +202,7 @@ def labels(points: DataFrame, tree: dict[str, DataFrame], probability: str = "at
     info = tree["clusters"].select(F.col("cluster").alias("owner"), "birth", "deepest")
     by_cluster = owner.join(number, "owner").join(info, "owner").select(
         "cluster", "cluster_id", "birth", "deepest")
-    placed = salted_join(tree["members"], by_cluster, "cluster")
+    placed = salted_join(tree["members"], by_cluster, "cluster", stored=True)
     lam = F.least("lam", "deepest")
     if probability == "birth":
         span = F.col("deepest") - F.col("birth")
@@ -217,8 +221,8 @@ def density_clusters(points: DataFrame, *, min_samples: int, min_cluster_size: i
                      metric: str = "euclidean", probability: str = "attribute") -> DataFrame:
     """Cluster label and membership probability for every point (id, vector)."""
     k = neighbours or max(2 * min_samples, 15)
-    near = materialise(exact_knn(points, points, k, query_id="id", base_id="id", vector=vector,
-                                 metric=metric, exclude_self=True), "neighbours")
+    near = exact_knn(points, points, k, query_id="id", base_id="id", vector=vector,
+                     metric=metric, exclude_self=True)
     cores = materialise(core_distances(near, min_samples), "cores")
     forest = materialise(spanning_forest(mutual_reachability(near, cores)), "forest")
     return labels(points, hierarchy(points, forest, min_cluster_size, levels), probability)

@@ -29,7 +29,7 @@ def components(vertices: DataFrame, edges: DataFrame, by: list[str] | None = Non
     state = rounds.keep(start, "changed")
     while rounds.flagged:
         parents = state.select(*by, F.col("v").alias("p"), F.col("p").alias("gp"))
-        grand = materialise(salted_join(state.select(*by, "v", "p"), parents, [*by, "p"]), "grand")
+        grand = materialise(salted_join(state.select(*by, "v", "p"), parents, [*by, "p"], stored=True), "grand")
         seen = salted_join(both, grand.select(*by, F.col("v").alias("b"), "gp"), [*by, "b"], weights=hub)
         best = seen.groupBy(*by, F.col("a").alias("v")).agg(F.min("gp").alias("best"))
         hooked = grand.join(best, [*by, "v"], "left").select(
@@ -85,13 +85,16 @@ def spanning_forest(edges: DataFrame) -> DataFrame:
         chosen = kept.keep(picked if chosen is None else chosen.unionByName(picked))
         # two components may choose one another; the smaller of such a pair is the root
         back = lightest.select(F.col("c").alias("to"), F.col("to").alias("back"))
-        pointers = salted_join(lightest.select("c", "to"), back, "to").select(
+        pointers = salted_join(lightest.select("c", "to"), back, "to", stored=True).select(
             F.col("c").alias("v"),
             F.when((F.col("back") == F.col("c")) & (F.col("c") < F.col("to")), F.col("c"))
             .otherwise(F.col("to")).alias("p"))
         root = materialise(roots(pointers), "root")
-        moved = salted_join(current.drop("open"), root.select(F.col("v").alias("ca"), F.col("root").alias("ra")), "ca")
-        moved = salted_join(moved, root.select(F.col("v").alias("cb"), F.col("root").alias("rb")), "cb")
+        weights = current.groupBy("cb").agg(F.count("*").alias("n"))
+        moved = salted_join(current.drop("open"), root.select(F.col("v").alias("ca"), F.col("root").alias("ra")),
+                            "ca", stored=True)
+        moved = salted_join(moved, root.select(F.col("v").alias("cb"), F.col("root").alias("rb")), "cb",
+                            weights=weights)
         current = live.keep(
             moved.where(F.col("ra") != F.col("rb"))
             .groupBy(F.least("ra", "rb").alias("ca"), F.greatest("ra", "rb").alias("cb"))

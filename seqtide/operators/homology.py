@@ -96,7 +96,7 @@ def greedy_cover(pairs: DataFrame) -> DataFrame:
     while rounds.flagged:
         members = live.select(F.col("member").alias("centre")).distinct()
         roots = live.select("centre").distinct().join(members, "centre", "left_anti")
-        fresh = salted_join(live.select("centre", "member"), roots, "centre").select("member").distinct()
+        fresh = salted_join(live.select("centre", "member"), roots, "centre", stored=True).select("member").distinct()
         fresh = materialise(fresh, "fresh")
         flagged = fresh.select(F.col("member").alias("centre"), F.lit(True).alias("_covered"))
         remaining = salted_join(live.select("centre", "member").join(fresh, "member", "left_anti"), flagged, "centre", "left")

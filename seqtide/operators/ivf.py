@@ -103,7 +103,7 @@ def search(queries: DataFrame, index: DataFrame, centroids: np.ndarray, k: int,
            query_id: str, base_id: str, dimension: int, probes: int = 8, refine: int = 4,
            vector: str = "embedding", seed: int | None = 42, exclude_self: bool = False,
            block_rows: int = 2048) -> DataFrame:
-    """query_id, neighbour_id, distance, rn: approximate k nearest by cosine.
+    """query_id, neighbour_id, distance, rn: approximate k nearest by cosine, stored.
 
     Only codes travel to the cells; per query the k * refine best codes are re-ranked
     on full vectors. Equal codes are ranked by id.
@@ -126,7 +126,7 @@ def search(queries: DataFrame, index: DataFrame, centroids: np.ndarray, k: int,
             .select("query_key", "neighbour"))
     best = rerank(materialise(kept, "shortlist"), q_rows.select("query_key", "unit"), index, want,
                   base_id, vector)
-    return unfold(q_map, best, k, exclude_self)
+    return materialise(unfold(q_map, best, k, exclude_self), "neighbours")
 
 
 def distinct_codes(index: DataFrame, base_id: str, short: int) -> DataFrame:
@@ -143,7 +143,9 @@ def rerank(shortlist: DataFrame, queries: DataFrame, base: DataFrame, k: int, ba
            vector: str) -> DataFrame:
     """Exact distances of a shortlist. Popular neighbours are salted, not their rows cut."""
     right = base.select(F.col(base_id).alias("neighbour"), normalise(vector).alias("_b"))
-    pairs = salted_join(shortlist.join(queries, "query_key"), right, "neighbour", hot_rows=20_000)
+    weights = shortlist.groupBy("neighbour").agg(F.count("*").alias("n"))
+    pairs = salted_join(shortlist.join(queries, "query_key"), right, "neighbour", hot_rows=20_000,
+                        weights=weights)
     scored = pairs.select("query_key", "neighbour", cosine_of_pairs()("unit", "_b").alias("score"))
     w = Window.partitionBy("query_key").orderBy("score", "neighbour")
     return scored.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)

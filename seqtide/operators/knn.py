@@ -115,7 +115,7 @@ def choose_pivots(base: DataFrame, count: int) -> np.ndarray:
 def exact_knn(queries: DataFrame, base: DataFrame, k: int, *, query_id: str, base_id: str,
               vector: str = "embedding", metric: str = "cosine", exclude_self: bool = False,
               pivots: int | None = None, block_rows: int = 2048) -> DataFrame:
-    """query_id, neighbour_id, distance, rn for the k nearest (ties: smaller id).
+    """query_id, neighbour_id, distance, rn for the k nearest (ties: smaller id), stored.
 
     ``metric`` is ``cosine`` (1 - cos) or ``euclidean``. ``exclude_self`` drops the
     neighbour with the query's own id.
@@ -127,8 +127,11 @@ def exact_knn(queries: DataFrame, base: DataFrame, k: int, *, query_id: str, bas
     if n == 0:
         raise ValueError("the base table holds no usable vector")
     q_map = q_all.select("id", F.col("digest").alias("query_key"))
-    q_rows = (q_all.groupBy(F.col("digest").alias("query_key"))
-              .agg(F.any_value("payload").alias("payload")))
+    if queries is base and query_id == base_id:  # the distinct vectors are stored already
+        q_rows = base_rows.select(F.col("digest").alias("query_key"), F.col("payload").alias("payload"))
+    else:
+        q_rows = materialise(q_all.groupBy(F.col("digest").alias("query_key"))
+                             .agg(F.any_value("payload").alias("payload")), "queries")
     score = cosine_scores if metric == "cosine" else euclidean_scores
     if pivots is None and n <= SMALL_BLOCKS * block_rows:
         scored = blocked_topk(q_rows.withColumn("cell", F.lit(0)), base_rows.withColumn("cell", F.lit(0)),
@@ -136,7 +139,7 @@ def exact_knn(queries: DataFrame, base: DataFrame, k: int, *, query_id: str, bas
     else:
         scored = voronoi_topk(q_rows, base_rows, n, want, metric, score,
                               pivots or math.ceil(math.sqrt(n)), block_rows)
-    return unfold(q_map, _best(scored, want), k, exclude_self)
+    return materialise(unfold(q_map, _best(scored, want), k, exclude_self), "neighbours")
 
 
 def voronoi_topk(q_rows: DataFrame, base_rows: DataFrame, n: int, want: int, metric: str,

@@ -49,7 +49,7 @@ def tree_lineages(tree: DataFrame, fill: bool = True, merged: DataFrame | None =
         active = state.where(F.col("up").isNotNull())
         target = state.select(F.col("tax_id").alias("up"), F.col("up").alias("next_up"),
                               *[F.col(n).alias(f"p{n}") for n in names])
-        moved = salted_join(active, target, "up", "left").select(
+        moved = salted_join(active, target, "up", "left", stored=True).select(
             "tax_id", F.col("next_up").alias("up"),
             *[F.coalesce(n, f"p{n}").alias(n) for n in names])
         state = state.where(F.col("up").isNull()).unionByName(moved)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from seqtide.session import materialise
+
 # At most this many keys are ever salted, which bounds the broadcast side. With
 # the heaviest taken first, a key left out holds at most 1/4096 of the rows.
 HOT_KEYS = 4096
@@ -24,17 +26,25 @@ def is_small(df: DataFrame) -> bool:
 
 
 def salted_join(facts: DataFrame, dim: DataFrame, on: list[str] | str, how: str = "inner",
-                hot_rows: int = 100_000, weights: DataFrame | None = None) -> DataFrame:
+                hot_rows: int = 100_000, weights: DataFrame | None = None,
+                stored: bool = False) -> DataFrame:
     """``facts JOIN dim`` where ``dim`` has one row per key and ``facts`` may be skewed.
 
     Keys with more than ``hot_rows`` fact rows are cut into salts of about that
     many rows each; the one matching ``dim`` row is repeated per salt. ``how`` is
-    ``inner`` or ``left``. ``weights`` (keys, ``n``) saves the counting pass.
+    ``inner`` or ``left``. ``weights`` (keys, ``n``) saves the counting pass; without
+    it ``facts`` are written once, unless ``stored`` says that they are a table, so
+    that counting does not compute them twice.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if hot_rows >= MIN_SALTED_ROWS and is_small(facts):
+    plain = hot_rows >= MIN_SALTED_ROWS
+    if plain and is_small(facts):
         return facts.join(dim, keys, how)
     if weights is None:
+        if not stored:
+            facts = materialise(facts, "facts")
+            if plain and is_small(facts):
+                return facts.join(dim, keys, how)
         weights = facts.groupBy(*keys).agg(F.count("*").alias("n"))
     hot = (weights.where(F.col("n") > hot_rows).orderBy(F.desc("n"), *keys).limit(HOT_KEYS)
            .select(*keys, F.ceil(F.col("n") / hot_rows).cast("int").alias("_salts")))
@@ -55,10 +65,6 @@ def dense_index(df: DataFrame, order: list[str], name: str = "idx") -> DataFrame
     Range partitions are sorted on their own; the only thing gathered is one row
     count per partition, which becomes that partition's offset.
     """
-    from pyspark.sql import Window
-
-    from seqtide.session import materialise
-
     part = (df.repartitionByRange(*order).sortWithinPartitions(*order)
             .withColumn("_at", F.monotonically_increasing_id()))
     part = materialise(part.withColumn("_part", F.shiftright("_at", 33).cast("int")), "dense")

@@ -35,19 +35,10 @@ def neighbour_names(neighbours: DataFrame, lineages: DataFrame, key: str = "acce
     return salted_join(neighbours, names, "neighbour_id")
 
 
-def _winner(names: Column) -> Column:
-    """Most frequent name and its share; the first seen wins a tie."""
-    best = F.aggregate(
-        F.array_distinct(names),
-        F.struct(F.lit(UNKNOWN).alias("name"), F.lit(0).alias("n")),
-        lambda acc, name: F.when(
-            F.size(F.filter(names, lambda x: x == name)) > acc["n"],
-            F.struct(name.alias("name"), F.size(F.filter(names, lambda x: x == name)).alias("n")))
-        .otherwise(acc))
-    share = F.transform(F.array(best), lambda b: F.struct(
-        b["name"].alias("name"),
-        F.when(F.size(names) == 0, 0.0).otherwise(F.round(b["n"] / F.size(names), 4)).alias("confidence")))
-    return F.element_at(share, 1)
+def _tally(names: Column) -> Column:
+    """Count, order of appearance (negative) and text of each distinct name."""
+    return F.transform(F.array_distinct(names), lambda name, i: F.struct(
+        F.size(F.filter(names, lambda x: x == name)).alias("n"), (-i).alias("seen"), name.alias("name")))
 
 
 def vote(named: DataFrame) -> DataFrame:
@@ -58,10 +49,16 @@ def vote(named: DataFrame) -> DataFrame:
     """
     near = F.sort_array(F.collect_list(F.struct("rn", *[f"`{r}`" for r in RANKS])))
     packed = named.groupBy("query_id").agg(near.alias("near"))
+    keep = ["query_id", "n_neighbours"]
+    # one step per projection: an expression used twice below is computed once
     names = packed.select("query_id", F.size("near").alias("n_neighbours"), *[
-        F.filter(F.col(f"near.`{r}`"), lambda x: x.isNotNull() & (x != "")).alias(f"_{r}")
-        for r in RANKS])
-    return names.select("query_id", "n_neighbours", *[_winner(F.col(f"_{r}")).alias(r) for r in RANKS])
+        F.filter(F.col(f"near.`{r}`"), lambda x: x.isNotNull() & (x != "")).alias(r) for r in RANKS])
+    # the greatest entry has the highest count, then the earliest appearance
+    best = names.select(*keep, *[F.struct(F.array_max(_tally(F.col(f"`{r}`"))).alias("top"),
+                                          F.size(f"`{r}`").alias("of")).alias(r) for r in RANKS])
+    return best.select(*keep, *[_named(
+        F.coalesce(F.col(f"`{r}`.top.name"), F.lit(UNKNOWN)),
+        F.coalesce(F.round(F.col(f"`{r}`.top.n") / F.col(f"`{r}`.of"), 4), F.lit(0.0))).alias(r) for r in RANKS])
 
 
 def _named(name: str | Column, confidence: float | Column) -> Column:

@@ -84,7 +84,8 @@ def planted(spark: SparkSession, sf: str) -> DataFrame:
     """Nine clear clusters (labels 0-8) and noise (label 9), unit length."""
     return spark.sql("""
         select vec_id, label,
-               transform(e, x -> x / sqrt(aggregate(e, 0D, (a, y) -> a + y * y))) as embedding
+               transform(array(sqrt(aggregate(e, 0D, (a, y) -> a + y * y))),
+                         n -> transform(e, x -> x / n))[0] as embedding
         from (select vec_id, label, transform(embedding, (x, i) -> cast(x as double)
                 + case when i = label and label <> 9 then 3D else 0D end) as e from {v}) t
     """, v=table(spark, sf, "embeddings"))
