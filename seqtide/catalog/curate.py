@@ -130,8 +130,8 @@ def parse_lineage_tsv(spark, sf):
 @query("rejected_lineage_lines", f"""
 with lines as ({LINES.replace("{customer}", "customer")}),
 f as (select string_split(line, chr(9)) as f from lines)
-select count(*) as lines, count_if(len(f) < 8) as short_lines,
-       count_if(len(f) >= 8 and not regexp_full_match(f[1], '[0-9]+')) as bad_ids from f""")
+select count(*) as lines, count_if(len(f) < 8)::bigint as short_lines,
+       count_if(len(f) >= 8 and not regexp_full_match(f[1], '[0-9]+'))::bigint as bad_ids from f""")
 def rejected_lineage_lines(spark, sf):
     size = F.size(F.split("line", "\t"))
     good = lineages.good_lineage_line("line")
@@ -306,7 +306,7 @@ def unmatched(spark, sf):
 
 
 @query("coverage", duck(f"""with recursive {TAXA}
-select count_if(tl.taxid is not null) as annotated, count_if(tl.taxid is null) as without_lineage,
+select count_if(tl.taxid is not null)::bigint as annotated, count_if(tl.taxid is null)::bigint as without_lineage,
        count(distinct map.taxid) as distinct_taxids from map left join tl using (taxid)""", "meta", "tree"))
 def coverage(spark, sf):
     return lineage.coverage(merged_map(spark, sf), taxon_lineages(spark, sf))

@@ -94,7 +94,7 @@ def cluster_summary(spark, sf):
 
 
 @query("cluster_counts", duck(f"""with recursive {FLAT}
-select count(distinct case when cluster <> -1 then cluster end) as clusters, count_if(cluster = -1) as noise from flat""", "planted"))
+select count(distinct case when cluster <> -1 then cluster end) as clusters, count_if(cluster = -1)::bigint as noise from flat""", "planted"))
 def cluster_counts(spark, sf):
     return density.cluster_counts(_flat(spark, sf).withColumnRenamed("cluster", "cluster_id"))
 

@@ -16,6 +16,7 @@ from seqtide.operators.skew import dense_index, salted_join
 from seqtide.session import Rounds, materialise
 
 BISECTIONS = 64
+START_WIDTH = 10.0
 
 
 def bandwidth_udf(k: int):
@@ -65,10 +66,14 @@ def fuzzy_graph(neighbours: DataFrame, k: int) -> DataFrame:
 
 
 def principal_layout(points: DataFrame, dims: int, vector: str = "embedding") -> DataFrame:
-    """id, coords: first principal components of the unit vectors (d x d on the driver)."""
+    """id, coords: first principal components of the unit vectors (d x d on the driver),
+    scaled so that clusters start well apart."""
     rows = points.select("id", array_to_vector(normalise(vector)).alias("features"))
     model = PCA(k=dims, inputCol="features", outputCol="components").fit(rows)
-    return model.transform(rows).select("id", vector_to_array("components").alias("coords"))
+    placed = materialise(model.transform(rows).select("id", vector_to_array("components").alias("coords")), "start")
+    # one number: the widest coordinate becomes START_WIDTH
+    width = placed.agg(F.max(F.array_max(F.transform("coords", lambda x: F.abs(x))))).first()[0] or 1.0
+    return placed.select("id", F.transform("coords", lambda x: x * (START_WIDTH / width)).alias("coords"))
 
 
 def curve(min_dist: float, spread: float = 1.0) -> tuple[float, float]:

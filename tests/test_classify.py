@@ -81,12 +81,28 @@ def test_profiles():
     assert FULL.cells == 8192 and DEMO.cells == 512 and DEMO.family_floor == FULL.family_floor
 
 
+class Remote:
+    """Stands for a session on a cluster."""
+
+    class conf:
+        @staticmethod
+        def get(key, default=None):
+            return Remote.folder if key == "spark.checkpoint.dir" else default
+
+    class sparkContext:
+        master = "spark://host:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+
 def test_shared_dir_follows_the_session(spark):
-    spark.conf.set("spark.checkpoint.dir", "/tmp/somewhere/")
-    try:
-        assert shared_dir(spark) == "/tmp/somewhere"
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+    Remote.folder = "hdfs:///shared/"
+    assert shared_dir(Remote) == "hdfs:///shared"
+    Remote.folder = None
+    with pytest.raises(RuntimeError):
+        shared_dir(Remote)
 
 
 def test_whole_run(spark, tmp_path):
