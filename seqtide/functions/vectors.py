@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -71,6 +71,17 @@ def vector_key(v: Column | str) -> Column:
     return F.concat_ws("-", F.hex(F.xxhash64(v)), F.hex(F.xxhash64(F.lit(7), v)))
 
 
+def settled(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with ``column`` computed before anything that follows.
+
+    Spark does not evaluate an Arrow function whose argument holds a lambda, and the
+    optimizer would fold ``transform(...)`` into that argument. Unfolding a
+    one-element array keeps the two apart at the cost of a copy.
+    """
+    return df.select(*[f"`{c}`" for c in df.columns if c != column],
+                     F.explode(F.array(column)).alias(column)).select(*[f"`{c}`" for c in df.columns])
+
+
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """Arrow list column to an (n, d) matrix; all lists must have one length."""
     if isinstance(column, pa.ChunkedArray):

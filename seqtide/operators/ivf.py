@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtide.functions.vectors import (cosine_of_pairs, finite, lists, matrix, norm, normalise,
-                                       sign_code)
+                                       settled, sign_code)
 from seqtide.operators.blocks import blocked_topk, hamming_scores
 from seqtide.operators.knn import pairwise, prepared, unfold
 from seqtide.operators.skew import salted_join
@@ -53,7 +53,7 @@ def nearest_cells_udf(centroids: np.ndarray, probes: int):
 def assign_cells(vectors: DataFrame, centroids: np.ndarray, vector: str = "embedding") -> DataFrame:
     """Adds ``cell``. The centroid matrix is cells x d, whatever the number of rows."""
     nearest = nearest_cells_udf(centroids, 1)
-    return vectors.where(searchable(vector)).withColumn("_c", nearest(vector)) \
+    return settled(vectors.where(searchable(vector)), vector).withColumn("_c", nearest(vector)) \
         .withColumn("cell", F.col("_c")[0]).drop("_c")
 
 
@@ -86,7 +86,7 @@ def quantise(vectors: DataFrame, dimension: int, vector: str = "embedding",
     ``seed`` the vector is rotated first, which spreads its energy over the bits.
     """
     turned = normalise(vector) if seed is None else rotated_udf(rotation(dimension, seed))(vector)
-    rows = vectors.withColumn("_u", turned)
+    rows = (vectors if seed is None else settled(vectors, vector)).withColumn("_u", turned)
     spread = F.aggregate("_u", F.lit(0.0), lambda s, x: s + F.abs(x))
     return (rows.withColumn("code", sign_code("_u", dimension))
             .withColumn("norm", norm(F.col(vector).cast("array<double>")))

@@ -94,3 +94,12 @@ def test_memberships_sum_to_log2k(spark):
     near = exact_knn(df, df, 8, query_id="id", base_id="id", exclude_self=True)
     sums = manifold.memberships(near, 8).groupBy("query_id").agg(F.sum("weight").alias("w")).collect()
     assert all(abs(r["w"] - 3) < 1e-4 for r in sums)
+
+
+def test_index_of_derived_vectors(spark):
+    """Vectors that are themselves lambda expressions, and only the cell is asked for."""
+    df = frame(spark, np.random.default_rng(3).normal(size=(50, 8))).select(
+        "id", F.transform("embedding", lambda x: x * 2).alias("embedding"))
+    cent = ivf.train_cells(df, 4, seed=1)
+    assert ivf.assign_cells(df, cent).groupBy("cell").count().agg(F.sum("count")).first()[0] == 50
+    assert ivf.quantise(df, 8, seed=1).select("code").distinct().count() > 10
