@@ -57,6 +57,22 @@ def kmer_vector_udf(k: int, dimension: int):
     return encode
 
 
+def smallest_distinct(hashes: np.ndarray, starts: np.ndarray, count: int
+                      ) -> tuple[np.ndarray, np.ndarray]:
+    """The ``count`` smallest distinct hashes with their first starts.
+
+    Only the lower end is sorted; if repeats leave it short of distinct values, all is.
+    """
+    lower = 4 * count
+    if len(hashes) > 2 * lower:
+        near = np.flatnonzero(hashes <= np.partition(hashes, lower)[lower])
+        values, first = np.unique(hashes[near], return_index=True)
+        if len(values) >= count:
+            return values[:count], starts[near[first[:count]]]
+    values, first = np.unique(hashes, return_index=True)
+    return values[:count], starts[first[:count]]
+
+
 SKETCH = "array<struct<kmer:bigint,position:int>>"
 
 
@@ -67,9 +83,8 @@ def smallest_kmers_udf(k: int, count: int):
         out = []
         for s in sequences:
             codes, starts = kmer_codes(s.as_py() or "", k)
-            hashes, first = np.unique(kmer_hash(codes), return_index=True)
-            out.append([{"kmer": int(h), "position": int(p)}
-                        for h, p in zip(hashes[:count], starts[first[:count]])])
+            hashes, positions = smallest_distinct(kmer_hash(codes), starts, count)
+            out.append([{"kmer": int(h), "position": int(p)} for h, p in zip(hashes, positions)])
         return pa.array(out, pa.list_(pa.struct([("kmer", pa.int64()), ("position", pa.int32())])))
     return sketch
 

@@ -68,15 +68,27 @@ def blocked_topk(queries: DataFrame, base: DataFrame, k: int, score: Scorer,
     # one row per cell on both sides: bounded by the number of cells
     b_cells = base.groupBy("cell").agg(F.count("*").alias("nb"))
     q_cells = queries.groupBy("cell").agg(F.count("*").alias("nq"))
-    plan = b_cells.join(q_cells, "cell").select(
+    plan = F.broadcast(b_cells.join(q_cells, "cell").select(
         "cell", F.ceil(F.col("nb") / block_rows).cast("int").alias("nb"),
-        F.ceil(F.col("nq") / block_rows).cast("int").alias("nq"))
-    b = (base.join(F.broadcast(plan), "cell")
-         .withColumn("bb", F.pmod(F.xxhash64("ids"), F.col("nb")).cast("int"))
+        F.ceil(F.col("nq") / block_rows).cast("int").alias("nq")))
+    return _paired(queries.join(plan, "cell"), base.join(plan, "cell"), k, score)
+
+
+def one_cell_topk(queries: DataFrame, base: DataFrame, k: int, score: Scorer,
+                  block_rows: int = 2048) -> DataFrame:
+    """The same without cells: every query meets every base block. Both are stored tables."""
+    def sized(df: DataFrame, nb: int, nq: int) -> DataFrame:
+        return df.withColumns({"cell": F.lit(0), "nb": F.lit(nb), "nq": F.lit(nq)})
+    nb, nq = (max(1, -(-df.count() // block_rows)) for df in (base, queries))
+    return _paired(sized(queries, nb, nq), sized(base, nb, nq), k, score)
+
+
+def _paired(queries: DataFrame, base: DataFrame, k: int, score: Scorer) -> DataFrame:
+    """Rows carry ``nb`` and ``nq``, the numbers of base and query blocks of their cell."""
+    b = (base.withColumn("bb", F.pmod(F.xxhash64("ids"), F.col("nb")).cast("int"))
          .withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)))
          .select("cell", "bb", "qb", "ids", "payload"))
-    q = (queries.join(F.broadcast(plan), "cell")
-         .withColumn("qb", F.pmod(F.xxhash64("query_key"), F.col("nq")).cast("int"))
+    q = (queries.withColumn("qb", F.pmod(F.xxhash64("query_key"), F.col("nq")).cast("int"))
          .withColumn("bb", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
          .select("cell", "bb", "qb", "query_key", "payload"))
 

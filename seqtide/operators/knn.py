@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtide.functions.vectors import doubles, finite, matrix, norm, normalise, vector_key
-from seqtide.operators.blocks import Scorer, blocked_topk, cosine_scores, euclidean_scores
+from seqtide.operators.blocks import (Scorer, blocked_topk, cosine_scores, euclidean_scores,
+                                      one_cell_topk)
 from seqtide.operators.skew import salted_join
 from seqtide.session import materialise
 
@@ -134,8 +135,7 @@ def exact_knn(queries: DataFrame, base: DataFrame, k: int, *, query_id: str, bas
                              .agg(F.any_value("payload").alias("payload")), "queries")
     score = cosine_scores if metric == "cosine" else euclidean_scores
     if pivots is None and n <= SMALL_BLOCKS * block_rows:
-        scored = blocked_topk(q_rows.withColumn("cell", F.lit(0)), base_rows.withColumn("cell", F.lit(0)),
-                              want, score, block_rows)
+        scored = one_cell_topk(q_rows, base_rows, want, score, block_rows)
     else:
         scored = voronoi_topk(q_rows, base_rows, n, want, metric, score,
                               pivots or math.ceil(math.sqrt(n)), block_rows)

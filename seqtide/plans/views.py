@@ -12,6 +12,16 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table whose rows are costly to process: rows of too few splits go to all cores.
+
+    Only a small file has fewer splits than there are cores; large tables stay as they are.
+    """
+    df = table(spark, sf, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # {g} is the flag DuckDB needs to replace every match; Spark always does.
 _SEQS = """
 select doc_id, accession, taxid,
@@ -61,7 +71,7 @@ from {embeddings}
 def seqs(spark: SparkSession, sf: str) -> DataFrame:
     """Sequences with accession and header; every fifth header has no taxid."""
     return spark.sql(_SEQS.replace("{g}", "").replace("{text}", "string"),
-                     documents=table(spark, sf, "documents"))
+                     documents=spread_table(spark, sf, "documents"))
 
 
 def meta(spark: SparkSession, sf: str) -> DataFrame:

@@ -82,3 +82,15 @@ def test_greedy_cover_matches_the_sequential_rule(spark):
         pairs = spark.createDataFrame([(a, b, length[a]) for a, b in edges], "centre string, member string, centre_length int")
         want = {k: v for k, v in greedy(order, edges).items() if k != v}
         assert dict(homology.greedy_cover(pairs).collect()) == want
+
+
+def test_sketch_shortcut_equals_full_sort():
+    import numpy as np
+
+    from seqtide.functions.kmers import smallest_distinct
+    rng = np.random.default_rng(0)
+    for top in (10 ** 9, 50, 3):
+        h, starts = rng.integers(0, top, 5000), np.arange(5000) * 2
+        values, first = np.unique(h, return_index=True)
+        got = smallest_distinct(h, starts, 20)
+        assert (got[0] == values[:20]).all() and (got[1] == starts[first[:20]]).all()
