@@ -44,8 +44,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path in this application's part of the shared folder."""
+    return f"{application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def application_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+
+
+def drop_intermediates(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application, once no result needs them."""
+    delete_path(spark, application_dir(spark))
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

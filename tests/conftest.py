@@ -7,6 +7,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from seqtide import local_session  # noqa: E402
+from seqtide.session import drop_intermediates  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -14,4 +15,5 @@ def spark():
     session = local_session("8", partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_intermediates(session)
     session.stop()
