@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqtide.llm import packing, token_files
+from seqtide.llm import byte_bpe, exact_dedup, packing, quality_rules, token_counts, token_files
 from seqtide.llm.registry import query
 from seqtide.session import scratch_path
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -30,3 +31,29 @@ def op5_token_files(spark: SparkSession, sf: str) -> DataFrame:
     token_files.write_tokens(documents(spark, sf), path, WORD_VOCABULARY)
     return token_files.read_tokens(spark, path).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op6_byte_bpe")
+def op6_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    pattern = public_tokenizers.PATTERN
+    decoded = byte_bpe.decode(byte_bpe.encode(documents(spark, sf), RANKS, pattern), RANKS, pattern)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op7_quality_rules", quality_rules.ORACLE)
+def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, sf)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op8_exact_dedup", exact_dedup.ORACLE)
+def op8_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return exact_dedup.report(documents(spark, sf)).select(
+        "doc_id", "keep_id", "group_size", "kept", F.col("full").alias("text_sha256"))
+
+
+@query("op9_token_counts")
+def op9_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    # a cache of its own for this call: each distinct text is a miss
+    counted = token_counts.count_tokens(documents(spark, sf), WORD_VOCABULARY, scratch_path(spark, "token-cache"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
