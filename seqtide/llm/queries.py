@@ -10,6 +10,7 @@ from seqtide.llm import (
     byte_bpe,
     chat_format,
     exact_dedup,
+    jaccard_join,
     license_scan,
     packing,
     quality_rules,
@@ -81,3 +82,8 @@ def op9_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     # a cache of its own for this call: each distinct text is a miss
     counted = token_counts.count_tokens(documents(spark, sf), WORD_VOCABULARY, scratch_path(spark, "token-cache"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+@query("op10_jaccard_join")
+def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.join(documents(spark, sf))
