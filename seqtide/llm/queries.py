@@ -12,6 +12,7 @@ from seqtide.llm import (
     exact_dedup,
     jaccard_join,
     license_scan,
+    lm_scoring,
     packing,
     quality_rules,
     token_counts,
@@ -50,6 +51,11 @@ def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
                          "sequence_id", "offset", "bucket")
 
 
+@query("op4_lm_scoring")
+def op4_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return lm_scoring.score(documents(spark, sf))
+
+
 @query("op5_token_files")
 def op5_token_files(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
