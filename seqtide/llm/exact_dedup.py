@@ -39,13 +39,15 @@ def _short(text: Column, prefix_chars: int) -> Column:
         F.octet_length(t).alias("length"), F.xxhash64(F.substring(t, 1, prefix_chars)).alias("prefix")))[0]
 
 
-#: A row's id as a key that is never null.
-_ID = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
+def _id() -> Column:
+    """A row's id as a key that is never null."""
+    return F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
+
 
 
 def copies(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     """One row per group of two or more equal texts: full (hash), group_size, keep_id, keep_chars."""
-    read = docs.select("doc_id", "text", _ID.alias("id"), _short(F.col("text"), prefix_chars).alias("k"))
+    read = docs.select("doc_id", "text", _id().alias("id"), _short(F.col("text"), prefix_chars).alias("k"))
     short = materialise(read.select("id", "k.length", "k.prefix"), "short-keys")
     lengths = short.groupBy("length").agg(F.count("*").alias("n")).where("n > 1").select("length")
     prefixes = materialise(short.join(lengths, "length", "left_semi").groupBy("length", "prefix")
@@ -77,9 +79,9 @@ def report(docs: DataFrame) -> DataFrame:
 def kept(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with the columns of ``docs``."""
     names, keys = docs.columns, ["id", "full", "chars"]
-    plain = docs.select(*[F.col(f"`{n}`").alias(f"_{i}") for i, n in enumerate(names)], _ID.alias("id"),
+    plain = docs.select(*[F.col(f"`{n}`").alias(f"_{i}") for i, n in enumerate(names)], _id().alias("id"),
                         full_hash(F.col("text")).alias("full"), F.coalesce(F.char_length("text"), F.lit(0)).alias("chars"))
-    stay = report(docs).where("kept").select(_ID.alias("id"), "full", "chars")
+    stay = report(docs).where("kept").select(_id().alias("id"), "full", "chars")
     # of identical rows one stays; both steps use the same partitioning
     once = plain.join(stay, keys, "left_semi").dropDuplicates(keys)
     return once.select(*[F.col(f"_{i}").alias(n) for i, n in enumerate(names)])
