@@ -74,12 +74,14 @@ def count_tokens(docs: DataFrame, vocabulary: str, cache: str, collapse: bool =
                                    content.alias("content")), "contents")
     sizes = materialise(keys.groupBy("content").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")), "sizes")
     known = read_cache(spark, cache, tokenizer)
-    missing = sizes.join(known, "content", "left_anti")
+    missing = materialise(sizes.join(known, "content", "left_anti"), "missing")
     # a content is read from one document that has it; where only rows without an id do, from those
     named = docs.select("doc_id", "text").join(missing.where("doc_id is not null").select("doc_id"), "doc_id", "left_semi")
     nameless = docs.select("doc_id", "text").where("doc_id is null")
     fresh = (named.unionByName(nameless).select(content.alias("content"), "text")
              .mapInArrow(_counter(vocabulary), "content binary, n_tokens long"))
+    # rows that only share the id of a wanted text, or have none, may bring others
+    fresh = fresh.join(missing.select("content"), "content", "left_semi").dropDuplicates(["content"])
     (fresh.select(F.lit(tokenizer).alias("tokenizer"), "content", "n_tokens")
      .write.mode("append").parquet(cache))
     counted = sizes.select("content", "n").join(read_cache(spark, cache, tokenizer), "content")
