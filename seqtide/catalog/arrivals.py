@@ -6,6 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from seqtide import sinks
 from seqtide.catalog.classify import _clusters, flat_records, AMBIGUOUS, RECORD, vote_sql
 from seqtide.catalog.curate import PART, written_fasta
 from seqtide.catalog.encode import DIM, K, VECTOR, _unfolded
@@ -21,9 +22,12 @@ from seqtide.streaming import arrivals
 
 @query("stream_ingest", duck("select accession, md5(sequence) as sequence_md5 from seqs", "seqs"))
 def stream_ingest(spark, sf):
-    """Two calls of the ingest job; the second finds only what arrived after the first."""
-    path, out, ckpt = written_fasta(spark, views.seqs(spark, sf)), scratch_path(spark, "out"), scratch_path(spark, "ckpt")
-    for _ in range(2):
+    """Three calls of the ingest job: half of the files, the other half, nothing new."""
+    path, out, ckpt = (scratch_path(spark, n) for n in ("fasta", "out", "ckpt"))
+    seqs = views.seqs(spark, sf)
+    for half in (0, 1, None):
+        if half is not None:
+            sinks.write_fasta(seqs.where(F.col("doc_id") % 2 == half), f"{path}/{half}")
         arrivals.ingest(spark, path, out, ckpt, pattern=PART).awaitTermination()
     return spark.read.parquet(out).select("accession", F.md5("sequence").alias("sequence_md5"))
 
@@ -37,10 +41,10 @@ def stream_embed(spark, sf):
 
 @query("stream_dedup", duck("select accession from seqs", "seqs"))
 def stream_dedup(spark, sf):
-    """Every sequence arrives twice and is kept once."""
-    seqs = views.seqs(spark, sf)
+    """Every sequence arrives twice, in different batches, and is kept once."""
+    seqs = views.seqs(spark, sf).coalesce(2)
     path, out, ckpt = written_fasta(spark, seqs.union(seqs)), scratch_path(spark, "out"), scratch_path(spark, "ckpt")
-    stream = arrivals.first_arrivals(arrivals.fasta_stream(spark, path, PART))
+    stream = arrivals.first_arrivals(arrivals.fasta_stream(spark, path, PART, files_per_batch=1))
     arrivals.append_to(stream.select("accession"), out, ckpt).awaitTermination()
     return spark.read.parquet(out)
 
@@ -48,13 +52,13 @@ def stream_dedup(spark, sf):
 @query("stream_new_only", duck("""
 select accession, doc_id from seqs where doc_id not in (select doc_id from labels)""", "seqs"))
 def stream_new_only(spark, sf):
-    """Arrivals that are not in the stored table (here: the labelled ones)."""
-    seqs = views.seqs(spark, sf).select("accession", "doc_id")
+    """Arrivals in several batches with repeats across them, without those that are stored already (the labelled ones)."""
+    seqs = views.seqs(spark, sf).select("accession", "doc_id").coalesce(2)
     stored = seqs.join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
     source, out, ckpt = (scratch_path(spark, n) for n in ("in", "out", "ckpt"))
-    seqs.write.parquet(source)
-    stream = spark.readStream.schema(seqs.schema).parquet(source)
-    arrivals.batches(stream, out, ckpt, lambda b: arrivals.new_only(b, stored)).awaitTermination()
+    seqs.union(seqs.where("doc_id % 2 = 0")).write.parquet(source)
+    stream = spark.readStream.schema(seqs.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    arrivals.append_new(stream, stored, out, ckpt).awaitTermination()
     return arrivals.stored_batches(spark, out)
 
 

@@ -95,6 +95,30 @@ def classify(spark, sf):
     return flat_records(classify_exact(v, views.ranks(spark, sf), _clusters(v)))
 
 
+EVERY = f"""
+with usable as (select * from planted where vec_id % 50 > 1),
+near as ({knn_sql('usable', K)}),
+{vote_sql('near', '(select p.vec_id, r.* exclude (vec_id) from planted p left join (select * from ranks where vec_id % 7 <> 3) r using (vec_id))')},
+every as (select p.vec_id as query_id, k.rank, coalesce(v.name, 'Unknown') as name, coalesce(v.confidence, 0) as confidence
+          from planted p cross join (select unnest({list(RANKS)}) as rank) k
+          left join voted v on v.query_id = p.vec_id and v.rank = k.rank), {{rules}}"""
+COMPLETE = EVERY.replace("{rules}", AMBIGUOUS.replace("from voted", "from every")
+                         .replace("label as cluster_id, (vec_id % 21) / 20.0 as probability",
+                                  "case when vec_id % 11 = 5 then -1 else label end as cluster_id, "
+                                  "case when vec_id % 11 = 5 then 0 else (vec_id % 21) / 20.0 end as probability"))
+
+
+@query("classify_complete", duck(COMPLETE + RECORD.replace(
+    " 15 as n_ref", " any_value(case when query_id % 50 > 1 then 15 else 0 end)::int as n_ref"), "planted", "ranks"))
+def classify_complete(spark, sf):
+    """One record for every vector: zero and NaN vectors, neighbours without a lineage and
+    vectors without a cluster are all there."""
+    v = _vectors(spark, sf).withColumn("embedding", F.when(F.col("vec_id") % 50 > 1, F.col("embedding")).otherwise(
+        F.transform("embedding", lambda x: F.when(F.col("vec_id") % 50 == 0, F.lit(0.0)).otherwise(F.lit(float("nan"))))))
+    ranks = views.ranks(spark, sf).where("vec_id % 7 <> 3")
+    return flat_records(classify_exact(v, ranks, _clusters(v.where("vec_id % 11 <> 5"))))
+
+
 @query("classify_embeddings", duck(
     FINAL.replace(knn_sql('planted', K), knn_sql('embeddings', K)) + RECORD, "planted", "ranks"))
 def classify_embeddings(spark, sf):

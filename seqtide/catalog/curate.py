@@ -10,6 +10,7 @@ from seqtide.catalog.registry import query
 from seqtide.config import FULL, RANKS
 from seqtide.functions import text as tx
 from seqtide.operators import dedup, ledger, lineage
+from seqtide.operators.skew import dense_index
 from seqtide.plans import views
 from seqtide.plans.views import duck, table
 from seqtide.session import scratch_path
@@ -156,15 +157,17 @@ def tree_dump_scan(spark, sf):
     return lineages.read_tree_dump(spark, nodes, names).select("tax_id", "parent_id", "rank", "name")
 
 
-@query("manifest_audit")
+@query("manifest_audit", """
+select cast(s_suppkey as varchar) as path, case when s_suppkey % 7 = 3 then 'missing' when s_suppkey % 3 = 0 then 'corrupt'
+       else 'ok' end as status from supplier""")
 def manifest_audit(spark, sf):
-    """Files of a written FASTA set against a manifest in which every third checksum is wrong."""
-    path = written_fasta(spark, views.seqs(spark, sf))
-    found = manifest.file_checksums(spark, path, PART)
-    wrong = F.when(F.pmod(F.xxhash64("path"), F.lit(3)) == 0, F.lit("?")).otherwise(F.lit(""))
-    listed = found.select("path", F.concat("md5", wrong).alias("md5"))
-    gone = listed.select(F.concat("path", F.lit(".gone")).alias("path"), "md5")
-    return manifest.audit(listed.union(gone), found)
+    """A file per supplier, some never written, against a manifest with some wrong checksums."""
+    root, suppliers = scratch_path(spark, "files"), table(spark, sf, "supplier").select("s_suppkey", "s_name")
+    suppliers.where("s_suppkey % 7 <> 3").withColumnRenamed("s_name", "value").write.partitionBy("s_suppkey").text(root)
+    found = manifest.file_checksums(spark, root, PART).withColumn("path", F.regexp_extract("path", r"s_suppkey=(\d+)/", 1))
+    text = F.concat("s_name", F.when(F.col("s_suppkey") % 3 == 0, "?").otherwise(""), F.lit("\n"))
+    listed = suppliers.select(F.col("s_suppkey").cast("string").alias("path"), F.md5(text).alias("md5"))
+    return manifest.audit(listed, found)
 
 
 @query("header_fields", duck("""
@@ -232,6 +235,26 @@ def distinct_taxa(spark, sf):
     return dedup.distinct_groups(views.meta(spark, sf)).select("distinct_groups")
 
 
+@query("ordered_head", """select l_orderkey, l_linenumber, l_extendedprice from lineitem
+order by l_extendedprice desc, l_orderkey, l_linenumber limit 1000""")
+def ordered_head(spark, sf):
+    """A global top-n: the limit is the feature."""
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return dedup.head(rows, [F.desc("l_extendedprice"), F.col("l_orderkey"), F.col("l_linenumber")], 1000)
+
+
+@query("keep_list_order", duck("""
+select row_number() over (order by taxId nulls last, accession) as line, accession from (
+  select taxId, min(accession) as accession from meta group by taxId)""", "meta"))
+def keep_list_order(spark, sf):
+    """A keep list written in taxid order and read again with its line numbers."""
+    path = scratch_path(spark, "keep")
+    keys = dedup.representatives(views.meta(spark, sf)).select(F.col("representative").alias("accession"), "taxId")
+    sinks.write_keys(keys, path, order="taxId")
+    lines = dense_index(metadata.read_keys(spark, path, position=True), ["position"], "line")
+    return lines.select((F.col("line") + 1).alias("line"), "accession")
+
+
 @query("distinct_keys", """select distinct l_suppkey, l_returnflag from lineitem""")
 def distinct_keys(spark, sf):
     return table(spark, sf, "lineitem").select("l_suppkey", "l_returnflag").distinct()
@@ -247,14 +270,20 @@ def keep_filter(spark, sf):
 
 
 MAP = """
-hdr as (select accession, taxid from seqs where doc_id % 5 <> 0),
+hdr as (select accession, case when doc_id % 3 = 0 then cast(doc_id % 89 + 9 as varchar) else taxid end as taxid
+        from seqs where doc_id % 5 <> 0),
 js as (select accession, cast(taxId as varchar) as taxid from meta where taxId is not null),
 map as (select accession, coalesce(js.taxid, hdr.taxid) as taxid from hdr full join js using (accession))"""
 
 
 def merged_map(spark: SparkSession, sf: str) -> DataFrame:
+    """Every third header comes a second time with another taxid; the later one holds."""
     rows = views.meta(spark, sf).withColumn("position", F.lit(0))
-    return lineage.merge_maps(lineage.header_map(views.seqs(spark, sf)), metadata.taxid_map(rows))
+    seqs = views.seqs(spark, sf).select("doc_id", "accession", "header")
+    later = seqs.where("doc_id % 3 = 0 and doc_id % 5 <> 0").withColumn(
+        "header", F.concat("accession", F.lit(" |taxid|"), F.col("doc_id") % 89 + 9, F.lit("|")))
+    headers = seqs.withColumn("position", F.lit(1)).unionByName(later.withColumn("position", F.lit(2)))
+    return lineage.merge_maps(lineage.header_map(headers), metadata.taxid_map(rows))
 
 
 @query("map_merge", duck("with " + MAP + " select accession, taxid from map", "meta"))
@@ -319,7 +348,7 @@ def id_format(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", tx.sequence_id("o_orderkey").alias("accession"))
 
 
-STAGES = ["view", "click", "signup", "purchase", "dispatch"]
+STAGES = ["view", "click", "signup", "purchase", "error", "dispatch"]
 
 
 def event_ledger(spark: SparkSession, sf: str) -> DataFrame:

@@ -120,13 +120,14 @@ def unpaired_keys(spark, sf):
 select vec_id, 'VEC' || lpad(cast(vec_id as varchar), 6, '0') as accession,
        round(embedding[1]::double, 6) as first, label from embeddings""")
 def id_list_import(spark, sf):
-    """Keys from a padded id file put beside vectors by position."""
+    """Keys from a padded id file, in no order of their text, put beside vectors by line."""
     path = scratch_path(spark, "ids")
-    v = table(spark, sf, "embeddings")
-    v.select(F.concat(F.lit("  "), sequence_id("vec_id", "VEC"), F.lit(" ")).alias("value")).union(
-        v.select(F.lit("   ").alias("value")).where("vec_id % 10 = 0")).write.text(path)
-    ids = metadata.read_keys(spark, path)
-    zipped = vectors.zip_by_position(ids, v, ["accession"], ["vec_id"])
+    v = table(spark, sf, "embeddings").withColumn("place", F.md5(F.col("vec_id").cast("string")))
+    lines = v.select("place", F.concat(F.lit("  "), sequence_id("vec_id", "VEC"), F.lit(" ")).alias("value")).union(
+        v.where("vec_id % 10 = 0").select("place", F.lit("   ").alias("value")))
+    lines.orderBy("place").select("value").write.text(path)
+    ids = metadata.read_keys(spark, path, position=True)
+    zipped = vectors.zip_by_position(ids, v, ["position"], ["place"])
     return zipped.select("vec_id", "accession", F.round(F.col("embedding")[0].cast("double"), 6).alias("first"), "label")
 
 

@@ -43,6 +43,13 @@ def knn_exact(spark, sf):
     return rounded(exact_knn(v, v, KNN, query_id="vec_id", base_id="vec_id"))
 
 
+@query("knn_cells", f"with near as ({knn_sql('embeddings', KNN)}) {ROUNDED}")
+def knn_cells(spark, sf):
+    """The same in many small cells and blocks, as a large table has them."""
+    v = table(spark, sf, "embeddings")
+    return rounded(exact_knn(v, v, KNN, query_id="vec_id", base_id="vec_id", pivots=40, block_rows=64))
+
+
 @query("knn_euclidean", duck(f"with near as ({knn_sql('planted', KNN, True, distance='list_distance')}) {ROUNDED}", "planted"))
 def knn_euclidean(spark, sf):
     v = views.planted(spark, sf)

@@ -17,8 +17,8 @@ def _col(c: Column | str) -> Column:
 
 
 def accession_of(header: Column | str) -> Column:
-    """First token of a header without its ``>``; null when there is none."""
-    return F.nullif(F.regexp_extract(_col(header), ACCESSION, 1), F.lit(""))
+    """First token of a header without its ``>``, blanks before it skipped; null when there is none."""
+    return F.nullif(F.regexp_extract(F.regexp_replace(_col(header), r"^\s+", ""), ACCESSION, 1), F.lit(""))
 
 
 def taxid_of(header: Column | str) -> Column:

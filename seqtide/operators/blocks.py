@@ -74,15 +74,6 @@ def blocked_topk(queries: DataFrame, base: DataFrame, k: int, score: Scorer,
     return _paired(queries.join(plan, "cell"), base.join(plan, "cell"), k, score)
 
 
-def one_cell_topk(queries: DataFrame, base: DataFrame, k: int, score: Scorer,
-                  block_rows: int = 2048) -> DataFrame:
-    """The same without cells: every query meets every base block. Both are stored tables."""
-    def sized(df: DataFrame, nb: int, nq: int) -> DataFrame:
-        return df.withColumns({"cell": F.lit(0), "nb": F.lit(nb), "nq": F.lit(nq)})
-    nb, nq = (max(1, -(-df.count() // block_rows)) for df in (base, queries))
-    return _paired(sized(queries, nb, nq), sized(base, nb, nq), k, score)
-
-
 def _paired(queries: DataFrame, base: DataFrame, k: int, score: Scorer) -> DataFrame:
     """Rows carry ``nb`` and ``nq``, the numbers of base and query blocks of their cell."""
     b = (base.withColumn("bb", F.pmod(F.xxhash64("ids"), F.col("nb")).cast("int"))

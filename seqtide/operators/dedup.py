@@ -19,6 +19,11 @@ def representatives(metadata: DataFrame, group: str = "taxId", value: str = "acc
     return metadata.groupBy(group).agg(pick.alias("representative"))
 
 
+def head(rows: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The first n rows in ``order``; each task keeps n at most."""
+    return rows.orderBy(*order).limit(n)
+
+
 def distinct_groups(metadata: DataFrame, group: str = "taxId") -> DataFrame:
     """Number of distinct groups: exact, and a sketch estimate for very large inputs."""
     return metadata.agg(F.countDistinct(group).alias("distinct_groups"),

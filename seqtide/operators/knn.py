@@ -1,10 +1,9 @@
 """Exact nearest neighbours of many queries at once.
 
-A base that fits a few blocks is compared with every query in block pairs. A larger one
-goes through a Voronoi join: base vectors belong to the cell of their nearest pivot; a query first
-searches the cells around it, which bounds its k-th distance, then only the cells
-that bound cannot rule out. Exact for any data; how much is ruled out depends on how
-clustered it is. For very large tables use ``ivf.search`` instead.
+A Voronoi join at every size: base vectors belong to the cell of their nearest pivot; a
+query first searches the cells around it, which bounds its k-th distance, then only the
+cells that bound cannot rule out. Exact for any data; how much is ruled out depends on
+how clustered it is. For very large tables use ``ivf.search`` instead.
 """
 
 from __future__ import annotations
@@ -17,13 +16,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtide.functions.vectors import doubles, finite, matrix, norm, normalise, vector_key
-from seqtide.operators.blocks import (Scorer, blocked_topk, cosine_scores, euclidean_scores,
-                                      one_cell_topk)
+from seqtide.operators.blocks import Scorer, blocked_topk, cosine_scores, euclidean_scores
 from seqtide.operators.skew import salted_join
 from seqtide.session import materialise
 
-MAX_PIVOTS = 2048
-SMALL_BLOCKS = 4
 SLACK = 1e-9
 
 
@@ -107,8 +103,8 @@ def remaining_cells_udf(pivots: np.ndarray, cells: np.ndarray, low: np.ndarray,
 
 
 def choose_pivots(base: DataFrame, count: int) -> np.ndarray:
-    """``count`` (at most MAX_PIVOTS) vectors picked by digest: dense regions get more."""
-    rows = (base.orderBy(F.xxhash64("digest"), "digest").limit(min(count, MAX_PIVOTS))
+    """``count`` vectors picked by digest: dense regions get more."""
+    rows = (base.orderBy(F.xxhash64("digest"), "digest").limit(count)
             .select("payload").toArrow())
     return matrix(rows["payload"])
 
@@ -134,11 +130,9 @@ def exact_knn(queries: DataFrame, base: DataFrame, k: int, *, query_id: str, bas
         q_rows = materialise(q_all.groupBy(F.col("digest").alias("query_key"))
                              .agg(F.any_value("payload").alias("payload")), "queries")
     score = cosine_scores if metric == "cosine" else euclidean_scores
-    if pivots is None and n <= SMALL_BLOCKS * block_rows:
-        scored = one_cell_topk(q_rows, base_rows, want, score, block_rows)
-    else:
-        scored = voronoi_topk(q_rows, base_rows, n, want, metric, score,
-                              pivots or math.ceil(math.sqrt(n)), block_rows)
+    # with sqrt(n) / 4 pivots a cell and the list of pivots grow alike
+    scored = voronoi_topk(q_rows, base_rows, n, want, metric, score,
+                          pivots or math.ceil(math.sqrt(n) / 4), block_rows)
     return materialise(unfold(q_map, _best(scored, want), k, exclude_self), "neighbours")
 
 

@@ -9,6 +9,7 @@ from seqtide.config import RANKS
 from seqtide.functions.text import blank, present, taxid_of
 from seqtide.operators.skew import salted_join
 from seqtide.session import Rounds
+from seqtide.sources.metadata import last_wins
 
 MAX_ROUNDS = 40
 
@@ -21,11 +22,11 @@ def merge_maps(header_map: DataFrame, metadata_map: DataFrame) -> DataFrame:
         "accession", F.coalesce("metadata_taxid", "header_taxid").alias("taxid"))
 
 
-def header_map(records: DataFrame) -> DataFrame:
-    """accession -> taxid for records that carry one in the header; one row per key."""
-    return (records.select("accession", taxid_of("header").alias("taxid"))
-            .where(present("accession") & present("taxid"))
-            .groupBy("accession").agg(F.max("taxid").alias("taxid")))
+def header_map(records: DataFrame, position: str = "position") -> DataFrame:
+    """accession -> taxid for records that carry one in the header; the last one by
+    ``position`` wins."""
+    found = records.select("accession", taxid_of("header").alias("taxid"), F.col(position).alias("position"))
+    return last_wins(found.where(present("accession") & present("taxid")), "accession", "position")
 
 
 def tree_lineages(tree: DataFrame, fill: bool = True, merged: DataFrame | None = None) -> DataFrame:

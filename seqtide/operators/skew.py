@@ -2,27 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtide.session import materialise
 
-# At most this many keys are ever salted, which bounds the broadcast side. With
-# the heaviest taken first, a key left out holds at most 1/4096 of the rows.
-HOT_KEYS = 4096
-
-
-# Smaller salts than this are only asked for by tests, which then always get them.
-MIN_SALTED_ROWS = 1000
-
-# Below this estimate the whole fact side suits a single task, so no key can be hot.
-SMALL_BYTES = 32 * 1024 * 1024
-
-
-def is_small(df: DataFrame) -> bool:
-    """True when the planner's size estimate, an upper bound on stored tables, is small."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size) <= SMALL_BYTES
+# A key is salted when it holds more than one in so many fact rows (or, in smaller tables,
+# more than ``hot_rows``), so fewer than this many keys are, and no other key outweighs
+# the share of one task.
+HOT_SHARE = 1 << 16
 
 
 def salted_join(facts: DataFrame, dim: DataFrame, on: list[str] | str, how: str = "inner",
@@ -32,31 +22,43 @@ def salted_join(facts: DataFrame, dim: DataFrame, on: list[str] | str, how: str
 
     Keys with more than ``hot_rows`` fact rows are cut into salts of about that
     many rows each; the one matching ``dim`` row is repeated per salt. ``how`` is
-    ``inner`` or ``left``. ``weights`` (keys, ``n``) saves the counting pass; without
-    it ``facts`` are written once, unless ``stored`` says that they are a table, so
-    that counting does not compute them twice.
+    ``inner`` or ``left``. Everything is decided on counted rows: ``weights`` (keys,
+    ``n``) saves the counting pass; without it ``facts`` are written once, unless
+    ``stored`` says that they are a table, so that counting does not compute them
+    twice. Fact rows with a null key match nothing and stay out of the shuffle.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    plain = hot_rows >= MIN_SALTED_ROWS
-    if plain and is_small(facts):
-        return facts.join(dim, keys, how)
     if weights is None:
         if not stored:
             facts = materialise(facts, "facts")
-            if plain and is_small(facts):
-                return facts.join(dim, keys, how)
+        total = facts.count()
+        if total <= hot_rows:  # then no key can have more
+            return facts.join(dim, keys, how)
         weights = facts.groupBy(*keys).agg(F.count("*").alias("n"))
-    hot = (weights.where(F.col("n") > hot_rows).orderBy(F.desc("n"), *keys).limit(HOT_KEYS)
-           .select(*keys, F.ceil(F.col("n") / hot_rows).cast("int").alias("_salts")))
-    facts_salted = (facts.join(F.broadcast(hot), keys, "left")
-                    .withColumn("_salt", F.when(F.col("_salts").isNull(), 0).otherwise(
-                        F.pmod(F.xxhash64(*facts.columns), F.col("_salts")).cast("int")))
+    else:
+        total = weights.agg(F.sum("n")).first()[0] or 0
+        if total <= hot_rows:
+            return facts.join(dim, keys, how)
+    bound = max(hot_rows, total // HOT_SHARE)
+    nameless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    hot = (weights.where((F.col("n") > bound) & ~nameless)
+           .select(*keys, F.ceil(F.col("n") / bound).cast("int").alias("_salts")))
+    # the place of a row, not its content: equal rows must not share a salt
+    spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_salts")).cast("int")
+    facts_salted = (facts.where(~nameless).join(F.broadcast(hot), keys, "left")
+                    .withColumn("_salt", F.when(F.col("_salts").isNull(), 0).otherwise(spread))
                     .drop("_salts"))
     dim_salted = (dim.join(F.broadcast(hot), keys, "left")
                   .withColumn("_salt", F.explode(F.sequence(
                       F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
                   .drop("_salts"))
-    return facts_salted.join(dim_salted, keys + ["_salt"], how).drop("_salt")
+    joined = facts_salted.join(dim_salted, keys + ["_salt"], how).drop("_salt")
+    if how == "left":
+        names = [c for c in dim.columns if c not in keys]
+        alone = facts.where(nameless).select(*joined.columns[:len(facts.columns)], *[
+            F.lit(None).cast(dim.schema[c].dataType).alias(c) for c in names])
+        joined = joined.unionByName(alone)
+    return joined
 
 
 def dense_index(df: DataFrame, order: list[str], name: str = "idx") -> DataFrame:

@@ -17,22 +17,23 @@ AMBIGUOUS = "Unknown (ambiguous clade)"
 
 
 def resolved_lineages(base: DataFrame, lookup: DataFrame | None, key: str = "accession") -> DataFrame:
-    """One lineage per base row: the whole row of the lookup table if it has the key,
-    else the names stored with the vector."""
+    """One lineage per key: the whole row of the lookup table if it has the key, else
+    the names stored with the vector."""
     own = base.select(key, *[blank(F.col(f"`{r}`")).alias(r) for r in RANKS])
     if lookup is None:
         return own
     other = lookup.select(key, F.lit(True).alias("_found"),
                           *[blank(F.col(f"`{r}`")).alias(f"_{r}") for r in RANKS])
-    joined = own.join(other, key, "left")
+    joined = own.join(other, key, "full")
     return joined.select(key, *[F.when(F.col("_found"), F.col(f"_{r}")).otherwise(F.col(f"`{r}`")).alias(r)
                                 for r in RANKS])
 
 
 def neighbour_names(neighbours: DataFrame, lineages: DataFrame, key: str = "accession") -> DataFrame:
-    """Neighbour rows with seven names. A popular neighbour is salted."""
+    """Neighbour rows with seven names, null for a neighbour without a lineage: it is
+    counted and names nothing. A popular neighbour is salted."""
     names = lineages.select(F.col(key).alias("neighbour_id"), *[f"`{r}`" for r in RANKS])
-    return salted_join(neighbours, names, "neighbour_id")
+    return salted_join(neighbours, names, "neighbour_id", "left")
 
 
 def _tally(names: Column) -> Column:
@@ -61,6 +62,14 @@ def vote(named: DataFrame) -> DataFrame:
         F.coalesce(F.round(F.col(f"`{r}`.top.n") / F.col(f"`{r}`.of"), 4), F.lit(0.0))).alias(r) for r in RANKS])
 
 
+def with_all(voted: DataFrame, queries: DataFrame) -> DataFrame:
+    """A row for every ``query_id``: those without neighbours have 0 of them and no names."""
+    none = _named(UNKNOWN, 0.0)
+    return queries.select("query_id").join(voted, "query_id", "left").select(
+        "query_id", F.coalesce("n_neighbours", F.lit(0)).alias("n_neighbours"),
+        *[F.coalesce(F.col(f"`{r}`"), none).alias(r) for r in RANKS])
+
+
 def _named(name: str | Column, confidence: float | Column) -> Column:
     wrap = lambda x: x if isinstance(x, Column) else F.lit(x)
     return F.struct(wrap(name).alias("name"), wrap(confidence).alias("confidence"))

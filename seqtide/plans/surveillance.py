@@ -40,13 +40,15 @@ def run(spark: SparkSession, inputs: Inputs, out: str, encoder: encode.Encoder,
     def stage(label, build, metric="rows"):
         return book.stage(label, f"{out}/{label}", build, metric, force)
 
-    records = fasta.read_fasta(spark, inputs.fasta, inputs.pattern)
+    records = fasta.read_fasta(spark, inputs.fasta, inputs.pattern, position=True)
     meta = metadata.read_metadata(spark, inputs.metadata)
 
     keys = stage("representatives", lambda: dedup.representatives(
         meta.where(F.col("_corrupt_record").isNull() & F.col("accession").isNotNull())), "distinct_taxa")
-    kept = stage("kept", lambda: dedup.keep(
-        records, keys.select(F.col("representative").alias("accession"))).dropDuplicates(["accession"]))
+    # of records that share an accession the first in the files stays
+    kept = stage("kept", lambda: dedup.keep(records, keys.select(F.col("representative").alias("accession")))
+                 .groupBy("accession").agg(F.min_by(F.struct("header", "sequence", "path"), "position").alias("r"))
+                 .select("accession", "r.*"))
     if homology_step:
         clusters = stage("homology", lambda: homology.homology_clusters(
             kept, profile.kmer, profile.kmers_per_sequence, profile.min_identity, profile.min_coverage))
@@ -59,6 +61,7 @@ def run(spark: SparkSession, inputs: Inputs, out: str, encoder: encode.Encoder,
 
     vectors = stage("vectors", lambda: encode.encode_sequences(kept, encoder, profile.encode_batch), "n_embedded")
     usable = vectors.where(ivf.searchable("embedding"))
+    book.record("vectors", n_unusable=vectors.count() - usable.count())
     centroids = trained_cells(spark, usable, f"{out}/centroids", profile)
     index = stage("index", lambda: ivf.build_index(usable, centroids, encoder.dimension, seed=profile.seed), "n_rows")
 
@@ -74,9 +77,9 @@ def run(spark: SparkSession, inputs: Inputs, out: str, encoder: encode.Encoder,
         coords, min_samples=profile.min_samples, min_cluster_size=profile.min_cluster_size,
         levels=profile.levels), "n_points")
 
-    stored = lineage.attach_lineage(usable.select("accession"), annotated)
+    stored = lineage.attach_lineage(vectors.select("accession"), annotated)
     results = stage("assignments", lambda: classify_indexed(
-        usable, index, centroids, stored, assigned.withColumnRenamed("id", "query_id"),
+        vectors, index, centroids, stored, assigned.withColumnRenamed("id", "query_id"),
         dimension=encoder.dimension, seed=profile.seed, profile=profile), "n_assignments")
     sinks.write_assignments(results, f"{out}/assignments_json")
     return results

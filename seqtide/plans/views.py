@@ -30,8 +30,9 @@ select doc_id, accession, taxid,
 from (select doc_id, source, lang,
              concat('DOC', lpad(cast(doc_id as {text}), 8, '0'), '.1') as accession,
              cast(doc_id % 97 + 1 as {text}) as taxid,
-             translate(regexp_replace(lower(text), '[^a-z]', ''{g}),
-                       'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') as sequence
+             translate(regexp_replace(lower(text), '[^a-zß-öø-ÿ]', ''{g}),
+                       'abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ',
+                       'ACGTACGTACGTACGTACGTACGTACGTACGTACGTACGTACGTACGTACGTACGTAC') as sequence
       from {documents}) d
 """
 

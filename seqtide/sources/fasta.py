@@ -25,17 +25,20 @@ def parse_records(raw: DataFrame) -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, paths: str | list[str], pattern: str = "*.{fasta,fna}",
-               preamble: bool = False) -> DataFrame:
+               preamble: bool = True, position: bool = False) -> DataFrame:
     """All records of all matching files below ``paths``, with their file.
 
     Records without an accession (a bare ``>``) are dropped; ``rejected_records``
-    counts them. Text before the first ``>`` of a file is no record: pass
-    ``preamble=True`` for files that may carry such text; it costs a second scan.
+    counts them. Text before the first ``>`` of a file is no record; finding it costs a
+    scan of the first block of each file, which ``preamble=False`` saves for files that
+    are known to begin with a record. ``position`` adds the sortable place of a record.
     """
     raw = raw_records(spark, paths, pattern)
     if preamble:
         raw = without_preamble(raw)
-    parsed = parse_records(raw.select("value", "path"))
+    if position:
+        raw = raw.withColumn("position", F.struct("path", "block", "row"))
+    parsed = parse_records(raw.drop("block", "row"))
     return parsed.where(present("accession"))
 
 
@@ -50,12 +53,18 @@ def raw_records(spark: SparkSession, paths: str | list[str],
 
 
 def without_preamble(raw: DataFrame) -> DataFrame:
-    """Drop each file's first piece when it does not open with ``>``."""
+    """Drop each file's first piece when it does not open with ``>``.
+
+    The piece is found again by its text, not its row number, which another scan may
+    count differently: within a file's first block no record has the text of the
+    preamble. At most one short row per file is joined.
+    """
+    digest = F.xxhash64("value")
     first = (raw.where(F.col("block") == 0).groupBy("path")
-             .agg(F.min_by(F.struct("row", F.startswith("value", F.lit(">")).alias("marked")),
+             .agg(F.min_by(F.struct(digest.alias("digest"), F.startswith("value", F.lit(">")).alias("marked")),
                            "row").alias("f")))
-    bad = first.where(~F.col("f.marked")).select("path", F.col("f.row").alias("row"))
-    return raw.join(bad, ["path", "row"], "left_anti")
+    bad = first.where(~F.col("f.marked")).select("path", F.lit(0).cast("long").alias("block"), F.col("f.digest").alias("digest"))
+    return raw.withColumn("digest", digest).join(bad, ["path", "block", "digest"], "left_anti").select(*raw.columns)
 
 
 def rejected_records(spark: SparkSession, paths: str | list[str],

@@ -46,7 +46,9 @@ def last_wins(rows: DataFrame, key: str, position: str) -> DataFrame:
     return best.select(key, *[F.col("_v")[c].alias(c) for c in value])
 
 
-def read_keys(spark: SparkSession, paths: str | list[str], name: str = "accession") -> DataFrame:
-    """A key per line, trimmed, blank lines dropped."""
+def read_keys(spark: SparkSession, paths: str | list[str], name: str = "accession",
+              position: bool = False) -> DataFrame:
+    """A key per line, trimmed, blank lines dropped; ``position`` adds the sortable place of the line."""
     trimmed = F.regexp_replace("value", r"^\s+|\s+$", "")
-    return spark.read.text(paths).select(trimmed.alias(name)).where(present(name))
+    place = [file_position().alias("position")] if position else []
+    return spark.read.text(paths).select(trimmed.alias(name), *place).where(present(name))

@@ -18,13 +18,13 @@ def read_vectors(spark: SparkSession, paths: str | list[str], key: str = "access
 def zip_by_position(ids: DataFrame, vectors: DataFrame, ids_order: list[str],
                     vectors_order: list[str]) -> DataFrame:
     """Row i of ``ids`` with row i of ``vectors``; unequal counts are an error."""
-    left = dense_index(ids, ids_order, "position")
-    right = dense_index(vectors, vectors_order, "position")
+    left = dense_index(ids, ids_order, "_position")
+    right = dense_index(vectors, vectors_order, "_position")
     n, m = left.count(), right.count()
     if n != m:
         raise ValueError(f"{n} keys but {m} vectors")
-    return left.join(right.drop(*[c for c in right.columns if c in left.columns and c != "position"]),
-                     "position")
+    return left.join(right.drop(*[c for c in right.columns if c in left.columns and c != "_position"]),
+                     "_position").drop("_position")
 
 
 def split_usable(vectors: DataFrame, dimension: int, vector: str = "embedding"

@@ -10,7 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from seqtide.config import FULL, Profile
@@ -78,9 +80,32 @@ def new_only(batch: DataFrame, table: DataFrame, key: str = "accession") -> Data
     return batch.dropDuplicates([key]).join(table.select(key), key, "left_anti")
 
 
+def append_new(stream: DataFrame, table: DataFrame, out: str, checkpoint: str, key: str = "accession") -> StreamingQuery:
+    """Store what is neither in ``table`` nor in an earlier batch, one row per key."""
+    def run(batch: DataFrame, number: int) -> None:
+        fresh = new_only(batch, table, key)
+        if number:
+            earlier = earlier_batches(batch.sparkSession, out, number)
+            if earlier is not None:
+                fresh = fresh.join(earlier.select(key), key, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{out}/batch={number}")
+    return (stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def earlier_batches(spark: SparkSession, out: str, number: int) -> DataFrame | None:
+    """What the batches before ``number`` have stored, None where none has."""
+    try:
+        return spark.read.parquet(out).where(F.col("batch") < number)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
 def stored_batches(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(out).drop("batch")
 
 
-__all__ = ["append_to", "batches", "classify", "embed", "fasta_stream", "first_arrivals", "ingest",
+__all__ = ["append_new", "append_to", "batches", "classify", "embed", "fasta_stream", "first_arrivals", "ingest",
            "new_only", "stored_batches"]

@@ -11,7 +11,7 @@ def test_fasta_edges(spark, tmp_path):
     (tmp_path / "deep").mkdir()
     (tmp_path / "deep" / "two.fna").write_bytes(b">C.1 |taxid|77| x > y\nAAAA\n")
     (tmp_path / "other.txt").write_text(">D.1\nAAAA\n")
-    rows = {r["accession"]: r["sequence"] for r in fasta.read_fasta(spark, str(tmp_path), preamble=True).collect()}
+    rows = {r["accession"]: r["sequence"] for r in fasta.read_fasta(spark, str(tmp_path)).collect()}
     assert rows == {"A.1": "ACGTAC>GT", "B.1": "GGCC", "C.1": "AAAA"}
     counts = fasta.rejected_records(spark, str(tmp_path / "one.fasta"), "*").collect()
     assert counts[0]["without_accession"] == 1
