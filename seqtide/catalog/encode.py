@@ -21,12 +21,12 @@ DIM, K = 64, 6
 
 def kmers_sql(k: int) -> str:
     """CTEs d and km(accession, pos, h): hash of every window of k letters of ``seqs``."""
-    code = " + ".join(f"lead(digit, {j}) over w * {4 ** (k - 1 - j)}" for j in range(k))
+    code = " + ".join(f"lead(digit, {j}) over w * {4 ** (k - 1 - j)}::bigint" for j in range(k))
     return f"""
 d as (select accession, unnest(string_split(translate(sequence, 'ACGT', '0123'), ''))::bigint as digit,
              generate_subscripts(string_split(sequence, ''), 1) - 1 as pos
       from seqs where length(sequence) > 0),
-km as (select accession, pos, (code * {FACTOR} + {SHIFT}) % {PRIME} as h
+km as (select accession, pos, ((code::hugeint * {FACTOR} + {SHIFT}) % {PRIME})::bigint as h
        from (select accession, pos, {code} as code from d window w as (partition by accession order by pos)) c
        where code is not null)"""
 

@@ -21,7 +21,7 @@ fp as (select accession, h as kmer, min(pos) as position from km group by all),
 sk as (select * from fp qualify row_number() over (partition by accession order by kmer) <= {M})"""
 # all later steps work on one sequence per group of identical ones
 UNIQUE = f"""
-cg as (select sequence, min(accession) as representative, count(*) as n from seqs group by sequence),
+cg as (select sequence, min(accession) as representative, count(*) as n from strains group by sequence),
 uniq as (select representative as accession, sequence, length(sequence) as len from cg),
 {SKETCH.replace("from seqs where", "from uniq where")},
 su as (select * from sk join uniq using (accession)),
@@ -53,11 +53,11 @@ cv as (select unnest(covered) as accession from rec where i = (select max(i) fro
 rp as (select member as accession, first(centre order by centre_length desc, centre) as representative
        from pr where member in (select accession from cv) and centre not in (select accession from cv) group by member),
 reps as (select s.accession, coalesce(rp.representative, cg.representative) as representative
-         from seqs s join cg using (sequence) left join rp on rp.accession = cg.representative)"""
+         from strains s join cg using (sequence) left join rp on rp.accession = cg.representative)"""
 
 
 def _unique(spark, sf):
-    seqs = views.seqs(spark, sf).select("accession", "sequence")
+    seqs = views.strains(spark, sf)
     groups = copy_groups(seqs).select(F.col("representative").alias("accession"))
     return materialise(seqs.join(groups, "accession", "left_semi"), "unique")
 
@@ -69,19 +69,19 @@ def kmer_sketches(spark, sf):
 
 
 @query("kmer_centres", duck(f"""with {UNIQUE}
-select kmer, c.acc as centre, c.len as centre_length, c.pos as centre_position, n from ct""", "seqs"))
+select kmer, c.acc as centre, c.len as centre_length, c.pos as centre_position, n from ct""", "strains"))
 def kmer_centres(spark, sf):
     return homology.kmer_centres(homology.sketches(_unique(spark, sf), K, M))
 
 
-@query("kmer_candidates", duck(f"with {CAND} select * from cand", "seqs"))
+@query("kmer_candidates", duck(f"with {CAND} select * from cand", "strains"))
 def kmer_candidates(spark, sf):
     sketch = materialise(homology.sketches(_unique(spark, sf), K, M), "sketch")
     return homology.candidates(sketch, homology.kmer_centres(sketch))
 
 
 @query("homology_pairs", duck(f"""with {PAIRS}
-select centre, member, round(best.identity, 6) as identity, round(best.coverage, 6) as coverage from pr""", "seqs"))
+select centre, member, round(best.identity, 6) as identity, round(best.coverage, 6) as coverage from pr""", "strains"))
 def homology_pairs(spark, sf):
     unique = _unique(spark, sf)
     sketch = materialise(homology.sketches(unique, K, M), "sketch")
@@ -90,15 +90,15 @@ def homology_pairs(spark, sf):
 
 
 def _clusters(spark, sf):
-    return homology.homology_clusters(views.seqs(spark, sf), K, M, ID, COV)
+    return homology.homology_clusters(views.strains(spark, sf), K, M, ID, COV)
 
 
-@query("homology_reps", duck(f"with recursive {COVER} select accession, representative from reps", "seqs"))
+@query("homology_reps", duck(f"with recursive {COVER} select accession, representative from reps", "strains"))
 def homology_reps(spark, sf):
     return _clusters(spark, sf)
 
 
 @query("homology_sizes", duck(f"""with recursive {COVER}
-select representative, count(*) as members from reps group by 1""", "seqs"))
+select representative, count(*) as members from reps group by 1""", "strains"))
 def homology_sizes(spark, sf):
     return homology.cluster_sizes(_clusters(spark, sf))

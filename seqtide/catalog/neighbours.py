@@ -104,14 +104,11 @@ def ivf_assign(spark, sf):
 
 
 @query("sign_code", f"""with {CELLS}
-select vec_id, length(replace(bits, '0', '')) as ones, reverse(substr(bits, 1, 32)) as low, reverse(substr(bits, 33)) as high
-from bits""")
+select vec_id, length(replace(bits, '0', '')) as ones, 1 as words, reverse(bits) as word from bits""")
 def sign_codes(spark, sf):
     v = ivf.quantise(table(spark, sf, "embeddings"), DIM)
-    def word(i):
-        return F.lpad(F.bin(F.col("code")[i]), 32, "0")
-    ones = F.bit_count(F.col("code")[0]) + F.bit_count(F.col("code")[1])
-    return v.select("vec_id", ones.alias("ones"), word(0).alias("low"), word(1).alias("high"))
+    word = F.col("code")[0]
+    return v.select("vec_id", F.bit_count(word).alias("ones"), F.size("code").alias("words"), F.lpad(F.bin(word), 64, "0").alias("word"))
 
 
 @query("code_alignment", """
@@ -162,24 +159,34 @@ def vector_lookup(spark, sf):
                        "genus", "species", F.abs(F.round("_distance", 6)).alias("_distance"))
 
 
-@query("ivf_train")
+@query("ivf_train", """
+select (select count(*) from embeddings) as vectors, true as all_cells_used, label, true as in_one_cell
+from (select distinct label from embeddings where label < 9) l""")
 def ivf_train(spark, sf):
-    """Trained cells, each vector's cell, and its distance to the centroid."""
+    """Trained cells: every vector is in one, none is empty, and each planted cluster
+    lies (to nine tenths) in cells that hold little else."""
     v = views.planted(spark, sf)
     cent = ivf.train_cells(v, 16, seed=FULL.seed)
-    return ivf.assign_cells(v, cent).groupBy("cell").agg(F.count("*").alias("vectors"))
+    cells = ivf.assign_cells(v, cent).groupBy("cell", "label").agg(F.count("*").alias("n"))
+    cells = materialise(cells, "cells")
+    total = cells.agg(F.sum("n").alias("vectors"), (F.countDistinct("cell") == len(cent)).alias("all_cells_used"))
+    main = cells.where("label < 9").groupBy("cell").agg(F.sum("n").alias("of"), F.max("n").alias("most"), F.max_by("label", "n").alias("label"))
+    sizes = cells.where("label < 9").groupBy("label").agg(F.sum("n").alias("size"))
+    pure = main.groupBy("label").agg(F.sum("most").alias("own")).join(sizes, "label")
+    return pure.crossJoin(F.broadcast(total)).select(
+        "vectors", "all_cells_used", "label", (F.col("own") >= 0.9 * F.col("size")).alias("in_one_cell"))
 
 
-@query("ivf_recall")
+@query("ivf_recall", "select count(*) as queries, true as recall_above_09 from embeddings")
 def ivf_recall(spark, sf):
-    """Recall of the trained, rotated index against exact search."""
+    """Recall of the trained, rotated index against exact search: at least nine tenths."""
     v = views.planted(spark, sf)
     cent = ivf.train_cells(v, 16, seed=FULL.seed)
     index = materialise(ivf.build_index(v, cent, DIM, seed=FULL.seed), "index")
     found = ivf.search(v, index, cent, KNN, query_id="vec_id", base_id="vec_id", dimension=DIM,
                        probes=PROBES, refine=REFINE, seed=FULL.seed)
     exact = exact_knn(v, v, KNN, query_id="vec_id", base_id="vec_id")
-    return ivf.recall(found, exact)
+    return ivf.recall(found, exact).select("queries", (F.col("recall") >= 0.9).alias("recall_above_09"))
 
 
 def fuzzy_sql(near: str, k: int) -> str:
@@ -217,13 +224,34 @@ def membership_strength(spark, sf):
         "query_id", "neighbour_id", F.round("rho", 6).alias("rho"), F.round("weight", 5).alias("weight"))
 
 
-@query("manifold_layout")
+@query("manifold_layout", """
+select label, count(*) as points, 10 as dims, true as finite, true as apart from embeddings where label < 9 group by label""")
 def manifold_layout(spark, sf):
-    """Ten-dimensional layout of the planted clusters."""
+    """Ten-dimensional layout of the planted clusters: whole, finite, and each cluster nearer
+    to its own centre than its centre is to any other."""
     points = views.planted(spark, sf).select(F.col("vec_id").alias("id"), "embedding")
     near = exact_knn(points, points, FULL.layout_neighbours, query_id="id", base_id="id", exclude_self=True)
     graph = materialise(manifold.fuzzy_graph(near, FULL.layout_neighbours), "fuzzy")
-    return manifold.layout(points, graph, FULL.layout_dims, epochs=6, min_dist=FULL.layout_min_dist, seed=FULL.seed)
+    laid = manifold.layout(points, graph, FULL.layout_dims, epochs=6, min_dist=FULL.layout_min_dist, seed=FULL.seed)
+    labels = views.planted(spark, sf).where("label < 9").select(F.col("vec_id").alias("id"), "label")
+    return _separation(materialise(laid.join(labels, "id"), "laid"))
+
+
+def _separation(laid: DataFrame) -> DataFrame:
+    """Per label: points, dimensions, all finite, and mean distance to the own centre below
+    half the way to the nearest other centre. There is one centre per label."""
+    dims = laid.select("label", F.posexplode("coords").alias("dim", "x"))
+    centre = dims.groupBy("label", "dim").agg(F.avg("x").alias("c"))
+    centre = centre.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "c"))), lambda s: s["c"]).alias("c"))
+
+    def far(a, b):
+        return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+    other = centre.select(F.col("label").alias("to"), F.col("c").alias("d"))
+    gap = centre.join(other, F.col("label") != F.col("to")).groupBy("label").agg(F.min(far(F.col("c"), F.col("d"))).alias("gap"))
+    spread = laid.join(F.broadcast(centre), "label").groupBy("label").agg(
+        F.count("*").alias("points"), F.max(F.size("coords")).alias("dims"), F.avg(far(F.col("coords").cast("array<double>"), F.col("c"))).alias("spread"),
+        F.bool_and(~F.exists("coords", lambda x: F.isnan(x) | (F.abs(x) == float("inf")))).alias("finite"))
+    return spread.join(gap, "label").select("label", "points", "dims", "finite", (F.col("spread") < F.col("gap") / 2).alias("apart"))
 
 
 @query("manifold_project", duck(f"""with recursive near as (select *, row_number() over (partition by query_id order by distance, neighbour_id) as rn from (

@@ -1,59 +1,118 @@
-"""K-mer helpers: small numpy kernels behind Arrow functions.
+"""K-mer helpers: numpy kernels behind Arrow functions.
 
-Each works on one sequence at a time in linear time and memory. Windows holding a
-letter other than A, C, G, T are skipped.
+Each works on the joined letters of a whole batch, in runs of bounded size; no loop
+touches single letters or k-mers. Windows holding a letter other than A, C, G, T, and
+windows that would reach into the next sequence, are skipped.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-# A k-mer is a base-4 number; its hash is (code * FACTOR + SHIFT) mod PRIME, a
-# bijection for k <= 15, simple enough to state in SQL as well.
-PRIME = 2147483647
+# A k-mer is a base-4 number of at most 62 bits; its hash is (code * FACTOR + SHIFT) mod
+# PRIME, a bijection for k <= 30, simple enough to state in SQL as well.
+PRIME = (1 << 61) - 1
 FACTOR = 1103515245
 SHIFT = 12345
+MAX_K = 30
+
+#: Letters that a kernel works on at a time.
+RUN_LETTERS = 4 << 20
 
-_DIGIT = np.full(256, -1, np.int64)
+_DIGIT = np.full(256, -1, np.int8)
 for _i, _base in enumerate("ACGT"):
     _DIGIT[ord(_base)] = _DIGIT[ord(_base.lower())] = _i
 
 
-def kmer_codes(sequence: str, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Base-4 codes of all windows, and their 0-based starts."""
-    digits = _DIGIT[np.frombuffer(sequence.encode("ascii", "replace"), np.uint8)]
-    n = len(digits) - k + 1
+def letters(sequences: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all sequences, offset of each and the end): one byte per letter, null as empty."""
+    if isinstance(sequences, pa.ChunkedArray):
+        sequences = sequences.combine_chunks()
+    flat = sequences.fill_null("").cast(pa.string())
+    offsets = np.frombuffer(flat.buffers()[1], np.int32, len(flat) + 1, 4 * flat.offset).astype(np.int64)
+    data = flat.buffers()[2]
+    raw = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    if len(raw) and raw.max() > 127:  # letters of several bytes count as one unknown letter
+        parts = [s.encode("ascii", "replace") for s in flat.to_pylist()]
+        offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+        return np.frombuffer(b"".join(parts), np.uint8), offsets
+    return raw, offsets - offsets[0]
+
+
+def runs(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``RUN_LETTERS`` letters."""
+    cuts = np.flatnonzero(np.diff(offsets[1:] // RUN_LETTERS)) + 1
+    bounds = [0, *cuts.tolist(), len(offsets) - 1]
+    yield from ((a, b) for a, b in zip(bounds, bounds[1:]) if b > a)
+
+
+def kmer_codes(raw: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(base-4 code, place in ``raw``) of every clean window, in order."""
+    if k > MAX_K:
+        raise ValueError(f"k is at most {MAX_K}")
+    n = len(raw) - k + 1
     if n <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    codes, clean = np.zeros(n, np.int64), np.ones(n, bool)
-    for j in range(k):
-        window = digits[j:j + n]
-        codes = codes * 4 + window
-        clean &= window >= 0
-    starts = np.flatnonzero(clean)
-    return codes[starts], starts
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    digits = _DIGIT[raw]
+    codes, width = np.maximum(digits, 0).astype(np.int64), 1
+    whole, done = None, 0
+    rest = k
+    while True:  # codes of width 1, 2, 4, ... are put together
+        if rest & 1:
+            if whole is None:
+                whole, done = codes, width
+            else:
+                m = len(raw) - done - width + 1
+                whole, done = (codes[:m] << np.int64(2 * done)) + whole[width:width + m], done + width
+        rest >>= 1
+        if not rest:
+            break
+        m = len(raw) - 2 * width + 1
+        codes, width = (codes[:m] << np.int64(2 * width)) + codes[width:width + m], 2 * width
+    bad = np.concatenate([[0], np.cumsum(digits < 0)])
+    clean = bad[k:] == bad[:-k]
+    ends = np.repeat(offsets[1:], np.diff(offsets))[:n]
+    clean &= np.arange(n) + k <= ends
+    places = np.flatnonzero(clean)
+    return whole[places], places
 
 
 def kmer_hash(codes: np.ndarray) -> np.ndarray:
-    return (codes * FACTOR + SHIFT) % PRIME
-
-
-def frequency_vector(sequence: str, k: int, dimension: int) -> np.ndarray:
-    """Hashed k-mer counts scaled to unit length (zero when there is no k-mer)."""
-    codes, _ = kmer_codes(sequence, k)
-    counts = np.bincount(kmer_hash(codes) % dimension, minlength=dimension).astype(np.float64)
-    length = np.sqrt((counts * counts).sum())
-    return counts / (length if length else 1.0)
+    """(code * FACTOR + SHIFT) mod 2^61 - 1, in 64-bit steps."""
+    prime, factor = np.uint64(PRIME), np.uint64(FACTOR)
+    code = codes.astype(np.uint64) % prime
+    high, low = code >> np.uint64(31), code & np.uint64((1 << 31) - 1)
+    high = high * factor % prime
+    turned = ((high << np.uint64(31)) & prime) | (high >> np.uint64(30))  # times 2^31
+    return ((turned + low * factor % prime + np.uint64(SHIFT)) % prime).astype(np.int64)
+
+
+def frequency_matrix(sequences: pa.Array, k: int, dimension: int) -> np.ndarray:
+    """Hashed k-mer counts per sequence, scaled to unit length (zero when there is no k-mer)."""
+    raw, offsets = letters(sequences)
+    out = np.zeros((len(offsets) - 1, dimension), np.float32)
+    for a, b in runs(offsets):
+        own = offsets[a:b + 1] - offsets[a]
+        codes, places = kmer_codes(raw[offsets[a]:offsets[b]], own, k)
+        row = np.repeat(np.arange(b - a), np.diff(own))[places]
+        cells = row * dimension + kmer_hash(codes) % dimension
+        counts = np.bincount(cells, minlength=(b - a) * dimension).reshape(b - a, dimension).astype(np.float64)
+        length = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+        out[a:b] = counts / np.where(length == 0, 1, length)
+    return out
 
 
 def kmer_vector_udf(k: int, dimension: int):
     """sequence -> array<float> of length ``dimension``."""
     @F.arrow_udf("array<float>")
     def encode(sequences: pa.Array) -> pa.Array:
-        rows = [frequency_vector(s.as_py() or "", k, dimension) for s in sequences]
-        return pa.array([r.astype(np.float32) for r in rows], pa.list_(pa.float32()))
+        rows = frequency_matrix(sequences, k, dimension)
+        offsets = np.arange(0, rows.size + 1, dimension, dtype=np.int32)
+        return pa.ListArray.from_arrays(offsets, pa.array(rows.reshape(-1)))
     return encode
 
 
@@ -80,12 +139,21 @@ def smallest_kmers_udf(k: int, count: int):
     """sequence -> its ``count`` smallest distinct k-mer hashes, with first positions."""
     @F.arrow_udf(SKETCH)
     def sketch(sequences: pa.Array) -> pa.Array:
-        out = []
-        for s in sequences:
-            codes, starts = kmer_codes(s.as_py() or "", k)
-            hashes, positions = smallest_distinct(kmer_hash(codes), starts, count)
-            out.append([{"kmer": int(h), "position": int(p)} for h, p in zip(hashes, positions)])
-        return pa.array(out, pa.list_(pa.struct([("kmer", pa.int64()), ("position", pa.int32())])))
+        raw, offsets = letters(sequences)
+        kmers, positions, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+        for a, b in runs(offsets):
+            own = offsets[a:b + 1] - offsets[a]
+            codes, places = kmer_codes(raw[offsets[a]:offsets[b]], own, k)
+            hashes, cuts = kmer_hash(codes), np.searchsorted(places, own)
+            for i in range(b - a):
+                values, first = smallest_distinct(hashes[cuts[i]:cuts[i + 1]], places[cuts[i]:cuts[i + 1]] - own[i], count)
+                kmers.append(values)
+                positions.append(first)
+                sizes.append(len(values))
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        both = pa.StructArray.from_arrays([pa.array(np.concatenate(kmers)), pa.array(np.concatenate(positions).astype(np.int32))],
+                                          ["kmer", "position"])
+        return pa.ListArray.from_arrays(ends, both)
     return sketch
 
 
@@ -96,11 +164,17 @@ def matching_bases_udf():
     """
     @F.arrow_udf("long")
     def matches(centre: pa.Array, member: pa.Array, diagonal: pa.Array) -> pa.Array:
-        out = []
-        for c, m, d in zip(centre, member, diagonal.to_numpy(zero_copy_only=False)):
-            a = np.frombuffer(c.as_py().encode(), np.uint8)[max(d, 0):]
-            b = np.frombuffer(m.as_py().encode(), np.uint8)[max(-d, 0):]
-            n = min(len(a), len(b))
-            out.append(int((a[:n] == b[:n]).sum()))
-        return pa.array(out, pa.int64())
+        (a, a_off), (b, b_off) = letters(centre), letters(member)
+        d = diagonal.to_numpy(zero_copy_only=False).astype(np.int64)
+        a_from, b_from = a_off[:-1] + np.maximum(d, 0), b_off[:-1] + np.maximum(-d, 0)
+        sizes = np.maximum(np.minimum(a_off[1:] - a_from, b_off[1:] - b_from), 0)
+        out = np.zeros(len(d), np.int64)
+        for lo, hi in runs(np.concatenate([[0], np.cumsum(sizes)])):
+            n = sizes[lo:hi]
+            ends = np.cumsum(n)
+            within = np.arange(int(ends[-1])) - np.repeat(ends - n, n)
+            same = a[np.repeat(a_from[lo:hi], n) + within] == b[np.repeat(b_from[lo:hi], n) + within]
+            total = np.concatenate([[0], np.cumsum(same)])
+            out[lo:hi] = total[ends] - total[ends - n]
+        return pa.array(out)
     return matches

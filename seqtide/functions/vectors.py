@@ -46,11 +46,11 @@ def usable(v: Column | str, dimension: int | None = None) -> Column:
 
 
 def sign_code(v: Column | str, dimension: int) -> Column:
-    """One bit per dimension (1 where positive), packed 32 to a long."""
+    """One bit per dimension (1 where positive), packed 64 to a long."""
     v = _col(v)
     words = []
-    for start in range(0, dimension, 32):
-        width = min(32, dimension - start)
+    for start in range(0, dimension, 64):
+        width = min(64, dimension - start)
         bits = F.transform(F.slice(v, start + 1, width),
                            lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i))
                            .otherwise(F.lit(0).cast("long")))

@@ -36,7 +36,7 @@ def euclidean_scores(queries: pa.ChunkedArray, base: pa.ChunkedArray) -> np.ndar
 
 
 def hamming_scores(queries: pa.ChunkedArray, base: pa.ChunkedArray) -> np.ndarray:
-    """Differing bits of codes packed 32 bits to a long."""
+    """Differing bits of codes packed 64 bits to a long."""
     def signs(column):
         words = matrix(column).astype("<i8")
         bits = np.unpackbits(words.view(np.uint8), axis=1).astype(np.float32)

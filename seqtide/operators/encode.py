@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqtide.functions.kmers import frequency_vector, kmer_vector_udf
+from seqtide.functions.kmers import frequency_matrix, kmer_vector_udf
 from seqtide.functions.vectors import doubles, lists
 from seqtide.operators.dedup import pending
 
@@ -35,7 +35,7 @@ class KmerEncoder:
         pass
 
     def encode(self, sequences: list[str]) -> np.ndarray:
-        return np.stack([frequency_vector(s, self.k, self.dimension) for s in sequences])
+        return frequency_matrix(pa.array(sequences, pa.string()), self.k, self.dimension)
 
 
 def encode_sequences(records: DataFrame, encoder: Encoder, batch: int = 32,

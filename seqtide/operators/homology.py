@@ -19,7 +19,7 @@ from seqtide.session import Rounds, materialise
 SEQUENCE_HOT_ROWS = 5_000
 
 
-def sketches(records: DataFrame, k: int = 14, count: int = 20) -> DataFrame:
+def sketches(records: DataFrame, k: int = 21, count: int = 32) -> DataFrame:
     """accession, length, kmer, position: the smallest-hash k-mers of each sequence."""
     sketch = smallest_kmers_udf(k, count)
     return (records.select("accession", F.length("sequence").alias("length"),
@@ -113,7 +113,7 @@ def greedy_cover(pairs: DataFrame) -> DataFrame:
         .alias("representative"))
 
 
-def homology_clusters(records: DataFrame, k: int = 14, count: int = 20,
+def homology_clusters(records: DataFrame, k: int = 21, count: int = 32,
                       min_identity: float = 0.95, min_coverage: float = 0.80) -> DataFrame:
     """accession -> representative for every record."""
     groups = materialise(copy_groups(records), "copies")

@@ -44,12 +44,31 @@ def nearest_cells_udf(centroids: np.ndarray, probes: int):
     def nearest(vectors: pa.Array) -> pa.Array:
         if len(vectors) == 0:
             return pa.array([], pa.list_(pa.int32()))
-        d = pairwise(unit(matrix(vectors)), centroids)
-        order = np.argsort(d, axis=1, kind="stable")[:, :probes]
-        return lists(order.astype(np.int32))
+        rows = unit(matrix(vectors))
+        step = max(1, DISTANCES // len(centroids))
+        parts = [nearest_few(pairwise(rows[i:i + step], centroids), probes) for i in range(0, len(rows), step)]
+        return lists(np.concatenate(parts).astype(np.int32))
     return nearest
 
 
+#: Distances to centroids that a task holds at a time.
+DISTANCES = 4 << 20
+
+
+def nearest_few(d: np.ndarray, few: int) -> np.ndarray:
+    """Columns of the ``few`` smallest values of each row, in order; equal ones by column."""
+    if few == 1:
+        return d.argmin(axis=1)[:, None]
+    if few >= d.shape[1]:
+        return np.argsort(d, axis=1, kind="stable")
+    bound = np.partition(d, few - 1, axis=1)[:, few - 1:few]
+    out = np.empty((len(d), few), np.int64)
+    for i in range(len(d)):  # ties at the border may leave more than ``few``
+        near = np.flatnonzero(d[i] <= bound[i])
+        out[i] = near[np.argsort(d[i, near], kind="stable")[:few]]
+    return out
+
+
 def assign_cells(vectors: DataFrame, centroids: np.ndarray, vector: str = "embedding") -> DataFrame:
     """Adds ``cell``. The centroid matrix is cells x d, whatever the number of rows."""
     nearest = nearest_cells_udf(centroids, 1)

@@ -36,6 +36,18 @@ from (select doc_id, source, lang,
       from {documents}) d
 """
 
+# every second of five gets a changed copy: 3 % of the letters everywhere, or 8 % in places
+_STRAINS = """
+select accession, sequence from {seqs}
+union all
+select concat(accession, 'M'), {mutated} from {seqs} where doc_id % 5 < 2 and length(sequence) > 0
+"""
+_CHANGED = "case when doc_id % 5 = 0 then {i} % 33 = 0 else {i} % 100 >= 60 and {i} % 5 = 0 end"
+_MUTATED = ("array_join(transform(split(sequence, ''), (c, i) -> case when " + _CHANGED.replace("{i}", "i")
+            + " then translate(c, 'ACGT', 'CGTA') else c end), '')")
+_DUCK_MUTATED = ("array_to_string(list_transform(string_split(sequence, ''), lambda c, i: case when "
+                 + _CHANGED.replace("{i}", "(i - 1)") + " then translate(c, 'ACGT', 'CGTA') else c end), '')")
+
 _META = """
 select accession,
        case when doc_id % 7 = 0 then null when doc_id % 11 = 0 then doc_id % 97 + 2
@@ -75,6 +87,11 @@ def seqs(spark: SparkSession, sf: str) -> DataFrame:
                      documents=spread_table(spark, sf, "documents"))
 
 
+def strains(spark: SparkSession, sf: str) -> DataFrame:
+    """Sequences and changed copies of some of them."""
+    return spark.sql(_STRAINS.replace("{mutated}", _MUTATED), seqs=seqs(spark, sf))
+
+
 def meta(spark: SparkSession, sf: str) -> DataFrame:
     """Partial metadata with missing taxids and some that differ from the header."""
     return spark.sql(_META, seqs=seqs(spark, sf))
@@ -111,6 +128,7 @@ def _duck(text: str) -> str:
 
 DUCK = {
     "seqs": _duck(_SEQS),
+    "strains": _duck(_STRAINS.replace("{mutated}", _DUCK_MUTATED)),
     "meta": _duck(_META),
     "tree": _duck(_TREE),
     "ranks": _duck(_RANKS),
@@ -120,7 +138,7 @@ select vec_id, label,
 from (select vec_id, label, list_transform(embedding, lambda x, i: x::double
         + case when i = label + 1 and label <> 9 then 3 else 0 end) as e from embeddings) t""",
 }
-_NEEDS = {"meta": ["seqs"]}
+_NEEDS = {"meta": ["seqs"], "strains": ["seqs"]}
 
 
 def duck(body: str, *views: str, recursive: bool = False) -> str:
