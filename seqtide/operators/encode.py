@@ -74,6 +74,11 @@ def truncate_tokens(words: Column | str, max_tokens: int) -> Column:
     return F.slice(words, 1, max_tokens)
 
 
+def context_window(records: DataFrame, max_tokens: int, k: int = 6) -> DataFrame:
+    """Records whose sequences end with the last token a model of this window reads."""
+    return records.withColumn("sequence", F.substring("sequence", 1, max_tokens * k))
+
+
 def mean_pool(token_vectors: DataFrame, key: str, vector: str = "embedding",
               mask: str | None = None) -> DataFrame:
     """Mean vector per key over its unmasked tokens.

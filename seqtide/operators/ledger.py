@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 SCHEMA = "run string, stage string, metric string, value double"
 ELAPSED = "elapsed_s"
+# A metric of this name and a fingerprint says when a stage was built, and from what.
+BUILT = "built:"
 
 
 class Ledger:
@@ -25,22 +27,30 @@ class Ledger:
         except AnalysisException:  # nothing written yet
             return self.spark.createDataFrame([], SCHEMA)
 
-    def done(self, stage: str) -> bool:
-        own = (F.col("run") == self.run) & (F.col("stage") == stage) & (F.col("metric") == ELAPSED)
-        return not self.rows().where(own).isEmpty()
+    def done(self, stage: str, output: str, fingerprint: str = "") -> bool:
+        """True when the newest table of the stage was built from what ``fingerprint`` names and is there."""
+        own = (F.col("run") == self.run) & (F.col("stage") == stage) & F.startswith("metric", F.lit(BUILT))
+        newest = self.rows().where(own).agg(F.max_by("metric", "value")).first()[0]
+        if newest != BUILT + fingerprint:
+            return False
+        try:
+            self.spark.read.parquet(output)
+        except AnalysisException:  # the table was removed
+            return False
+        return True
 
     def record(self, stage: str, **metrics: float) -> None:
         rows = [(self.run, stage, m, float(v)) for m, v in metrics.items()]
         self.spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
     def stage(self, name: str, output: str, build: Callable[[], DataFrame], metric: str = "rows",
-              force: bool = False) -> DataFrame:
-        """Build and store a stage once; a later run reads what is stored."""
-        if force or not self.done(name):
+              force: bool = False, fingerprint: str = "") -> DataFrame:
+        """Build and store a stage once; a later run with the same fingerprint reads what is stored."""
+        if force or not self.done(name, output, fingerprint):
             began = time.monotonic()
             build().write.mode("overwrite").parquet(output)
             count = self.spark.read.parquet(output).count()
-            self.record(name, **{metric: count, ELAPSED: time.monotonic() - began})
+            self.record(name, **{metric: count, ELAPSED: time.monotonic() - began, BUILT + fingerprint: time.time()})
         return self.spark.read.parquet(output)
 
 

@@ -6,16 +6,16 @@ built again.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqtide import sinks
 from seqtide.config import FULL, Profile
-from seqtide.operators import dedup, density, encode, homology, ivf, lineage, manifold
+from seqtide.operators import dedup, density, encode, homology, ivf, lineage, manifold, quality
 from seqtide.operators.ledger import Ledger
 from seqtide.plans.classify import classify_indexed
 from seqtide.sources import fasta, metadata
@@ -36,9 +36,10 @@ def run(spark: SparkSession, inputs: Inputs, out: str, encoder: encode.Encoder,
         profile: Profile = FULL, name: str = "default", homology_step: bool = True,
         epochs: int = 20, force: bool = False) -> DataFrame:
     book = Ledger(spark, f"{out}/ledger", name)
+    mark = fingerprint(spark, inputs, encoder, profile, homology_step, epochs)
 
     def stage(label, build, metric="rows"):
-        return book.stage(label, f"{out}/{label}", build, metric, force)
+        return book.stage(label, f"{out}/{label}", build, metric, force, mark)
 
     records = fasta.read_fasta(spark, inputs.fasta, inputs.pattern, position=True)
     meta = metadata.read_metadata(spark, inputs.metadata)
@@ -59,10 +60,13 @@ def run(spark: SparkSession, inputs: Inputs, out: str, encoder: encode.Encoder,
                      .withColumn("taxid", F.col("tax_id").cast("string")).drop("tax_id"), "n_taxids")
     annotated = stage("annotated", lambda: lineage.annotate(taxids, lineages), "n_annotated")
 
-    vectors = stage("vectors", lambda: encode.encode_sequences(kept, encoder, profile.encode_batch), "n_embedded")
+    window = encode.context_window(kept, profile.max_tokens)
+    vectors = stage("vectors", lambda: encode.encode_sequences(window, encoder, profile.encode_batch), "n_embedded")
+    stage("quality", lambda: quality.embedding_report(vectors))
     usable = vectors.where(ivf.searchable("embedding"))
     book.record("vectors", n_unusable=vectors.count() - usable.count())
-    centroids = trained_cells(spark, usable, f"{out}/centroids", profile)
+    cells = stage("centroids", lambda: trained_cells(usable, profile), "n_cells")
+    centroids = np.array([r["centroid"] for r in cells.orderBy("cell").collect()])
     index = stage("index", lambda: ivf.build_index(usable, centroids, encoder.dimension, seed=profile.seed), "n_rows")
 
     def near(k: int) -> DataFrame:
@@ -82,19 +86,29 @@ def run(spark: SparkSession, inputs: Inputs, out: str, encoder: encode.Encoder,
         vectors, index, centroids, stored, assigned.withColumnRenamed("id", "query_id"),
         dimension=encoder.dimension, seed=profile.seed, profile=profile), "n_assignments")
     sinks.write_assignments(results, f"{out}/assignments_json")
+    viewer = coords.join(assigned, "id").select(
+        F.col("id").alias("accession"), "coords", F.col("cluster_id").alias("cluster_label"), "cluster_probability")
+    sinks.write_viewer_table(sinks.viewer_table(viewer, profile.layout_dims), f"{out}/viewer", profile.layout_dims,
+                             profile.export_bytes)
     return results
 
 
-def trained_cells(spark: SparkSession, vectors: DataFrame, path: str, profile: Profile) -> np.ndarray:
-    """Centroids, trained once and then read: cells x d numbers, whatever the row count."""
-    rows = vectors.count()
-    cells = max(2, min(profile.cells, int(rows ** 0.5)))
-    try:
-        stored = spark.read.parquet(path)
-    except AnalysisException:  # first run
-        sample = min(rows, 256 * cells)
-        centroids = ivf.train_cells(vectors, cells, seed=profile.seed, sample_rows=sample)
-        spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(centroids)],
-                              "cell int, centroid array<double>").write.parquet(path)
-        return centroids
-    return np.array([r["centroid"] for r in stored.orderBy("cell").collect()])
+def trained_cells(vectors: DataFrame, profile: Profile) -> DataFrame:
+    """cell, centroid: ``profile.cells`` rows at most, fitted on all vectors."""
+    centroids = ivf.train_cells(vectors, profile.cells, seed=profile.seed)
+    return vectors.sparkSession.createDataFrame(
+        [(i, [float(x) for x in c]) for i, c in enumerate(centroids)], "cell int, centroid array<double>")
+
+
+def fingerprint(spark: SparkSession, inputs: Inputs, encoder: encode.Encoder, profile: Profile, *options) -> str:
+    """Digest of the input files (path, size, time), the tables given and every parameter."""
+    marks = []
+    for path, pattern in ((inputs.fasta, inputs.pattern), (inputs.metadata, "*")):
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .option("pathGlobFilter", pattern).load(path))
+        marks.append(files.agg(F.count("*"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first())
+    for table in (inputs.tree, inputs.merged):
+        marks.append(None if table is None else table.agg(F.count("*"), F.bit_xor(F.xxhash64(*table.columns))).first())
+    kind = (type(encoder).__module__, type(encoder).__qualname__, sorted(vars(encoder).items()))
+    text = repr([[None if m is None else tuple(m) for m in marks], kind, profile, options])
+    return hashlib.sha256(text.encode()).hexdigest()[:16]

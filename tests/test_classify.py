@@ -60,6 +60,9 @@ def test_ledger_skips_finished_stages(spark, tmp_path):
         assert book.stage("s", str(tmp_path / "s"), build).count() == 5
     book.stage("s", str(tmp_path / "s"), build, force=True)
     assert len(calls) == 2
+    book.stage("s", str(tmp_path / "s"), build, fingerprint="other")
+    book.stage("s", str(tmp_path / "s"), build)  # the stored table is the other's
+    assert len(calls) == 4
 
 
 def test_encoder_is_pluggable(spark):
@@ -112,7 +115,7 @@ def test_whole_run(spark, tmp_path):
     write_fasta(seqs, fasta)
     seqs.select("accession", (F.col("doc_id") + 100001).alias("taxId")).write.json(meta)
     inputs = surveillance.Inputs(fasta, meta, views.tree(spark, sf), pattern="*.txt")
-    profile = replace(DEMO, min_cluster_size=5, probes=4, levels=8, layout_neighbours=8, layout_dims=3)
+    profile = replace(DEMO, cells=12, min_cluster_size=5, probes=4, levels=8, layout_neighbours=8, layout_dims=3)
     out = str(tmp_path / "out")
     first = surveillance.run(spark, inputs, out, encode.KmerEncoder(32, 4), profile, epochs=1)
     n = first.count()
@@ -120,5 +123,12 @@ def test_whole_run(spark, tmp_path):
     again = surveillance.run(spark, inputs, out, encode.KmerEncoder(32, 4), profile, epochs=1)
     assert again.count() == n
     assert spark.read.json(f"{out}/assignments_json").count() == n
-    stages = Ledger(spark, f"{out}/ledger").rows().where("metric = 'elapsed_s'")
+    rows = Ledger(spark, f"{out}/ledger").rows()
+    stages = rows.where("metric = 'elapsed_s'")
     assert stages.count() == stages.select("stage").distinct().count()
+    assert spark.read.parquet(f"{out}/vectors").count() == n == spark.read.parquet(f"{out}/viewer").count() + rows.where(
+        "metric = 'n_unusable'").agg(F.max("value")).first()[0]
+    # another encoder builds anew, the first table is not taken for its own
+    other = surveillance.fingerprint(spark, inputs, encode.KmerEncoder(16, 4), profile, True, 1)
+    assert other != surveillance.fingerprint(spark, inputs, encode.KmerEncoder(32, 4), profile, True, 1)
+    assert not Ledger(spark, f"{out}/ledger").done("vectors", f"{out}/vectors", other)
