@@ -77,6 +77,11 @@ def tokens(texts: pa.Array) -> list[list[bytes]]:
     return split
 
 
+def _sums(group: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sum of the values of each of n groups; bincount alone gives integers for no values."""
+    return np.bincount(group, values, n).astype(np.float64)
+
+
 class LogFrequencyFilter:
     """A Bloom filter of (key, level) that gives back the highest level below the first one missing."""
 
@@ -146,8 +151,8 @@ class Model:
         self.bigrams = LogFrequencyFilter(_mix(pairs.astype(np.uint64)), levels)
         first, second = (pairs >> 32).astype(np.int64), (pairs & 0xFFFFFFFF).astype(np.int64)
         given = np.maximum(self.counts, 1)
-        seen = np.bincount(first, (self.count_at(levels) - DISCOUNT) / given[first], len(self.words))
-        base = np.bincount(first, 10 ** self.unigram()[second], len(self.words))
+        seen = _sums(first, (self.count_at(levels) - DISCOUNT) / given[first], len(self.words))
+        base = _sums(first, 10 ** self.unigram()[second], len(self.words))
         self.backoff = np.log10(np.maximum(1 - seen, 1e-9) / np.maximum(1 - base, 1e-9))
 
 
@@ -215,7 +220,7 @@ def _scorer(model):
             before, docs = _previous(place, first), len(first) - 1
             doc = np.repeat(np.arange(docs), np.diff(first))
             frequent = place >= 0
-            base = np.bincount(doc[frequent], uni[place[frequent]], docs)
+            base = _sums(doc[frequent], uni[place[frequent]], docs)
             known = np.bincount(doc[frequent], m.counts[place[frequent]] > 0, docs).astype(np.int64)
             # bigrams: each distinct pair is probed once
             more = np.zeros(len(codes))
@@ -235,7 +240,7 @@ def _scorer(model):
             ids = rows.column("doc_id")
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row + np.arange(docs)), ids, pa.array([held_out(d) for d in ids.to_pylist()]),
-                 pa.array(np.diff(first)), pa.array(known), pa.array(base), pa.array(np.bincount(doc, more, docs)), listed.cast(_RARE)],
+                 pa.array(np.diff(first)), pa.array(known), pa.array(base), pa.array(_sums(doc, more, docs)), listed.cast(_RARE)],
                 names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "more", "rare"])
             row += docs
     return score
