@@ -88,11 +88,15 @@ near_cells as (select vec_id, cell, row_number() over (partition by vec_id order
 bits as (select vec_id, list_aggregate(list_transform(embedding, lambda x: case when x > 0 then '1' else '0' end), 'string_agg', '') as bits
          from embeddings)"""
 IVF = f"""{CELLS},
+signed as (select vec_id, embedding::double[] as e, list_transform(embedding, lambda x: case when x > 0 then 1 else -1 end)::double[] as s
+           from embeddings),
 shortlist as (
   select q.vec_id as query_id, b.vec_id as neighbour_id
   from near_cells q join near_cells b on q.cell = b.cell and q.n <= {PROBES} and b.n = 1
-  join bits qb on qb.vec_id = q.vec_id join bits bb on bb.vec_id = b.vec_id
-  qualify row_number() over (partition by q.vec_id order by hamming(qb.bits, bb.bits), b.vec_id) <= {KNN * REFINE}),
+  join signed qb on qb.vec_id = q.vec_id join signed bb on bb.vec_id = b.vec_id
+  qualify row_number() over (partition by q.vec_id order by
+    1 - list_dot_product(qb.e, bb.s) / sqrt(list_dot_product(qb.e, qb.e))
+        / (list_dot_product(bb.e, bb.s) / sqrt(list_dot_product(bb.e, bb.e))), b.vec_id) <= {KNN * REFINE}),
 scored as (select query_id, neighbour_id, list_cosine_distance(a.embedding::double[], b.embedding::double[]) as distance
            from shortlist join embeddings a on a.vec_id = query_id join embeddings b on b.vec_id = neighbour_id),
 near as (select *, row_number() over (partition by query_id order by distance, neighbour_id) as rn from scored qualify rn <= {KNN})"""
@@ -159,6 +163,20 @@ def vector_lookup(spark, sf):
                        "genus", "species", F.abs(F.round("_distance", 6)).alias("_distance"))
 
 
+@query("vector_lookup_one", duck(f"""with {IVF}
+select query_id, neighbour_id as vec_id, abs(round(distance, 6)) as _distance, rn from near
+where query_id = (select max(vec_id) from embeddings)"""))
+def vector_lookup_one(spark, sf):
+    """One vector sought in an index table written by cell: only the probed cells are read."""
+    v, cent = _index(spark, sf)
+    path = scratch_path(spark, "index")
+    ivf.build_index(v, cent, DIM, seed=None).write.partitionBy("cell").parquet(path)
+    one = v.orderBy(F.desc("vec_id")).limit(1)
+    hits = ivf.lookup(one, spark.read.parquet(path), cent, KNN, query_id="vec_id", base_id="vec_id", dimension=DIM,
+                      probes=PROBES, refine=REFINE, seed=None)
+    return hits.select("query_id", "vec_id", F.abs(F.round("_distance", 6)).alias("_distance"), F.col("rn").cast("long").alias("rn"))
+
+
 @query("ivf_train", """
 select (select count(*) from embeddings) as vectors, true as all_cells_used, label, true as in_one_cell
 from (select distinct label from embeddings where label < 9) l""")

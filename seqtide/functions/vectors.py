@@ -96,13 +96,3 @@ def lists(rows: np.ndarray, kind: pa.DataType | None = None) -> pa.ListArray:
     n, d = rows.shape
     offsets = np.arange(0, (n + 1) * d, d, dtype=np.int32) if d else np.zeros(n + 1, np.int32)
     return pa.ListArray.from_arrays(offsets, pa.array(rows.reshape(-1), type=kind))
-
-
-def cosine_of_pairs():
-    """Arrow function: cosine distance of two unit-vector columns, row by row."""
-    @F.arrow_udf("double")
-    def distance(a: pa.Array, b: pa.Array) -> pa.Array:
-        if len(a) == 0:
-            return pa.array([], pa.float64())
-        return pa.array(1.0 - np.einsum("ij,ij->i", matrix(a), matrix(b)))
-    return distance

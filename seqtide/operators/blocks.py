@@ -35,16 +35,6 @@ def euclidean_scores(queries: pa.ChunkedArray, base: pa.ChunkedArray) -> np.ndar
     return np.sqrt(total)
 
 
-def hamming_scores(queries: pa.ChunkedArray, base: pa.ChunkedArray) -> np.ndarray:
-    """Differing bits of codes packed 64 bits to a long."""
-    def signs(column):
-        words = matrix(column).astype("<i8")
-        bits = np.unpackbits(words.view(np.uint8), axis=1).astype(np.float32)
-        return bits * 2 - 1
-    q, b = signs(queries), signs(base)
-    return np.rint((q.shape[1] - q @ b.T) / 2).astype(np.float64)
-
-
 def smallest(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Row and column numbers of the k smallest per row; ties go to the lower column."""
     n, m = scores.shape
@@ -59,9 +49,9 @@ def smallest(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def blocked_topk(queries: DataFrame, base: DataFrame, k: int, score: Scorer,
-                 block_rows: int = 2048) -> DataFrame:
+                 block_rows: int = 2048, keep_cell: bool = False) -> DataFrame:
     """``queries`` (cell, query_key, payload), ``base`` (cell, ids, payload) ->
-    query_key, ids, score: k rows per query and block pair.
+    query_key, ids, score (and cell): k rows per query and block pair.
 
     ``ids`` is the list of ids that share one base payload; ties follow its first id.
     """
@@ -71,10 +61,10 @@ def blocked_topk(queries: DataFrame, base: DataFrame, k: int, score: Scorer,
     plan = F.broadcast(b_cells.join(q_cells, "cell").select(
         "cell", F.ceil(F.col("nb") / block_rows).cast("int").alias("nb"),
         F.ceil(F.col("nq") / block_rows).cast("int").alias("nq")))
-    return _paired(queries.join(plan, "cell"), base.join(plan, "cell"), k, score)
+    return _paired(queries.join(plan, "cell"), base.join(plan, "cell"), k, score, keep_cell)
 
 
-def _paired(queries: DataFrame, base: DataFrame, k: int, score: Scorer) -> DataFrame:
+def _paired(queries: DataFrame, base: DataFrame, k: int, score: Scorer, keep_cell: bool) -> DataFrame:
     """Rows carry ``nb`` and ``nq``, the numbers of base and query blocks of their cell."""
     b = (base.withColumn("bb", F.pmod(F.xxhash64("ids"), F.col("nb")).cast("int"))
          .withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)))
@@ -87,19 +77,19 @@ def _paired(queries: DataFrame, base: DataFrame, k: int, score: Scorer) -> DataF
         ids = right["ids"]
         ids = ids.cast(pa.list_(pa.field("element", ids.type.value_type)))
         if left.num_rows == 0 or right.num_rows == 0:
-            return pa.table({"query_key": left["query_key"].slice(0, 0),
-                             "ids": ids.slice(0, 0),
-                             "score": pa.array([], pa.float64())})
+            none = {"query_key": left["query_key"].slice(0, 0), "ids": ids.slice(0, 0), "score": pa.array([], pa.float64())}
+            return pa.table(none | ({"cell": left["cell"].slice(0, 0)} if keep_cell else {}))
         order = pc.sort_indices(pc.list_element(ids, 0))
         ids = ids.take(order)
         scores = score(left["payload"], right["payload"].take(order))
         rows, columns = smallest(scores, k)
-        return pa.table({"query_key": left["query_key"].take(pa.array(rows)),
-                         "ids": ids.take(pa.array(columns)),
-                         "score": pa.array(scores[rows, columns], pa.float64())})
+        taken = pa.array(rows)
+        found = {"query_key": left["query_key"].take(taken), "ids": ids.take(pa.array(columns)),
+                 "score": pa.array(scores[rows, columns], pa.float64())}
+        return pa.table(found | ({"cell": left["cell"].take(taken)} if keep_cell else {}))
 
     keys = ["cell", "bb", "qb"]
     ids = base.schema["ids"].dataType.simpleString()
     query = queries.schema["query_key"].dataType.simpleString()
     return q.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInArrow(
-        run, f"query_key {query}, ids {ids}, score double")
+        run, f"query_key {query}, ids {ids}, score double" + (f", cell {queries.schema['cell'].dataType.simpleString()}" if keep_cell else ""))

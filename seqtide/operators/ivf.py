@@ -4,16 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqtide.functions.vectors import (cosine_of_pairs, finite, lists, matrix, norm, normalise,
-                                       settled, sign_code)
-from seqtide.operators.blocks import blocked_topk, hamming_scores
+from seqtide.functions.vectors import finite, lists, matrix, norm, normalise, settled, sign_code
+from seqtide.operators.blocks import blocked_topk
 from seqtide.operators.knn import pairwise, prepared, unfold
-from seqtide.operators.skew import salted_join
 from seqtide.session import materialise
 
 
@@ -118,58 +117,113 @@ def build_index(vectors: DataFrame, centroids: np.ndarray, dimension: int,
     return quantise(assign_cells(vectors, centroids, vector), dimension, vector, seed)
 
 
+def code_table(index: DataFrame, base_id: str, most: int = 1000) -> DataFrame:
+    """cell, ids, payload (code, align) per distinct code and align of a cell, to be stored beside the index.
+
+    Rows of equal code and align have one estimate and rank by id, so ``most`` ids of
+    each are enough for shortlists up to that length.
+    """
+    w = Window.partitionBy("cell", "code", "align").orderBy(base_id)
+    few = (index.select("cell", "code", "align", base_id).withColumn("n", F.row_number().over(w))
+           .where(F.col("n") <= most))
+    return few.groupBy("cell", "code", "align").agg(F.sort_array(F.collect_list(base_id)).alias("ids")) \
+        .select("cell", "ids", F.struct("code", "align").alias("payload"))
+
+
+def estimates(queries: pa.ChunkedArray, base: pa.ChunkedArray) -> np.ndarray:
+    """Estimated cosine distance of full query vectors to 1-bit codes.
+
+    The code direction of a vector u is sign(u) / sqrt(d), and ``align`` its product
+    with u: dividing the query's product with the code direction by ``align`` takes
+    out what the code loses.
+    """
+    q, parts = matrix(queries), base.combine_chunks() if isinstance(base, pa.ChunkedArray) else base
+    words = matrix(parts.field("code")).astype("<i8")
+    signs = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little")[:, :q.shape[1]] * 2.0 - 1.0
+    align = parts.field("align").to_numpy(zero_copy_only=False)
+    return 1.0 - (q @ signs.T) / (np.sqrt(q.shape[1]) * np.where(align == 0, 1, align))[None, :]
+
+
 def search(queries: DataFrame, index: DataFrame, centroids: np.ndarray, k: int, *,
            query_id: str, base_id: str, dimension: int, probes: int = 8, refine: int = 4,
            vector: str = "embedding", seed: int | None = 42, exclude_self: bool = False,
-           block_rows: int = 2048) -> DataFrame:
+           block_rows: int = 2048, codes: DataFrame | None = None) -> DataFrame:
     """query_id, neighbour_id, distance, rn: approximate k nearest by cosine, stored.
 
-    Only codes travel to the cells; per query the k * refine best codes are re-ranked
-    on full vectors. Equal codes are ranked by id.
+    Codes are compared in the probed cells by their estimated distance, equal ones by
+    id; per query the k * refine best are re-ranked on full vectors. ``codes`` is the
+    stored ``code_table`` of the index. The cells that any query probes are at most as
+    many as centroids; where they are not all, every scan of a table written by cell
+    reads theirs only.
     """
     want = k + 1 if exclude_self else k
     short = want * refine
     probe = nearest_cells_udf(centroids, probes)
     q_all = prepared(queries, query_id, vector, "cosine")
     q_map = q_all.select("id", F.col("digest").alias("query_key"))
-    q_rows = q_all.groupBy(F.col("digest").alias("query_key")).agg(
-        F.any_value("payload").alias("unit"))
-    q_rows = materialise(quantise(q_rows, dimension, "unit", seed)
-                         .withColumn("cells", probe("unit")), "probes")
+    q_rows = q_all.groupBy(F.col("digest").alias("query_key")).agg(F.any_value("payload").alias("unit"))
+    q_rows = settled(q_rows, "unit").withColumn("cells", probe("unit"))
+    turned = F.col("unit") if seed is None else rotated_udf(rotation(dimension, seed))("unit")
+    q_rows = materialise(q_rows.withColumn("turned", turned), "probes")
+    probed = [r[0] for r in q_rows.select(F.explode("cells")).distinct().collect()]  # at most one per centroid
+    codes = code_table(index, base_id, short) if codes is None else codes
+    if len(probed) < len(centroids):
+        codes, index = codes.where(F.col("cell").isin(probed)), index.where(F.col("cell").isin(probed))
+    codes = materialise(codes.select("cell", "ids", "payload"), "codes")
     scored = blocked_topk(
-        q_rows.select(F.explode("cells").alias("cell"), "query_key", F.col("code").alias("payload")),
-        distinct_codes(index, base_id, short), short, hamming_scores, block_rows)
+        q_rows.select(F.explode("cells").alias("cell"), "query_key", F.col("turned").alias("payload")),
+        codes, short, estimates, block_rows, keep_cell=True)
     w = Window.partitionBy("query_key").orderBy("score", "neighbour")
-    kept = (scored.select("query_key", F.explode("ids").alias("neighbour"), "score")
+    kept = (scored.select("cell", "query_key", F.explode("ids").alias("neighbour"), "score")
             .withColumn("n", F.row_number().over(w)).where(F.col("n") <= short)
-            .select("query_key", "neighbour"))
+            .select("cell", "query_key", "neighbour"))
     best = rerank(materialise(kept, "shortlist"), q_rows.select("query_key", "unit"), index, want,
-                  base_id, vector)
+                  base_id, vector, block_rows)
     return materialise(unfold(q_map, best, k, exclude_self), "neighbours")
 
 
-def distinct_codes(index: DataFrame, base_id: str, short: int) -> DataFrame:
-    """One row per code in a cell with its ``short`` smallest ids: ties go to the smaller
-    id, so further ids of one code can never be on a shortlist."""
-    w = Window.partitionBy("cell", "code").orderBy(base_id)
-    few = (index.select("cell", "code", base_id).withColumn("n", F.row_number().over(w))
-           .where(F.col("n") <= short))
-    return few.groupBy("cell", "code").agg(F.sort_array(F.collect_list(base_id)).alias("ids")) \
-        .select("cell", "ids", F.col("code").alias("payload"))
-
-
 def rerank(shortlist: DataFrame, queries: DataFrame, base: DataFrame, k: int, base_id: str,
-           vector: str) -> DataFrame:
-    """Exact distances of a shortlist. Popular neighbours are salted, not their rows cut."""
-    right = base.select(F.col(base_id).alias("neighbour"), normalise(vector).alias("_b"))
-    weights = shortlist.groupBy("neighbour").agg(F.count("*").alias("n"))
-    pairs = salted_join(shortlist.join(queries, "query_key"), right, "neighbour", hot_rows=20_000,
-                        weights=weights)
-    scored = pairs.select("query_key", "neighbour", cosine_of_pairs()("unit", "_b").alias("score"))
+           vector: str, block_rows: int = 2048) -> DataFrame:
+    """Exact distances of a shortlist (cell, query_key, neighbour).
+
+    A cell's neighbours are cut into blocks of about ``block_rows``; a vector and a query
+    travel once to a block however many pairs they are in.
+    """
+    sizes = base.groupBy("cell").agg(F.count("*").alias("n")).select(
+        "cell", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks"))  # one row per cell
+    placed = materialise(shortlist.join(F.broadcast(sizes), "cell").select(
+        "cell", F.pmod(F.xxhash64("neighbour"), "blocks").cast("int").alias("block"), "query_key", "neighbour"), "placed")
+    on = ["cell", "block"]
+    wanted = placed.select("cell", "block", "neighbour").distinct()
+    vectors = base.select("cell", F.col(base_id).alias("neighbour"), F.col(vector).alias("payload"))
+    kind, none = vectors.schema["payload"].dataType, F.lit(None)
+    text, number = placed.schema["query_key"].dataType, placed.schema["neighbour"].dataType
+    asked = placed.select(*on, "query_key").distinct().join(queries, "query_key")
+    rows = (placed.select(*on, "query_key", "neighbour", none.cast(kind).alias("payload"), none.cast("array<double>").alias("unit"))
+            .unionByName(wanted.join(vectors, ["cell", "neighbour"]).select(
+                *on, none.cast(text).alias("query_key"), "neighbour", "payload", none.cast("array<double>").alias("unit")))
+            .unionByName(asked.select(*on, "query_key", none.cast(number).alias("neighbour"), none.cast(kind).alias("payload"), "unit")))
+    scored = rows.groupBy(*on).applyInArrow(
+        _exact_distances, f"query_key {text.simpleString()}, neighbour {number.simpleString()}, score double")
     w = Window.partitionBy("query_key").orderBy("score", "neighbour")
     return scored.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
 
 
+def _exact_distances(block: pa.Table) -> pa.Table:
+    """Rows of three kinds: pairs, vectors of neighbours, vectors of queries."""
+    base = block.filter(pc.is_valid(block["payload"]))
+    asked = block.filter(pc.is_valid(block["unit"]))
+    pairs = block.filter(pc.and_(pc.is_valid(block["query_key"]), pc.is_valid(block["neighbour"])))
+    i = pc.index_in(pairs["query_key"], asked["query_key"]).to_numpy()
+    j = pc.index_in(pairs["neighbour"], base["neighbour"]).to_numpy()
+    q, b = matrix(asked["unit"]), unit(matrix(base["payload"]))
+    score = np.empty(len(i))
+    step = max(1, DISTANCES // max(q.shape[1], 1))
+    for at in range(0, len(i), step):
+        score[at:at + step] = 1.0 - np.einsum("ij,ij->i", q[i[at:at + step]], b[j[at:at + step]])
+    return pa.table({"query_key": pairs["query_key"], "neighbour": pairs["neighbour"], "score": pa.array(score)})
+
+
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
     """Share of exact neighbours that the index found, per k of the exact result."""
     hits = exact.join(found.select("query_id", "neighbour_id").withColumn("hit", F.lit(1)),
@@ -182,8 +236,13 @@ def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
 def lookup(query: DataFrame, index: DataFrame, centroids: np.ndarray, k: int, **options) -> DataFrame:
     """Neighbours of a few given vectors with all stored columns and ``_distance``.
 
-    With an index table partitioned by cell, the join on cell prunes its files.
+    With an index table partitioned by cell, every scan of it reads the probed cells only.
     """
+    options.setdefault("probes", 8)
+    cells = settled(query.where(searchable(options.get("vector", "embedding"))).select(
+        normalise(options.get("vector", "embedding")).alias("unit")), "unit").select(
+        F.explode(nearest_cells_udf(centroids, options["probes"])("unit"))).distinct()
+    index = index.where(F.col("cell").isin([r[0] for r in cells.collect()]))  # at most one per centroid
     hits = search(query, index, centroids, k, **options)
     base_id = options["base_id"]
     stored = index.drop("cell", "code", "norm", "align", options.get("vector", "embedding"))

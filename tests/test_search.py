@@ -103,3 +103,46 @@ def test_index_of_derived_vectors(spark):
     cent = ivf.train_cells(df, 4, seed=1)
     assert ivf.assign_cells(df, cent).groupBy("cell").count().agg(F.sum("count")).first()[0] == 50
     assert ivf.quantise(df, 8, seed=1).select("code").distinct().count() > 10
+
+
+def test_estimate_is_better_than_the_sign_distance():
+    import pyarrow as pa
+    rng = np.random.default_rng(6)
+    x = ivf.unit(rng.normal(size=(300, 100)))
+    q = ivf.unit(rng.normal(size=(20, 100)))
+    bits = (x > 0).astype(np.uint8)
+    words = np.packbits(np.pad(bits, ((0, 0), (0, 28))), axis=1, bitorder="little").view("<i8")
+    align = np.abs(x).sum(axis=1) / 10
+    base = pa.StructArray.from_arrays([pa.array(words.tolist(), pa.list_(pa.int64())), pa.array(align)], ["code", "align"])
+    got = ivf.estimates(pa.array(q.tolist()), base)
+    exact, plain = 1 - q @ x.T, 1 - q @ (np.where(x > 0, 1, -1) / 10).T
+    assert np.abs(got - exact).mean() < 0.1 and np.corrcoef(got.ravel(), exact.ravel())[0, 1] > 0.7
+    assert np.allclose(got, 1 - (1 - plain) / align[None, :])
+
+
+def test_nearest_few_equals_a_full_sort():
+    rng = np.random.default_rng(0)
+    for top in (1000, 3):
+        d = rng.integers(0, top, (50, 30)).astype(float)
+        for few in (1, 4, 29, 30, 40):
+            assert (ivf.nearest_few(d, few) == np.argsort(d, axis=1, kind="stable")[:, :few]).all()
+
+
+def test_one_lookup_reads_only_probed_cells(spark, tmp_path):
+    """Files of other cells may even be gone."""
+    import shutil
+    rng = np.random.default_rng(1)
+    x = np.repeat(rng.normal(size=(6, 16)) * 3, 30, axis=0) + rng.normal(size=(180, 16))
+    df, path = frame(spark, x), str(tmp_path / "index")
+    cent = ivf.train_cells(df, 6, seed=1)
+    ivf.build_index(df, cent, 16, seed=1).write.partitionBy("cell").parquet(path)
+    index, one = spark.read.parquet(path), df.where("id = 7")
+    options = dict(query_id="id", base_id="id", dimension=16, probes=1, seed=1)
+    want = ivf.lookup(one, index, cent, 5, **options).orderBy("rn").collect()
+    home = ivf.assign_cells(one, cent).first()["cell"]
+    for cell in range(6):
+        if cell != home:
+            for file in (tmp_path / "index" / f"cell={cell}").glob("*.parquet"):
+                file.unlink()
+    assert ivf.lookup(one, index, cent, 5, **options).orderBy("rn").collect() == want and len(want) == 5
+    shutil.rmtree(path)
