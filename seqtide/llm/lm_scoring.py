@@ -46,7 +46,7 @@ FOLDS, HELD_OUT = 7, 2
 DISCOUNT = 0.5
 #: Probes of one level; together they are wrong once in 2^20.
 PROBES, BITS_PER_INSERTION = 20, 29
-SLICE = 8 << 20
+SLICE = 4 << 20
 #: Stands for the end of a text; no word holds a line feed.
 END = b"\n"
 
