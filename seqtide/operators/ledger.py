@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seqtide.session import scratch
+
 SCHEMA = "run string, stage string, metric string, value double"
 ELAPSED = "elapsed_s"
 # A metric of this name and a fingerprint says when a stage was built, and from what.
@@ -48,7 +50,8 @@ class Ledger:
         """Build and store a stage once; a later run with the same fingerprint reads what is stored."""
         if force or not self.done(name, output, fingerprint):
             began = time.monotonic()
-            build().write.mode("overwrite").parquet(output)
+            with scratch(self.spark):
+                build().write.mode("overwrite").parquet(output)
             count = self.spark.read.parquet(output).count()
             self.record(name, **{metric: count, ELAPSED: time.monotonic() - began, BUILT + fingerprint: time.time()})
         return self.spark.read.parquet(output)

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_DIRS: dict[str, str] = {}
+_SCOPES: list[str] = []
 
 
 def local_session(cpus: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -45,7 +48,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in this application's part of the shared folder."""
-    return f"{application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    folder = _SCOPES[-1] if _SCOPES else application_dir(spark)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are removed at the end; store the result elsewhere before."""
+    _SCOPES.append(f"{application_dir(spark)}/scope-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        delete_path(spark, _SCOPES.pop())
 
 
 def application_dir(spark: SparkSession) -> str:

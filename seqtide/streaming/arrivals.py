@@ -19,6 +19,7 @@ from seqtide.config import FULL, Profile
 from seqtide.functions.text import present
 from seqtide.operators.encode import Encoder, encode_sequences
 from seqtide.plans.classify import classify_indexed
+from seqtide.session import scratch
 from seqtide.sources.fasta import RECORD_SEPARATOR, parse_records
 
 
@@ -58,7 +59,8 @@ def batches(stream: DataFrame, out: str, checkpoint: str,
             work: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
     """Apply ``work`` to each micro-batch; a repeated batch overwrites its own folder."""
     def run(batch: DataFrame, number: int) -> None:
-        work(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        with scratch(batch.sparkSession):
+            work(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
     return (stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 

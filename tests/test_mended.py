@@ -80,3 +80,15 @@ def test_a_key_in_two_batches_is_stored_once(spark, tmp_path):
         arrivals.append_new(stream, stored, str(tmp_path / "out"), str(tmp_path / "ckpt")).awaitTermination()
     got = arrivals.stored_batches(spark, str(tmp_path / "out")).collect()
     assert sorted(r["accession"] for r in got) == ["a", "b", "c"]
+
+
+def test_intermediate_tables_of_a_scope_are_removed(spark):
+    from pathlib import Path
+
+    from seqtide.session import application_dir, scratch
+    before = materialise(spark.range(3), "outer")
+    root = Path(application_dir(spark).removeprefix("file:"))
+    with scratch(spark):
+        inner = materialise(spark.range(5), "inner")
+        assert inner.count() == 5 and list(root.glob("scope-*/inner-*"))
+    assert not list(root.glob("scope-*")) and before.count() == 3
