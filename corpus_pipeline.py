@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from seqtide.llm import exact_dedup, jaccard_join, packing, quality_rules
 from seqtide.llm.queries import WORD_VOCABULARY, documents
-from seqtide.session import materialise
+from seqtide.session import scratch, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -49,5 +49,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each stored before the next reads it."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = scratch_path(spark, name.replace(" ", "-"))
+        with scratch(spark):  # what the stage stored on its way goes once its result is written
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs
