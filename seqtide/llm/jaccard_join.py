@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqtide.llm.components import components
+from seqtide.llm.id_filter import passing
 from seqtide.llm.skew import attach
 from seqtide.llm.texts import slices, words
 from seqtide.session import materialise
@@ -53,8 +54,6 @@ HASHES = BANDS * ROWS
 LOOK, TOLERANCE = 10, 1e-6
 #: Texts of one block; a group of more is cut into blocks that meet in pairs.
 BLOCK = 512
-#: Bits of the filter of ids, whatever the number of ids; 16 MB.
-FILTER_BITS = 27
 #: Pairs, and shingles, that a task works on at a time.
 CHUNK_PAIRS, CHUNK_SHINGLES = 200_000, 4_000_000
 
@@ -295,37 +294,6 @@ def _blocks(rows: DataFrame, by: str, size: str) -> DataFrame:
     return met.select(*rows.columns, "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
 
 
-def _places(ids: np.ndarray) -> np.ndarray:
-    return _mix(ids.view(np.uint64) * _M1) >> np.uint64(64 - FILTER_BITS)
-
-
-def _filter_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ids -> the 64-bit words of the filter that have bits set."""
-    for batch in batches:
-        at = np.unique(_places(batch.column("doc_id").to_numpy()))
-        word, first = np.unique(at >> np.uint64(6), return_index=True)
-        if len(at):
-            bits = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first)
-            yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(bits.view(np.int64))], names=["word", "bits"])
-
-
-def _passing(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id may be in ``wanted``; no such row is missed."""
-    words = wanted.select("doc_id").mapInArrow(_filter_words, "word long, bits long").groupBy("word").agg(
-        F.bit_or("bits").alias("bits")).toArrow()  # at most 2^21 rows
-    filled = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-    filled[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-    shared = docs.sparkSession.sparkContext.broadcast(filled)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.filter(pc.is_valid(batch.column("doc_id")))
-            at = _places(batch.column("doc_id").to_numpy())
-            bits = shared.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))
-            yield batch.filter(pa.array((bits & np.uint64(1)) == 1))
-    return docs.mapInArrow(run, "doc_id long, text string")
-
-
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """key and distinct shingles of each text; with a wanted key, of the texts that have it."""
     for rows, texts in slices(batches):
@@ -410,7 +378,7 @@ def join(docs: DataFrame) -> DataFrame:
 
     # verification on whole shingle sets
     wanted = placed.where("least_id is not null").select(F.col("least_id").alias("doc_id"), "key")
-    named = _passing(read, wanted).join(wanted, "doc_id")
+    named = passing(read, wanted).join(wanted, "doc_id")
     nameless = read.where("doc_id is null").select("text").mapInArrow(_sets, "key long, shingles binary")
     nameless = nameless.join(placed.where("least_id is null").select("key"), "key", "left_semi")
     sets = named.select("key", "text").mapInArrow(_sets, "key long, shingles binary").unionByName(nameless)

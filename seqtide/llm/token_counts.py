@@ -26,6 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seqtide.llm.id_filter import passing
 from seqtide.llm.skew import attach
 from seqtide.llm.texts import slices, word_ids
 from seqtide.session import materialise
@@ -76,8 +77,11 @@ def count_tokens(docs: DataFrame, vocabulary: str, cache: str, collapse: bool =
     known = read_cache(spark, cache, tokenizer)
     missing = materialise(sizes.join(known, "content", "left_anti"), "missing")
     # a content is read from one document that has it; where only rows without an id do, from those
-    named = docs.select("doc_id", "text").join(missing.where("doc_id is not null").select("doc_id"), "doc_id", "left_semi")
-    nameless = docs.select("doc_id", "text").where("doc_id is null")
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    wanted = missing.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"))
+    # the same plan at every size: texts move once, those already known mostly not at all
+    named = passing(read, wanted).join(wanted.hint("merge"), "doc_id", "left_semi")
+    nameless = read.where("doc_id is null")
     fresh = (named.unionByName(nameless).select(content.alias("content"), "text")
              .mapInArrow(_counter(vocabulary), "content binary, n_tokens long"))
     # rows that only share the id of a wanted text, or have none, may bring others
