@@ -1,11 +1,14 @@
 """Licence scans: parts of a text against licence templates by the Dice coefficient
 over distinct word bigrams.
 
-Parts are the paragraphs of a text (cut at lines without words) and, where a
-paragraph has several lines, each of its lines. A part is lower-cased and reduced to
+Parts are the paragraphs of a text (cut at lines without letters and digits) and, where
+a paragraph has several lines, each of its lines. A part is lower-cased and reduced to
 letters and digits. Dice of at least t between sizes a and b needs
 a >= b * t / (2 - t) and the reverse, so a part meets only the templates whose
-range holds its number of bigrams: a lookup by that number in a small table.
+range holds its number of bigrams: a lookup by that number in a small table. The same
+bounds say how many bigrams of a part may be in no template; as every word that no
+template has ends a bigram of its own (but for the first word), parts with more of such
+words are put aside before their bigrams are made.
 
 Everything is built-in functions in one pass; nothing is shuffled. The lookup table
 has one row per size that any template admits, and is broadcast.
@@ -59,8 +62,6 @@ TEMPLATES = {
 #: Least Dice coefficient of a match, in hundredths.
 LEAST = 80
 
-_SPACE = "[\\x20\\x09-\\x0D]"
-
 
 def template_bigrams(text: str) -> set[tuple[str, str]]:
     words = re.findall(r"[^\W_]+", text.lower())
@@ -73,22 +74,31 @@ def sizes(n: int, least: int = LEAST) -> range:
     return range(-(-n * least // (200 - least)), n * (200 - least) // least + 1)
 
 
-def _words(text: Column) -> Column:
-    return F.split(F.btrim(F.regexp_replace(F.lower(text), "[^\\p{L}\\p{N}]+", " ")), " ")
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _clean(text: Column) -> Column:
+    """Letters and digits in lower case, single spaces, line feeds kept."""
+    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}\\n]+", " ")
+
+
+def _words(clean: Column) -> Column:
+    return F.split(F.btrim(clean, F.lit(" \n")), "[ \n]+")
 
 
 def _bigrams(words: Column) -> Column:
-    """Distinct bigrams as 64-bit hashes."""
-    pairs = F.transform(F.array(words), lambda w: F.when(F.size(w) < 2, F.array().cast("array<bigint>")).otherwise(
-        F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(w) - 2), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1))))))
-    return pairs[0]
+    """Distinct bigrams as 64-bit hashes; null for less than two words."""
+    pairs = F.transform(F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1)))
+    return F.when(F.size(words) >= 2, F.array_distinct(pairs))
 
 
 def candidates(docs: DataFrame, templates: dict[str, str], least: int) -> DataFrame:
     """n (bigrams of a part) -> templates that a part of this size can match."""
     spark = docs.sparkSession
     texts = spark.createDataFrame(sorted(templates.items()), "template string, text string").select(
-        "template", _bigrams(_words(F.col("text"))).alias("bigrams"))
+        "template", _let(_words(_clean(F.col("text"))), _bigrams).alias("bigrams"))
     rows = [(name, n) for name, text in templates.items() for n in sizes(len(template_bigrams(text)), least)]
     admitted = spark.createDataFrame(rows, "template string, n int")
     return admitted.join(F.broadcast(texts), "template").groupBy("n").agg(
@@ -97,13 +107,20 @@ def candidates(docs: DataFrame, templates: dict[str, str], least: int) -> DataFr
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: int = LEAST) -> DataFrame:
     """doc_id, part (place among the parts), n_bigrams, template, dice of every part that matches."""
-    paragraphs = F.split(F.coalesce(F.col("text"), F.lit("")), f"\\n(?:{_SPACE}*\\n)+")
-    lines = F.transform(paragraphs, lambda p: F.filter(F.split(p, "\\n"), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != ""))
-    parts = F.flatten(F.transform(F.arrays_zip(paragraphs.alias("p"), lines.alias("l")), lambda x: F.when(
-        F.size(x["l"]) > 1, F.concat(F.array(x["p"]), x["l"])).otherwise(F.array(x["p"]))))
+    templates = templates or TEMPLATES
+    known = F.array(*[F.lit(w) for w in sorted({w for t in templates.values() for w in re.findall(r"[^\W_]+", t.lower())})])
+
+    def worth(words: Column) -> Column:
+        # strange words - 1 <= strange bigrams <= bigrams * (2 - 2t) / (2 - t)
+        strange = F.size(F.array_except(words, known)) - 1
+        return strange * (200 - least) <= (F.size(words) - 1) * (200 - 2 * least)
+    parts = F.flatten(F.transform(F.split(_clean(F.col("text")), "\\n(?: ?\\n)+"), lambda p: _let(
+        F.filter(F.split(p, "\\n"), lambda x: F.btrim(x) != ""),
+        lambda ls: F.when(F.size(ls) > 1, F.concat(F.array(p), ls)).otherwise(F.array(p)))))
     read = docs.select("doc_id", F.posexplode(parts).alias("part", "text"))
-    sized = read.select("doc_id", "part", _bigrams(_words(F.col("text"))).alias("bigrams")).withColumn("n_bigrams", F.size("bigrams"))
-    table = candidates(docs, templates or TEMPLATES, least)
+    sized = read.select("doc_id", "part", _let(_words(F.col("text")), lambda w: F.when(worth(w), _bigrams(w))).alias("bigrams"))
+    sized = sized.where("bigrams is not null").withColumn("n_bigrams", F.size("bigrams"))
+    table = candidates(docs, templates, least)
     met = sized.join(F.broadcast(table), F.col("n_bigrams") == F.col("n"))
     scored = met.withColumn("found", F.filter(F.transform("templates", lambda t: F.struct(
         (2 * F.size(F.array_intersect("bigrams", t["bigrams"]))).alias("twice"),
@@ -121,12 +138,12 @@ def _sql_templates() -> str:
 ORACLE = f"""
 with tw as (select name, regexp_extract_all(lower(txt), '[\\p{{L}}\\p{{N}}]+') as w from (values {_sql_templates()}) v(name, txt)),
 tb as (select name, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as tbi from tw),
-par as (select doc_id, regexp_split_to_array(coalesce(text, ''), '\\n(?:[\\x20\\x09-\\x0D]*\\n)+') as ps from documents),
+cl as (select doc_id, regexp_replace(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g') as c from documents),
+par as (select doc_id, regexp_split_to_array(c, '\\n(?: ?\\n)+') as ps from cl),
 parts as (select doc_id, flatten(list_transform(ps, lambda p: list_concat([p], case when len(list_filter(string_split(p, chr(10)),
-              lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]'))) > 1 then list_filter(string_split(p, chr(10)),
-              lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) else [] end))) as us from par),
+              lambda x: trim(x) <> '')) > 1 then list_filter(string_split(p, chr(10)), lambda x: trim(x) <> '') else [] end))) as us from par),
 units as (select doc_id, unnest(range(0, len(us))) as part, unnest(us) as u from parts),
-uw as (select doc_id, part, regexp_extract_all(lower(u), '[\\p{{L}}\\p{{N}}]+') as w from units),
+uw as (select doc_id, part, regexp_extract_all(u, '[\\p{{L}}\\p{{N}}]+') as w from units),
 ub as (select doc_id, part, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as ubi from uw where len(w) > 1),
 hit as (select doc_id, part, len(ubi) as n_bigrams, name as template, 2 * len(list_intersect(ubi, tbi)) as twice, len(ubi) + len(tbi) as total
         from ub join tb on 100 * 2 * least(len(ubi), len(tbi)) >= {LEAST} * (len(ubi) + len(tbi)))
