@@ -218,11 +218,16 @@ def labels(points: DataFrame, tree: dict[str, DataFrame], probability: str = "at
 
 def density_clusters(points: DataFrame, *, min_samples: int, min_cluster_size: int,
                      vector: str = "coords", levels: int | None = 64, neighbours: int | None = None,
-                     metric: str = "euclidean", probability: str = "attribute") -> DataFrame:
-    """Cluster label and membership probability for every point (id, vector)."""
-    k = neighbours or max(2 * min_samples, 15)
-    near = exact_knn(points, points, k, query_id="id", base_id="id", vector=vector,
-                     metric=metric, exclude_self=True)
+                     metric: str = "euclidean", probability: str = "attribute",
+                     near: DataFrame | None = None) -> DataFrame:
+    """Cluster label and membership probability for every point (id, vector).
+
+    ``near`` (query_id, neighbour_id, distance, rn) are neighbours found before, through an
+    index for instance; without it they are searched exactly, which suits few dimensions.
+    """
+    if near is None:
+        near = exact_knn(points, points, neighbours or max(2 * min_samples, 15), query_id="id", base_id="id",
+                         vector=vector, metric=metric, exclude_self=True)
     cores = materialise(core_distances(near, min_samples), "cores")
     forest = materialise(spanning_forest(mutual_reachability(near, cores)), "forest")
     return labels(points, hierarchy(points, forest, min_cluster_size, levels), probability)
