@@ -3,7 +3,8 @@
 ``write_tokens`` sorts documents by id into range partitions; every task encodes
 its texts and writes files of bounded size under names of its own. The manifest,
 written by Spark once all tasks are done, names the files that count, so what a
-lost or repeated task left behind is never read.
+lost or repeated task left behind is never read. The folder may be in any store that
+``pyarrow.fs`` opens by its URI and all executors reach.
 
 A file is little-endian: the magic, eight unsigned 64-bit counts (documents, ids,
 blocks, words, escapes, block size, two spare), then the arrays doc_id (signed),

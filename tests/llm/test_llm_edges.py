@@ -236,6 +236,25 @@ def test_license_scan(spark, docs, none):
     assert license_scan.scan(none).count() == 0
 
 
+def test_native_operators_stay_in_the_jvm(docs):
+    for found in (license_scan.scan(docs), exact_dedup.report(docs), exact_dedup.copies(docs), exact_dedup.kept(docs), quality_rules.judge(docs)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoop"))
+
+
+def test_strange_words_never_hide_a_match(spark):
+    """Matches of parts that are changed as far as they may be."""
+    template = " ".join(f"t{i}" for i in range(40))
+    rows = [(k, " ".join(w if i >= k else f"new{i}" for i, w in enumerate(template.split()))) for k in range(20)]
+    rows += [(100 + k, template + " " + " ".join(f"more{i}" for i in range(k))) for k in range(25)]
+    found = {r.doc_id for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), {"T": template}).collect()}
+
+    def dice(text):
+        a, b = (license_scan.template_bigrams(t) for t in (text, template))
+        return 200 * len(a & b) >= 80 * (len(a) + len(b))
+    assert found == {i for i, t in rows if dice(t)} and 5 < len(found) < len(rows)
+
+
 def test_sizes_admit_every_match():
     for n in (1, 4, 37, 150):
         want = [a for a in range(1, 4 * n + 5) if 100 * 2 * min(a, n) >= 80 * (a + n)]
