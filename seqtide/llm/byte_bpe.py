@@ -19,7 +19,7 @@ import base64
 import hashlib
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from seqtide.llm.texts import byte_letters, id_bytes, slices
 
 #: Stretches of text that a Python worker remembers.
-CACHE = 700_000
+CACHE = 500_000
 #: Longer stretches are encoded each time.
 CACHE_CHARS = 64
 
@@ -80,7 +80,6 @@ class ByteBpe:
 
     def __init__(self, path: str, pattern: str):
         import regex
-        import sentencepiece
 
         self.ranks = read_ranks(path)
         self.letters = byte_letters()
@@ -88,9 +87,15 @@ class ByteBpe:
         self.token = {rank: token for token, rank in self.ranks.items()}
         self.decimal = {rank: b"%d," % rank for rank in self.token}
         self.matches = regex.compile(pattern).findall
-        self.model = sentencepiece.SentencePieceProcessor(model_proto=model_bytes(self.ranks, self.letters))
         self.known: dict[str, bytes] = {}
 
+    @cached_property
+    def model(self):
+        """Built by workers that encode, not by those that only decode."""
+        import sentencepiece
+
+        return sentencepiece.SentencePieceProcessor(model_proto=model_bytes(self.ranks, self.letters))
+
     def _stretches(self, text: str, plain: dict[str, bool]) -> list[str]:
         """Parts of ``text`` between whose ends no match runs on."""
         parts = text.split(" ")
