@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 #: Bytes of text that a task works on at a time.
 SLICE_BYTES = 4 << 20
 #: Words whose ids a Python worker remembers between slices.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 600_000
 #: Longer words are encoded in each slice anew.
 CACHE_WORD_BYTES = 64
 
