@@ -3,21 +3,24 @@
 Tokens are words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, and one end per text.
 Documents whose ``crc32(doc_id as text) mod 7`` is 2 are held out of all counts.
 
-*Unigrams* are counted exactly. Words with at least a share of 2^-20 of all tokens
-are at most 2^20; their counts are broadcast. Rarer words meet their counts in a
-shuffle; as none of them is frequent, no key is hot.
-
-*Bigrams* of frequent words are counted exactly, and those with at least a share of
-2^-20 of the training tokens, at most 2^20 again, are put in the filter: a bigram of
-count c enters at the levels 1 .. 1 + floor(2 log2(c / least)), so the filter takes
-at most 2^21 insertions at any size of the corpus. A probe asks level after level
+*Words* with at least a share of 2^-20 of all tokens are at most 2^20; their counts
+are broadcast. They are known by their place in that list, other words by hash.
+
+*Bigrams* of the training texts are all counted exactly and all enter the filter: one
+of count c at the levels 1 .. 1 + floor(2 log2(c)). A probe asks level after level
 until one is missing, and the last one present gives the count back within a factor
 of sqrt(2), never too high but for a false positive (about 1 in 10^6).
 
-*Score.* After a frequent word v a bigram of the filter has the probability
-(c - 1/2) / c(v); any other word has b(v) times its add-one unigram probability,
-where b(v) hands out exactly what is left. After other words, and at the beginning,
-the unigram probability holds.
+*Shards.* The filter is cut into shards of about 2^18 tokens: by the second word if it
+is rare, so that a shard also counts its rare words, and else by both words. Texts send
+each shard the distinct bigrams of a slice by document; the shard counts, builds its
+part of the filter, answers and adds up by document. A bigram comes at most once from
+a document, and counts of a slice travel in one block, so frequent ones stay small.
+
+*Score.* A bigram of the filter has the probability (c - 1/2) / c(v) after v; any other
+word has b(v) times its add-one unigram probability, where b(v) hands out exactly what
+is left. At the beginning the unigram probability holds. b(v) is a sum over all shards:
+what needs it meets it in a broadcast if v is frequent, in a shuffle if v is rare.
 
 Null texts count as empty: the end alone. A null doc_id is not held out. Rows that
 repeat are counted and scored each. No rows give no rows. Other columns are not read.
@@ -40,8 +43,10 @@ from pyspark.sql import functions as F
 from seqtide.llm.texts import slices
 from seqtide.session import materialise
 
-#: Frequent words and bigrams have at least one in so many of the tokens.
+#: Frequent words have at least one in so many of the tokens.
 FREQUENT = 1 << 20
+#: Tokens whose bigrams one shard of the filter holds, on average.
+SHARD = 1 << 18
 FOLDS, HELD_OUT = 7, 2
 DISCOUNT = 0.5
 #: Probes of one level; together they are wrong once in 2^20.
@@ -49,6 +54,8 @@ PROBES, BITS_PER_INSERTION = 20, 29
 SLICE = 4 << 20
 #: Stands for the end of a text; no word holds a line feed.
 END = b"\n"
+#: Stands for the beginning of a text before its first word; no place is as high.
+BEGIN = 1 << 40
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -145,9 +152,13 @@ class Model:
         """The least count that enters at ``level``."""
         return self.least * np.exp2((level - 1) / 2)
 
+    def levels_of(self, counts: np.ndarray) -> np.ndarray:
+        """The levels at which these counts enter."""
+        return 1 + np.floor(2 * np.log2(np.maximum(counts / self.least, 1)) + 1e-9).astype(np.int64)
+
     def add_bigrams(self, pairs: np.ndarray, counts: np.ndarray) -> None:
         """``pairs`` hold two places, the first in the upper half."""
-        levels = 1 + np.floor(2 * np.log2(np.maximum(counts / self.least, 1)) + 1e-9).astype(np.int64)
+        levels = self.levels_of(counts)
         self.bigrams = LogFrequencyFilter(_mix(pairs.astype(np.uint64)), levels)
         first, second = (pairs >> 32).astype(np.int64), (pairs & 0xFFFFFFFF).astype(np.int64)
         given = np.maximum(self.counts, 1)
@@ -188,66 +199,182 @@ def _previous(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def _pair_counter(model):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = model.value
-        for rows, texts in slices(batches, size=SLICE):
-            learned = [s for s, d in zip(tokens(texts), rows.column("doc_id").to_pylist(), strict=True) if not held_out(d)]
-            if not learned:
-                continue
-            hashes, codes, first = _coded(learned)
-            place = m.place(hashes)[codes]
-            before = _previous(place, first)
-            both = (place >= 0) & (before >= 0)
-            pairs, n = np.unique(before[both] << 32 | place[both], return_counts=True)
-            yield _batch(pair=pairs, n=n)
-    return count
+def _starts(*sorted_keys: np.ndarray) -> np.ndarray:
+    """Where a new group begins."""
+    new = np.ones(len(sorted_keys[0]), bool)
+    if len(new):
+        new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in sorted_keys])
+    return np.flatnonzero(new)
+
+
+def _summed(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Distinct keys and the sums of their values."""
+    order = np.lexsort(keys[::-1])
+    keys = [k[order] for k in keys]
+    at = _starts(*keys)
+    return [k[at] for k in keys], [np.add.reduceat(x[order], at) if len(at) else x for x in values]
+
+
+def _packed(columns: list[np.ndarray]) -> bytes:
+    """Columns of 8, 8, 4 and 4 bytes, equal bytes of a column side by side for the codec."""
+    return b"".join(c.view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in columns)
 
 
-SCORED = ("row long, doc_id long, held_out boolean, n_tokens long, known long, base double, more double, "
-          "rare array<struct<word: long, n: long>>")
-_RARE = pa.list_(pa.struct([("word", pa.int64()), ("n", pa.int64())]))
+_COLUMNS = (np.int64, np.int64, np.uint32, np.uint32)
 
 
-def _scorer(model):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _unpacked(data: bytes) -> list[np.ndarray]:
+    n, at, out = len(data) // 24, 0, []
+    for kind in _COLUMNS:
+        size = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(np.frombuffer(data, np.uint8, n * size, at).reshape(size, n).T).view(kind).ravel())
+        at += n * size
+    return out
+
+
+#: Shards from 0 on: v, w, 2 * document + held out, times. Below 0: one slice's documents: id, tokens, 2 * document + held out, id known.
+BLOCKS = "shard long, row long, data binary"
+
+
+def _sender(model, shards: int):
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
-        row = TaskContext.get().partitionId() << 33
-        uni = m.unigram()
+        part = TaskContext.get().partitionId()
+        row = part << 33
         for rows, texts in slices(batches, size=SLICE):
             hashes, codes, first = _coded(tokens(texts))
-            place = m.place(hashes)[codes]
-            before, docs = _previous(place, first), len(first) - 1
-            doc = np.repeat(np.arange(docs), np.diff(first))
-            frequent = place >= 0
-            base = _sums(doc[frequent], uni[place[frequent]], docs)
-            known = np.bincount(doc[frequent], m.counts[place[frequent]] > 0, docs).astype(np.int64)
-            # bigrams: each distinct pair is probed once
-            more = np.zeros(len(codes))
-            given = before >= 0
-            more[given] = m.backoff[before[given]]
-            both = np.flatnonzero(given & frequent)
-            pairs, of = np.unique(before[both] << 32 | place[both], return_inverse=True)
-            level = m.bigrams.levels(_mix(pairs.astype(np.uint64)))[of]
-            hit, level = both[level > 0], level[level > 0]
-            more[hit] = np.log10((m.count_at(level) - DISCOUNT) / np.maximum(m.counts[before[hit]], 1)) - uni[place[hit]]
-            # words whose counts are elsewhere
-            rare = np.flatnonzero(~frequent)
-            cells, n = np.unique(doc[rare] * len(hashes) + codes[rare], return_counts=True)
-            ends = np.concatenate([[0], np.cumsum(np.bincount(cells // max(len(hashes), 1), minlength=docs))])
-            listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
-                [pa.array(hashes[cells % max(len(hashes), 1)].view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"]))
-            ids = rows.column("doc_id")
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row + np.arange(docs)), ids, pa.array([held_out(d) for d in ids.to_pylist()]),
-                 pa.array(np.diff(first)), pa.array(known), pa.array(base), pa.array(_sums(doc, more, docs)), listed.cast(_RARE)],
-                names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "more", "rare"])
+            docs, n = len(first) - 1, np.diff(first)
+            ids = rows.column("doc_id").to_pylist()
+            mark = np.arange(docs, dtype=np.uint32) << np.uint32(1) | np.fromiter(map(held_out, ids), np.uint32, docs)
+            out = [(-1 - row, _packed([np.fromiter((d or 0 for d in ids), np.int64, docs), n.astype(np.int64), mark,
+                                       np.fromiter((d is not None for d in ids), np.uint32, docs)]))]
+            place = m.place(hashes)
+            word = np.append(np.where(place >= 0, place, (hashes | np.uint64(1 << 63)).view(np.int64)), BEGIN)
+            before = _previous(codes, first)  # -1 is the last of word
+            pair, doc = (before + 1) * len(hashes) + codes, np.repeat(mark, n)
+            order = np.argsort(pair, kind="stable")
+            pair, doc = pair[order], doc[order]
+            at = _starts(pair, doc)
+            times = np.diff(np.append(at, len(pair))).astype(np.uint32)
+            v, w, doc = word[pair[at] // len(hashes) - 1], word[pair[at] % len(hashes)], doc[at]
+            key = np.where(w >= 0, v, 0).astype(np.uint64) * _M1 + w.astype(np.uint64)
+            shard = (_mix(key) % np.uint64(shards)).astype(np.int64)
+            order = np.argsort(shard, kind="stable")
+            v, w, doc, times, shard = (x[order] for x in (v, w, doc, times, shard))
+            at = np.append(_starts(shard), len(shard)).tolist()
+            out += [(int(shard[a]), _packed([v[a:b], w[a:b], doc[a:b], times[a:b]])) for a, b in zip(at, at[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in out], pa.int64()), pa.array([row] * len(out), pa.int64()),
+                                              pa.array([x for _, x in out], pa.binary())], names=["shard", "row", "data"])
             row += docs
-    return score
-
-
-def train(docs: DataFrame) -> tuple[Model, DataFrame]:
-    """The model, and the table of all words: word (hash), learned (training count), n (count)."""
+    return send
+
+
+#: What shards answer, by kind, in the columns row, v, a, b, n, k.
+#: A document: id, -, -, tokens, held out. Sums of a document: base, more, known. Sums of a word v: what its bigrams hold, their unigram
+#: probabilities, count if rare. To be done with v: bigrams found after it, bigrams not found.
+DOCUMENT, SUMS, WORD, LATER = range(4)
+ANSWERS = "kind int, row long, v long, a double, b double, n long, k long"
+
+
+def _answers(kind: int, size: int, v_known: np.ndarray | None = None, **columns: np.ndarray) -> pa.RecordBatch:
+    types = {"row": np.int64, "v": np.int64, "a": np.float64, "b": np.float64, "n": np.int64, "k": np.int64}
+    filled = {c: np.asarray(columns[c]).astype(t) if c in columns else np.zeros(size, t) for c, t in types.items()}
+    arrays = {c: pa.array(x, mask=~v_known if c == "v" and v_known is not None else None) for c, x in filled.items()}
+    return pa.RecordBatch.from_arrays([pa.array(np.full(size, kind, np.int32)), *arrays.values()], names=["kind", *types])
+
+
+class _Sums:
+    """Sums by key over the shards of a task, in bounded memory."""
+
+    def __init__(self, kind: int, key: str, values: list[str]):
+        self.kind, self.key, self.values, self.parts, self.size = kind, key, values, [], 0
+
+    def add(self, key: np.ndarray, *values: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.parts.append((key, *values))
+        self.size += len(key)
+        if self.size > 2 * SHARD:
+            (key,), values = self._sum()
+            self.parts, self.size = [(key, *values)], len(key)
+            if self.size > SHARD:
+                yield from self.rest()
+
+    def _sum(self):
+        key, *values = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        return _summed([key], values)
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self.parts:
+            (key,), values = self._sum()
+            yield _answers(self.kind, len(key), **{self.key: key}, **dict(zip(self.values, values, strict=True)))
+        self.parts, self.size = [], 0
+
+
+def _shard(m: Model, v, w, row, held, times, sums: _Sums, words: _Sums) -> Iterator[pa.RecordBatch]:
+    """Counts of one shard, its part of the filter and its answers."""
+    order = np.lexsort((v, w))
+    v, w, row, held, times = (x[order] for x in (v, w, row, held, times))
+    learned = np.where(held, 0, times)
+    at = _starts(w)  # rare words have all their bigrams here
+    of_word = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(w))))
+    second, c = w[at], np.add.reduceat(learned, at)
+    frequent = second >= 0
+    c[frequent] = m.counts[second[frequent]]
+    yield from words.add(second[~frequent], np.zeros((~frequent).sum()), np.zeros((~frequent).sum()), c[~frequent])
+    uni = np.log10((c + 1) / (m.n + m.v + 1))
+    at = _starts(w, v)
+    of_pair = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(w))))
+    first, count, word_of = v[at], np.add.reduceat(learned, at), of_word[at]
+    keys = _mix(first.astype(np.uint64) * _M2 + _mix(w[at].astype(np.uint64)))
+    bigram, level = first != BEGIN, np.zeros(len(at), np.int64)
+    enters = bigram & (count > 0)
+    entered = m.levels_of(count[enters])
+    level[bigram] = LogFrequencyFilter(keys[enters], entered).levels(keys[bigram])
+    given = np.ones(len(at))  # rare v: counted elsewhere
+    known_v = bigram & (first >= 0)
+    given[known_v] = np.maximum(m.counts[first[known_v]], 1)
+    yield from words.add(first[enters], (m.count_at(entered) - DISCOUNT) / given[enters], 10 ** uni[word_of[enters]],
+                         np.zeros(int(enters.sum()), np.int64))
+    found = level > 0
+    gain = np.zeros(len(at))
+    gain[found] = np.log10((m.count_at(level[found]) - DISCOUNT) / given[found]) - uni[word_of[found]]
+    yield from sums.add(row, times * uni[of_word], times * gain[of_pair], times * (c[of_word] > 0))
+    later = (bigram & (~found | (first < 0)))[of_pair]
+    hit = found[of_pair][later]
+    (row, v), (hits, misses) = _summed([row[later], v[later]], [times[later] * hit, times[later] * ~hit])
+    yield _answers(LATER, len(row), row=row, v=v, n=hits, k=misses)
+
+
+def _answerer(model):
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m: Model = model.value
+        sums, words = _Sums(SUMS, "row", ["a", "b", "n"]), _Sums(WORD, "v", ["a", "b", "n"])
+        now, blocks = None, []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            if blocks:
+                v, w, row, held, times = (np.concatenate(x) for x in zip(*blocks, strict=True))
+                blocks.clear()
+                yield from _shard(m, v, w, row, held, times, sums, words)
+
+        for batch in batches:
+            for shard, start, data in zip(*(batch.column(c) for c in ("shard", "row", "data")), strict=True):
+                a, b, mark, c = _unpacked(data.as_py())
+                row, held = start.as_py() + (mark >> np.uint32(1)).astype(np.int64), (mark & np.uint32(1)).astype(bool)
+                if shard.as_py() < 0:
+                    yield _answers(DOCUMENT, len(row), c > 0, row=row, v=a, n=b, k=held)
+                    continue
+                if shard.as_py() != now:
+                    yield from close()
+                    now = shard.as_py()
+                blocks.append((a, b, row, held, c.astype(np.int64)))
+        yield from close()
+        yield from sums.rest()
+        yield from words.rest()
+    return answer
+
+
+def train(docs: DataFrame) -> tuple[Model, int]:
+    """The model of frequent words, and the number of all tokens."""
     counted = materialise(docs.mapInArrow(_count_words, "word long, learned long, n long").groupBy("word").agg(
         F.sum("learned").alias("learned"), F.sum("n").alias("n")), "words")
     total = counted.agg(F.sum("learned"), F.count_if(F.col("learned") > 0), F.sum("n")).first()
@@ -257,28 +384,33 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame]:
     head = counted.where(F.col("n") >= common).select("word", "learned").toArrow()
     hashes, counts = head.column("word").to_numpy().view(np.uint64), head.column("learned").to_numpy()
     order = np.argsort(hashes)
-    model = Model(hashes[order], counts[order], n, v, max(1, -(-n // FREQUENT)))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    pairs = (docs.mapInArrow(_pair_counter(shared), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-             .where(F.col("n") >= model.least).toArrow())  # at most FREQUENT rows, for the same reason
-    shared.destroy()
-    model.add_bigrams(pairs.column("pair").to_numpy(), pairs.column("n").to_numpy())
-    return model, counted.where(F.col("n") < common)
+    return Model(hashes[order], counts[order], n, v, 1), every
 
 
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    model, rare = train(read)
+    model, every = train(read)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    scored = materialise(read.mapInArrow(_scorer(shared), SCORED), "scored")
-    words_of = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", F.col("r.n").alias("times"))
-    size = F.lit(float(model.n + model.v + 1))
-    rest = words_of.join(rare, "word").groupBy("row").agg(
-        F.sum(F.col("times") * F.log10((F.col("learned") + 1) / size)).alias("rare_base"),
-        F.sum(F.when(F.col("learned") > 0, F.col("times")).otherwise(0)).alias("rare_known"))
-    none = F.lit(0)
-    base = F.col("base") + F.coalesce("rare_base", none)
-    return scored.drop("rare").join(rest, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("rare_known", none)).alias("n_known"),
-        F.lit(model.n).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("more")).alias("score"))
+    blocks = read.mapInArrow(_sender(shared, max(1, -(-every // SHARD))), BLOCKS).repartition("shard").sortWithinPartitions("shard")
+    answers = materialise(blocks.mapInArrow(_answerer(shared), ANSWERS), "answers")
+    kind, v, zero = F.col("kind"), F.col("v"), F.lit(0.0)
+    given = F.greatest(F.coalesce("c", F.lit(1)), F.lit(1))
+    # frequent words are divided by their counts before
+    left = (1 - F.col("held") / given, 1 - F.col("base"))
+    of_word = answers.where(kind == WORD).groupBy("v").agg(F.sum("a").alias("held"), F.sum("b").alias("base"), F.sum("n").alias("c")).select(
+        "v", F.log10(given).alias("log_c"), F.log10(F.greatest(left[0], F.lit(1e-9)) / F.greatest(left[1], F.lit(1e-9))).alias("backoff"))
+    later = answers.where(kind == LATER)
+    met = later.where(v >= 0).join(F.broadcast(of_word.where(v >= 0)), "v", "left").unionByName(
+        later.where(v < 0).join(of_word.where(v < 0), "v", "left"))
+    done = met.select("kind", "row", F.lit(None).cast("long").alias("v"), zero.alias("a"), (
+        F.coalesce(F.col("k") * F.col("backoff"), zero) - F.coalesce(F.col("n") * F.col("log_c"), zero)).alias("b"),
+        F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("k"))
+    document = kind == DOCUMENT
+    known = F.sum(F.when(kind == SUMS, F.col("n")).otherwise(0))
+    return answers.where(kind.isin(DOCUMENT, SUMS)).unionByName(done).groupBy("row").agg(
+        F.max(F.when(document, v)).alias("doc_id"), F.max(F.when(document, F.col("k"))).alias("held"),
+        F.max(F.when(document, F.col("n"))).alias("n_tokens"), known.alias("n_known"), F.sum("a").alias("base_score"),
+        F.sum("b").alias("more")).select(
+        "doc_id", (F.col("held") == 1).alias("held_out"), "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"),
+        "base_score", (F.col("base_score") + F.col("more")).alias("score"))

@@ -1,7 +1,9 @@
 """Nulls, empty and long texts, ties, repeated rows, clashing columns, empty tables."""
 
+import math
 import os
 import sys
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -178,6 +180,37 @@ def test_rare_words_are_counted_elsewhere(docs, monkeypatch):
     assert order((r.doc_id, r.n_known, round(r.base_score, 6)) for r in lm_scoring.score(docs).collect()) == whole
 
 
+def katz(rows):
+    """Score of every row by all bigrams of the training texts, counts cut to powers of sqrt(2)."""
+    split = [((t or "").encode().lower().split()) + [b"\n"] for _, t in rows]
+    trained = [s for s, (d, _) in zip(split, rows, strict=True) if not lm_scoring.held_out(d)]
+    c, pairs = Counter(w for s in trained for w in s), Counter(p for s in trained for p in zip(s, s[1:], strict=False))
+    size = sum(c.values()) + len(c) + 1
+    cut = {p: 2 ** (math.floor(2 * math.log2(n) + 1e-9) / 2) for p, n in pairs.items()}
+    held, base = Counter(), Counter()
+    for (v, w), n in cut.items():
+        held[v] += (n - 0.5) / c[v]
+        base[v] += (c[w] + 1) / size
+    out = []
+    for s in split:
+        p = [(c[s[0]] + 1) / size]
+        for v, w in zip(s, s[1:], strict=False):
+            b = max(1 - held[v], 1e-9) / max(1 - base[v], 1e-9)
+            p.append((cut[v, w] - 0.5) / c[v] if (v, w) in cut else b * (c[w] + 1) / size)
+        out.append(sum(map(math.log10, p)))
+    return out
+
+
+@pytest.mark.parametrize("frequent, shard", [(1 << 20, 1 << 18), (40, 1 << 12), (1, 50)])
+def test_all_bigrams_are_in_the_filter(docs, monkeypatch, frequent, shard):
+    monkeypatch.setattr(lm_scoring, "FREQUENT", frequent)
+    monkeypatch.setattr(lm_scoring, "SHARD", shard, raising=False)
+    found = order((r.doc_id, r.n_tokens, round(r.score, 4)) for r in lm_scoring.score(docs).collect())
+    want = order((d, len((t or "").encode().split()) + 1, round(x, 4)) for (d, t), x in zip(TEXTS, katz(TEXTS), strict=True))
+    assert [x[:2] for x in found] == [x[:2] for x in want]
+    assert [x[2] for x in found] == pytest.approx([x[2] for x in want], abs=1e-3)
+
+
 def test_filter_gives_levels_back():
     rng = np.random.default_rng(1)
     keys = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
