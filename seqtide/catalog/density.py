@@ -107,7 +107,7 @@ def noise_points(spark, sf):
 def _tree(spark, sf):
     points, near, cores = _graph(spark, sf)
     found = materialise(spanning_forest(density.mutual_reachability(near, cores)), "forest")
-    return points, density.hierarchy(points, found, DEMO.min_cluster_size, levels=FULL.levels)
+    return points, density.hierarchy(points, found, DEMO.min_cluster_size)
 
 
 @query("condensed_tree")

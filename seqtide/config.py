@@ -40,7 +40,7 @@ class Profile:
     probes: int = 32
     refine: int = 4
     block_rows: int = 2048
-    levels: int = 64
+    levels: int | None = None
 
 
 FULL = Profile()

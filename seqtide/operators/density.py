@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqtide.operators.graph import components, roots, spanning_forest
@@ -43,40 +46,102 @@ def radius_clusters(points: DataFrame, cores: DataFrame, edges: DataFrame, radiu
         "id", F.coalesce("component", F.lit(-1)).alias("cluster"))
 
 
-def levels_of(forest: DataFrame, levels: int | None) -> DataFrame:
-    """g, dist: the radii at which the hierarchy is cut, ascending.
-
-    ``None`` cuts at every distinct weight (exact); otherwise at quantiles, so the
-    list has at most ``levels`` + 1 entries.
-    """
-    if levels is None:
-        return dense_index(forest.select(F.col("w").alias("dist")).distinct(), ["dist"], "g") \
-            .select(F.col("g").cast("int").alias("g"), "dist")
+def levels_of(forest: DataFrame, levels: int) -> DataFrame:
+    """g, dist: quantiles of the weights, ascending, at most ``levels`` + 1."""
     cuts = [i / levels for i in range(levels + 1)]
     picked = forest.agg(F.array_distinct(F.array_sort(F.expr(
         f"percentile_approx(w, array({', '.join(map(str, cuts))}), 10000)"))).alias("d"))
     return picked.select(F.posexplode("d").alias("g", "dist"))
 
 
-def hierarchy(points: DataFrame, forest: DataFrame, min_cluster_size: int,
-              levels: int | None = 64) -> dict[str, DataFrame]:
-    """The condensed tree of a spanning forest.
+#: Edges that one task merges one after another.
+MERGES = 1 << 18
 
-    All cuts are solved as one component job keyed by (cut, vertex). Returns
-    ``clusters`` (cluster, parent, birth, root, size, stability, deepest) and ``members``
-    (id, cluster, lam): the cluster each point leaves and the density lam = 1 / distance at which it
-    leaves. Points that never join a large component are absent from ``members``.
-    Separate trees of the forest count as joined at infinite distance.
+_MERGED = "mapped boolean, g long, component long, up_g long, up_component long, w double, size long"
+
+
+def _merge(edges: pd.DataFrame) -> pd.DataFrame:
+    """Merges of the edges by rank: both parts of each, and what every part given became."""
+    parent: dict[int, int] = {}
+    state: dict[int, tuple[int, int]] = {}
+
+    def find(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+    out = []
+    for e in edges.sort_values("rank").itertuples(index=False):
+        for c, g, n in ((e.a, e.a_g, e.a_n), (e.b, e.b_g, e.b_n)):
+            if c not in parent:
+                parent[c], state[c] = c, (g, n)
+        x, y = sorted((find(e.a), find(e.b)))
+        size = state[x][1] + state[y][1]
+        out += [(False, state[c][0], c, e.rank, x, e.w, size) for c in (x, y)]
+        parent[y], state[x] = x, (e.rank, size)
+    for c in list(parent):
+        x = find(c)
+        out.append((True, -1, c, state[x][0], x, 0.0, state[x][1]))
+    return pd.DataFrame(out, columns=[c.split()[0] for c in _MERGED.split(", ")])
+
+
+def dendrogram(forest: DataFrame) -> DataFrame:
+    """g, component, up_g, up_component, w, size: every part of every merge, what it becomes, and the weight and size of that.
+
+    A part is named by the rank of its last edge (-1 for a point) and its smallest point. The edges
+    are taken by (w, a, b), at most ``MERGES`` at a time; between two such lots the ends of
+    the edges that are left are replaced by the components they are in.
     """
-    if min_cluster_size < 2:
-        raise ValueError("min_cluster_size must be at least 2")
+    spark, rounds, lots = forest.sparkSession, Rounds(forest.sparkSession, "left"), []
+    ranked = dense_index(forest.select("w", "a", "b"), ["w", "a", "b"], "rank")
+    one, point = F.lit(1).cast("long"), F.lit(-1).cast("long")
+    left = rounds.keep(ranked.select(F.col("rank").cast("long").alias("rank"), F.col("w").cast("double").alias("w"), "a", point.alias("a_g"),
+                                     one.alias("a_n"), "b", point.alias("b_g"), one.alias("b_n")))
+    low, high = left.agg(F.min("rank"), F.max("rank")).first()
+    if low is None:
+        return spark.createDataFrame([], _MERGED).drop("mapped")
+    for at in range(low, high + 1, MERGES):
+        now = left.where(F.col("rank") < at + MERGES)
+        merged = materialise(now.groupBy().applyInPandas(_merge, _MERGED), "merges")
+        lots.append(merged.where(~F.col("mapped")).drop("mapped"))
+        left = left.where(F.col("rank") >= at + MERGES)
+        if at + MERGES > high:
+            break
+        for end in "ab":
+            to = merged.where("mapped").select(F.col("component").alias(end), F.col("up_component").alias("c"), F.col("up_g").alias("g"),
+                                               F.col("size").alias("n"))
+            other = [c for c in left.columns if c[0] != end]
+            left = salted_join(left, to, end, "left").select(
+                *other, F.coalesce("c", end).alias(end), F.coalesce("g", f"{end}_g").alias(f"{end}_g"), F.coalesce("n", f"{end}_n").alias(f"{end}_n"))
+        left = rounds.keep(left)
+    return reduce(DataFrame.unionByName, lots)
+
+
+def _exact_nodes(forest: DataFrame, min_cluster_size: int) -> tuple[DataFrame, DataFrame]:
+    """``nodes`` (node, up, size, dist): large components at the weights where they change;
+    ``entry`` (id, node, dist): the first large component of each point."""
+    merges = materialise(dendrogram(forest), "dendrogram")
+    up = F.struct(F.col("up_g").alias("g"), F.col("up_component").alias("component"))
+    parts = materialise(merges.select(F.struct("g", "component").alias("node"), up.alias("up"), "w", "size"), "parts")
+    whole = parts.groupBy(F.col("up").alias("node")).agg(F.first("w").alias("dist"), F.first("size").alias("size"))
+    chained = materialise(whole.join(parts.select("node", "up", F.col("w").alias("up_dist")), "node", "left"), "whole")
+    # merges of one weight are one; below the size a component leads to the first large one
+    onward = F.col("up").isNotNull() & ((F.col("up_dist") == F.col("dist")) | (F.col("size") < min_cluster_size))
+    stands = materialise(roots(chained.select(F.col("node").alias("v"), F.when(onward, F.col("up")).otherwise(F.col("node")).alias("p"))), "stands")
+    large = chained.where((F.col("size") >= min_cluster_size) & ~onward)
+    above = stands.select(F.col("v").alias("up"), F.col("root").alias("above"))
+    nodes = materialise(large.join(above, "up", "left").select("node", F.col("above").alias("up"), "size", "dist"), "nodes")
+    points = parts.where(F.col("node.g") == -1).select(F.col("node.component").alias("id"), F.col("up").alias("v"))
+    entry = points.join(stands, "v").select("id", F.col("root").alias("node")).join(nodes.select("node", "dist"), "node")
+    return nodes, materialise(entry, "entry")
+
+
+def _grid_nodes(forest: DataFrame, min_cluster_size: int, levels: int) -> tuple[DataFrame, DataFrame]:
+    """As ``_exact_nodes``, but only at quantiles of the weights, as one component job keyed by (cut, vertex)."""
     cut = materialise(levels_of(forest, levels), "cuts")
     last = cut.count() - 1
-    if levels is None:
-        first = forest.join(cut, F.col("w") == F.col("dist")).select("a", "b", "g")
-    else:
-        dist = F.array(*[F.lit(r["dist"]) for r in cut.orderBy("g").collect()])  # <= levels + 1
-        first = forest.select("a", "b", F.size(F.filter(dist, lambda d: d < F.col("w"))).alias("g"))
+    dist = F.array(*[F.lit(r["dist"]) for r in cut.orderBy("g").collect()])  # <= levels + 1
+    first = forest.select("a", "b", F.size(F.filter(dist, lambda d: d < F.col("w"))).alias("g"))
     # an edge is part of every cut from its own weight up
     edges = materialise(first.select("a", "b", F.explode(F.sequence("g", F.lit(last))).alias("g")), "cutedges")
     # vertices without an edge are alone at that cut, so never in a large component
@@ -88,43 +153,54 @@ def hierarchy(points: DataFrame, forest: DataFrame, min_cluster_size: int,
     # a node is a large component at a cut; its parent is the component one cut up
     up = comp.select((F.col("g") - 1).alias("g"), F.col("v").alias("component"),
                      F.col("component").alias("up"))
-    nodes = materialise(big.join(up, ["g", "component"], "left"), "nodes")
-    children = nodes.where(F.col("up").isNotNull()).groupBy(
-        (F.col("g") + 1).alias("g"), F.col("up").alias("component")).agg(
-        F.count("*").alias("kids"))
-    name = F.struct("g", "component")
-    nodes = materialise(nodes.join(children, ["g", "component"], "left").select(
-        name.alias("node"), F.when(F.col("up").isNotNull(), F.struct(
-            (F.col("g") + 1).alias("g"), F.col("up").alias("component"))).alias("up"),
-        "size", F.coalesce("kids", F.lit(0)).alias("kids")), "chained")
+    nodes = big.join(up, ["g", "component"], "left").join(F.broadcast(cut), "g").select(
+        F.struct("g", "component").alias("node"), F.when(F.col("up").isNotNull(), F.struct(
+            (F.col("g") + 1).alias("g"), F.col("up").alias("component"))).alias("up"), "size", "dist")
+    # first cut at which a point is inside a large component
+    inside = comp.join(big.select("g", "component"), ["g", "component"], "left_semi")
+    entry = inside.groupBy(F.col("v").alias("id")).agg(
+        F.min_by(F.struct("g", "component"), "g").alias("node"))
+    return materialise(nodes, "nodes"), entry.withColumn("g", F.col("node.g")).join(F.broadcast(cut), "g").drop("g")
+
+
+def hierarchy(points: DataFrame, forest: DataFrame, min_cluster_size: int,
+              levels: int | None = None) -> dict[str, DataFrame]:
+    """The condensed tree of a spanning forest.
+
+    It is exact, from every merge of the forest; with ``levels`` it only sees a grid of that many
+    quantiles of the weights. Returns
+    ``clusters`` (cluster, parent, birth, root, size, stability, deepest) and ``members``
+    (id, cluster, lam): the cluster each point leaves and the density lam = 1 / distance at which it
+    leaves. Points that never join a large component are absent from ``members``.
+    Separate trees of the forest count as joined at infinite distance.
+    """
+    if min_cluster_size < 2:
+        raise ValueError("min_cluster_size must be at least 2")
+    nodes, entry = _exact_nodes(forest, min_cluster_size) if levels is None else _grid_nodes(forest, min_cluster_size, levels)
+    children = nodes.where(F.col("up").isNotNull()).groupBy(F.col("up").alias("node")).agg(F.count("*").alias("kids"))
+    nodes = materialise(nodes.join(children, "node", "left").withColumn("kids", F.coalesce("kids", F.lit(0))), "chained")
     # a node with exactly one large child continues that child's cluster
-    head = nodes.select(F.col("node").alias("up"), F.col("kids").alias("up_kids"))
+    head = nodes.select(F.col("node").alias("up"), F.col("kids").alias("up_kids"), F.col("dist").alias("up_dist"))
     linked = nodes.join(head, "up", "left").withColumn("continues", F.col("up_kids") == 1)
     pointers = linked.select(F.col("node").alias("v"), F.when(
         F.col("continues"), F.col("up")).otherwise(F.col("node")).alias("p"))
     chain = materialise(roots(pointers), "chains").select(
         F.col("v").alias("node"), F.col("root").alias("cluster"))
 
-    lam = F.when(F.col("dist") > 0, 1 / F.col("dist")).otherwise(F.lit(float("1e300")))
-    at = cut.select("g", lam.alias("lam"))
+    def density(dist: str) -> Column:
+        return F.when(F.col(dist) > 0, 1 / F.col(dist)).when(F.col(dist) <= 0, F.lit(float("1e300")))
     # top nodes split off the virtual root at density zero
     tops = materialise(linked.where(~F.coalesce("continues", F.lit(False))).select(
-        F.col("node").alias("cluster"), "size", "up"), "tops")
+        F.col("node").alias("cluster"), "size", "up", density("up_dist").alias("lam")), "tops")
     parents = chain.select(F.col("node").alias("up"), F.col("cluster").alias("parent"))
     born = (tops.join(parents, "up", "left")
-            .withColumn("g", F.col("up.g")).join(at, "g", "left")
             .select("cluster", "size", "parent", F.coalesce("lam", F.lit(0.0)).alias("birth")))
     born = materialise(born, "born")
     n_roots = born.where(F.col("parent").isNull()).count()
     born = born.withColumn("root", F.col("parent").isNull() & F.lit(n_roots == 1))
 
-    # first cut at which a point is inside a large component
-    inside = comp.join(big.select("g", "component"), ["g", "component"], "left_semi")
-    entry = inside.groupBy(F.col("v").alias("id")).agg(
-        F.min_by(F.struct("g", "component"), "g").alias("node"))
     entered = salted_join(entry, chain, "node")
-    members = materialise(entered.withColumn("g", F.col("node.g")).join(
-        F.broadcast(at) if levels is not None else at, "g").select("id", "cluster", "lam"), "members")
+    members = materialise(entered.select("id", "cluster", density("dist").alias("lam")), "members")
 
     direct = members.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("lam").alias("total"),
                                             F.max("lam").alias("deepest"))
@@ -217,7 +293,7 @@ def labels(points: DataFrame, tree: dict[str, DataFrame], probability: str = "at
 
 
 def density_clusters(points: DataFrame, *, min_samples: int, min_cluster_size: int,
-                     vector: str = "coords", levels: int | None = 64, neighbours: int | None = None,
+                     vector: str = "coords", levels: int | None = None, neighbours: int | None = None,
                      metric: str = "euclidean", probability: str = "attribute",
                      near: DataFrame | None = None) -> DataFrame:
     """Cluster label and membership probability for every point (id, vector).

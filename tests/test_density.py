@@ -138,6 +138,22 @@ def test_labels_match_the_sequential_rule(spark, seed, bridge, k):
     assert len({v for v, _ in want.values() if v is not None}) >= 2
 
 
+@pytest.mark.parametrize("lot", [1 << 18, 80])
+def test_hierarchy_sees_every_weight(spark, monkeypatch, lot):
+    """By default no cluster between two quantiles is lost; lots and equal weights change nothing."""
+    monkeypatch.setattr(density, "MERGES", lot, raising=False)
+    rng = np.random.default_rng(5)
+    n = 150
+    forest = kruskal([(int(min(v, u)), int(max(v, u)), float(rng.integers(1, 4000)) / 16 if v % 5 else 3.0)
+                      for v in range(1, n) for u in [int(rng.integers(max(v - 6, 0), v))]])
+    want = condensed_labels(n, forest, 3)
+    tree = density.hierarchy(spark.range(n), spark.createDataFrame(forest, "a long, b long, w double"), 3)
+    got = {r["id"]: (r["cluster_id"], r["cluster_probability"]) for r in density.labels(spark.range(n), tree).collect()}
+    pairs = {(want[i][0], got[i][0]) for i in range(n)}
+    assert len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs}) > 2
+    assert all(abs(want[i][1] - got[i][1]) < 1e-5 for i in range(n))
+
+
 def test_too_few_points_are_noise(spark):
     points = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(8)], "id long, coords array<double>")
     got = density.density_clusters(points, min_samples=2, min_cluster_size=20).collect()
