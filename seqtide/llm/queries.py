@@ -13,6 +13,7 @@ from seqtide.llm import (
     jaccard_join,
     license_scan,
     lm_scoring,
+    merkle,
     packing,
     quality_rules,
     token_counts,
@@ -93,3 +94,10 @@ def op9_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_jaccard_join")
 def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.join(documents(spark, sf))
+
+
+@query("op11_merkle_manifest", merkle.ORACLE)
+def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    proofs = merkle.prove(docs, presented=merkle.tampered(docs))
+    return proofs.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
