@@ -11,6 +11,7 @@ from seqtide.llm import (
     chat_format,
     exact_dedup,
     jaccard_join,
+    language_id,
     license_scan,
     lm_scoring,
     merkle,
@@ -24,6 +25,7 @@ from seqtide.session import scratch_path
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -101,3 +103,8 @@ def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
     proofs = merkle.prove(docs, presented=merkle.tampered(docs))
     return proofs.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+@query("op12_language_id")
+def op12_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf), PIECES)
