@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqtide.llm import (
+    alignment,
     byte_bpe,
     chat_format,
     exact_dedup,
@@ -108,3 +109,8 @@ def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
 @query("op12_language_id")
 def op12_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language_id.identify(documents(spark, sf), PIECES)
+
+
+@query("op13_tokenizer_alignment")
+def op13_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.align(documents(spark, sf), BYTE_VOCABULARY, PIECES)
