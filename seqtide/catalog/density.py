@@ -104,22 +104,79 @@ def noise_points(spark, sf):
     return _flat(spark, sf).where(F.col("cluster") == -1).select("id")
 
 
+# the hierarchy from the states of the forest: one per distinct weight, a node where a large component changed
+MCS, LOT = DEMO.min_cluster_size, 128
+TREE = FOREST + f""",
+used as (select n, ed.w, lab[ed.a] as c, row_number() over (order by n) - 1 as rank, lab from grow join ed using (n) where used),
+lev as (select row_number() over (order by w) as l, w, last(lab order by n) as lab from used group by w),
+pt as (select l, i, lab[i] as name from lev, range(1, (select count(*) from num) + 1) r(i)),
+named as (select x.vec_id as id, l, min(x.vec_id) over (partition by l, name) as c, count(*) over (partition by l, name) as size
+          from pt join num x using (i)),
+whole as (select distinct l, c, size from named),
+node as (select t.l, t.c, t.size, lev.w from whole t join lev using (l) left join whole b on b.l = t.l - 1 and b.c = t.c
+         where t.size >= {MCS} and t.size > coalesce(b.size, 1)),
+-- the large component at a node's place one weight below leads to the node; the latest change is its node
+below as (select distinct n.l, n.c, k.c as kid
+          from node n join named m on m.l = n.l and m.c = n.c join named k on k.l = n.l - 1 and k.id = m.id where k.size >= {MCS}),
+link as (select b.l as up_l, b.c as up_c, b.kid as c, max(n.l) as l from below b join node n on n.c = b.kid and n.l < b.l group by all),
+kids as (select up_l as l, up_c as c, count(*) as kids from link group by all),
+top as (select n.l, n.c, n.size, up_l, up_c, u.w as up_w
+        from node n left join link using (l, c) left join kids k on k.l = up_l and k.c = up_c left join node u on u.l = up_l and u.c = up_c
+        where coalesce(kids, 0) <> 1),
+chain as (select l, c, l as t_l, c as t_c from top
+          union all
+          select link.l, link.c, t_l, t_c from chain h join kids k on k.l = h.l and k.c = h.c join link on up_l = h.l and up_c = h.c where kids = 1),
+born as (select t.l as t_l, t.c as t_c, size, h.t_l as p_l, h.t_c as p_c, coalesce(1 / up_w, 0) as birth
+         from top t left join chain h on h.l = up_l and h.c = up_c),
+entry as (select m.id, min(m.l) as l, min_by(m.c, m.l) as c from named m where m.size >= {MCS} group by m.id),
+member as (select id, t_l, t_c, 1 / w as lam from entry join chain using (l, c) join lev using (l)),
+direct as (select t_l, t_c, count(*) as n, sum(lam) as total, max(lam) as deepest from member group by all),
+splits as (select p_l as t_l, p_c as t_c, sum(size) as n, sum(size * birth) as total, max(birth) as split_at from born where p_l is not null group by all),
+cut as (select l as t_l, named.c as t_c, max(rank) as cut
+        from lev join used using (w) join num on num.i = used.c join named using (l) where named.id = num.vec_id group by all),
+clus as (select b.*, cut.cut, coalesce(d.total, 0) - coalesce(d.n, 0) * birth + coalesce(s.total, 0) - coalesce(s.n, 0) * birth as stability,
+                greatest(d.deepest, s.split_at) as deepest, p_l is null and (select count(*) from born where p_l is null) = 1 as alone
+         from born b left join direct d using (t_l, t_c) left join splits s using (t_l, t_c) left join cut using (t_l, t_c))"""
+# clusters from the densest birth down: the kids of one come before it
+LABELS = TREE + """,
+ord as (select *, row_number() over (order by birth desc, t_l, t_c) as i from clus),
+fam as (select o.*, p.i as up, (select list(k.i) from ord k where k.p_l = o.t_l and k.p_c = o.t_c) as young
+        from ord o left join ord p on p.t_l = o.p_l and p.t_c = o.p_c),
+mass as (select 0::bigint as i, []::double[] as vals, []::boolean[] as wins
+         union all
+         select i, list_append(vals, case when stability >= low and not alone then stability else low end),
+                list_append(wins, stability >= low and not alone)
+         from (select f.i, m.vals, m.wins, f.stability, f.alone,
+                      coalesce(list_sum(list_transform(f.young, lambda k: m.vals[k])), 0) as low
+               from mass m join fam f on f.i = m.i + 1) x),
+done as (select wins from mass order by i desc limit 1),
+own as (select i, case when (select wins from done)[i] then i end as owner from fam where up is null
+        union all
+        select f.i, coalesce(o.owner, case when (select wins from done)[f.i] then f.i end) from own o join fam f on f.up = o.i),
+num_of as (select owner, row_number() over (order by cut, t_c) - 1 as cluster_id from (select distinct owner from own where owner is not null) x join fam on fam.i = owner),
+placed as (select m.id, n.cluster_id, least(m.lam, o.deepest) / o.deepest as p
+           from member m join fam f using (t_l, t_c) join own on own.i = f.i join num_of n on n.owner = own.owner join fam o on o.i = own.owner)"""
+
+
 def _tree(spark, sf):
     points, near, cores = _graph(spark, sf)
     found = materialise(spanning_forest(density.mutual_reachability(near, cores)), "forest")
-    return points, density.hierarchy(points, found, DEMO.min_cluster_size)
+    return points, density.hierarchy(points, found, MCS, lot=LOT)
 
 
-@query("condensed_tree")
+@query("condensed_tree", duck(f"""with recursive {TREE}
+select t_c as cluster, cut, round(birth, 6) as birth, size, round(stability, 6) as stability from clus""", "planted"))
 def condensed_tree(spark, sf):
-    """Clusters of the hierarchy with birth density and stability."""
+    """Clusters of the hierarchy with birth density and stability, merged in several lots."""
     _, tree = _tree(spark, sf)
     return tree["clusters"].select(F.col("cluster.component").alias("cluster"), F.col("cluster.g").alias("cut"),
-                                   "birth", "size", "stability")
+                                   F.round("birth", 6).alias("birth"), "size", F.round("stability", 6).alias("stability"))
 
 
-@query("cluster_membership")
+@query("cluster_membership", duck(f"""with recursive {LABELS}
+select vec_id as id, coalesce(cluster_id, -1)::int as cluster_id, round(coalesce(p, 0), 5) as cluster_probability
+from planted left join placed on id = vec_id""", "planted"))
 def cluster_membership(spark, sf):
     """Selected cluster and membership probability of every point."""
     points, tree = _tree(spark, sf)
-    return density.labels(points, tree)
+    return density.labels(points, tree).select("id", "cluster_id", F.round(F.col("cluster_probability").cast("double"), 5).alias("cluster_probability"))

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,14 +52,14 @@ def levels_of(forest: DataFrame, levels: int) -> DataFrame:
     return picked.select(F.posexplode("d").alias("g", "dist"))
 
 
-#: Edges that one task merges one after another.
+#: Edges that one group merges one after another.
 MERGES = 1 << 18
 
-_MERGED = "mapped boolean, g long, component long, up_g long, up_component long, w double, size long"
+_MERGED = "g long, component long, up_g long, up_component long, w double, size long"
 
 
-def _merge(edges: pd.DataFrame) -> pd.DataFrame:
-    """Merges of the edges by rank: both parts of each, and what every part given became."""
+def _merge(edges: pa.Table) -> pa.Table:
+    """Merges of the edges by rank: both parts of each, named as given or by the merge they come from."""
     parent: dict[int, int] = {}
     state: dict[int, tuple[int, int]] = {}
 
@@ -70,57 +68,74 @@ def _merge(edges: pd.DataFrame) -> pd.DataFrame:
             parent[c] = parent[parent[c]]
             c = parent[c]
         return c
-    out = []
-    for e in edges.sort_values("rank").itertuples(index=False):
-        for c, g, n in ((e.a, e.a_g, e.a_n), (e.b, e.b_g, e.b_n)):
+    out: list[tuple] = []
+    columns = [edges.sort_by("rank").column(c).to_pylist() for c in ("rank", "w", "a", "a_g", "a_n", "b", "b_g", "b_n")]
+    for rank, w, a, a_g, a_n, b, b_g, b_n in zip(*columns, strict=True):
+        for c, g, n in ((a, a_g, a_n), (b, b_g, b_n)):
             if c not in parent:
                 parent[c], state[c] = c, (g, n)
-        x, y = sorted((find(e.a), find(e.b)))
+        x, y = sorted((find(a), find(b)))
         size = state[x][1] + state[y][1]
-        out += [(False, state[c][0], c, e.rank, x, e.w, size) for c in (x, y)]
-        parent[y], state[x] = x, (e.rank, size)
-    for c in list(parent):
-        x = find(c)
-        out.append((True, -1, c, state[x][0], x, 0.0, state[x][1]))
-    return pd.DataFrame(out, columns=[c.split()[0] for c in _MERGED.split(", ")])
+        out += [(state[c][0], c, rank, x, w, size) for c in (x, y)]
+        parent[y], state[x] = x, (rank, size)
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64())
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)],
+                    names=[c.split()[0] for c in _MERGED.split(", ")])
+
 
+def _contract(edges: DataFrame, bit: int) -> DataFrame:
+    """Ends of the heavier half of each range of lots become the components of its lighter half.
 
-def dendrogram(forest: DataFrame) -> DataFrame:
+    A range is the lots that share all bits above ``bit``; the bit itself tells the halves.
+    """
+    heavy = (F.shiftright("lot", bit) % 2) == 1
+    spans = edges.withColumn("span", F.shiftright("lot", bit + 1))
+    light = materialise(spans.where(~heavy), "light")
+    ends = [light.select("span", F.col(e).alias("v"), F.col(f"{e}_n").alias("n")) for e in "ab"]
+    vertices = materialise(ends[0].unionByName(ends[1]).distinct(), "ends")
+    found = materialise(components(vertices.select("span", "v"), light.select("span", "a", "b"), ["span"]), "light-components")
+    # the light edges are a forest: what a component holds follows from its vertices and the last of its edges
+    sizes = found.join(vertices, ["span", "v"]).groupBy("span", "component").agg(F.sum("n").alias("size"))
+    last = salted_join(light.select("span", F.col("a").alias("v"), "rank"), found, ["span", "v"]).groupBy("span", "component").agg(
+        F.max("rank").alias("g"))
+    known = materialise(sizes.join(last, ["span", "component"]), "contracted")
+    to = materialise(salted_join(found, known, ["span", "component"], stored=True), "relabelled")
+    moved = spans.where(heavy)
+    for end in "ab":
+        name = to.select("span", F.col("v").alias(end), "component", "g", "size")
+        others = [c for c in moved.columns if c not in (end, f"{end}_g", f"{end}_n")]
+        moved = salted_join(moved, name, ["span", end], "left").select(
+            *others, F.coalesce("component", end).alias(end), F.coalesce("g", f"{end}_g").alias(f"{end}_g"),
+            F.coalesce("size", f"{end}_n").alias(f"{end}_n"))
+    return light.drop("span").unionByName(moved.drop("span"))
+
+
+def dendrogram(forest: DataFrame, lot: int | None = None) -> DataFrame:
     """g, component, up_g, up_component, w, size: every part of every merge, what it becomes, and the weight and size of that.
 
     A part is named by the rank of its last edge (-1 for a point) and its smallest point. The edges
-    are taken by (w, a, b), at most ``MERGES`` at a time; between two such lots the ends of
-    the edges that are left are replaced by the components they are in.
+    are ranked by (w, a, b) and cut into lots of ``lot`` (by default ``MERGES``). Halving the range of lots again and
+    again, the ends of the heavier half are replaced by the components of the lighter half, in all
+    ranges at once: after log2(lots) steps no lot depends on another, and all are merged side by side.
     """
-    spark, rounds, lots = forest.sparkSession, Rounds(forest.sparkSession, "left"), []
+    spark, rounds, lot = forest.sparkSession, Rounds(forest.sparkSession, "lots"), lot or MERGES
     ranked = dense_index(forest.select("w", "a", "b"), ["w", "a", "b"], "rank")
     one, point = F.lit(1).cast("long"), F.lit(-1).cast("long")
-    left = rounds.keep(ranked.select(F.col("rank").cast("long").alias("rank"), F.col("w").cast("double").alias("w"), "a", point.alias("a_g"),
-                                     one.alias("a_n"), "b", point.alias("b_g"), one.alias("b_n")))
-    low, high = left.agg(F.min("rank"), F.max("rank")).first()
-    if low is None:
-        return spark.createDataFrame([], _MERGED).drop("mapped")
-    for at in range(low, high + 1, MERGES):
-        now = left.where(F.col("rank") < at + MERGES)
-        merged = materialise(now.groupBy().applyInPandas(_merge, _MERGED), "merges")
-        lots.append(merged.where(~F.col("mapped")).drop("mapped"))
-        left = left.where(F.col("rank") >= at + MERGES)
-        if at + MERGES > high:
-            break
-        for end in "ab":
-            to = merged.where("mapped").select(F.col("component").alias(end), F.col("up_component").alias("c"), F.col("up_g").alias("g"),
-                                               F.col("size").alias("n"))
-            other = [c for c in left.columns if c[0] != end]
-            left = salted_join(left, to, end, "left").select(
-                *other, F.coalesce("c", end).alias(end), F.coalesce("g", f"{end}_g").alias(f"{end}_g"), F.coalesce("n", f"{end}_n").alias(f"{end}_n"))
-        left = rounds.keep(left)
-    return reduce(DataFrame.unionByName, lots)
-
-
-def _exact_nodes(forest: DataFrame, min_cluster_size: int) -> tuple[DataFrame, DataFrame]:
+    edges = rounds.keep(ranked.select(
+        F.floor(F.col("rank") / lot).cast("long").alias("lot"), F.col("rank").cast("long").alias("rank"), F.col("w").cast("double").alias("w"),
+        "a", point.alias("a_g"), one.alias("a_n"), "b", point.alias("b_g"), one.alias("b_n")))
+    last = edges.agg(F.max("lot")).first()[0]
+    if last is None:
+        return spark.createDataFrame([], _MERGED)
+    for bit in reversed(range(int(last).bit_length())):
+        edges = rounds.keep(_contract(edges, bit))
+    return edges.groupBy("lot").applyInArrow(_merge, _MERGED)
+
+
+def _exact_nodes(forest: DataFrame, min_cluster_size: int, lot: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``nodes`` (node, up, size, dist): large components at the weights where they change;
     ``entry`` (id, node, dist): the first large component of each point."""
-    merges = materialise(dendrogram(forest), "dendrogram")
+    merges = materialise(dendrogram(forest, lot), "dendrogram")
     up = F.struct(F.col("up_g").alias("g"), F.col("up_component").alias("component"))
     parts = materialise(merges.select(F.struct("g", "component").alias("node"), up.alias("up"), "w", "size"), "parts")
     whole = parts.groupBy(F.col("up").alias("node")).agg(F.first("w").alias("dist"), F.first("size").alias("size"))
@@ -164,11 +179,11 @@ def _grid_nodes(forest: DataFrame, min_cluster_size: int, levels: int) -> tuple[
 
 
 def hierarchy(points: DataFrame, forest: DataFrame, min_cluster_size: int,
-              levels: int | None = None) -> dict[str, DataFrame]:
+              levels: int | None = None, lot: int | None = None) -> dict[str, DataFrame]:
     """The condensed tree of a spanning forest.
 
     It is exact, from every merge of the forest; with ``levels`` it only sees a grid of that many
-    quantiles of the weights. Returns
+    quantiles of the weights. ``lot`` edges are merged in one group. Returns
     ``clusters`` (cluster, parent, birth, root, size, stability, deepest) and ``members``
     (id, cluster, lam): the cluster each point leaves and the density lam = 1 / distance at which it
     leaves. Points that never join a large component are absent from ``members``.
@@ -176,7 +191,7 @@ def hierarchy(points: DataFrame, forest: DataFrame, min_cluster_size: int,
     """
     if min_cluster_size < 2:
         raise ValueError("min_cluster_size must be at least 2")
-    nodes, entry = _exact_nodes(forest, min_cluster_size) if levels is None else _grid_nodes(forest, min_cluster_size, levels)
+    nodes, entry = _exact_nodes(forest, min_cluster_size, lot) if levels is None else _grid_nodes(forest, min_cluster_size, levels)
     children = nodes.where(F.col("up").isNotNull()).groupBy(F.col("up").alias("node")).agg(F.count("*").alias("kids"))
     nodes = materialise(nodes.join(children, "node", "left").withColumn("kids", F.coalesce("kids", F.lit(0))), "chained")
     # a node with exactly one large child continues that child's cluster
