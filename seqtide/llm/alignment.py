@@ -39,11 +39,13 @@ from seqtide.llm.texts import byte_letters, slices
 from seqtide.session import materialise
 
 #: Bytes of distinct text in a block.
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 #: Stretches that a Python worker remembers, and how long they may be; beyond, the older half goes.
-CACHE, CACHE_CHARS = 500_000, 48
+CACHE, CACHE_CHARS = 300_000, 48
 #: Characters of stretches that are aligned at a time, and that one call of a library reads as one text.
 JOINED, TEXT = 1 << 18, 1 << 12
+#: Distinct pairs that a worker numbers before it starts anew.
+PAIRS = 2_000_000
 #: A pair of ids is (id of A) * 2^B_BITS + (id of B).
 B_BITS = 20
 
@@ -128,9 +130,11 @@ class Aligner:
     def reset(self) -> None:
         self.at: dict[str, int] = {}
         self.listed: list[bytes] = []
-        self.counts = np.zeros((0, 4), np.int64)  # tokens of A and B, groups, links; -1 where bytes differ
-        self.links = np.zeros(0, np.int64)
+        self.counts = np.zeros((0, 4), np.int32)  # tokens of A and B, groups, links; -1 where bytes differ
+        self.links = np.zeros(0, np.int32)  # numbers of pairs
         self.first = np.zeros(1, np.int64)
+        self.number: dict[int, int] = {}
+        self.pairs = np.zeros(0, np.int64)
 
     def _forget(self) -> None:
         half = len(self.listed) // 2
@@ -200,18 +204,25 @@ class Aligner:
                 some, held = [], 0
         if some:
             done += self._align(some)
-        at, links, first = len(self.listed), [self.links], [self.first]
+        at, first = len(self.listed), [self.first]
         for names, _, listed, pairs, ends in done:
             self.at.update(zip(names, range(at, at + len(names)), strict=True))
             at += len(names)
             self.listed += listed
             first.append(ends + first[-1][-1])
-            links.append(pairs)
-        self.links, self.first = np.concatenate(links), np.concatenate(first)
-        self.counts = np.concatenate([self.counts, *(d[1] for d in done)])
+        self.first = np.concatenate(first)
+        self.counts = np.concatenate([self.counts, *(d[1].astype(np.int32) for d in done)])
+        distinct, place = np.unique(np.concatenate([d[3] for d in done]), return_inverse=True)
+        fresh = [p for p in distinct.tolist() if p not in self.number]
+        self.number.update(zip(fresh, range(len(self.pairs), len(self.pairs) + len(fresh)), strict=True))
+        self.pairs = np.concatenate([self.pairs, np.array(fresh, np.int64)])
+        numbers = np.array([self.number[p] for p in distinct.tolist()], np.int32)
+        self.links = np.concatenate([self.links, numbers[place]])
 
     def align(self, texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
-        """Per text its four counts and digest; all links of all texts in order."""
+        """Per text its four counts and digest; the links of all texts in order, as places in ``self.pairs``."""
+        if len(self.pairs) > PAIRS:
+            self.reset()
         if len(self.listed) > CACHE:
             self._forget()
         split = pc.split_pattern(texts, " ")
@@ -243,7 +254,7 @@ class Aligner:
         starts = np.cumsum(sizes) - sizes
         per = self.counts[place]
         bad = np.minimum.reduceat(per[:, 0], starts) < 0
-        counts = np.add.reduceat(per, starts, axis=0)
+        counts = np.add.reduceat(per, starts, axis=0, dtype=np.int64)
         counts[bad] = 0
         listed, at = list(map(self.listed.__getitem__, place.tolist())), starts.tolist()
         digests = ["" if wrong else hashlib.sha256(b";".join(listed[i:i + n])).hexdigest()
@@ -270,11 +281,14 @@ def _encode(path_a: str, path_b: str):
             counts, digests, links = both.align(texts)
             n = counts[:, 3]
             copies = rows.column("copies").to_numpy()
-            pairs, place = np.unique(links, return_inverse=True)
-            text = np.repeat(np.arange(len(texts)), n)
+            used = np.zeros(len(both.pairs), bool)
+            used[links] = True
+            pairs, place = both.pairs[used], (np.cumsum(used) - 1)[links]
             # a text adds its weight once for each of its pairs
-            once = np.unique(text * max(len(pairs), 1) + place)
-            weights = np.bincount(once % max(len(pairs), 1), copies[once // max(len(pairs), 1)], len(pairs)).astype(np.int64)
+            width = max(len(pairs), 1)
+            once = np.sort(np.repeat(np.arange(len(texts)) * width, n) + place)
+            once = once[np.diff(once, prepend=-1) > 0]
+            weights = np.bincount(once % width, copies[once // width], len(pairs)).astype(np.int64)
             packed = place.astype("<u4").tobytes()
             ends = 4 * np.concatenate([[0], np.cumsum(n)])
             kept = len(texts)

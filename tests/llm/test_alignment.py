@@ -97,10 +97,15 @@ def test_query(spark):
 def test_forgetting_changes_nothing(monkeypatch):
     import pyarrow as pa
     texts_of = [f"word{i} shared and  odd{i % 7} spaces " + "l" * (i % 60) for i in range(300)]
-    want = alignment.Aligner(A, B).align(pa.array(texts_of))
+    large = alignment.Aligner(A, B)
+    want = large.align(pa.array(texts_of))
     monkeypatch.setattr(alignment, "CACHE", 50)
     monkeypatch.setattr(alignment, "JOINED", 300)
     small = alignment.Aligner(A, B)
-    parts = [small.align(pa.array(texts_of[i:i + 10])) for i in range(0, 300, 10)]
+    parts, links = [], []
+    for i in range(0, 300, 10):
+        parts.append(small.align(pa.array(texts_of[i:i + 10])))
+        links += small.pairs[parts[-1][2]].tolist()
+    assert links == large.pairs[want[2]].tolist()
     assert [x for p in parts for x in p[0].tolist()] == want[0].tolist()
-    assert [x for p in parts for x in p[1]] == want[1] and [x for p in parts for x in p[2].tolist()] == want[2].tolist()
+    assert [x for p in parts for x in p[1]] == want[1] and len(small.listed) <= 50 + 10 * 70
