@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from seqtide.catalog.encode import kmers_sql
 from seqtide.catalog.registry import query
 from seqtide.config import FULL
-from seqtide.operators import homology
+from seqtide.functions.kmers import PRIME
+from seqtide.operators import containment, homology
 from seqtide.operators.dedup import copy_groups
 from seqtide.plans import views
 from seqtide.plans.views import duck
@@ -28,9 +29,16 @@ su as (select * from sk join uniq using (accession)),
 ct as (select kmer, first(struct_pack(acc := accession, len := len, pos := position) order by len desc, accession) as c,
               count(*) as n from su group by kmer having count(*) > 1)"""
 CAND = UNIQUE + """,
-cand as (select distinct c.acc as centre, su.accession as member, c.pos - su.position as diagonal,
-                c.len as centre_length, su.len as member_length
-         from su join ct using (kmer) where su.accession <> c.acc)"""
+hold as (select su.*, c, n from su join ct using (kmer)),
+-- holders by length: each meets the longest and the next two
+pairs_of as (select c.acc as centre, accession as member, c.pos - position as diagonal, c.len as centre_length, len as member_length
+             from hold where accession <> c.acc
+             union all
+             select one.accession, other.accession, one.position - other.position, one.len, other.len
+             from (select *, row_number() over (partition by kmer order by len desc, accession) as i from hold) one
+             join (select *, row_number() over (partition by kmer order by len desc, accession) as i from hold) other
+             on one.kmer = other.kmer and other.i - one.i between 1 and 2),
+cand as (select distinct * from pairs_of)"""
 PAIRS = CAND + f""",
 ov as (select *, least(centre_length - greatest(diagonal, 0), member_length - greatest(-diagonal, 0)) as overlap from cand),
 al as (select centre, member, centre_length, overlap / member_length as coverage,
@@ -102,3 +110,55 @@ def homology_reps(spark, sf):
 select representative, count(*) as members from reps group by 1""", "strains"))
 def homology_sizes(spark, sf):
     return homology.cluster_sizes(_clusters(spark, sf))
+
+
+CK, CUT = containment.K, PRIME // containment.SCALE
+SIMILAR = f"""
+gu as (select min(accession) as accession, sequence, length(sequence) as len from fragments group by sequence),
+{kmers_sql(CK).replace("from seqs where", "from gu where")},
+kept as (select distinct accession, len, h from km join gu using (accession) where h < {CUT}),
+held as (select *, count(*) over (partition by h) as n, row_number() over (partition by h order by len desc, accession) as i from kept),
+meet as (select distinct a.accession as longer, b.accession as shorter
+         from held a join held b on a.h = b.h and a.i < b.i and (a.i = 1 or b.i - a.i <= {homology.NEXT_HOLDERS})),
+sizes as (select accession, count(*) as n from kept group by 1),
+common as (select longer, shorter, count(*) as shared
+           from meet join kept a on a.accession = longer join kept b on b.accession = shorter and b.h = a.h group by all),
+alike as (select longer, shorter, shared, shared / (a.n + b.n - shared) as jaccard, shared / least(a.n, b.n) as containment
+            from common join sizes a on a.accession = longer join sizes b on b.accession = shorter
+            where shared / least(a.n, b.n) >= {containment.MIN_CONTAINMENT})"""
+
+
+def _similar(spark, sf):
+    records = views.fragments(spark, sf)
+    groups = copy_groups(records).select(F.col("representative").alias("accession"))
+    return containment.similar_pairs(materialise(records.join(groups, "accession", "left_semi"), "unique"))
+
+
+@query("containment_candidates", duck(f"""with {SIMILAR}
+select longer, shorter, shared, round(jaccard, 6) as jaccard, round(containment, 6) as containment from alike""", "fragments"))
+def containment_candidates(spark, sf):
+    return _similar(spark, sf).select("longer", "shorter", "shared", F.round("jaccard", 6).alias("jaccard"),
+                                      F.round("containment", 6).alias("containment"))
+
+
+# what was planted: sequences of 1,000 letters at least, and the changed copy or part of each; copies of equal texts count once
+PLANTED = """
+select case when right(c.accession, 1) = 'F' then 'part' when s.doc_id % 5 = 0 then 'copy, 3 %' else 'copy, 8 %' end as kind,
+       s.accession as a, c.accession as b
+from {seqs} s join {fragments} c on c.accession in (concat(s.accession, 'F'), concat(s.accession, 'M'))
+where length(s.sequence) >= 1000 and s.accession in (select accession from {unique}) and c.accession in (select accession from {unique})
+"""
+
+
+@query("containment_recall", duck(f"""with {SIMILAR},
+planted_pairs as ({PLANTED.format(seqs="seqs", fragments="fragments", unique="gu")})
+select kind, count(*) as planted, count(longer) as found
+from planted_pairs left join alike on least(a, b) = least(longer, shorter) and greatest(a, b) = greatest(longer, shorter) group by 1""", "fragments"))
+def containment_recall(spark, sf):
+    """How many of the planted copies and parts are candidates with their original."""
+    records = views.fragments(spark, sf)
+    unique = materialise(copy_groups(records).select(F.col("representative").alias("accession")), "unique")
+    planted = spark.sql(PLANTED.replace("c.accession in (concat(s.accession, 'F'), concat(s.accession, 'M'))",
+                                        "s.accession = substr(c.accession, 1, length(c.accession) - 1)"),
+                        seqs=views.seqs(spark, sf), fragments=records, unique=unique)
+    return containment.recall(planted, _similar(spark, sf))

@@ -178,3 +178,31 @@ def matching_bases_udf():
             out[lo:hi] = total[ends] - total[ends - n]
         return pa.array(out)
     return matches
+
+
+def scaled_kmers_udf(k: int, scale: int):
+    """sequence -> its distinct k-mer hashes below 1/``scale`` of their range, ascending.
+
+    Which hashes are kept does not depend on the sequence: those of a part are among those of the whole.
+    """
+    cut = PRIME // scale
+
+    @F.arrow_udf("array<bigint>")
+    def sketch(sequences: pa.Array) -> pa.Array:
+        raw, offsets = letters(sequences)
+        kept, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for a, b in runs(offsets):
+            own = offsets[a:b + 1] - offsets[a]
+            codes, places = kmer_codes(raw[offsets[a]:offsets[b]], own, k)
+            hashes = kmer_hash(codes)
+            low = np.flatnonzero(hashes < cut)
+            row, hashes = np.searchsorted(own, places[low], "right") - 1, hashes[low]
+            order = np.lexsort((hashes, row))
+            row, hashes = row[order], hashes[order]
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1])
+            kept.append(hashes[new])
+            sizes.append(np.bincount(row[new], minlength=b - a))
+        ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32)
+        return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(kept)))
+    return sketch

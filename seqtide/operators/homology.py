@@ -1,18 +1,21 @@
 """Near-identical sequences by shared k-mers, linear in the number of sequences.
 
-Each sequence offers a fixed number of k-mers; per k-mer only the longest sequence
-is compared with the others, so pairs grow with N, never with N squared. All holders
-of a k-mer are kept, however many there are: a heavy k-mer is salted, not cut off.
+Each sequence offers a fixed number of k-mers; per k-mer every sequence is compared with the
+longest holder and, holders being ordered by length, with the next few, so pairs grow with N,
+never with N squared. All holders of a k-mer are kept, however many there are: a heavy k-mer is
+salted, not cut off.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtide.functions.kmers import matching_bases_udf, smallest_kmers_udf
 from seqtide.operators.dedup import copy_groups, copy_map
-from seqtide.operators.skew import salted_join
+from seqtide.operators.graph import components
+from seqtide.operators.skew import dense_index, salted_join
 from seqtide.session import Rounds, materialise
 
 # Joins that carry whole sequences use smaller salts than joins of slim rows.
@@ -37,13 +40,50 @@ def kmer_centres(sketch: DataFrame) -> DataFrame:
             .where(F.col("n") > 1).select("kmer", "c.*", "n"))
 
 
-def candidates(sketch: DataFrame, centres: DataFrame) -> DataFrame:
-    """Distinct centre, member, diagonal with both lengths."""
-    joined = salted_join(sketch, centres.drop("n"), "kmer", weights=centres.select("kmer", "n"))
-    return (joined.where(F.col("accession") != F.col("centre"))
-            .select("centre", F.col("accession").alias("member"),
-                    (F.col("centre_position") - F.col("position")).alias("diagonal"),
-                    "centre_length", F.col("length").alias("member_length")).distinct())
+#: Holders of one k-mer, next in order of length, with which each is compared besides the longest.
+NEXT_HOLDERS = 2
+#: Holders in order that are looked through together.
+WINDOW_ROWS = 4096
+
+
+def followers(holders: DataFrame, key: str, near: int) -> DataFrame:
+    """``holders`` (key, accession, length, ...) -> ``one``, ``other``: every holder of a key with the ``near`` next
+    ones by (length descending, accession).
+
+    The holders are numbered in one order over all keys and looked through in blocks of that order, so a key
+    that many hold is many blocks. A block also sees the first rows of the next one.
+    """
+    columns = [c for c in holders.columns if c != key]
+    rows = dense_index(holders.withColumn("_less", -F.col("length")), [key, "_less", "accession"], "_idx")
+    block, place = F.floor(F.col("_idx") / WINDOW_ROWS), F.col("_idx") % WINDOW_ROWS
+    seen = rows.select(key, F.struct(*columns).alias("one"), "_idx", F.explode(
+        F.when((place < near) & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))).alias("_block"))
+    by = Window.partitionBy("_block").orderBy("_idx")
+    after = F.array(*[F.lead(F.struct(key, "one"), j).over(by) for j in range(1, near + 1)])
+    return (seen.withColumn("_next", after).where(F.floor(F.col("_idx") / WINDOW_ROWS) == F.col("_block"))
+            .select(key, "one", F.explode("_next").alias("n")).where(F.col(f"n.{key}") == F.col(key))
+            .select("one", F.col("n.one").alias("other")))
+
+
+def candidates(sketch: DataFrame, centres: DataFrame, near: int = NEXT_HOLDERS) -> DataFrame:
+    """Distinct centre, member, diagonal with both lengths; the centre is the longer one, or of two as long the
+    smaller name.
+
+    Every holder of a k-mer meets its longest one and the ``near`` next ones: two that resemble each other
+    are found although a longer third one, which resembles neither, holds all of their k-mers.
+    """
+    joined = materialise(salted_join(sketch, centres, "kmer", weights=centres.select("kmer", "n")), "holders")
+    longest = joined.where(F.col("accession") != F.col("centre")).select(
+        "centre", F.col("accession").alias("member"), (F.col("centre_position") - F.col("position")).alias("diagonal"),
+        "centre_length", F.col("length").alias("member_length"))
+    if not near:
+        return longest.distinct()
+    # of two holders the longest has met the other already
+    more = followers(joined.where(F.col("n") > 2).select("kmer", "accession", "length", "position"), "kmer", near)
+    return longest.unionByName(more.select(
+        F.col("one.accession").alias("centre"), F.col("other.accession").alias("member"),
+        (F.col("one.position") - F.col("other.position")).alias("diagonal"),
+        F.col("one.length").alias("centre_length"), F.col("other.length").alias("member_length"))).distinct()
 
 
 def overlap():
@@ -81,16 +121,48 @@ def aligned_pairs(pairs: DataFrame, records: DataFrame, min_identity: float,
             .select("centre", "member", "centre_length", "best.identity", "best.coverage"))
 
 
-def greedy_cover(pairs: DataFrame) -> DataFrame:
-    """member -> representative, for every member that does not represent itself.
+#: Pairs of sequences that are covered one after another in one group.
+COVER_PAIRS = 1 << 17
 
-    Sequences are visited longest first; one not yet covered becomes a
-    representative and covers its members. Pairs lead from longer to shorter, so the
-    visit is resolved in rounds: a centre that is nobody's open member is a
-    representative, its members are covered, and covered ones stop covering others.
+
+def _cover(pairs: pa.Table) -> pa.Table:
+    """The covered members of whole components, longest centre first."""
+    members: dict[tuple[int, str], list[str]] = {}
+    for centre, member, length in zip(*[pairs.column(c).to_pylist() for c in ("centre", "member", "centre_length")], strict=True):
+        members.setdefault((-length, centre), []).append(member)
+    covered: set[str] = set()
+    for key in sorted(members):
+        if key[1] not in covered:
+            covered.update(members[key])
+    return pa.table({"member": pa.array(sorted(covered), pa.string())})
+
+
+def covered_members(pairs: DataFrame, most: int | None = None) -> DataFrame:
+    """Distinct members that the greedy visit covers, of stored ``pairs`` (centre, member, centre_length).
+
+    Components of at most ``most`` pairs (by default ``COVER_PAIRS``) are visited one after another, many of
+    them in one group; only larger ones take rounds, as many as their longest chain of pairs.
     """
+    most = most or COVER_PAIRS
+    total = pairs.count()
+    if total <= most:  # all components together are small enough for one group
+        return pairs.groupBy().applyInArrow(_cover, "member string")
+    ends = pairs.select(F.col("centre").alias("a"), F.col("member").alias("b"))
+    vertices = ends.select(F.col("a").alias("v")).union(ends.select(F.col("b").alias("v"))).distinct()
+    found = materialise(components(vertices, ends), "families")
+    placed = materialise(salted_join(pairs, found.withColumnRenamed("v", "centre"), "centre", stored=True), "placed")
+    sizes = materialise(placed.groupBy("component").agg(F.count("*").alias("n")), "sizes")
+    sized = materialise(salted_join(placed, sizes, "component", weights=sizes), "sized")
+    bundle = F.pmod(F.xxhash64("component"), F.lit(-(-total // most)))
+    small = sized.where(F.col("n") <= most).groupBy(bundle.alias("bundle")).applyInArrow(_cover, "member string")
+    large = sized.where(F.col("n") > most)
+    return small if large.isEmpty() else small.unionByName(_covered_in_rounds(large))
+
+
+def _covered_in_rounds(pairs: DataFrame) -> DataFrame:
+    """As ``covered_members``: a centre that is nobody's open member is a representative, its
+    members are covered, and covered ones stop covering others."""
     spark = pairs.sparkSession
-    pairs = materialise(pairs.select("centre", "member", "centre_length"), "edges")
     rounds, done = Rounds(spark, "cover"), Rounds(spark, "covered")
     live, covered = rounds.keep(pairs.select("centre", "member", F.lit(True).alias("open")), "open"), None
     while rounds.flagged:
@@ -103,8 +175,18 @@ def greedy_cover(pairs: DataFrame) -> DataFrame:
         live = rounds.keep(remaining.where(F.col("_covered").isNull())
                            .select("centre", "member", F.lit(True).alias("open")), "open")
         covered = done.keep(fresh if covered is None else covered.union(fresh))
-    if covered is None:
-        return pairs.select("member", F.col("centre").alias("representative")).limit(0)
+    return pairs.select("member").limit(0) if covered is None else covered
+
+
+def greedy_cover(pairs: DataFrame, most: int | None = None) -> DataFrame:
+    """member -> representative, for every member that does not represent itself.
+
+    Sequences are visited longest first; one not yet covered becomes a
+    representative and covers its members. A member belongs to the longest of its
+    representatives.
+    """
+    pairs = materialise(pairs.select("centre", "member", "centre_length"), "edges")
+    covered = materialise(covered_members(pairs, most), "covered")
     flagged = covered.select(F.col("member").alias("centre"), F.lit(True).alias("_covered"))
     open_pairs = (salted_join(pairs.join(covered, "member", "left_semi"), flagged, "centre", "left")
                   .where(F.col("_covered").isNull()))

@@ -48,6 +48,14 @@ _MUTATED = ("array_join(transform(split(sequence, ''), (c, i) -> case when " + _
 _DUCK_MUTATED = ("array_to_string(list_transform(string_split(sequence, ''), lambda c, i: case when "
                  + _CHANGED.replace("{i}", "(i - 1)") + " then translate(c, 'ACGT', 'CGTA') else c end), '')")
 
+# the strains, and of every fifth sequence the middle third on its own
+_FRAGMENTS = """
+select accession, sequence from {strains}
+union all
+select concat(accession, 'F'), substr(sequence, 1 + cast(floor(length(sequence) / 3) as int), cast(floor(length(sequence) / 3) as int))
+from {seqs} where doc_id % 5 = 3 and length(sequence) >= 3
+"""
+
 _META = """
 select accession,
        case when doc_id % 7 = 0 then null when doc_id % 11 = 0 then doc_id % 97 + 2
@@ -92,6 +100,11 @@ def strains(spark: SparkSession, sf: str) -> DataFrame:
     return spark.sql(_STRAINS.replace("{mutated}", _MUTATED), seqs=seqs(spark, sf))
 
 
+def fragments(spark: SparkSession, sf: str) -> DataFrame:
+    """Sequences, changed copies and parts of some of them."""
+    return spark.sql(_FRAGMENTS, strains=strains(spark, sf), seqs=seqs(spark, sf))
+
+
 def meta(spark: SparkSession, sf: str) -> DataFrame:
     """Partial metadata with missing taxids and some that differ from the header."""
     return spark.sql(_META, seqs=seqs(spark, sf))
@@ -120,7 +133,7 @@ def planted(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _duck(text: str) -> str:
-    for name in ("documents", "customer", "region", "nation", "embeddings", "seqs"):
+    for name in ("documents", "customer", "region", "nation", "embeddings", "seqs", "strains"):
         text = text.replace("{%s}" % name, name)
     return (text.replace("{g}", ", 'g'").replace("{text}", "varchar")
             .replace("{class_}", '"class"').replace("{order_}", '"order"')).strip()
@@ -129,6 +142,7 @@ def _duck(text: str) -> str:
 DUCK = {
     "seqs": _duck(_SEQS),
     "strains": _duck(_STRAINS.replace("{mutated}", _DUCK_MUTATED)),
+    "fragments": _duck(_FRAGMENTS),
     "meta": _duck(_META),
     "tree": _duck(_TREE),
     "ranks": _duck(_RANKS),
@@ -138,7 +152,7 @@ select vec_id, label,
 from (select vec_id, label, list_transform(embedding, lambda x, i: x::double
         + case when i = label + 1 and label <> 9 then 3 else 0 end) as e from embeddings) t""",
 }
-_NEEDS = {"meta": ["seqs"], "strains": ["seqs"]}
+_NEEDS = {"meta": ["seqs"], "strains": ["seqs"], "fragments": ["seqs", "strains"]}
 
 
 def duck(body: str, *views: str, recursive: bool = False) -> str:
