@@ -10,13 +10,14 @@ from seqtide import sinks
 from seqtide.catalog.classify import _clusters, flat_records, AMBIGUOUS, RECORD, vote_sql
 from seqtide.catalog.curate import PART, written_fasta
 from seqtide.catalog.encode import DIM, K, VECTOR, _unfolded
-from seqtide.catalog.neighbours import IVF, PROBES, fixed_centroids
+from seqtide.catalog.neighbours import IVF, PROBES, REFINE, fixed_centroids
 from seqtide.catalog.registry import query
 from seqtide.config import FULL
-from seqtide.operators import encode, ivf
+from seqtide.operators import encode
+from seqtide.operators.index_table import IndexTable
 from seqtide.plans import views
 from seqtide.plans.views import duck, table
-from seqtide.session import materialise, scratch_path
+from seqtide.session import scratch_path
 from seqtide.streaming import arrivals
 
 
@@ -68,10 +69,11 @@ def stream_classify(spark, sf):
     v = table(spark, sf, "embeddings").select(
         F.format_string("VEC%06d", "vec_id").alias("accession"), "vec_id", "label", "embedding")
     cent = fixed_centroids(spark, sf)
-    index = materialise(ivf.build_index(v, cent, DIM, seed=None), "index")
+    index = IndexTable(spark, scratch_path(spark, "index"), cent, DIM, seed=None)
+    index.append(v)
     source, out, ckpt = (scratch_path(spark, n) for n in ("in", "out", "ckpt"))
     v.write.parquet(source)
     stream = spark.readStream.schema(v.schema).parquet(source)
-    arrivals.classify(stream, index, cent, views.ranks(spark, sf), _clusters, out, ckpt, dimension=DIM,
-                      seed=None, profile=replace(FULL, probes=PROBES)).awaitTermination()
+    arrivals.classify(stream, index.vectors, cent, views.ranks(spark, sf), _clusters, out, ckpt, dimension=DIM,
+                      seed=None, profile=replace(FULL, probes=PROBES, refine=REFINE), codes=index.codes).awaitTermination()
     return flat_records(arrivals.stored_batches(spark, out))

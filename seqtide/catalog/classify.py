@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seqtide import sinks
-from seqtide.catalog.neighbours import fixed_centroids, IVF, knn_sql
+from seqtide.catalog.neighbours import fixed_centroids, IVF, knn_sql, PROBES, REFINE
 from seqtide.catalog.registry import query
 from seqtide.config import FULL, RANKS
 from seqtide.operators import ivf, vote
@@ -148,8 +148,8 @@ def classify_indexed(spark, sf):
         F.format_string("VEC%06d", "vec_id").alias("accession"), "vec_id", "label", "embedding")
     cent = fixed_centroids(spark, sf)
     index = materialise(ivf.build_index(v, cent, 64, seed=None), "index")
-    near = ivf.search(v, index, cent, K, query_id="accession", base_id="accession", dimension=64, probes=4,
-                      refine=FULL.refine, seed=None)
+    near = ivf.search(v, index, cent, K, query_id="accession", base_id="accession", dimension=64, probes=PROBES,
+                      refine=REFINE, seed=None)
     names = vote.resolved_lineages(views.ranks(spark, sf), None)
     return flat_records(from_neighbours(near, names, _clusters(v)))
 

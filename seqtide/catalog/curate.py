@@ -309,17 +309,27 @@ def lineage_ranks(spark, sf):
     return lineage.tree_lineages(views.tree(spark, sf))
 
 
-def taxon_lineages(spark: SparkSession, sf: str) -> DataFrame:
+@query("lineage_merged", duck(f"""with recursive {UP} select tax_id, {RANK_LIST} from lin
+union all select tax_id + 900000, {RANK_LIST} from lin where tax_id > 100000 and tax_id % 7 = 0""", "tree"))
+def lineage_merged(spark, sf):
+    """Old taxids that were merged into others have the lineage of these."""
+    tree = views.tree(spark, sf)
+    merged = tree.where("tax_id > 100000 and tax_id % 7 = 0").select(
+        (F.col("tax_id") + 900000).alias("old_id"), F.col("tax_id").alias("new_id"))
+    return lineage.tree_lineages(tree, merged=merged)
+
+
+def taxon_lineages(spark: SparkSession, sf: str, whole: bool = True) -> DataFrame:
     """Lineages under the small taxids of the sequences: taxid t stands for customer t.
-    One class counts as missing from the tree, so some taxids stay unknown."""
+    Unless ``whole``, one class counts as missing from the tree, so some taxids are unknown."""
     found = lineage.tree_lineages(views.tree(spark, sf)).where(F.col("tax_id") > 100000)
-    return found.where(~F.col("class").like("%BUILDING")).select(
-        (F.col("tax_id") - 100000).cast("string").alias("taxid"), *[f"`{r}`" for r in RANKS])
+    known = found if whole else found.where(~F.col("class").like("%BUILDING"))
+    return known.select((F.col("tax_id") - 100000).cast("string").alias("taxid"), *[f"`{r}`" for r in RANKS])
 
 
 TAXA = MAP + "," + UP + f""",
-tl as (select cast(tax_id - 100000 as varchar) as taxid, {RANK_LIST} from lin
-       where tax_id > 100000 and "class" not like '%BUILDING')"""
+tl as (select cast(tax_id - 100000 as varchar) as taxid, {RANK_LIST} from lin where tax_id > 100000)"""
+SOME_TAXA = TAXA[:-1] + """ and "class" not like '%BUILDING')"""
 
 
 @query("annotate", duck(f"with recursive {TAXA} select accession, taxid, {RANK_LIST} from map join tl using (taxid)",
@@ -328,17 +338,17 @@ def annotate(spark, sf):
     return lineage.annotate(merged_map(spark, sf), taxon_lineages(spark, sf))
 
 
-@query("unmatched", duck(f"""with recursive {TAXA} select accession, taxid from map
+@query("unmatched", duck(f"""with recursive {SOME_TAXA} select accession, taxid from map
 where taxid not in (select taxid from tl)""", "meta", "tree"))
 def unmatched(spark, sf):
-    return lineage.unmatched(merged_map(spark, sf), taxon_lineages(spark, sf))
+    return lineage.unmatched(merged_map(spark, sf), taxon_lineages(spark, sf, whole=False))
 
 
-@query("coverage", duck(f"""with recursive {TAXA}
+@query("coverage", duck(f"""with recursive {SOME_TAXA}
 select count_if(tl.taxid is not null)::bigint as annotated, count_if(tl.taxid is null)::bigint as without_lineage,
        count(distinct map.taxid) as distinct_taxids from map left join tl using (taxid)""", "meta", "tree"))
 def coverage(spark, sf):
-    return lineage.coverage(merged_map(spark, sf), taxon_lineages(spark, sf))
+    return lineage.coverage(merged_map(spark, sf), taxon_lineages(spark, sf, whole=False))
 
 
 @query("id_format", """

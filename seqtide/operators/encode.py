@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.resource import ResourceProfile
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +20,13 @@ from seqtide.operators.dedup import pending
 
 
 class Encoder(Protocol):
-    """A model plug-in. It is shipped to each Python worker and prepared there once."""
+    """A model plug-in. It is shipped to each Python worker and prepared there once, however many tasks that runs.
+
+    ``window`` is the number of letters it reads of a sequence, None for all.
+    """
 
     dimension: int
+    window: int | None
 
     def prepare(self) -> None: ...
 
@@ -28,6 +36,8 @@ class Encoder(Protocol):
 class KmerEncoder:
     """Built-in baseline: hashed k-mer frequencies of unit length."""
 
+    window = None
+
     def __init__(self, dimension: int = 64, k: int = 6):
         self.dimension, self.k = dimension, k
 
@@ -38,20 +48,47 @@ class KmerEncoder:
         return frequency_matrix(pa.array(sequences, pa.string()), self.k, self.dimension)
 
 
-def encode_sequences(records: DataFrame, encoder: Encoder, batch: int = 32,
-                     key: str = "accession") -> DataFrame:
-    """key and float vector per record, the encoder fed ``batch`` sequences at a time."""
-    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+#: Prepared encoders of this Python worker by digest; a worker keeps the last ones used.
+_PREPARED: dict[str, Encoder] = {}
+KEPT_ENCODERS = 2
+
+
+def prepared_encoder(digest: str, encoder: Encoder) -> Encoder:
+    """The encoder of that digest which this worker has prepared before, else ``encoder``, prepared now."""
+    found = _PREPARED.pop(digest, None)
+    if found is None:
         encoder.prepare()
+        found = encoder
+    _PREPARED[digest] = found
+    while len(_PREPARED) > KEPT_ENCODERS:
+        del _PREPARED[next(iter(_PREPARED))]
+    return found
+
+
+def encode_sequences(records: DataFrame, encoder: Encoder, batch: int = 32, key: str = "accession",
+                     profile: ResourceProfile | None = None) -> DataFrame:
+    """key and float vector per record, the encoder fed ``batch`` sequences of similar length at a time.
+
+    ``profile`` places the tasks, on executors with an accelerator for instance.
+    """
+    digest = hashlib.sha256(cloudpickle.dumps(encoder)).hexdigest()
+
+    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = None
         for table in tables:
+            if model is None:  # tasks without rows load nothing
+                model = prepared_encoder(digest, encoder)
+            # sequences of a batch are padded to the longest, so similar lengths go together
+            order = pc.sort_indices(pc.fill_null(pc.utf8_length(table.column(1)), 0))
+            table = table.take(order)
             for start in range(0, table.num_rows, batch):
                 part = table.slice(start, batch)
-                vectors = encoder.encode([s or "" for s in part.column(1).to_pylist()])
+                vectors = model.encode([s or "" for s in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), lists(np.asarray(vectors, np.float32))],
                     names=[key, "embedding"])
     kind = records.schema[key].dataType.simpleString()
-    return records.select(key, "sequence").mapInArrow(run, f"`{key}` {kind}, embedding array<float>")
+    return records.select(key, "sequence").mapInArrow(run, f"`{key}` {kind}, embedding array<float>", profile=profile)
 
 
 def kmer_vectors(records: DataFrame, dimension: int = 64, k: int = 6) -> DataFrame:
@@ -74,9 +111,10 @@ def truncate_tokens(words: Column | str, max_tokens: int) -> Column:
     return F.slice(words, 1, max_tokens)
 
 
-def context_window(records: DataFrame, max_tokens: int, k: int = 6) -> DataFrame:
-    """Records whose sequences end with the last token a model of this window reads."""
-    return records.withColumn("sequence", F.substring("sequence", 1, max_tokens * k))
+def context_window(records: DataFrame, encoder: Encoder) -> DataFrame:
+    """Records whose sequences end with the last letter the encoder reads; whole ones if it reads all."""
+    window = getattr(encoder, "window", None)
+    return records if window is None else records.withColumn("sequence", F.substring("sequence", 1, window))
 
 
 def mean_pool(token_vectors: DataFrame, key: str, vector: str = "embedding",

@@ -117,11 +117,16 @@ def build_index(vectors: DataFrame, centroids: np.ndarray, dimension: int,
     return quantise(assign_cells(vectors, centroids, vector), dimension, vector, seed)
 
 
-def code_table(index: DataFrame, base_id: str, most: int = 1000) -> DataFrame:
+#: Ids that a stored code table keeps per equal code, and so the longest shortlist it serves.
+STORED_IDS = 1000
+
+
+def code_table(index: DataFrame, base_id: str, most: int = STORED_IDS) -> DataFrame:
     """cell, ids, payload (code, align) per distinct code and align of a cell, to be stored beside the index.
 
     Rows of equal code and align have one estimate and rank by id, so ``most`` ids of
-    each are enough for shortlists up to that length.
+    each are enough for shortlists up to that length; ``search`` refuses longer ones. Tables of several
+    disjoint parts of an index, one after another, are the table of the whole.
     """
     w = Window.partitionBy("cell", "code", "align").orderBy(base_id)
     few = (index.select("cell", "code", "align", base_id).withColumn("n", F.row_number().over(w))
@@ -158,6 +163,8 @@ def search(queries: DataFrame, index: DataFrame, centroids: np.ndarray, k: int,
     """
     want = k + 1 if exclude_self else k
     short = want * refine
+    if codes is not None and short > STORED_IDS:
+        raise ValueError(f"a stored code table serves shortlists of {STORED_IDS}, not {short}")
     probe = nearest_cells_udf(centroids, probes)
     q_all = prepared(queries, query_id, vector, "cosine")
     q_map = q_all.select("id", F.col("digest").alias("query_key"))
@@ -178,31 +185,45 @@ def search(queries: DataFrame, index: DataFrame, centroids: np.ndarray, k: int,
             .withColumn("n", F.row_number().over(w)).where(F.col("n") <= short)
             .select("cell", "query_key", "neighbour"))
     best = rerank(materialise(kept, "shortlist"), q_rows.select("query_key", "unit"), index, want,
-                  base_id, vector, block_rows)
+                  base_id, vector, block_rows, dimension)
     return materialise(unfold(q_map, best, k, exclude_self), "neighbours")
 
 
+#: Pairs of a query and a neighbour, and numbers in their vectors, that one group re-ranks.
+RERANK_PAIRS, RERANK_NUMBERS = 1 << 16, 1 << 23
+
+
+def rerank_blocks(shortlist: DataFrame, block_rows: int, dimension: int | None) -> DataFrame:
+    """``shortlist`` with block (of neighbours) and part (of queries) within its cell."""
+    side = block_rows if dimension is None else max(min(block_rows, RERANK_NUMBERS // dimension // 2), 1)
+    # one row per cell
+    sizes = shortlist.groupBy("cell").agg(F.count("*").alias("pairs"), F.approx_count_distinct("neighbour").alias("nb"),
+                                          F.approx_count_distinct("query_key").alias("nq"))
+    grid = sizes.select("cell", F.ceil(F.col("nb") / side).cast("int").alias("nb"), F.greatest(
+        F.ceil(F.col("nq") / side), F.ceil(F.col("pairs") / RERANK_PAIRS / F.ceil(F.col("nb") / side))).cast("int").alias("nq"))
+    return shortlist.join(F.broadcast(grid), "cell").select(
+        "cell", F.pmod(F.xxhash64("neighbour"), "nb").cast("int").alias("block"),
+        F.pmod(F.xxhash64("query_key"), "nq").cast("int").alias("part"), "query_key", "neighbour")
+
+
 def rerank(shortlist: DataFrame, queries: DataFrame, base: DataFrame, k: int, base_id: str,
-           vector: str, block_rows: int = 2048) -> DataFrame:
-    """Exact distances of a shortlist (cell, query_key, neighbour).
+           vector: str, block_rows: int = 2048, dimension: int | None = None) -> DataFrame:
+    """Exact distances of a stored shortlist (cell, query_key, neighbour).
 
-    A cell's neighbours are cut into blocks of about ``block_rows``; a vector and a query
-    travel once to a block however many pairs they are in.
+    A cell's pairs are cut into a grid of blocks of neighbours by blocks of queries, so many that a block
+    holds few enough pairs, and few enough vectors of either side, to fit ``RERANK_NUMBERS``. A vector
+    travels once to each block that has a pair of it, however many pairs these are.
     """
-    sizes = base.groupBy("cell").agg(F.count("*").alias("n")).select(
-        "cell", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks"))  # one row per cell
-    placed = materialise(shortlist.join(F.broadcast(sizes), "cell").select(
-        "cell", F.pmod(F.xxhash64("neighbour"), "blocks").cast("int").alias("block"), "query_key", "neighbour"), "placed")
-    on = ["cell", "block"]
-    wanted = placed.select("cell", "block", "neighbour").distinct()
+    placed = materialise(rerank_blocks(shortlist, block_rows, dimension), "placed")
+    on = ["cell", "block", "part"]
     vectors = base.select("cell", F.col(base_id).alias("neighbour"), F.col(vector).alias("payload"))
     kind, none = vectors.schema["payload"].dataType, F.lit(None)
     text, number = placed.schema["query_key"].dataType, placed.schema["neighbour"].dataType
-    asked = placed.select(*on, "query_key").distinct().join(queries, "query_key")
     rows = (placed.select(*on, "query_key", "neighbour", none.cast(kind).alias("payload"), none.cast("array<double>").alias("unit"))
-            .unionByName(wanted.join(vectors, ["cell", "neighbour"]).select(
+            .unionByName(placed.select(*on, "neighbour").distinct().join(vectors, ["cell", "neighbour"]).select(
                 *on, none.cast(text).alias("query_key"), "neighbour", "payload", none.cast("array<double>").alias("unit")))
-            .unionByName(asked.select(*on, "query_key", none.cast(number).alias("neighbour"), none.cast(kind).alias("payload"), "unit")))
+            .unionByName(placed.select(*on, "query_key").distinct().join(queries.select("query_key", "unit"), "query_key").select(
+                *on, "query_key", none.cast(number).alias("neighbour"), none.cast(kind).alias("payload"), "unit")))
     scored = rows.groupBy(*on).applyInArrow(
         _exact_distances, f"query_key {text.simpleString()}, neighbour {number.simpleString()}, score double")
     w = Window.partitionBy("query_key").orderBy("score", "neighbour")
@@ -233,6 +254,25 @@ def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
                          F.min(F.col("hits") / F.col("k")).alias("worst"))
 
 
+def sampled(rows: DataFrame, key: str, one_in: int) -> DataFrame:
+    """About one row in ``one_in``, chosen by the key alone."""
+    return rows.where(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long") % one_in == 0)
+
+
+def recall_bound(found: DataFrame, exact: DataFrame, z: float = 1.96) -> DataFrame:
+    """queries, neighbours, recall, lower: the share found of the ``exact`` neighbours of some queries, and the
+    lower end of its Wilson interval.
+
+    With a sample of the queries the cost is that of the exact search for these, not for all.
+    """
+    hits = exact.select("query_id", "neighbour_id").join(
+        found.select("query_id", "neighbour_id").withColumn("hit", F.lit(1)), ["query_id", "neighbour_id"], "left")
+    n, p = F.col("neighbours"), F.col("recall")
+    centre, spread = p + z * z / 2 / n, z * F.sqrt(p * (1 - p) / n + z * z / 4 / n / n)
+    return hits.agg(F.countDistinct("query_id").alias("queries"), F.count("*").alias("neighbours"), (F.count("hit") / F.count("*")).alias("recall")) \
+        .withColumn("lower", (centre - spread) / (1 + z * z / n))
+
+
 def lookup(query: DataFrame, index: DataFrame, centroids: np.ndarray, k: int, **options) -> DataFrame:
     """Neighbours of a few given vectors with all stored columns and ``_distance``.
 
@@ -248,3 +288,42 @@ def lookup(query: DataFrame, index: DataFrame, centroids: np.ndarray, k: int, **
     stored = index.drop("cell", "code", "norm", "align", options.get("vector", "embedding"))
     return hits.select(F.col("neighbour_id").alias(base_id), "query_id", "rn",
                        F.col("distance").alias("_distance")).join(stored, base_id)
+
+
+def lookup_vector(query: np.ndarray, index: DataFrame, centroids: np.ndarray, k: int, *, base_id: str, dimension: int,
+                  probes: int = 8, refine: int = 4, vector: str = "embedding", seed: int | None = 42) -> DataFrame:
+    """The neighbours of one vector with all stored columns, ``_distance`` and ``rn``: one job over the probed cells.
+
+    Every task keeps the k * refine best rows of its part by their codes and measures these
+    exactly; the best k * refine of all tasks by code, and of them the k nearest, are the result of ``search``
+    for that vector. Nothing is stored or shuffled but those few rows. A zero or broken vector has no neighbours.
+    """
+    asked = np.asarray(query, np.float64)[None, :]
+    usable = np.isfinite(asked).all() and np.linalg.norm(asked) > 0
+    one = unit(asked)[0] if usable else np.zeros(dimension)
+    cells = nearest_few(pairwise(one[None, :], centroids), probes)[0].tolist() if usable else []
+    turned = one if seed is None else rotation(dimension, seed) @ one
+    short = k * refine
+    part = index.where(F.col("cell").isin(cells))
+    stored = [c for c in index.columns if c not in ("cell", "code", "norm", "align", vector)]
+    kinds = ", ".join(f"`{c}` {index.schema[c].dataType.simpleString()}" for c in stored)
+
+    def best(batches):
+        kept = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            codes = pa.StructArray.from_arrays([table["code"].combine_chunks(), table["align"].combine_chunks()], ["code", "align"])
+            estimate = estimates(pa.array([turned.tolist()]), codes)[0]
+            table = table.drop_columns(["code", "align"]).append_column("_estimate", pa.array(estimate))
+            kept = table if kept is None else pa.concat_tables([kept, table])
+            kept = kept.take(pc.sort_indices(kept, [("_estimate", "ascending"), (base_id, "ascending")])[:short])
+        if kept is not None:
+            distance = 1.0 - unit(matrix(kept[vector])) @ one
+            yield from kept.drop_columns([vector]).append_column("_distance", pa.array(distance)).to_batches()
+
+    near = part.select(*stored, "code", "align", vector).mapInArrow(best, kinds + ", _estimate double, _distance double")
+    nearest = near.orderBy("_estimate", base_id).limit(short).orderBy("_distance", base_id).limit(k)
+    # k rows
+    return nearest.drop("_estimate").withColumn("rn", F.row_number().over(Window.orderBy("_distance", base_id)))

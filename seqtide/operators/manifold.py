@@ -11,7 +11,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqtide.functions.vectors import normalise
+from seqtide.functions.vectors import matrix, normalise
 from seqtide.operators.skew import dense_index, salted_join
 from seqtide.session import Rounds, materialise
 
@@ -156,3 +156,47 @@ def project(neighbours: DataFrame, fitted: DataFrame, k: int) -> DataFrame:
                .groupBy("id", "dim").agg((F.sum(F.col("weight") * F.col("x")) / F.sum("weight")).alias("x")))
     packed = F.sort_array(F.collect_list(F.struct("dim", "x")))
     return per_dim.groupBy("id").agg(F.transform(packed, lambda s: s["x"]).alias("coords"))
+
+
+#: Points whose neighbourhoods are judged at most: their vectors and k distances each go to every task.
+JUDGED = 1000
+
+
+def trustworthiness(points: DataFrame, laid: DataFrame, near: DataFrame, k: int, judged: int = JUDGED, vector: str = "embedding") -> DataFrame:
+    """judged, trustworthiness: 1 if the ``k`` nearest points in the layout are the nearest by cosine too, less
+    the further down the true order they come.
+
+    ``near`` (query_id, neighbour_id, rn) are neighbours in the layout, without the point itself. ``judged`` points, the first by the digest of
+    their id, are compared with all others: one scan counts, per neighbour, how many points are truly nearer.
+    """
+    spark, n = points.sparkSession, points.count()
+    if n < 2 * k + 2:
+        raise ValueError("trustworthiness needs more than 2k + 1 points")
+    chosen = points.join(laid.select("id"), "id", "left_semi").orderBy(F.md5(F.col("id").cast("string")), "id").limit(judged)
+    chosen = materialise(chosen.select("id", normalise(vector).alias("unit")), "judged")
+    pairs = near.where(F.col("rn") <= k).join(F.broadcast(chosen.select(F.col("id").alias("query_id"))), "query_id")
+    other = points.select(F.col("id").alias("neighbour_id"), normalise(vector).alias("v"))
+    reached = salted_join(pairs.select("query_id", "neighbour_id"), other, "neighbour_id").join(
+        F.broadcast(chosen.select(F.col("id").alias("query_id"), "unit")), "query_id")
+    apart = 1 - F.aggregate(F.zip_with("unit", "v", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    rows = reached.groupBy("query_id", "unit").agg(F.sort_array(F.collect_list(apart)).alias("far")).collect()  # at most ``judged``
+    units, limits = np.array([r["unit"] for r in rows]), [np.array(r["far"]) for r in rows]
+    shared = spark.sparkContext.broadcast((units, limits))
+
+    def count(batches):
+        units, limits = shared.value
+        nearer = np.zeros((len(limits), k), np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                d = 1.0 - units @ matrix(batch.column(0)).T
+                for i, limit in enumerate(limits):
+                    # the distances were folded in another order: what is as near to 10 digits is not nearer
+                    nearer[i, :len(limit)] += np.searchsorted(np.sort(d[i]), limit - 1e-10)
+        at = np.argwhere(nearer > 0)
+        yield pa.RecordBatch.from_arrays([pa.array(at[:, 0], pa.int32()), pa.array(at[:, 1], pa.int32()), pa.array(nearer[at[:, 0], at[:, 1]], pa.int64())],
+                                         names=["i", "j", "n"])
+    counted = points.select(normalise(vector).alias("v")).mapInArrow(count, "i int, j int, n long").groupBy("i", "j").agg(F.sum("n").alias("n"))
+    # the point itself is among the nearer ones, so ``n`` is the rank
+    lost = counted.agg(F.coalesce(F.sum(F.greatest(F.col("n") - k, F.lit(0))), F.lit(0)).alias("lost"))
+    scale = 2.0 / (len(rows) * k * (2 * n - 3 * k - 1)) if rows else 0.0
+    return lost.select(F.lit(len(rows)).cast("long").alias("judged"), (1 - F.col("lost") * scale).alias("trustworthiness"))

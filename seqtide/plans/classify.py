@@ -51,15 +51,15 @@ def classify_indexed(queries: DataFrame, index: DataFrame, centroids: np.ndarray
                      lineages: DataFrame, clusters: DataFrame, *, dimension: int,
                      key: str = "accession", vector: str = "embedding",
                      lookup: DataFrame | None = None, exclude_self: bool = False,
-                     seed: int | None = 42, profile: Profile = FULL) -> DataFrame:
+                     seed: int | None = 42, profile: Profile = FULL, codes: DataFrame | None = None) -> DataFrame:
     """The same vote among neighbours found through the index: the form for large tables.
 
-    Vectors that cannot be searched (null, not finite, zero) get a record as well.
+    ``codes`` is the stored code table of the index, which else is made for this call. Vectors that cannot be searched (null, not finite, zero) get a record as well.
     """
     near = ivf.search(queries, index, centroids, profile.vote_neighbours, query_id=key, base_id=key,
                       dimension=dimension, probes=profile.probes, refine=profile.refine,
                       vector=vector, seed=seed, exclude_self=exclude_self,
-                      block_rows=profile.block_rows)
+                      block_rows=profile.block_rows, codes=codes)
     return from_neighbours(near, resolved_lineages(lineages, lookup, key), clusters, profile, key, queries)
 
 

@@ -60,7 +60,7 @@ def run(spark: SparkSession, inputs: Inputs, out: str, encoder: encode.Encoder,
                      .withColumn("taxid", F.col("tax_id").cast("string")).drop("tax_id"), "n_taxids")
     annotated = stage("annotated", lambda: lineage.annotate(taxids, lineages), "n_annotated")
 
-    window = encode.context_window(kept, profile.max_tokens)
+    window = encode.context_window(kept, encoder)
     vectors = stage("vectors", lambda: encode.encode_sequences(window, encoder, profile.encode_batch), "n_embedded")
     stage("quality", lambda: quality.embedding_report(vectors))
     usable = vectors.where(ivf.searchable("embedding"))

@@ -7,7 +7,8 @@ folder; calling it again continues where the last call ended. File sinks and
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.errors import AnalysisException
@@ -33,11 +34,34 @@ def fasta_stream(spark: SparkSession, path: str, pattern: str = "*.{fasta,fna}",
     return parse_records(reader.text(path)).where(present("accession"))
 
 
+# State lies in RocksDB on the executors' disks, and a checkpoint writes what changed: keys may outgrow the heap.
+STATE = {"spark.sql.streaming.stateStore.providerClass":
+         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Queries that start inside keep their state on disk; a query that restarts keeps the store it began with."""
+    before = {key: spark.conf.get(key, None) for key in STATE}
+    for key, value in STATE.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def append_to(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Append to a parquet table exactly once."""
-    return (stream.writeStream.format("parquet").option("path", out)
-            .option("checkpointLocation", checkpoint).outputMode("append")
-            .trigger(availableNow=True).start())
+    """Append to a parquet table exactly once; any state is kept on disk."""
+    with state_on_disk(stream.sparkSession):
+        return (stream.writeStream.format("parquet").option("path", out)
+                .option("checkpointLocation", checkpoint).outputMode("append")
+                .trigger(availableNow=True).start())
 
 
 def ingest(spark: SparkSession, path: str, out: str, checkpoint: str, **options) -> StreamingQuery:
@@ -68,13 +92,13 @@ def batches(stream: DataFrame, out: str, checkpoint: str,
 def classify(stream: DataFrame, index: DataFrame, centroids: np.ndarray, lineages: DataFrame,
              clusters: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, *,
              dimension: int, key: str = "accession", seed: int | None = 42,
-             profile: Profile = FULL) -> StreamingQuery:
+             profile: Profile = FULL, codes: DataFrame | None = None) -> StreamingQuery:
     """Classify arriving vectors against a fixed index.
 
-    ``clusters`` gives query_id, cluster_id, cluster_probability for a batch.
+    ``codes`` is its stored code table; without it every micro-batch makes one. ``clusters`` gives query_id, cluster_id, cluster_probability for a batch.
     """
     return batches(stream, out, checkpoint, lambda b: classify_indexed(
-        b, index, centroids, lineages, clusters(b), dimension=dimension, key=key, seed=seed, profile=profile))
+        b, index, centroids, lineages, clusters(b), dimension=dimension, key=key, seed=seed, profile=profile, codes=codes))
 
 
 def new_only(batch: DataFrame, table: DataFrame, key: str = "accession") -> DataFrame:
@@ -110,4 +134,4 @@ def stored_batches(spark: SparkSession, out: str) -> DataFrame:
 
 
 __all__ = ["append_new", "append_to", "batches", "classify", "embed", "fasta_stream", "first_arrivals", "ingest",
-           "new_only", "stored_batches"]
+           "new_only", "state_on_disk", "stored_batches"]

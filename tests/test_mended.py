@@ -92,3 +92,54 @@ def test_intermediate_tables_of_a_scope_are_removed(spark):
         inner = materialise(spark.range(5), "inner")
         assert inner.count() == 5 and list(root.glob("scope-*/inner-*"))
     assert not list(root.glob("scope-*")) and before.count() == 3
+
+
+def counting(folder):
+    class Counting:
+        """Notes every preparation in a folder all workers share."""
+
+        dimension, window = 2, 5
+
+        def __init__(self, folder):
+            self.folder = folder
+
+        def prepare(self):
+            import os
+            import uuid
+            open(f"{self.folder}/{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+
+        def encode(self, sequences):
+            import numpy as np
+            lengths = [len(s) for s in sequences]
+            assert lengths == sorted(lengths)  # similar lengths go together
+            return np.array([[n, len(sequences)] for n in lengths], np.float32)
+    return Counting(folder)
+
+
+def test_encoder_is_prepared_once_per_worker(spark, tmp_path):
+    import os
+
+    from seqtide.operators import encode
+    records = spark.range(600).selectExpr("cast(id as string) accession", "repeat('A', cast(id % 100 as int)) sequence").repartition(24)
+    model = counting(str(tmp_path))
+    for _ in range(2):
+        got = encode.encode_sequences(records, model, batch=16).collect()
+    assert len(got) == 600 and all(r.embedding[0] == int(r.accession) % 100 for r in got)
+    workers = [f.split("-")[0] for f in os.listdir(tmp_path)]
+    assert len(workers) == len(set(workers)) < 48
+    cut = encode.context_window(records, model).selectExpr("max(length(sequence))").first()[0]
+    whole = encode.context_window(records, encode.KmerEncoder()).selectExpr("max(length(sequence))").first()[0]
+    assert (cut, whole) == (5, 99)
+
+
+def test_stream_state_survives_a_restart_on_disk(spark, tmp_path):
+    import glob
+    source, out, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    for part in ([1, 2, 3, 2], [3, 4, 1, 5], [5, 6]):
+        spark.createDataFrame([(str(i),) for i in part], "accession string").coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("accession string").parquet(source)
+        arrivals.append_to(arrivals.first_arrivals(stream), out, ckpt).awaitTermination()
+    assert sorted(r.accession for r in spark.read.parquet(out).collect()) == ["1", "2", "3", "4", "5", "6"]
+    offsets = [open(f).read() for f in glob.glob(f"{ckpt}/offsets/[0-9]*")]
+    assert offsets and all("RocksDBStateStoreProvider" in o for o in offsets)
+    assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")

@@ -146,3 +146,73 @@ def test_one_lookup_reads_only_probed_cells(spark, tmp_path):
                 file.unlink()
     assert ivf.lookup(one, index, cent, 5, **options).orderBy("rn").collect() == want and len(want) == 5
     shutil.rmtree(path)
+
+
+def clustered(spark, n=240, d=16, seed=1):
+    rng = np.random.default_rng(seed)
+    return frame(spark, np.repeat(rng.normal(size=(6, d)) * 3, n // 6, axis=0) + rng.normal(size=(n, d)))
+
+
+def test_one_vector_in_one_job_equals_the_search(spark, tmp_path):
+    df = clustered(spark)
+    cent = ivf.train_cells(df, 6, seed=1)
+    ivf.build_index(df.withColumn("name", F.concat(F.lit("v"), "id")), cent, 16, seed=1).write.partitionBy("cell").parquet(str(tmp_path / "i"))
+    index = spark.read.parquet(str(tmp_path / "i"))
+    options = dict(base_id="id", dimension=16, probes=3, refine=2, seed=1)
+    for one in df.where("id in (7, 100)").collect():
+        found = ivf.lookup_vector(np.array(one["embedding"]), index, cent, 5, **options).collect()
+        want = ivf.search(df.where(F.col("id") == one["id"]), index, cent, 5, query_id="id", **options).orderBy("rn").collect()
+        assert [(r.id, r.rn) for r in found] == [(r.neighbour_id, r.rn) for r in want] and found[0].name == f"v{found[0].id}"
+        assert np.allclose([r._distance for r in found], [r.distance for r in want])
+    assert ivf.lookup_vector(np.zeros(16), index, cent, 5, **options).count() == 0
+    assert ivf.lookup_vector(np.full(16, np.nan), index, cent, 5, **options).count() == 0
+
+
+def test_appended_index_equals_one_build(spark, tmp_path):
+    from seqtide.operators.index_table import IndexTable
+    df = clustered(spark)
+    cent = ivf.train_cells(df, 6, seed=1)
+    table = IndexTable(spark, str(tmp_path / "t"), cent, 16, key="id", seed=1)
+    table.append(df.where("id < 90"))
+    broken = spark.createDataFrame([(900, [0.0] * 16), (901, [float("nan")] * 16), (None, [1.0] * 16)], "id long, embedding array<double>")
+    table.append(df.where("id % 2 = 0 or id >= 80").unionByName(df.where("id > 200")).unionByName(broken))
+    table.append(df)  # nothing new
+    assert sorted(r.id for r in table.vectors.select("id").collect()) == list(range(240))
+    assert sorted(r.id for r in table.codes.select(F.explode("ids").alias("id")).collect()) == list(range(240))
+    want = ivf.search(df, ivf.build_index(df, cent, 16, seed=1), cent, 7, query_id="id", base_id="id", dimension=16, probes=3, seed=1)
+    got = table.search(df, 7, probes=3)
+    assert sorted(map(tuple, got.select("query_id", "neighbour_id", "rn").collect())) == sorted(
+        map(tuple, want.select("query_id", "neighbour_id", "rn").collect()))
+    with pytest.raises(ValueError):
+        table.search(df, ivf.STORED_IDS, refine=4)
+
+
+def test_rerank_groups_are_bounded_by_pairs(spark):
+    """1024 dimensions, 30 neighbours and the query itself, refine 4: one cell, and a hub all queries share."""
+    pairs = spark.range(6000).select(F.lit(0).alias("cell"), F.col("id").alias("query_key"), F.explode(F.sequence(F.lit(0), F.lit(123))).alias("j")).select(
+        "cell", "query_key", F.when(F.col("j") == 0, 0).otherwise(F.pmod(F.xxhash64("query_key", "j"), F.lit(40_000))).alias("neighbour"))
+    placed = ivf.rerank_blocks(pairs, 2048, 1024)
+    worst = placed.groupBy("cell", "block", "part").agg(F.count("*").alias("n"), F.countDistinct("query_key").alias("q"),
+                                                        F.countDistinct("neighbour").alias("b")).agg(F.max("n"), F.max(F.col("q") + F.col("b"))).first()
+    assert worst[0] <= 1.5 * ivf.RERANK_PAIRS and worst[1] * 1024 <= 1.5 * ivf.RERANK_NUMBERS
+
+
+def test_recall_bound(spark):
+    exact = spark.createDataFrame([(q, n) for q in range(20) for n in range(10)], "query_id long, neighbour_id long")
+    row = ivf.recall_bound(exact.where("query_id > 0 or neighbour_id > 3"), exact).first()
+    assert (row.queries, row.neighbours, row.recall) == (20, 200, 0.98) and 0.94 < row.lower < 0.96
+
+
+def test_trustworthiness(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(90, 5))
+    y = rng.normal(size=(90, 2)) + x[:, :2]
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    truth = np.argsort(np.argsort(1 - u @ u.T + np.diag(np.full(90, -9.0)), axis=1), axis=1)  # 0: itself
+    d = ((y[:, None] - y[None]) ** 2).sum(-1) + np.eye(90) * 1e9
+    lost = sum(max(truth[i, j] - 6, 0) for i in range(90) for j in np.argsort(d[i])[:6])
+    laid = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(y)], "id long, coords array<double>")
+    near = exact_knn(laid, laid, 6, query_id="id", base_id="id", vector="coords", metric="euclidean", exclude_self=True)
+    got = manifold.trustworthiness(frame(spark, x), laid, near, 6).first()
+    assert got.judged == 90 and abs(got.trustworthiness - (1 - 2 * lost / (90 * 6 * (180 - 18 - 1)))) < 1e-9
+    assert manifold.trustworthiness(frame(spark, x), laid, near, 6, judged=20).first().judged == 20
