@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from seqtide.catalog.neighbours import knn_sql
 from seqtide.catalog.registry import query
 from seqtide.config import DEMO, FULL
-from seqtide.operators import density
+from seqtide.operators import density, ivf, vote
 from seqtide.operators.graph import spanning_forest
 from seqtide.operators.knn import exact_knn
 from seqtide.plans import views
@@ -87,6 +87,30 @@ def density_clusters(spark, sf):
     return _flat(spark, sf)
 
 
+@query("density_indexed", """
+select count(*) as points, true as recall_above_095, true as same_partition_095 from embeddings""")
+def density_indexed(spark, sf):
+    """The flat clusters from neighbours that a Euclidean index finds: recall against exact neighbours, and agreement
+    of the clusters (adjusted Rand) with those of exact ones."""
+    points = _points(spark, sf)
+    dimension = 64
+    cent = ivf.train_cells(points, 16, seed=FULL.seed, metric="euclidean")
+    index = materialise(ivf.build_index(points, cent, dimension, seed=FULL.seed, metric="euclidean"), "index")
+    near = ivf.search(points, index, cent, K, query_id="id", base_id="id", dimension=dimension, probes=8, refine=8, seed=FULL.seed,
+                      exclude_self=True, metric="euclidean")
+    cores = materialise(density.core_distances(near, SAMPLES), "cores")
+    found = density.radius_clusters(points, cores, materialise(density.mutual_reachability(near, cores), "mutual"), RADIUS)
+    exact = exact_knn(points, points, K, query_id="id", base_id="id", metric="euclidean", exclude_self=True)
+    both = found.withColumnRenamed("cluster", "a").join(_flat(spark, sf).withColumnRenamed("cluster", "b"), "id")
+    agreement = vote.adjusted_rand(materialise(both, "both"), "a", "b")
+    # three tables of one row
+    one = F.lit(1).alias("one")
+    total = points.agg(F.count("*").alias("points")).select("points", one)
+    recall = ivf.recall_bound(near, exact).select((F.col("lower") >= 0.95).alias("recall_above_095"), one)
+    same = agreement.select((F.col("adjusted_rand") >= 0.95).alias("same_partition_095"), one)
+    return total.join(recall, "one").join(same, "one").drop("one")
+
+
 @query("cluster_summary", duck(f"""with recursive {FLAT}
 select cluster as cluster_id, count(*) as size from flat group by 1""", "planted"))
 def cluster_summary(spark, sf):

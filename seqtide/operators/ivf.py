@@ -10,40 +10,43 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqtide.functions.vectors import finite, lists, matrix, norm, normalise, settled, sign_code
+from seqtide.functions.vectors import doubles, finite, lists, matrix, norm, normalise, settled, sign_code
 from seqtide.operators.blocks import blocked_topk
 from seqtide.operators.knn import pairwise, prepared, unfold
 from seqtide.session import materialise
 
 
 def train_cells(vectors: DataFrame, cells: int, vector: str = "embedding", seed: int = 42,
-                sample_rows: int | None = None, max_iter: int = 20) -> np.ndarray:
-    """Unit centroids (cells, d) by spherical k-means.
+                sample_rows: int | None = None, max_iter: int = 20, metric: str = "cosine") -> np.ndarray:
+    """Centroids (cells, d) by k-means: spherical and of unit length for ``cosine``, plain for ``euclidean``.
 
     Training may use a sample of ``sample_rows``, since centroids only steer the
     search; assignment and search always cover every vector.
     """
-    rows = vectors.where(searchable(vector)).select(normalise(vector).alias("v"))
+    rows = vectors.where(searchable(vector, metric)).select((normalise(vector) if metric == "cosine" else doubles(vector)).alias("v"))
     if sample_rows is not None:
         fraction = min(1.0, sample_rows / max(1, rows.count()))
         rows = rows.sample(fraction=fraction, seed=seed)
-    fit = KMeans(k=cells, seed=seed, maxIter=max_iter, distanceMeasure="cosine",
+    fit = KMeans(k=cells, seed=seed, maxIter=max_iter, distanceMeasure=metric,
                  featuresCol="features").fit(rows.select(array_to_vector("v").alias("features")))
     centres = np.stack(fit.clusterCenters())
+    if metric == "euclidean":
+        return centres
     return centres / np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-300)
 
 
-def searchable(vector: str = "embedding"):
-    return F.col(vector).isNotNull() & finite(vector) & (norm(F.col(vector).cast("array<double>")) > 0)
+def searchable(vector: str = "embedding", metric: str = "cosine"):
+    whole = F.col(vector).isNotNull() & finite(vector)
+    return whole & (norm(F.col(vector).cast("array<double>")) > 0) if metric == "cosine" else whole
 
 
-def nearest_cells_udf(centroids: np.ndarray, probes: int):
+def nearest_cells_udf(centroids: np.ndarray, probes: int, metric: str = "cosine"):
     """vector -> its ``probes`` nearest cells, nearest first (ties: lower cell)."""
     @F.arrow_udf("array<int>")
     def nearest(vectors: pa.Array) -> pa.Array:
         if len(vectors) == 0:
             return pa.array([], pa.list_(pa.int32()))
-        rows = unit(matrix(vectors))
+        rows = unit(matrix(vectors)) if metric == "cosine" else matrix(vectors).astype(np.float64)
         step = max(1, DISTANCES // len(centroids))
         parts = [nearest_few(pairwise(rows[i:i + step], centroids), probes) for i in range(0, len(rows), step)]
         return lists(np.concatenate(parts).astype(np.int32))
@@ -68,10 +71,10 @@ def nearest_few(d: np.ndarray, few: int) -> np.ndarray:
     return out
 
 
-def assign_cells(vectors: DataFrame, centroids: np.ndarray, vector: str = "embedding") -> DataFrame:
+def assign_cells(vectors: DataFrame, centroids: np.ndarray, vector: str = "embedding", metric: str = "cosine") -> DataFrame:
     """Adds ``cell``. The centroid matrix is cells x d, whatever the number of rows."""
-    nearest = nearest_cells_udf(centroids, 1)
-    return settled(vectors.where(searchable(vector)), vector).withColumn("_c", nearest(vector)) \
+    nearest = nearest_cells_udf(centroids, 1, metric)
+    return settled(vectors.where(searchable(vector, metric)), vector).withColumn("_c", nearest(vector)) \
         .withColumn("cell", F.col("_c")[0]).drop("_c")
 
 
@@ -111,9 +114,34 @@ def quantise(vectors: DataFrame, dimension: int, vector: str = "embedding",
             .withColumn("align", spread / F.sqrt(F.lit(float(dimension)))).drop("_u"))
 
 
+def offset_udf(centroids: np.ndarray, seed: int | None):
+    """vector, cell -> the vector seen from the cell's centroid, rotated."""
+    turn = None if seed is None else rotation(centroids.shape[1], seed)
+
+    @F.arrow_udf("array<double>")
+    def offset(vectors: pa.Array, cells: pa.Array) -> pa.Array:
+        if len(vectors) == 0:
+            return pa.array([], pa.list_(pa.float64()))
+        rows = matrix(vectors) - centroids[cells.to_numpy()]
+        return lists(rows if turn is None else rows @ turn.T)
+    return offset
+
+
+def quantise_offsets(celled: DataFrame, centroids: np.ndarray, vector: str = "embedding", seed: int | None = 42) -> DataFrame:
+    """Adds ``code``, ``norm`` and ``align`` of every vector's offset from its centroid, for Euclidean search."""
+    dimension = centroids.shape[1]
+    rows = settled(settled(celled, vector).withColumn("_o", offset_udf(centroids, seed)(vector, "cell")), "_o")
+    rows = rows.withColumn("norm", norm("_o"))
+    spread = F.aggregate("_o", F.lit(0.0), lambda s, x: s + F.abs(x)) / F.sqrt(F.lit(float(dimension)))
+    return (rows.withColumn("code", sign_code("_o", dimension))
+            .withColumn("align", F.when(F.col("norm") > 0, spread / F.col("norm")).otherwise(1.0)).drop("_o"))
+
+
 def build_index(vectors: DataFrame, centroids: np.ndarray, dimension: int,
-                vector: str = "embedding", seed: int | None = 42) -> DataFrame:
+                vector: str = "embedding", seed: int | None = 42, metric: str = "cosine") -> DataFrame:
     """cell, code, norm, align next to the input columns; write it by cell."""
+    if metric == "euclidean":
+        return quantise_offsets(assign_cells(vectors, centroids, vector, metric), centroids, vector, seed)
     return quantise(assign_cells(vectors, centroids, vector), dimension, vector, seed)
 
 
@@ -121,18 +149,19 @@ def build_index(vectors: DataFrame, centroids: np.ndarray, dimension: int,
 STORED_IDS = 1000
 
 
-def code_table(index: DataFrame, base_id: str, most: int = STORED_IDS) -> DataFrame:
+def code_table(index: DataFrame, base_id: str, most: int = STORED_IDS, metric: str = "cosine") -> DataFrame:
     """cell, ids, payload (code, align) per distinct code and align of a cell, to be stored beside the index.
 
     Rows of equal code and align have one estimate and rank by id, so ``most`` ids of
     each are enough for shortlists up to that length; ``search`` refuses longer ones. Tables of several
     disjoint parts of an index, one after another, are the table of the whole.
     """
-    w = Window.partitionBy("cell", "code", "align").orderBy(base_id)
-    few = (index.select("cell", "code", "align", base_id).withColumn("n", F.row_number().over(w))
+    marks = ["code", "align"] if metric == "cosine" else ["code", "align", "norm"]
+    w = Window.partitionBy("cell", *marks).orderBy(base_id)
+    few = (index.select("cell", *marks, base_id).withColumn("n", F.row_number().over(w))
            .where(F.col("n") <= most))
-    return few.groupBy("cell", "code", "align").agg(F.sort_array(F.collect_list(base_id)).alias("ids")) \
-        .select("cell", "ids", F.struct("code", "align").alias("payload"))
+    return few.groupBy("cell", *marks).agg(F.sort_array(F.collect_list(base_id)).alias("ids")) \
+        .select("cell", "ids", F.struct(*marks).alias("payload"))
 
 
 def estimates(queries: pa.ChunkedArray, base: pa.ChunkedArray) -> np.ndarray:
@@ -149,13 +178,22 @@ def estimates(queries: pa.ChunkedArray, base: pa.ChunkedArray) -> np.ndarray:
     return 1.0 - (q @ signs.T) / (np.sqrt(q.shape[1]) * np.where(align == 0, 1, align))[None, :]
 
 
+def squared_estimates(queries: pa.ChunkedArray, base: pa.ChunkedArray) -> np.ndarray:
+    """Estimated squared Euclidean distance of query offsets to the coded offsets of a cell:
+    |q|^2 + |v|^2 - 2 q.v, the last term from the code. Both are seen from the same centroid."""
+    q, parts = matrix(queries), base.combine_chunks() if isinstance(base, pa.ChunkedArray) else base
+    length = parts.field("norm").to_numpy(zero_copy_only=False)
+    along = (1.0 - estimates(queries, base)) * length[None, :]
+    return (q * q).sum(axis=1)[:, None] + (length * length)[None, :] - 2 * along
+
+
 def search(queries: DataFrame, index: DataFrame, centroids: np.ndarray, k: int, *,
            query_id: str, base_id: str, dimension: int, probes: int = 8, refine: int = 4,
            vector: str = "embedding", seed: int | None = 42, exclude_self: bool = False,
-           block_rows: int = 2048, codes: DataFrame | None = None) -> DataFrame:
-    """query_id, neighbour_id, distance, rn: approximate k nearest by cosine, stored.
+           block_rows: int = 2048, codes: DataFrame | None = None, metric: str = "cosine") -> DataFrame:
+    """query_id, neighbour_id, distance, rn: approximate k nearest by cosine or Euclidean distance, stored.
 
-    Codes are compared in the probed cells by their estimated distance, equal ones by
+    ``metric`` is that of the index and its centroids. Codes are compared in the probed cells by their estimated distance, equal ones by
     id; per query the k * refine best are re-ranked on full vectors. ``codes`` is the
     stored ``code_table`` of the index. The cells that any query probes are at most as
     many as centroids; where they are not all, every scan of a table written by cell
@@ -165,27 +203,28 @@ def search(queries: DataFrame, index: DataFrame, centroids: np.ndarray, k: int,
     short = want * refine
     if codes is not None and short > STORED_IDS:
         raise ValueError(f"a stored code table serves shortlists of {STORED_IDS}, not {short}")
-    probe = nearest_cells_udf(centroids, probes)
-    q_all = prepared(queries, query_id, vector, "cosine")
+    probe = nearest_cells_udf(centroids, probes, metric)
+    q_all = prepared(queries, query_id, vector, metric)
     q_map = q_all.select("id", F.col("digest").alias("query_key"))
     q_rows = q_all.groupBy(F.col("digest").alias("query_key")).agg(F.any_value("payload").alias("unit"))
     q_rows = settled(q_rows, "unit").withColumn("cells", probe("unit"))
-    turned = F.col("unit") if seed is None else rotated_udf(rotation(dimension, seed))("unit")
+    turned = F.col("unit") if seed is None or metric == "euclidean" else rotated_udf(rotation(dimension, seed))("unit")
     q_rows = materialise(q_rows.withColumn("turned", turned), "probes")
     probed = [r[0] for r in q_rows.select(F.explode("cells")).distinct().collect()]  # at most one per centroid
-    codes = code_table(index, base_id, short) if codes is None else codes
+    codes = code_table(index, base_id, short, metric) if codes is None else codes
     if len(probed) < len(centroids):
         codes, index = codes.where(F.col("cell").isin(probed)), index.where(F.col("cell").isin(probed))
     codes = materialise(codes.select("cell", "ids", "payload"), "codes")
-    scored = blocked_topk(
-        q_rows.select(F.explode("cells").alias("cell"), "query_key", F.col("turned").alias("payload")),
-        codes, short, estimates, block_rows, keep_cell=True)
+    asked = q_rows.select(F.explode("cells").alias("cell"), "query_key", F.col("turned").alias("payload"))
+    if metric == "euclidean":
+        asked = asked.select("cell", "query_key", offset_udf(centroids, seed)("payload", "cell").alias("payload"))
+    scored = blocked_topk(asked, codes, short, estimates if metric == "cosine" else squared_estimates, block_rows, keep_cell=True)
     w = Window.partitionBy("query_key").orderBy("score", "neighbour")
     kept = (scored.select("cell", "query_key", F.explode("ids").alias("neighbour"), "score")
             .withColumn("n", F.row_number().over(w)).where(F.col("n") <= short)
             .select("cell", "query_key", "neighbour"))
     best = rerank(materialise(kept, "shortlist"), q_rows.select("query_key", "unit"), index, want,
-                  base_id, vector, block_rows, dimension)
+                  base_id, vector, block_rows, dimension, metric)
     return materialise(unfold(q_map, best, k, exclude_self), "neighbours")
 
 
@@ -207,7 +246,7 @@ def rerank_blocks(shortlist: DataFrame, block_rows: int, dimension: int | None)
 
 
 def rerank(shortlist: DataFrame, queries: DataFrame, base: DataFrame, k: int, base_id: str,
-           vector: str, block_rows: int = 2048, dimension: int | None = None) -> DataFrame:
+           vector: str, block_rows: int = 2048, dimension: int | None = None, metric: str = "cosine") -> DataFrame:
     """Exact distances of a stored shortlist (cell, query_key, neighbour).
 
     A cell's pairs are cut into a grid of blocks of neighbours by blocks of queries, so many that a block
@@ -225,23 +264,33 @@ def rerank(shortlist: DataFrame, queries: DataFrame, base: DataFrame, k: int, ba
             .unionByName(placed.select(*on, "query_key").distinct().join(queries.select("query_key", "unit"), "query_key").select(
                 *on, "query_key", none.cast(number).alias("neighbour"), none.cast(kind).alias("payload"), "unit")))
     scored = rows.groupBy(*on).applyInArrow(
-        _exact_distances, f"query_key {text.simpleString()}, neighbour {number.simpleString()}, score double")
+        _exact_distances if metric == "cosine" else _exact_lengths, f"query_key {text.simpleString()}, neighbour {number.simpleString()}, score double")
     w = Window.partitionBy("query_key").orderBy("score", "neighbour")
     return scored.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
 
 
 def _exact_distances(block: pa.Table) -> pa.Table:
+    return _measured(block, "cosine")
+
+
+def _exact_lengths(block: pa.Table) -> pa.Table:
+    return _measured(block, "euclidean")
+
+
+def _measured(block: pa.Table, metric: str) -> pa.Table:
     """Rows of three kinds: pairs, vectors of neighbours, vectors of queries."""
     base = block.filter(pc.is_valid(block["payload"]))
     asked = block.filter(pc.is_valid(block["unit"]))
     pairs = block.filter(pc.and_(pc.is_valid(block["query_key"]), pc.is_valid(block["neighbour"])))
     i = pc.index_in(pairs["query_key"], asked["query_key"]).to_numpy()
     j = pc.index_in(pairs["neighbour"], base["neighbour"]).to_numpy()
-    q, b = matrix(asked["unit"]), unit(matrix(base["payload"]))
+    q, b = matrix(asked["unit"]), matrix(base["payload"]).astype(np.float64)
+    b = unit(b) if metric == "cosine" else b
     score = np.empty(len(i))
     step = max(1, DISTANCES // max(q.shape[1], 1))
     for at in range(0, len(i), step):
-        score[at:at + step] = 1.0 - np.einsum("ij,ij->i", q[i[at:at + step]], b[j[at:at + step]])
+        x, y = q[i[at:at + step]], b[j[at:at + step]]
+        score[at:at + step] = 1.0 - np.einsum("ij,ij->i", x, y) if metric == "cosine" else np.sqrt(((x - y) ** 2).sum(axis=1))
     return pa.table({"query_key": pairs["query_key"], "neighbour": pairs["neighbour"], "score": pa.array(score)})
 
 

@@ -150,7 +150,7 @@ def voronoi_topk(q_rows: DataFrame, base_rows: DataFrame, n: int, want: int, met
              .orderBy("cell").toArrow())  # one row per pivot
     cells = stats["cell"].to_numpy()
     home = home_cells_udf(pivot, cells, stats["n"].to_numpy(), want)
-    q_rows = materialise(q_rows.withColumn("home", home("payload")), "homes")
+    q_rows = q_rows.withColumn("home", home("payload"))  # read from a stored table, cheap to find twice
     members = celled.select("cell", "ids", "payload")
     first = materialise(
         blocked_topk(q_rows.select(F.explode("home").alias("cell"), "query_key", "payload"),
@@ -178,7 +178,7 @@ def unfold(q_map: DataFrame, best: DataFrame, k: int, exclude_self: bool) -> Dat
     """Give every copy of a query vector its neighbours."""
     packed = best.groupBy("query_key").agg(
         F.sort_array(F.collect_list(F.struct("rn", "neighbour", "score"))).alias("near"))
-    joined = salted_join(q_map, packed, "query_key")
+    joined = salted_join(q_map, packed, "query_key", stored=True)  # computing the keys again is less than storing them
     near = F.col("near")
     if exclude_self:
         near = F.slice(F.filter(near, lambda s: s["neighbour"] != F.col("id")), 1, k)

@@ -216,3 +216,34 @@ def test_trustworthiness(spark):
     got = manifold.trustworthiness(frame(spark, x), laid, near, 6).first()
     assert got.judged == 90 and abs(got.trustworthiness - (1 - 2 * lost / (90 * 6 * (180 - 18 - 1)))) < 1e-9
     assert manifold.trustworthiness(frame(spark, x), laid, near, 6, judged=20).first().judged == 20
+
+
+def test_euclidean_index(spark):
+    """Offsets from the cell: vectors of very different length, far from the origin, some of them on a centroid."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(6, 24)) * 5 + 100
+    x = np.repeat(centres, 40, axis=0) + rng.normal(size=(240, 24)) * np.repeat([.1, .3, 1, 1, 2, 4], 40)[:, None]
+    x[0], x[5] = 0, x[4]
+    df = frame(spark, x)
+    cent = ivf.train_cells(df, 6, seed=1, metric="euclidean")
+    index = ivf.build_index(df, cent, 24, seed=1, metric="euclidean").cache()
+    exact = exact_knn(df, df, 10, query_id="id", base_id="id", metric="euclidean")
+    options = dict(query_id="id", base_id="id", dimension=24, seed=1, metric="euclidean")
+    assert ivf.recall(ivf.search(df, index, cent, 10, probes=3, refine=3, **options), exact).first()["recall"] > 0.9
+    every = ivf.search(df, index, cent, 10, probes=6, refine=24, **options)
+    assert ivf.recall(every, exact).first()["worst"] == 1.0
+    got = {(r.query_id, r.neighbour_id): r.distance for r in every.collect()}
+    assert all(abs(d - np.linalg.norm(x[a] - x[b])) < 1e-9 for (a, b), d in got.items())
+
+
+def test_squared_estimates(spark):
+    import pyarrow as pa
+    rng = np.random.default_rng(4)
+    v, q = rng.normal(size=(200, 128)), rng.normal(size=(9, 128))
+    words = np.packbits((v > 0).astype(np.uint8), axis=1, bitorder="little").view("<i8")
+    length = np.linalg.norm(v, axis=1)
+    base = pa.StructArray.from_arrays([pa.array(words.tolist(), pa.list_(pa.int64())), pa.array(np.abs(v).sum(1) / np.sqrt(128) / length),
+                                       pa.array(length)], ["code", "align", "norm"])
+    got = ivf.squared_estimates(pa.array(q.tolist()), base)
+    exact = ((q[:, None] - v[None]) ** 2).sum(-1)
+    assert np.corrcoef(got.ravel(), exact.ravel())[0, 1] > 0.8 and abs((got - exact).mean()) < 4
