@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from seqtide.llm.texts import slices, word_ids
+from seqtide.llm.texts import CACHE_WORDS, slices, word_ids
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, bucket int, sequence_id long, offset long"
 _TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
@@ -36,9 +36,9 @@ def lengths_of(n: int, largest: int) -> list[int]:
     return [largest] * (n // largest) + [1 << b for b in reversed(range(rest.bit_length())) if rest >> b & 1]
 
 
-def _packer(vocabulary: str, end: int, largest: int):
+def _packer(vocabulary: str, end: int, largest: int, remembered: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, last = word_ids(vocabulary), np.array([end], "<u4").tobytes()
+        encoder, last = word_ids(vocabulary, remembered), np.array([end], "<u4").tobytes()
         task, places = TaskContext.get().partitionId(), {}
         for rows, texts in slices(batches):
             out: list[tuple] = []
@@ -57,11 +57,14 @@ def _packer(vocabulary: str, end: int, largest: int):
     return pack
 
 
-def pack(docs: DataFrame, vocabulary: str, end: int = 1, largest: int = 2048) -> DataFrame:
-    """Every piece of every document with its ids, bucket (log2 of the length) and sequence."""
+def pack(docs: DataFrame, vocabulary: str, end: int = 1, largest: int = 2048, remembered: int = CACHE_WORDS) -> DataFrame:
+    """Every piece of every document with its ids, bucket (log2 of the length) and sequence.
+
+    A worker remembers the ids of ``remembered`` words, fewer where other stages need its memory too.
+    """
     if largest & (largest - 1):
         raise ValueError("the sequence length must be a power of two")
-    return docs.select("doc_id", "text").mapInArrow(_packer(vocabulary, end, largest), PIECES)
+    return docs.select("doc_id", "text").mapInArrow(_packer(vocabulary, end, largest, remembered), PIECES)
 
 
 def write_buckets(pieces: DataFrame, path: str) -> None:
