@@ -15,6 +15,9 @@ from seqtide.llm import exact_dedup, jaccard_join, packing, quality_rules
 from seqtide.llm.queries import WORD_VOCABULARY, documents
 from seqtide.session import scratch, scratch_path
 
+#: Words whose ids the packing stage's workers remember: the workers serve other stages too.
+REMEMBERED = 400_000
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -35,7 +38,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of 2048 ids or a smaller power of two."""
-    return packing.pack(docs, WORD_VOCABULARY)
+    return packing.pack(docs, WORD_VOCABULARY, remembered=REMEMBERED)
 
 
 STAGES: list[tuple[str, Stage]] = [
