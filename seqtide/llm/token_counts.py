@@ -62,8 +62,8 @@ def _counter(vocabulary: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_ids(vocabulary)
         for rows, texts in slices(batches):
-            n = np.fromiter(map(len, encoder.encode(texts)), np.int64, len(texts)) // 4
-            yield pa.RecordBatch.from_arrays([rows.column("content"), pa.array(n)], names=["content", "n_tokens"])
+            n = np.diff(encoder.encode_flat(texts)[1], prepend=0)
+            yield pa.RecordBatch.from_arrays([rows.column("content"), pa.array(n, pa.int64())], names=["content", "n_tokens"])
     return count
 
 
@@ -76,15 +76,16 @@ def count_tokens(docs: DataFrame, vocabulary: str, cache: str, collapse: bool =
     sizes = materialise(keys.groupBy("content").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")), "sizes")
     known = read_cache(spark, cache, tokenizer)
     missing = materialise(sizes.join(known, "content", "left_anti"), "missing")
-    # a content is read from one document that has it; where only rows without an id do, from those
+    # a content is read from one document that has it; where only rows without an id do, once from those
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     wanted = missing.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"))
     # the same plan at every size: texts move once, those already known mostly not at all
     named = passing(read, wanted).join(wanted.hint("merge"), "doc_id", "left_semi")
-    nameless = read.where("doc_id is null")
-    fresh = (named.unionByName(nameless).select(content.alias("content"), "text")
+    nameless = (docs.where("doc_id is null").select(content.alias("content"), "text").dropDuplicates(["content"])
+                .join(missing.where("doc_id is null").select("content"), "content", "left_semi"))
+    fresh = (named.select("text").unionByName(nameless.select("text")).select(content.alias("content"), "text")
              .mapInArrow(_counter(vocabulary), "content binary, n_tokens long"))
-    # rows that only share the id of a wanted text, or have none, may bring others
+    # rows that only share the id of a wanted text may bring others
     fresh = fresh.join(missing.select("content"), "content", "left_semi").dropDuplicates(["content"])
     (fresh.select(F.lit(tokenizer).alias("tokenizer"), "content", "n_tokens")
      .write.mode("append").parquet(cache))
