@@ -36,7 +36,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqtide.llm.components import components
@@ -120,7 +120,7 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-SIGNED = "doc_id long, key long, signature binary, bands array<long>"
+SIGNED = "doc_id long, key long, signature binary, bands array<long>, mark long"
 
 
 def _lower(texts: pa.Array) -> list[list[bytes]]:
@@ -140,7 +140,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             signatures[i], bands[i] = s.tobytes(), b
         yield pa.RecordBatch.from_arrays(
             [rows.column("doc_id"), pa.array(keys.view(np.int64)), pa.array(signatures, pa.binary()),
-             pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "key", "signature", "bands"])
+             pa.array(bands, pa.list_(pa.int64())), rows.column("mark")], names=["doc_id", "key", "signature", "bands", "mark"])
 
 
 @lru_cache(maxsize=1)
@@ -356,11 +356,21 @@ def _overlap(raw: list[bytes], sizes: np.ndarray, i: np.ndarray, j: np.ndarray)
     return out
 
 
+def _mark() -> Column:
+    """Tells apart the texts of rows that share a doc_id."""
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark")
+
+
 def join(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, class_size, n_links (rows), n_text_links (different texts) of every row."""
+    return _classified(docs).select("doc_id", "class_id", "class_size", "n_links", "n_text_links")
+
+
+def _classified(docs: DataFrame) -> DataFrame:
+    """The columns of ``join`` with label (of the class), key (of the shingles) and mark (of the text)."""
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = materialise(read.mapInArrow(_sign, SIGNED), "signed")
+    signed = materialise(read.select("doc_id", "text", _mark()).mapInArrow(_sign, SIGNED), "signed")
     texts = materialise(signed.groupBy("key").agg(
         F.count("*").alias("copies"), F.min("doc_id").alias("least_id"),
         F.any_value("signature").alias("signature"), F.any_value("bands").alias("bands")), "texts")
@@ -396,20 +406,22 @@ def join(docs: DataFrame) -> DataFrame:
     own = materialise(own, "linked")
     classes = materialise(own.groupBy("label").agg(
         F.count("*").alias("n"), F.min("least_id").alias("class_id"), F.sum("copies").alias("class_size")), "classes")
-    classed = materialise(attach(own, classes, ["label"], "n", own.count()).drop("n", "label", "least_id"), "classed")
-    rows = signed.select("doc_id", "key")
+    classed = materialise(attach(own, classes, ["label"], "n", own.count()).drop("n", "least_id"), "classed")
+    rows = signed.select("doc_id", "mark", "key")
     return attach(rows, classed, ["key"], "copies", rows.count()).select(
-        "doc_id", "class_id", "class_size", (F.col("links") + F.col("copies") - 1).alias("n_links"), F.col("texts").alias("n_text_links"))
+        "doc_id", "mark", "key", "label", "class_id", "class_size", (F.col("links") + F.col("copies") - 1).alias("n_links"), F.col("texts").alias("n_text_links"))
 
 
 def kept(docs: DataFrame) -> DataFrame:
     """One document of each class, with the columns of ``docs``: that whose id names the class.
 
-    Rows that repeat the id of the document that stays count as that document. Rows
+    Where several texts of the class have that id, the one of the smallest key stays; texts of
+    other classes stay with their own, whatever ids they share. Equal rows count as one document. Rows
     without an id cannot be named and stay.
     """
     names = docs.columns
-    plain = docs.select(*[F.col(f"`{n}`").alias(f"_{i}") for i, n in enumerate(names)], F.col("doc_id").cast("long").alias("id"))
-    stay = join(docs).where("class_id is not null").select(F.col("class_id").alias("id")).distinct()
-    once = plain.join(stay, "id", "left_semi").dropDuplicates(["id"])
+    plain = docs.select(*[F.col(f"`{n}`").alias(f"_{i}") for i, n in enumerate(names)], F.col("doc_id").cast("long").alias("id"), _mark())
+    stay = _classified(docs).where(F.col("doc_id") == F.col("class_id")).groupBy("label").agg(
+        F.min(F.struct("key", "mark")).alias("least"), F.any_value("class_id").alias("id")).select("id", F.col("least.mark").alias("mark"))
+    once = plain.join(stay, ["id", "mark"], "left_semi").dropDuplicates(["id", "mark"])
     return once.unionByName(plain.where("id is null")).select(*[F.col(f"_{i}").alias(n) for i, n in enumerate(names)])

@@ -99,6 +99,29 @@ def test_token_counts_and_cache(spark, docs, none):
     assert token_counts.count_tokens(none, VOCABULARY, scratch_path(spark, "cache")).count() == 0
 
 
+def test_ids_of_odd_words(monkeypatch):
+    """Plain words, their case and marks, and all others, as the library gives them; forgetting changes nothing."""
+    import pyarrow as pa
+
+    from seqtide.llm import texts
+    odd = ["É. ÀÉ, ß! ÿ? Þing; word: a.b don't 'LL .. !? × ÷ æÆ", "İ ı ﬁ ẞ é̂ e\u0301 日本 <|endoftext|> x\x00y \x1c fs\u3000wide", "", " \t\r\n\v\f ",
+           " ".join(f"w{i} Word{chr(97 + i % 26)}{'abc'[i % 3] * (i % 9)}," for i in range(400)), "l" * 300 + " " + "9" * 200]
+    for remembered in (1_000_000, 10):
+        encoder = texts.WordIds(VOCABULARY, remembered)
+        for _ in range(2):
+            assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(pa.array(odd))] == brute.word_ids(odd)
+        assert not any(len(w) > texts.CACHE_WORD_BYTES for w in [*encoder.known, *encoder.stems])
+
+
+def test_texts_without_ids_are_read_once(spark):
+    cache = scratch_path(spark, "cache")
+    rows = [(None, f"text number {i}") for i in range(50)] * 2
+    token_counts.count_tokens(spark.createDataFrame(rows, "doc_id long, text string"), VOCABULARY, cache).count()
+    more = spark.createDataFrame([*rows, (None, "a new text"), (None, "a  new text"), (1, "text number 3")], "doc_id long, text string")
+    found = token_counts.count_tokens(more, VOCABULARY, cache).collect()
+    assert len(found) == 103 and spark.read.parquet(cache).count() == 51
+
+
 def test_packing(spark, docs, none, tmp_path):
     found = packing.pack(docs, VOCABULARY, largest=64).collect()
     want = []
@@ -304,10 +327,19 @@ def test_jaccard_join(docs, none):
         (d, named[x], n) for (d, _), x, n in zip(TEXTS, labels, links, strict=True))
     kept = jaccard_join.kept(docs)
     assert kept.columns == docs.columns
-    assert {r.doc_id for r in kept.collect() if r.doc_id is not None} == {x for x in named.values() if x is not None}
+    stay = [r.doc_id for r in kept.collect() if r.doc_id is not None]
+    assert set(stay) == {x for x in named.values() if x is not None} and len(stay) == sum(x is not None for x in named.values())
     assert jaccard_join.join(none).count() == jaccard_join.kept(none).count() == 0
 
 
+def test_texts_that_share_an_id_are_not_lost(spark):
+    """Unrelated texts under one id stay; a near copy under an id that stays goes."""
+    a, b, c = (" ".join(f"{x}{i % 41} of {i}" for i in range(80)) for x in ("red", "green", "blue"))
+    rows = [(1, a), (1, b), (2, c), (1, a + " more"), (3, b + " end"), (1, a)]
+    kept = jaccard_join.kept(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == [1, 1, 2] and {r.text[:3] for r in kept} == {"red", "gre", "blu"}
+
+
 def test_large_group_of_near_copies_in_blocks(spark, monkeypatch):
     """A group of many different texts: links counted whole across blocks."""
     rng = np.random.default_rng(2)
