@@ -1,14 +1,15 @@
 """Top-k inside cells, as bounded block pairs.
 
-Queries and base vectors meet on their cell. A cell of any size is cut into base
-blocks and query blocks of about ``block_rows`` rows; each pair of blocks is one
-Arrow group that returns k candidates per query. So no task sees a whole hot cell,
-and pairs are never written out.
+Queries and base vectors meet on their cell. Base rows are put together, cell by cell, in blocks of bounded size; a
+cell too large for one is cut. A query travels once to each block that holds a cell it seeks, whatever the number of
+cells, and comes back with its k best of that block: what moves is rows times blocks of the other side, and the blocks are
+as large as a task may hold. So no task sees a whole hot cell, and pairs are never written out.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
@@ -18,78 +19,245 @@ from pyspark.sql import functions as F
 
 from seqtide.functions.vectors import matrix
 
-Scorer = Callable[[pa.ChunkedArray, pa.ChunkedArray], np.ndarray]
+#: Numbers of the vectors of one side of a block pair, and rows of a side however short its vectors are.
+SIDE_NUMBERS, SIDE_ROWS = 1 << 22, 1 << 20
+#: Scores that a task holds at a time.
+TILE = 1 << 21
+#: Rows of a side below which more block pairs would not keep more cores busy.
+LEAST_ROWS = 2048
+NONE = np.iinfo(np.int64).max
 
+Near = tuple[np.ndarray, np.ndarray, np.ndarray]
 
-def cosine_scores(queries: pa.ChunkedArray, base: pa.ChunkedArray) -> np.ndarray:
+
+class Scorer(Protocol):
+    """How queries and base rows are compared; the smaller the score, the nearer."""
+
+    def base(self, payload: pa.ChunkedArray) -> tuple[np.ndarray, ...]:
+        """What is compared of each base row, as arrays of one entry a row."""
+
+    def asked(self, rows: np.ndarray, cell: int) -> np.ndarray:
+        """The query vectors as they are compared in ``cell``."""
+
+    def near(self, queries: np.ndarray, base: tuple[np.ndarray, ...], limit: np.ndarray, k: int) -> Near:
+        """Query number (ascending), base number and score of every pair that scores ``limit`` of its query or less; where
+        that is infinite, of the k best at least."""
+
+
+def within(scores: np.ndarray, limit: np.ndarray) -> Near:
+    rows, columns = np.nonzero(~(scores > limit[:, None]))
+    return rows, columns, scores[rows, columns]
+
+
+class Cosine:
     """Cosine distance of unit vectors."""
-    return 1.0 - matrix(queries) @ matrix(base).T
-
-
-def euclidean_scores(queries: pa.ChunkedArray, base: pa.ChunkedArray) -> np.ndarray:
-    """Distance by differences, one dimension at a time: no cancellation near zero."""
-    q, b = matrix(queries), matrix(base)
-    total = np.zeros((len(q), len(b)))
-    for d in range(q.shape[1]):
-        total += (q[:, d, None] - b[None, :, d]) ** 2
-    return np.sqrt(total)
-
-
-def smallest(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column numbers of the k smallest per row; ties go to the lower column."""
-    n, m = scores.shape
-    if m <= k:
-        return np.repeat(np.arange(n), m), np.tile(np.arange(m), n)
-    columns = np.argpartition(scores, k - 1, axis=1)[:, :k]
-    limit = np.take_along_axis(scores, columns, 1).max(axis=1, keepdims=True)
-    tied = np.flatnonzero((scores <= limit).sum(axis=1) > k)
+
+    def base(self, payload):
+        return (matrix(payload),)
+
+    def asked(self, rows, cell):
+        return rows
+
+    def near(self, queries, base, limit, k):
+        return within(1.0 - queries @ base[0].T, limit)
+
+
+class Euclidean(Cosine):
+    """Distance by differences, one dimension at a time: no cancellation near zero.
+
+    Products only tell which pairs may be near enough; their rounding is allowed for.
+    """
+
+    def near(self, queries, base, limit, k):
+        own, other = (queries * queries).sum(axis=1), (base[0] * base[0]).sum(axis=1)
+        rough = own[:, None] + other[None, :] - 2 * (queries @ base[0].T)
+        slip = 8 * (queries.shape[1] + 8) * np.finfo(np.float64).eps * (own.max(initial=0) + other.max(initial=0))
+        cut = limit * limit
+        open_ = np.flatnonzero(np.isinf(cut))
+        if len(open_) and rough.shape[1] > k:
+            cut[open_] = np.partition(rough[open_], k - 1, axis=1)[:, k - 1] + slip
+        rows, columns, _ = within(rough, cut * (1 + 1e-12) + slip)
+        total = np.zeros(len(rows))
+        for d in range(queries.shape[1]):
+            total += (queries[rows, d] - base[0][columns, d]) ** 2
+        return rows, columns, np.sqrt(total)
+
+
+def merge(best: np.ndarray, place: np.ndarray, found: Near, k: int) -> np.ndarray:
+    """Puts ``found`` (row ascending, place, score) among the k ``best`` scores of each row and their places.
+
+    Equal scores go by place. Returns the rows that had something found.
+    """
+    rows, columns, scores = found
+    begins = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]])) if len(rows) else np.zeros(0, np.int64)
+    changed, counts = rows[begins], np.diff(np.append(begins, len(rows)))
+    if not len(changed):
+        return changed
+    s = np.full((len(changed), k + int(counts.max())), np.inf)
+    p = np.full(s.shape, NONE)
+    s[:, :k], p[:, :k] = best[changed], place[changed]
+    at = np.repeat(np.arange(len(changed)), counts)
+    then = k + np.arange(len(rows)) - np.repeat(begins, counts)
+    s[at, then], p[at, then] = scores, columns
+    few = np.argpartition(s, k - 1, axis=1)[:, :k]
+    limit = np.take_along_axis(s, few, 1).max(axis=1)
+    # rows of fewer than k are filled up with infinite scores, which have no place
+    tied = np.flatnonzero(((s <= limit[:, None]) & (p < NONE)).sum(axis=1) > (np.take_along_axis(p, few, 1) < NONE).sum(axis=1))
     if len(tied):
-        columns[tied] = np.argsort(scores[tied], axis=1, kind="stable")[:, :k]
-    return np.repeat(np.arange(n), k), columns.reshape(-1)
+        few[tied] = np.lexsort((p[tied], s[tied]), axis=1)[:, :k]
+    best[changed], place[changed] = np.take_along_axis(s, few, 1), np.take_along_axis(p, few, 1)
+    return changed
+
+
+def side_rows(rows: int, numbers: int, blocks: float) -> int:
+    """Rows of a block of one side, a row being so many numbers: no more than fit, and no fewer than make it worth a task
+    where ``blocks`` of them would do."""
+    most = max(1, min(SIDE_ROWS, SIDE_NUMBERS // max(numbers, 1)))
+    return min(most, max(LEAST_ROWS, math.ceil(rows / max(blocks, 1))))
+
+
+def _blocks_of(counts: list[tuple[int, int]], rows: int) -> list[tuple[int, int, int]]:
+    """cell, first block, number of blocks: whole cells side by side, larger ones on their own."""
+    out, block, filled = [], 0, 0
+    for cell, n in counts:
+        pieces = -(-n // rows)
+        if filled and (pieces > 1 or filled + n > rows):
+            block, filled = block + 1, 0
+        out.append((cell, block, pieces))
+        block, filled = (block + pieces, 0) if pieces > 1 else (block, filled + n)
+    return out
+
+
+def sought_udf(placed: list[tuple[int, int, int]]):
+    """cells -> the blocks that hold them, each with those of the cells that it holds."""
+    cell, first, pieces = (np.array(c, np.int64) for c in zip(*placed, strict=True))
+    kind = pa.struct([("block", pa.int32()), ("cells", pa.list_(pa.int32()))])
 
+    @F.arrow_udf("array<struct<block:int,cells:array<int>>>")
+    def sought(lists: pa.Array) -> pa.Array:
+        if len(lists) == 0:
+            return pa.array([], pa.list_(kind))
+        row = pc.list_parent_indices(lists).to_numpy()
+        value = lists.flatten().to_numpy().astype(np.int64)
+        at = np.searchsorted(cell, value)
+        at[at == len(cell)] = 0
+        known = cell[at] == value
+        row, value, at = row[known], value[known], at[known]
+        n = pieces[at]
+        block = np.repeat(first[at], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        row, value = np.repeat(row, n), np.repeat(value, n)
+        order = np.lexsort((block, row))
+        row, block, value = row[order], block[order], value[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (block[1:] != block[:-1])
+        begins = np.flatnonzero(new)
+        inner = pa.ListArray.from_arrays(pa.array(np.append(begins, len(row)).astype(np.int32)), pa.array(value.astype(np.int32)))
+        both = pa.StructArray.from_arrays([pa.array(block[begins].astype(np.int32)), inner], fields=list(kind))
+        ends = np.concatenate([[0], np.cumsum(np.bincount(row[begins], minlength=len(lists)))])
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), both)
+    return sought
 
-def blocked_topk(queries: DataFrame, base: DataFrame, k: int, score: Scorer,
-                 block_rows: int = 2048, keep_cell: bool = False) -> DataFrame:
-    """``queries`` (cell, query_key, payload), ``base`` (cell, ids, payload) ->
-    query_key, ids, score (and cell): k rows per query and block pair.
 
-    ``ids`` is the list of ids that share one base payload; ties follow its first id.
+def blocked_topk(queries: DataFrame, base: DataFrame, k: int, score: Scorer, dimension: int,
+                 block_rows: int = 2048, base_numbers: int | None = None) -> DataFrame:
+    """``queries`` (query_key, payload, cells, limit), ``base`` (cell, ids, payload), both stored or cheap to read twice ->
+    query_key, found: array of (score, neighbour, cell), one row per query and block that has something.
+
+    ``ids`` is the sorted list of ids that share one base payload; ties follow its first id. ``found`` holds the k nearest ids
+    of the block and those as near as the last of them. Nothing that scores more than ``limit`` (null: none) counts. A base
+    row is as long as ``base_numbers`` (by default ``dimension``) numbers. Base rows are compared ``block_rows`` at a time.
     """
-    # one row per cell on both sides: bounded by the number of cells
-    b_cells = base.groupBy("cell").agg(F.count("*").alias("nb"))
-    q_cells = queries.groupBy("cell").agg(F.count("*").alias("nq"))
-    plan = F.broadcast(b_cells.join(q_cells, "cell").select(
-        "cell", F.ceil(F.col("nb") / block_rows).cast("int").alias("nb"),
-        F.ceil(F.col("nq") / block_rows).cast("int").alias("nq")))
-    return _paired(queries.join(plan, "cell"), base.join(plan, "cell"), k, score, keep_cell)
-
-
-def _paired(queries: DataFrame, base: DataFrame, k: int, score: Scorer, keep_cell: bool) -> DataFrame:
-    """Rows carry ``nb`` and ``nq``, the numbers of base and query blocks of their cell."""
-    b = (base.withColumn("bb", F.pmod(F.xxhash64("ids"), F.col("nb")).cast("int"))
-         .withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)))
-         .select("cell", "bb", "qb", "ids", "payload"))
-    q = (queries.withColumn("qb", F.pmod(F.xxhash64("query_key"), F.col("nq")).cast("int"))
-         .withColumn("bb", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-         .select("cell", "bb", "qb", "query_key", "payload"))
+    spark = base.sparkSession
+    pairs, numbers = 4 * spark.sparkContext.defaultParallelism, base_numbers or dimension
+    base = base.where(F.size("ids") > 0)
+    # one row per cell
+    counts = sorted((r["cell"], r["n"]) for r in base.groupBy("cell").agg(F.sum(F.size("ids")).alias("n")).collect())
+    spread = _schema(queries, base)
+    if not counts:
+        return spark.createDataFrame([], spread)
+    # a query costs its vector and what it brings back per base block, a base row its numbers per block of queries
+    placed = _blocks_of(counts, side_rows(sum(n for _, n in counts), numbers, math.sqrt(pairs * numbers / (dimension + 3 * k))))
+    asked = queries.withColumn("sought", sought_udf(placed)("cells"))
+    # one row per block
+    wanted = asked.select(F.explode("sought.block").alias("block")).groupBy("block").agg(F.count("*").alias("n")).collect()
+    if not wanted:
+        return spark.createDataFrame([], spread)
+    rows = side_rows(max(r["n"] for r in wanted), dimension, pairs / len(wanted))
+    parts = F.broadcast(spark.createDataFrame([(r["block"], -(-r["n"] // rows)) for r in wanted], "block int, parts int"))
+    cells = F.broadcast(spark.createDataFrame(placed, "cell int, first int, pieces int"))
+    b = (base.withColumn("cell", F.col("cell").cast("int")).join(cells, "cell")
+         .withColumn("block", (F.col("first") + F.pmod(F.xxhash64("ids"), F.col("pieces"))).cast("int")).join(parts, "block")
+         .select("block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "cell", "ids", "payload"))
+    q = (asked.select("query_key", "payload", "limit", F.explode("sought").alias("s"))
+         .select("query_key", "payload", "limit", F.col("s.block").alias("block"), F.col("s.cells").alias("cells")).join(parts, "block")
+         .select("block", F.pmod(F.xxhash64("query_key"), F.col("parts")).cast("int").alias("part"), "query_key", "payload", "limit", "cells"))
+    return q.groupBy("block", "part").cogroup(b.groupBy("block", "part")).applyInArrow(_searcher(score, k, block_rows), spread)
+
+
+def _schema(queries: DataFrame, base: DataFrame) -> str:
+    key, one = queries.schema["query_key"].dataType.simpleString(), base.schema["ids"].dataType.elementType.simpleString()
+    return f"query_key {key}, found array<struct<score:double,neighbour:{one},cell:int>>"
+
 
+def _searcher(score: Scorer, k: int, block_rows: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids = right["ids"]
-        ids = ids.cast(pa.list_(pa.field("element", ids.type.value_type)))
-        if left.num_rows == 0 or right.num_rows == 0:
-            none = {"query_key": left["query_key"].slice(0, 0), "ids": ids.slice(0, 0), "score": pa.array([], pa.float64())}
-            return pa.table(none | ({"cell": left["cell"].slice(0, 0)} if keep_cell else {}))
-        order = pc.sort_indices(pc.list_element(ids, 0))
-        ids = ids.take(order)
-        scores = score(left["payload"], right["payload"].take(order))
-        rows, columns = smallest(scores, k)
-        taken = pa.array(rows)
-        found = {"query_key": left["query_key"].take(taken), "ids": ids.take(pa.array(columns)),
-                 "score": pa.array(scores[rows, columns], pa.float64())}
-        return pa.table(found | ({"cell": left["cell"].take(taken)} if keep_cell else {}))
-
-    keys = ["cell", "bb", "qb"]
-    ids = base.schema["ids"].dataType.simpleString()
-    query = queries.schema["query_key"].dataType.simpleString()
-    return q.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInArrow(
-        run, f"query_key {query}, ids {ids}, score double" + (f", cell {queries.schema['cell'].dataType.simpleString()}" if keep_cell else ""))
+        ids = right["ids"].combine_chunks()
+        kind = pa.struct([("score", pa.float64()), ("neighbour", ids.type.value_type), ("cell", pa.int32())])
+        if not left.num_rows or not right.num_rows:
+            return pa.table({"query_key": left["query_key"].slice(0, 0), "found": pa.array([], pa.list_(kind))})
+        by_id = pc.sort_indices(pc.list_element(ids, 0)).to_numpy()
+        cell = right["cell"].to_numpy()[by_id]
+        place = np.argsort(cell, kind="stable")  # by cell, then by id; its values are places by id
+        cell = cell[place]
+        taken = pa.array(by_id)
+        base = score.base(right["payload"].take(pa.array(by_id[place])))
+        asked, limit = matrix(left["payload"]), left["limit"].fill_null(np.inf).to_numpy()
+        lists = left["cells"].combine_chunks()
+        row, want = pc.list_parent_indices(lists).to_numpy(), lists.flatten().to_numpy()
+        order = np.argsort(want, kind="stable")
+        row, want = row[order], want[order]
+        best, at = np.full((len(asked), k), np.inf), np.full((len(asked), k), NONE)
+        limit = limit.copy()
+        begins = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+        for a, z in zip(begins, np.append(begins[1:], len(cell)), strict=True):
+            seekers = row[np.searchsorted(want, cell[a]):np.searchsorted(want, cell[a], "right")]
+            width = min(block_rows, z - a)
+            step = max(1, TILE // int(width))
+            for i in range(0, len(seekers), step):
+                some = seekers[i:i + step]
+                rows = score.asked(asked[some], int(cell[a]))
+                for j in range(a, z, width):
+                    r, c, s = score.near(rows, tuple(x[j:min(j + width, z)] for x in base), limit[some], k)
+                    own, own_at = best[some], at[some]
+                    changed = merge(own, own_at, (r, place[j + c], s), k)
+                    best[some[changed]], at[some[changed]] = own[changed], own_at[changed]
+                    limit[some[changed]] = np.minimum(limit[some[changed]], own[changed].max(axis=1))
+        cell_at = np.empty(len(place), cell.dtype)
+        cell_at[place] = cell
+        return _packed(left["query_key"], best, at, ids.take(taken), cell_at, k, kind)
+    return run
+
+
+def _packed(keys: pa.ChunkedArray, best: np.ndarray, at: np.ndarray, ids: pa.ListArray, cell: np.ndarray, k: int, kind: pa.DataType) -> pa.Table:
+    """One row per query that found something, its ids counted up to the k-th and those as near."""
+    order = np.lexsort((at, best), axis=1)
+    best, at = np.take_along_axis(best, order, 1), np.take_along_axis(at, order, 1)
+    sizes = np.append(pc.list_value_length(ids).to_numpy(), 0)
+    n = sizes[np.minimum(at, len(ids))]
+    before = np.cumsum(n, axis=1) - n
+    last = np.where(before < k, best, -np.inf).max(axis=1)
+    row, column = np.nonzero((n > 0) & ((before < k) | (best <= last[:, None])))
+    place, n = at[row, column], n[row, column]
+    flat = ids.take(pa.array(place)).flatten()
+    found = pa.StructArray.from_arrays([pa.array(np.repeat(best[row, column], n)), flat, pa.array(np.repeat(cell[place], n).astype(np.int32))],
+                                       fields=list(kind))
+    per_query = np.bincount(np.repeat(row, n), minlength=len(best))
+    some = np.flatnonzero(per_query)
+    ends = np.concatenate([[0], np.cumsum(per_query[some])]).astype(np.int32)
+    return pa.table({"query_key": keys.take(pa.array(some)), "found": pa.ListArray.from_arrays(pa.array(ends), found)})
+
+
+def nearest_found(found: DataFrame, k: int) -> DataFrame:
+    """query_key, near: the k nearest (score, neighbour, cell) of all its rows, ties by neighbour."""
+    whole = found.groupBy("query_key").agg(F.flatten(F.collect_list("found")).alias("near"))
+    return whole.select("query_key", F.slice(F.sort_array("near"), 1, k).alias("near"))

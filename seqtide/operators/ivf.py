@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtide.functions.vectors import doubles, finite, lists, matrix, norm, normalise, settled, sign_code
-from seqtide.operators.blocks import blocked_topk
+from seqtide.operators.blocks import blocked_topk, nearest_found, within
 from seqtide.operators.knn import pairwise, prepared, unfold
 from seqtide.session import materialise
 
@@ -164,27 +164,57 @@ def code_table(index: DataFrame, base_id: str, most: int = STORED_IDS, metric: s
         .select("cell", "ids", F.struct(*marks).alias("payload"))
 
 
-def estimates(queries: pa.ChunkedArray, base: pa.ChunkedArray) -> np.ndarray:
+class Codes:
     """Estimated cosine distance of full query vectors to 1-bit codes.
 
     The code direction of a vector u is sign(u) / sqrt(d), and ``align`` its product
     with u: dividing the query's product with the code direction by ``align`` takes
     out what the code loses.
     """
-    q, parts = matrix(queries), base.combine_chunks() if isinstance(base, pa.ChunkedArray) else base
-    words = matrix(parts.field("code")).astype("<i8")
-    signs = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little")[:, :q.shape[1]] * 2.0 - 1.0
-    align = parts.field("align").to_numpy(zero_copy_only=False)
-    return 1.0 - (q @ signs.T) / (np.sqrt(q.shape[1]) * np.where(align == 0, 1, align))[None, :]
+
+    def base(self, payload):
+        parts = payload.combine_chunks() if isinstance(payload, pa.ChunkedArray) else payload
+        return tuple([matrix(parts.field("code")).astype("<i8"), parts.field("align").to_numpy(zero_copy_only=False)])
+
+    def asked(self, rows, cell):
+        return rows
+
+    def scores(self, queries, words, align):
+        signs = np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=1, bitorder="little")[:, :queries.shape[1]] * 2.0 - 1.0
+        return 1.0 - (queries @ signs.T) / (np.sqrt(queries.shape[1]) * np.where(align == 0, 1, align))[None, :]
+
+    def near(self, queries, base, limit, k):
+        return within(self.scores(queries, *base), limit)
+
+
+class OffsetCodes(Codes):
+    """Estimated squared Euclidean distance of queries to the coded offsets of a cell:
+    |q|^2 + |v|^2 - 2 q.v, the last term from the code. Both are seen from the same centroid, ``turn`` is the index's rotation."""
+
+    def __init__(self, centroids: np.ndarray | None = None, turn: np.ndarray | None = None):
+        self.centroids, self.turn = centroids, turn
+
+    def base(self, payload):
+        parts = payload.combine_chunks() if isinstance(payload, pa.ChunkedArray) else payload
+        return (*super().base(parts), parts.field("norm").to_numpy(zero_copy_only=False))
+
+    def asked(self, rows, cell):
+        rows = rows - self.centroids[cell]
+        return rows if self.turn is None else rows @ self.turn.T
+
+    def scores(self, queries, words, align, length):
+        along = (1.0 - super().scores(queries, words, align)) * length[None, :]
+        return (queries * queries).sum(axis=1)[:, None] + (length * length)[None, :] - 2 * along
+
+
+def estimates(queries: pa.ChunkedArray, base: pa.ChunkedArray) -> np.ndarray:
+    """Estimated cosine distances of full query vectors to codes (code, align)."""
+    return Codes().scores(matrix(queries), *Codes().base(base))
 
 
 def squared_estimates(queries: pa.ChunkedArray, base: pa.ChunkedArray) -> np.ndarray:
-    """Estimated squared Euclidean distance of query offsets to the coded offsets of a cell:
-    |q|^2 + |v|^2 - 2 q.v, the last term from the code. Both are seen from the same centroid."""
-    q, parts = matrix(queries), base.combine_chunks() if isinstance(base, pa.ChunkedArray) else base
-    length = parts.field("norm").to_numpy(zero_copy_only=False)
-    along = (1.0 - estimates(queries, base)) * length[None, :]
-    return (q * q).sum(axis=1)[:, None] + (length * length)[None, :] - 2 * along
+    """Estimated squared Euclidean distances of query offsets to codes (code, align, norm) of the same cell."""
+    return OffsetCodes().scores(matrix(queries), *OffsetCodes().base(base))
 
 
 def search(queries: DataFrame, index: DataFrame, centroids: np.ndarray, k: int, *,
@@ -215,31 +245,33 @@ def search(queries: DataFrame, index: DataFrame, centroids: np.ndarray, k: int,
     if len(probed) < len(centroids):
         codes, index = codes.where(F.col("cell").isin(probed)), index.where(F.col("cell").isin(probed))
     codes = materialise(codes.select("cell", "ids", "payload"), "codes")
-    asked = q_rows.select(F.explode("cells").alias("cell"), "query_key", F.col("turned").alias("payload"))
-    if metric == "euclidean":
-        asked = asked.select("cell", "query_key", offset_udf(centroids, seed)("payload", "cell").alias("payload"))
-    scored = blocked_topk(asked, codes, short, estimates if metric == "cosine" else squared_estimates, block_rows, keep_cell=True)
-    w = Window.partitionBy("query_key").orderBy("score", "neighbour")
-    kept = (scored.select("cell", "query_key", F.explode("ids").alias("neighbour"), "score")
-            .withColumn("n", F.row_number().over(w)).where(F.col("n") <= short)
-            .select("cell", "query_key", "neighbour"))
+    asked = q_rows.select("query_key", F.col("turned").alias("payload"), "cells", F.lit(None).cast("double").alias("limit"))
+    score = Codes() if metric == "cosine" else OffsetCodes(centroids, None if seed is None else rotation(dimension, seed))
+    scored = blocked_topk(asked, codes, short, score, dimension, block_rows, base_numbers=CODE_NUMBERS + dimension // 64)
+    kept = nearest_found(scored, short).select("query_key", F.col("near.cell").alias("cells"), F.col("near.neighbour").alias("neighbours"))
     best = rerank(materialise(kept, "shortlist"), q_rows.select("query_key", "unit"), index, want,
                   base_id, vector, block_rows, dimension, metric)
     return materialise(unfold(q_map, best, k, exclude_self), "neighbours")
 
 
+#: Numbers that a row of a code table is as long as, beside its code: id, cell, marks.
+CODE_NUMBERS = 6
 #: Pairs of a query and a neighbour, and numbers in their vectors, that one group re-ranks.
-RERANK_PAIRS, RERANK_NUMBERS = 1 << 16, 1 << 23
+RERANK_PAIRS, RERANK_NUMBERS = 1 << 18, 1 << 23
 
 
-def rerank_blocks(shortlist: DataFrame, block_rows: int, dimension: int | None) -> DataFrame:
-    """``shortlist`` with block (of neighbours) and part (of queries) within its cell."""
-    side = block_rows if dimension is None else max(min(block_rows, RERANK_NUMBERS // dimension // 2), 1)
-    # one row per cell
+def rerank_grid(shortlist: DataFrame, block_rows: int, dimension: int | None) -> DataFrame:
+    """cell, nb, nq: blocks of neighbours and parts of queries of each cell; one row per cell."""
+    side = block_rows if dimension is None else max(RERANK_NUMBERS // dimension // 2, 1)
     sizes = shortlist.groupBy("cell").agg(F.count("*").alias("pairs"), F.approx_count_distinct("neighbour").alias("nb"),
                                           F.approx_count_distinct("query_key").alias("nq"))
-    grid = sizes.select("cell", F.ceil(F.col("nb") / side).cast("int").alias("nb"), F.greatest(
+    return sizes.select("cell", F.ceil(F.col("nb") / side).cast("int").alias("nb"), F.greatest(
         F.ceil(F.col("nq") / side), F.ceil(F.col("pairs") / RERANK_PAIRS / F.ceil(F.col("nb") / side))).cast("int").alias("nq"))
+
+
+def rerank_blocks(shortlist: DataFrame, block_rows: int, dimension: int | None, grid: DataFrame | None = None) -> DataFrame:
+    """``shortlist`` with block (of neighbours) and part (of queries) within its cell."""
+    grid = rerank_grid(shortlist, block_rows, dimension) if grid is None else grid
     return shortlist.join(F.broadcast(grid), "cell").select(
         "cell", F.pmod(F.xxhash64("neighbour"), "nb").cast("int").alias("block"),
         F.pmod(F.xxhash64("query_key"), "nq").cast("int").alias("part"), "query_key", "neighbour")
@@ -247,51 +279,56 @@ def rerank_blocks(shortlist: DataFrame, block_rows: int, dimension: int | None)
 
 def rerank(shortlist: DataFrame, queries: DataFrame, base: DataFrame, k: int, base_id: str,
            vector: str, block_rows: int = 2048, dimension: int | None = None, metric: str = "cosine") -> DataFrame:
-    """Exact distances of a stored shortlist (cell, query_key, neighbour).
+    """query_key, near: the k nearest of a stored shortlist (query_key, cells, neighbours) by exact distance.
 
-    A cell's pairs are cut into a grid of blocks of neighbours by blocks of queries, so many that a block
-    holds few enough pairs, and few enough vectors of either side, to fit ``RERANK_NUMBERS``. A vector
-    travels once to each block that has a pair of it, however many pairs these are.
+    A cell's pairs are cut into a grid of blocks of neighbours by parts of queries, so many that a group
+    holds few enough pairs, and few enough vectors of either side, to fit ``RERANK_NUMBERS``. A query travels
+    once to each block that has some of its neighbours, a neighbour's vector once to each part.
     """
-    placed = materialise(rerank_blocks(shortlist, block_rows, dimension), "placed")
+    one = shortlist.select("query_key", F.explode(F.arrays_zip("cells", "neighbours")).alias("s")).select(
+        F.col("s.cells").alias("cell"), "query_key", F.col("s.neighbours").alias("neighbour"))
+    grid = materialise(rerank_grid(one, block_rows, dimension), "grid")
+    asked = rerank_blocks(one, block_rows, dimension, grid).groupBy("cell", "block", "part", "query_key").agg(
+        F.collect_list("neighbour").alias("sought")).join(queries.select("query_key", "unit"), "query_key")
+    vectors = base.select("cell", F.col(base_id).alias("neighbour"), F.col(vector).alias("payload")).join(F.broadcast(grid), "cell").select(
+        "cell", F.pmod(F.xxhash64("neighbour"), "nb").cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("part"), "neighbour", "payload")
+    text, number = shortlist.schema["query_key"].dataType, one.schema["neighbour"].dataType
     on = ["cell", "block", "part"]
-    vectors = base.select("cell", F.col(base_id).alias("neighbour"), F.col(vector).alias("payload"))
-    kind, none = vectors.schema["payload"].dataType, F.lit(None)
-    text, number = placed.schema["query_key"].dataType, placed.schema["neighbour"].dataType
-    rows = (placed.select(*on, "query_key", "neighbour", none.cast(kind).alias("payload"), none.cast("array<double>").alias("unit"))
-            .unionByName(placed.select(*on, "neighbour").distinct().join(vectors, ["cell", "neighbour"]).select(
-                *on, none.cast(text).alias("query_key"), "neighbour", "payload", none.cast("array<double>").alias("unit")))
-            .unionByName(placed.select(*on, "query_key").distinct().join(queries.select("query_key", "unit"), "query_key").select(
-                *on, "query_key", none.cast(number).alias("neighbour"), none.cast(kind).alias("payload"), "unit")))
-    scored = rows.groupBy(*on).applyInArrow(
-        _exact_distances if metric == "cosine" else _exact_lengths, f"query_key {text.simpleString()}, neighbour {number.simpleString()}, score double")
-    w = Window.partitionBy("query_key").orderBy("score", "neighbour")
-    return scored.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
-
-
-def _exact_distances(block: pa.Table) -> pa.Table:
-    return _measured(block, "cosine")
-
-
-def _exact_lengths(block: pa.Table) -> pa.Table:
-    return _measured(block, "euclidean")
-
-
-def _measured(block: pa.Table, metric: str) -> pa.Table:
-    """Rows of three kinds: pairs, vectors of neighbours, vectors of queries."""
-    base = block.filter(pc.is_valid(block["payload"]))
-    asked = block.filter(pc.is_valid(block["unit"]))
-    pairs = block.filter(pc.and_(pc.is_valid(block["query_key"]), pc.is_valid(block["neighbour"])))
-    i = pc.index_in(pairs["query_key"], asked["query_key"]).to_numpy()
-    j = pc.index_in(pairs["neighbour"], base["neighbour"]).to_numpy()
-    q, b = matrix(asked["unit"]), matrix(base["payload"]).astype(np.float64)
-    b = unit(b) if metric == "cosine" else b
-    score = np.empty(len(i))
-    step = max(1, DISTANCES // max(q.shape[1], 1))
-    for at in range(0, len(i), step):
-        x, y = q[i[at:at + step]], b[j[at:at + step]]
-        score[at:at + step] = 1.0 - np.einsum("ij,ij->i", x, y) if metric == "cosine" else np.sqrt(((x - y) ** 2).sum(axis=1))
-    return pa.table({"query_key": pairs["query_key"], "neighbour": pairs["neighbour"], "score": pa.array(score)})
+    found = asked.groupBy(*on).cogroup(vectors.groupBy(*on)).applyInArrow(
+        _measurer(metric, k), f"query_key {text.simpleString()}, found array<struct<score:double,neighbour:{number.simpleString()}>>")
+    return nearest_found(found, k)
+
+
+def _measurer(metric: str, k: int):
+    def measured(asked: pa.Table, base: pa.Table) -> pa.Table:
+        lists = asked["sought"].combine_chunks()
+        sought, known = lists.flatten(), base["neighbour"].combine_chunks()
+        kind = pa.struct([("score", pa.float64()), ("neighbour", known.type)])
+        i, j = pc.list_parent_indices(lists).to_numpy(), pc.index_in(sought, known)
+        there = pc.is_valid(j).to_numpy(zero_copy_only=False)
+        i, j = i[there], j.drop_null().to_numpy()
+        if not len(i):
+            return pa.table({"query_key": asked["query_key"].slice(0, 0), "found": pa.array([], pa.list_(kind))})
+        q, b = matrix(asked["unit"]), matrix(base["payload"]).astype(np.float64)
+        b = unit(b) if metric == "cosine" else b
+        score = np.empty(len(i))
+        step = max(1, (DISTANCES // 4) // max(q.shape[1], 1))
+        for at in range(0, len(i), step):
+            x, y = q[i[at:at + step]], b[j[at:at + step]]
+            score[at:at + step] = 1.0 - np.einsum("ij,ij->i", x, y) if metric == "cosine" else np.sqrt(((x - y) ** 2).sum(axis=1))
+        order = np.lexsort((score, i))
+        i, j, score = i[order], j[order], score[order]
+        begins = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1]]))
+        sizes = np.diff(np.append(begins, len(i)))
+        last = np.repeat(score[begins + np.minimum(sizes, k) - 1], sizes)
+        stay = score <= last  # the k nearest and those as near as the last of them
+        i, j, score = i[stay], j[stay], score[stay]
+        rows = i[np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1]]))]
+        ends = np.append(np.searchsorted(i, rows), len(i)).astype(np.int32)
+        both = pa.StructArray.from_arrays([pa.array(score), known.take(pa.array(j))], fields=list(kind))
+        return pa.table({"query_key": asked["query_key"].take(pa.array(rows)), "found": pa.ListArray.from_arrays(pa.array(ends), both)})
+    return measured
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtide.functions.vectors import doubles, finite, matrix, norm, normalise, vector_key
-from seqtide.operators.blocks import Scorer, blocked_topk, cosine_scores, euclidean_scores
+from seqtide.operators.blocks import Cosine, Euclidean, Scorer, blocked_topk, nearest_found
 from seqtide.operators.skew import salted_join
 from seqtide.session import materialise
 
@@ -129,11 +129,11 @@ def exact_knn(queries: DataFrame, base: DataFrame, k: int, *, query_id: str, bas
     else:
         q_rows = materialise(q_all.groupBy(F.col("digest").alias("query_key"))
                              .agg(F.any_value("payload").alias("payload")), "queries")
-    score = cosine_scores if metric == "cosine" else euclidean_scores
+    score = Cosine() if metric == "cosine" else Euclidean()
     # with sqrt(n) / 4 pivots a cell and the list of pivots grow alike
     scored = voronoi_topk(q_rows, base_rows, n, want, metric, score,
                           pivots or math.ceil(math.sqrt(n) / 4), block_rows)
-    return materialise(unfold(q_map, _best(scored, want), k, exclude_self), "neighbours")
+    return materialise(unfold(q_map, nearest_found(scored, want), k, exclude_self), "neighbours")
 
 
 def voronoi_topk(q_rows: DataFrame, base_rows: DataFrame, n: int, want: int, metric: str,
@@ -152,33 +152,23 @@ def voronoi_topk(q_rows: DataFrame, base_rows: DataFrame, n: int, want: int, met
     home = home_cells_udf(pivot, cells, stats["n"].to_numpy(), want)
     q_rows = q_rows.withColumn("home", home("payload"))  # read from a stored table, cheap to find twice
     members = celled.select("cell", "ids", "payload")
-    first = materialise(
-        blocked_topk(q_rows.select(F.explode("home").alias("cell"), "query_key", "payload"),
-                     members, want, score, block_rows), "first")
+    none = F.lit(None).cast("double").alias("limit")
+    first = materialise(blocked_topk(q_rows.select("query_key", "payload", F.col("home").alias("cells"), none), members, want, score,
+                                     pivot.shape[1], block_rows), "first")
     # the bound counts ids, not distinct vectors: ids of one row share a distance
-    bound = _best(first, want).groupBy("query_key").agg(
-        F.when(F.count("*") >= want, F.max("score")).alias("bound"))
-    chord = F.sqrt(F.greatest(2 * F.col("bound"), F.lit(0.0))) if metric == "cosine" else F.col("bound")
+    bound = nearest_found(first, want).select("query_key", F.when(F.size("near") >= want, F.element_at("near.score", -1)).alias("limit"))
+    chord = F.sqrt(F.greatest(2 * F.col("limit"), F.lit(0.0))) if metric == "cosine" else F.col("limit")
     rest = remaining_cells_udf(pivot, cells, stats["low"].to_numpy(), stats["high"].to_numpy())
-    more = (q_rows.join(bound.withColumn("bound", chord), "query_key")
+    more = (q_rows.join(bound, "query_key").withColumn("bound", chord)
             .withColumn("cells", rest("payload", "bound", "home"))
-            .select(F.explode("cells").alias("cell"), "query_key", "payload"))
-    second = blocked_topk(materialise(more, "more"), members, want, score, block_rows)
-    return first.unionByName(second)
-
-
-def _best(scored: DataFrame, k: int) -> DataFrame:
-    """The k nearest ids per query among candidate rows."""
-    w = Window.partitionBy("query_key").orderBy("score", "neighbour")
-    return (scored.select("query_key", F.explode("ids").alias("neighbour"), "score")
-            .withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k))
+            .select("query_key", "payload", "cells", F.col("limit") + SLACK))
+    more = materialise(more.toDF("query_key", "payload", "cells", "limit"), "more")
+    return first.unionByName(blocked_topk(more, members, want, score, pivot.shape[1], block_rows))
 
 
 def unfold(q_map: DataFrame, best: DataFrame, k: int, exclude_self: bool) -> DataFrame:
-    """Give every copy of a query vector its neighbours."""
-    packed = best.groupBy("query_key").agg(
-        F.sort_array(F.collect_list(F.struct("rn", "neighbour", "score"))).alias("near"))
-    joined = salted_join(q_map, packed, "query_key", stored=True)  # computing the keys again is less than storing them
+    """Give every copy of a query vector its neighbours: ``best`` (query_key, near) has them in order."""
+    joined = salted_join(q_map, best, "query_key", stored=True)  # computing the keys again is less than storing them
     near = F.col("near")
     if exclude_self:
         near = F.slice(F.filter(near, lambda s: s["neighbour"] != F.col("id")), 1, k)
