@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from seqtide.llm.components import components
 from seqtide.llm.id_filter import passing
 from seqtide.llm.skew import attach
-from seqtide.llm.texts import slices, words
+from seqtide.llm.texts import forget, slices, words
 from seqtide.session import materialise
 
 SHINGLE = 5
@@ -128,6 +128,7 @@ def _lower(texts: pa.Array) -> list[list[bytes]]:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()  # workers of a pipeline have encoded texts before
     for rows, texts in slices(batches):
         split = _lower(texts)
         hashes, first, keys = shingles(split)

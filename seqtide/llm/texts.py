@@ -180,3 +180,9 @@ class WordIds:
 def word_ids(path: str, remembered: int = CACHE_WORDS) -> WordIds:
     """One encoder for a Python worker."""
     return WordIds(path, remembered)
+
+
+def forget() -> None:
+    """Gives back what an earlier stage has left in this Python worker: its encoders and the words they remember."""
+    word_ids.cache_clear()
+    pa.default_memory_pool().release_unused()

@@ -31,3 +31,11 @@ def test_a_pair_costs_two_numbers(spark):
     got = containment.counted_pairs(pairs, sets).select("longer", "shorter", "shared")
     assert sorted(map(tuple, got.collect())) == sorted((i, j, 2) for i in range(6) for j in range(i + 1, 6) if i == 0 or j - i <= 2)
     assert got.agg(F.count("*")).first()[0] == pairs.count()
+
+
+def test_rows_that_share_an_accession_are_in_its_pairs_each(spark):
+    rng = np.random.default_rng(6)
+    whole = "".join(rng.choice(list("ACGT"), 3000))
+    rows = [("A", whole), ("A", whole), ("B", whole[500:2500])]
+    found = [tuple(r)[:2] for r in containment.similar_pairs(spark.createDataFrame(rows, "accession string, sequence string")).collect()]
+    assert sorted(found) == [("A", "A")] * 4 + [("A", "B")] * 2
