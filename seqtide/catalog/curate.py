@@ -163,7 +163,7 @@ select cast(s_suppkey as varchar) as path, case when s_suppkey % 7 = 3 then 'mis
 def manifest_audit(spark, sf):
     """A file per supplier, some never written, against a manifest with some wrong checksums."""
     root, suppliers = scratch_path(spark, "files"), table(spark, sf, "supplier").select("s_suppkey", "s_name")
-    suppliers.where("s_suppkey % 7 <> 3").withColumnRenamed("s_name", "value").write.partitionBy("s_suppkey").text(root)
+    sinks.write_file_per_key(suppliers.where("s_suppkey % 7 <> 3").withColumnRenamed("s_name", "value"), "s_suppkey", root)
     found = manifest.file_checksums(spark, root, PART).withColumn("path", F.regexp_extract("path", r"s_suppkey=(\d+)/", 1))
     text = F.concat("s_name", F.when(F.col("s_suppkey") % 3 == 0, "?").otherwise(""), F.lit("\n"))
     listed = suppliers.select(F.col("s_suppkey").cast("string").alias("path"), F.md5(text).alias("md5"))

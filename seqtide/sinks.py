@@ -72,3 +72,18 @@ def write_viewer_table(wide: DataFrame, path: str, dims: int, limit_bytes: int)
     """Export in files that stay below the transfer limit, whatever the row count."""
     rows = max(1, math.floor(limit_bytes / row_bytes(dims)))
     wide.write.mode("overwrite").option("maxRecordsPerFile", rows).parquet(path)
+
+
+#: Files that one task writes where there is one for each key.
+FILES_PER_TASK = 256
+
+
+def write_file_per_key(rows: DataFrame, key: str, path: str) -> None:
+    """The text ``value`` of each key as a file in a folder of its own.
+
+    A file costs the same however little it holds, so keys are dealt out to as many tasks as their number asks for, and every
+    task puts its files in place itself: neither one writer nor the driver goes through all of them.
+    """
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // FILES_PER_TASK))
+    (rows.repartition(tasks, key).write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+     .partitionBy(key).text(path))
