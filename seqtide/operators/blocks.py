@@ -22,7 +22,9 @@ from seqtide.functions.vectors import matrix
 #: Numbers of the vectors of one side of a block pair, and rows of a side however short its vectors are.
 SIDE_NUMBERS, SIDE_ROWS = 1 << 22, 1 << 20
 #: Scores that a task holds at a time.
-TILE = 1 << 21
+TILE = 1 << 20
+#: Pairs that wait to be put among the best, as a share of these: a merge costs as much as the best are many.
+WAITING = 0.5
 #: Rows of a side below which more block pairs would not keep more cores busy.
 LEAST_ROWS = 2048
 NONE = np.iinfo(np.int64).max
@@ -45,8 +47,19 @@ class Scorer(Protocol):
 
 
 def within(scores: np.ndarray, limit: np.ndarray) -> Near:
-    rows, columns = np.nonzero(~(scores > limit[:, None]))
-    return rows, columns, scores[rows, columns]
+    at = np.flatnonzero(~(scores > limit[:, None]))
+    rows, columns = np.divmod(at, scores.shape[1])
+    return rows, columns, scores.ravel()[at]
+
+
+def within_cosine(products: np.ndarray, limit: np.ndarray) -> Near:
+    """As ``within`` for scores of one less the product, which are made of the few products that may be great enough."""
+    least = 1.0 - limit
+    at = np.flatnonzero(~(products < (least - 1e-15 * (1 + np.abs(limit)))[:, None])) if np.isfinite(limit).all() else np.arange(products.size)
+    rows, columns = np.divmod(at, products.shape[1])
+    scores = 1.0 - products.ravel()[at]
+    near = ~(scores > limit[rows])
+    return rows[near], columns[near], scores[near]
 
 
 class Cosine:
@@ -59,7 +72,7 @@ class Cosine:
         return rows
 
     def near(self, queries, base, limit, k):
-        return within(1.0 - queries @ base[0].T, limit)
+        return within_cosine(queries @ base[0].T, limit)
 
 
 class Euclidean(Cosine):
@@ -109,6 +122,12 @@ def merge(best: np.ndarray, place: np.ndarray, found: Near, k: int) -> np.ndarra
     return changed
 
 
+def _by_row(found: list[Near]) -> Near:
+    rows, columns, scores = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(rows, kind="stable")
+    return rows[order], columns[order], scores[order]
+
+
 def side_rows(rows: int, numbers: int, blocks: float) -> int:
     """Rows of a block of one side, a row being so many numbers: no more than fit, and no fewer than make it worth a task
     where ``blocks`` of them would do."""
@@ -226,12 +245,17 @@ def _searcher(score: Scorer, k: int, block_rows: int):
             for i in range(0, len(seekers), step):
                 some = seekers[i:i + step]
                 rows = score.asked(asked[some], int(cell[a]))
+                own, own_at, own_limit, waiting = best[some], at[some], limit[some], []
                 for j in range(a, z, width):
-                    r, c, s = score.near(rows, tuple(x[j:min(j + width, z)] for x in base), limit[some], k)
-                    own, own_at = best[some], at[some]
-                    changed = merge(own, own_at, (r, place[j + c], s), k)
-                    best[some[changed]], at[some[changed]] = own[changed], own_at[changed]
-                    limit[some[changed]] = np.minimum(limit[some[changed]], own[changed].max(axis=1))
+                    r, c, s = score.near(rows, tuple(x[j:min(j + width, z)] for x in base), own_limit, k)
+                    waiting.append((r, place[j + c], s))
+                    if j + width < z and sum(len(w[0]) for w in waiting) < WAITING * k * len(some):
+                        continue
+                    found = waiting[0] if len(waiting) == 1 else _by_row(waiting)
+                    changed = merge(own, own_at, found, k)
+                    own_limit[changed] = np.minimum(own_limit[changed], own[changed].max(axis=1))
+                    waiting = []
+                best[some], at[some], limit[some] = own, own_at, own_limit
         cell_at = np.empty(len(place), cell.dtype)
         cell_at[place] = cell
         return _packed(left["query_key"], best, at, ids.take(taken), cell_at, k, kind)

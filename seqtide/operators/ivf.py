@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqtide.functions.vectors import doubles, finite, lists, matrix, norm, normalise, settled, sign_code
-from seqtide.operators.blocks import blocked_topk, nearest_found, within
+from seqtide.operators.blocks import blocked_topk, nearest_found, within, within_cosine
 from seqtide.operators.knn import pairwise, prepared, unfold
 from seqtide.session import materialise
 
@@ -179,12 +179,18 @@ class Codes:
     def asked(self, rows, cell):
         return rows
 
-    def scores(self, queries, words, align):
+    def products(self, queries, words, align):
+        """Estimated cosines."""
         signs = np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=1, bitorder="little")[:, :queries.shape[1]] * 2.0 - 1.0
-        return 1.0 - (queries @ signs.T) / (np.sqrt(queries.shape[1]) * np.where(align == 0, 1, align))[None, :]
+        out = queries @ signs.T
+        out /= (np.sqrt(queries.shape[1]) * np.where(align == 0, 1, align))[None, :]
+        return out
+
+    def scores(self, queries, words, align):
+        return 1.0 - self.products(queries, words, align)
 
     def near(self, queries, base, limit, k):
-        return within(self.scores(queries, *base), limit)
+        return within_cosine(self.products(queries, *base), limit)
 
 
 class OffsetCodes(Codes):
@@ -206,6 +212,9 @@ class OffsetCodes(Codes):
         along = (1.0 - super().scores(queries, words, align)) * length[None, :]
         return (queries * queries).sum(axis=1)[:, None] + (length * length)[None, :] - 2 * along
 
+    def near(self, queries, base, limit, k):
+        return within(self.scores(queries, *base), limit)
+
 
 def estimates(queries: pa.ChunkedArray, base: pa.ChunkedArray) -> np.ndarray:
     """Estimated cosine distances of full query vectors to codes (code, align)."""

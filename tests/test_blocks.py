@@ -1,6 +1,7 @@
 """Block pairs of the searches: what moves, ties, limits."""
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from seqtide.operators import blocks
@@ -47,3 +48,19 @@ def test_euclidean_pairs_are_measured_by_differences():
     limit = np.sort(true, axis=1)[:, 2]
     rows, columns, _ = Euclidean().near(q, (b,), limit, 4)
     assert {(i, j) for i in range(30) for j in np.flatnonzero(true[i] <= limit[i])} <= set(zip(rows.tolist(), columns.tolist()))
+
+
+def test_few_found_pairs_wait_for_more_before_they_are_merged(monkeypatch):
+    """A cell of many tiles, most of which bring next to nothing: merges follow what is found, not the tiles."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 6))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    calls = []
+    monkeypatch.setattr(blocks, "merge", lambda *a, f=merge: calls.append(1) or f(*a))
+    base = pa.table({"ids": pa.array([[i] for i in range(3000)]), "cell": pa.array(np.zeros(3000), pa.int32()), "payload": pa.array(list(x))})
+    asked = pa.table({"query_key": pa.array(np.arange(20)), "payload": pa.array(list(x[:20])), "limit": pa.array([None] * 20, pa.float64()),
+                      "cells": pa.array([[0]] * 20, pa.list_(pa.int32()))})
+    found = blocks._searcher(Cosine(), 40, 50)(asked, base)["found"].to_pylist()
+    d = 1 - x[:20] @ x.T
+    assert [[s["neighbour"] for s in f] for f in found] == np.argsort(d, axis=1)[:, :40].tolist()
+    assert len(calls) < 30  # of 60 tiles
