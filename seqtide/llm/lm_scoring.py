@@ -49,9 +49,13 @@ FREQUENT = 1 << 20
 SHARD = 1 << 18
 FOLDS, HELD_OUT = 7, 2
 DISCOUNT = 0.5
+#: Tokens whose shards one task answers: a task has one row of sums for each document and frequent word that it meets.
+TASK = 1 << 23
 #: Probes of one level; together they are wrong once in 2^20.
 PROBES, BITS_PER_INSERTION = 20, 29
 SLICE = 4 << 20
+#: Of the blocks that travel.
+CODEC = "zstd"
 #: Stands for the end of a text; no word holds a line feed.
 END = b"\n"
 #: Stands for the beginning of a text before its first word; no place is as high.
@@ -216,20 +220,24 @@ def _summed(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[list[np.n
 
 
 def _packed(columns: list[np.ndarray]) -> bytes:
-    """Columns of 8, 8, 4 and 4 bytes, equal bytes of a column side by side for the codec."""
-    return b"".join(c.view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in columns)
+    """Columns of 8, 8, 4 and 4 bytes behind their number of rows, the first, which ascends, as its steps; equal bytes of a
+    column side by side for the codec."""
+    columns = [np.diff(columns[0], prepend=np.int64(0)), *columns[1:]]
+    data = b"".join(c.view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in columns)
+    return len(columns[0]).to_bytes(4, "little") + pa.compress(data, codec=CODEC, asbytes=True)
 
 
 _COLUMNS = (np.int64, np.int64, np.uint32, np.uint32)
 
 
-def _unpacked(data: bytes) -> list[np.ndarray]:
-    n, at, out = len(data) // 24, 0, []
+def _unpacked(packed: bytes) -> list[np.ndarray]:
+    n, at, out = int.from_bytes(packed[:4], "little"), 0, []
+    data = pa.decompress(packed[4:], 24 * n, codec=CODEC, asbytes=True)
     for kind in _COLUMNS:
         size = np.dtype(kind).itemsize
         out.append(np.ascontiguousarray(np.frombuffer(data, np.uint8, n * size, at).reshape(size, n).T).view(kind).ravel())
         at += n * size
-    return out
+    return [np.cumsum(out[0]), *out[1:]]
 
 
 #: Shards from 0 on: v, w, 2 * document + held out, times. Below 0: one slice's documents: id, tokens, 2 * document + held out, id known.
@@ -249,7 +257,12 @@ def _sender(model, shards: int):
             out = [(-1 - row, _packed([np.fromiter((d or 0 for d in ids), np.int64, docs), n.astype(np.int64), mark,
                                        np.fromiter((d is not None for d in ids), np.uint32, docs)]))]
             place = m.place(hashes)
-            word = np.append(np.where(place >= 0, place, (hashes | np.uint64(1 << 63)).view(np.int64)), BEGIN)
+            word = np.where(place >= 0, place, (hashes | np.uint64(1 << 63)).view(np.int64))
+            # codes in the order of the words, so that the words of a block ascend
+            order = np.argsort(word, kind="stable")
+            rank = np.empty_like(order)
+            rank[order] = np.arange(len(order))
+            word, codes = np.append(word[order], BEGIN), rank[codes]
             before = _previous(codes, first)  # -1 is the last of word
             pair, doc = (before + 1) * len(hashes) + codes, np.repeat(mark, n)
             order = np.argsort(pair, kind="stable")
@@ -286,16 +299,16 @@ def _answers(kind: int, size: int, v_known: np.ndarray | None = None, **columns:
 class _Sums:
     """Sums by key over the shards of a task, in bounded memory."""
 
-    def __init__(self, kind: int, key: str, values: list[str]):
-        self.kind, self.key, self.values, self.parts, self.size = kind, key, values, [], 0
+    def __init__(self, kind: int, key: str, values: list[str], most: int = SHARD):
+        self.kind, self.key, self.values, self.most, self.parts, self.size = kind, key, values, most, [], 0
 
     def add(self, key: np.ndarray, *values: np.ndarray) -> Iterator[pa.RecordBatch]:
         self.parts.append((key, *values))
         self.size += len(key)
-        if self.size > 2 * SHARD:
+        if self.size > 2 * self.most:
             (key,), values = self._sum()
             self.parts, self.size = [(key, *values)], len(key)
-            if self.size > SHARD:
+            if self.size > self.most:
                 yield from self.rest()
 
     def _sum(self):
@@ -309,7 +322,7 @@ class _Sums:
         self.parts, self.size = [], 0
 
 
-def _shard(m: Model, v, w, row, held, times, sums: _Sums, words: _Sums) -> Iterator[pa.RecordBatch]:
+def _shard(m: Model, v, w, row, held, times, sums: _Sums, words: _Sums, rare: _Sums) -> Iterator[pa.RecordBatch]:
     """Counts of one shard, its part of the filter and its answers."""
     order = np.lexsort((v, w))
     v, w, row, held, times = (x[order] for x in (v, w, row, held, times))
@@ -319,7 +332,7 @@ def _shard(m: Model, v, w, row, held, times, sums: _Sums, words: _Sums) -> Itera
     second, c = w[at], np.add.reduceat(learned, at)
     frequent = second >= 0
     c[frequent] = m.counts[second[frequent]]
-    yield from words.add(second[~frequent], np.zeros((~frequent).sum()), np.zeros((~frequent).sum()), c[~frequent])
+    yield from rare.add(second[~frequent], np.zeros((~frequent).sum()), np.zeros((~frequent).sum()), c[~frequent])
     uni = np.log10((c + 1) / (m.n + m.v + 1))
     at = _starts(w, v)
     of_pair = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(w))))
@@ -332,8 +345,9 @@ def _shard(m: Model, v, w, row, held, times, sums: _Sums, words: _Sums) -> Itera
     given = np.ones(len(at))  # rare v: counted elsewhere
     known_v = bigram & (first >= 0)
     given[known_v] = np.maximum(m.counts[first[known_v]], 1)
-    yield from words.add(first[enters], (m.count_at(entered) - DISCOUNT) / given[enters], 10 ** uni[word_of[enters]],
-                         np.zeros(int(enters.sum()), np.int64))
+    held_by, base = (m.count_at(entered) - DISCOUNT) / given[enters], 10 ** uni[word_of[enters]]
+    for known, part in ((known_v[enters], words), (~known_v[enters], rare)):
+        yield from part.add(first[enters][known], held_by[known], base[known], np.zeros(int(known.sum()), np.int64))
     found = level > 0
     gain = np.zeros(len(at))
     gain[found] = np.log10((m.count_at(level[found]) - DISCOUNT) / given[found]) - uni[word_of[found]]
@@ -347,14 +361,15 @@ def _shard(m: Model, v, w, row, held, times, sums: _Sums, words: _Sums) -> Itera
 def _answerer(model):
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
-        sums, words = _Sums(SUMS, "row", ["a", "b", "n"]), _Sums(WORD, "v", ["a", "b", "n"])
+        sums, rare = _Sums(SUMS, "row", ["a", "b", "n"]), _Sums(WORD, "v", ["a", "b", "n"])
+        words = _Sums(WORD, "v", ["a", "b", "n"], FREQUENT)  # these never pass on until the end of a task
         now, blocks = None, []
 
         def close() -> Iterator[pa.RecordBatch]:
             if blocks:
                 v, w, row, held, times = (np.concatenate(x) for x in zip(*blocks, strict=True))
                 blocks.clear()
-                yield from _shard(m, v, w, row, held, times, sums, words)
+                yield from _shard(m, v, w, row, held, times, sums, words, rare)
 
         for batch in batches:
             for shard, start, data in zip(*(batch.column(c) for c in ("shard", "row", "data")), strict=True):
@@ -368,8 +383,8 @@ def _answerer(model):
                     now = shard.as_py()
                 blocks.append((a, b, row, held, c.astype(np.int64)))
         yield from close()
-        yield from sums.rest()
-        yield from words.rest()
+        for left in (sums, words, rare):
+            yield from left.rest()
     return answer
 
 
@@ -392,8 +407,9 @@ def score(docs: DataFrame) -> DataFrame:
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     model, every = train(read)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    blocks = read.mapInArrow(_sender(shared, max(1, -(-every // SHARD))), BLOCKS).repartition("shard").sortWithinPartitions("shard")
-    answers = materialise(blocks.mapInArrow(_answerer(shared), ANSWERS), "answers")
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-every // TASK))
+    blocks = read.mapInArrow(_sender(shared, max(1, -(-every // SHARD))), BLOCKS).repartition(tasks, "shard").sortWithinPartitions("shard")
+    answers = materialise(blocks.mapInArrow(_answerer(shared), ANSWERS), "answers", "zstd")
     kind, v, zero = F.col("kind"), F.col("v"), F.lit(0.0)
     given = F.greatest(F.coalesce("c", F.lit(1)), F.lit(1))
     # frequent words are divided by their counts before
