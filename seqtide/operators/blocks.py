@@ -23,6 +23,8 @@ from seqtide.functions.vectors import matrix
 SIDE_NUMBERS, SIDE_ROWS = 1 << 22, 1 << 20
 #: Scores that a task holds at a time.
 TILE = 1 << 20
+#: Pairs whose vectors lie side by side at a time, to be measured one by one.
+PAIRS = 1 << 14
 #: Pairs that wait to be put among the best, as a share of these: a merge costs as much as the best are many.
 WAITING = 0.5
 #: Rows of a side below which more block pairs would not keep more cores busy.
@@ -63,37 +65,91 @@ def within_cosine(products: np.ndarray, limit: np.ndarray) -> Near:
 
 
 class Cosine:
-    """Cosine distance of unit vectors."""
+    """Cosine distance of unit vectors.
+
+    Once every query has a limit, products of half the width tell which pairs may be near enough; these are measured.
+    """
 
     def base(self, payload):
-        return (matrix(payload),)
+        rows = matrix(payload)
+        return rows, rows.astype(np.float32), np.sqrt((rows * rows).sum(axis=1))
 
     def asked(self, rows, cell):
         return rows
 
     def near(self, queries, base, limit, k):
-        return within_cosine(queries @ base[0].T, limit)
+        if not np.isfinite(limit).all():
+            return within_cosine(queries @ base[0].T, limit)
+        slip = _slip(queries.shape[1], np.float32) * (1 + np.sqrt((queries * queries).sum(axis=1)) * base[2].max(initial=0))
+        found = _at_least(queries.astype(np.float32) @ base[1].T, 1.0 - limit - slip)
+        return _measured(lambda x, y: 1.0 - np.einsum("ij,ij->i", x, y), queries, base[0], found, limit)
 
 
-class Euclidean(Cosine):
-    """Distance by differences, one dimension at a time: no cancellation near zero.
+class Euclidean:
+    """Distance by differences: no cancellation near zero.
 
-    Products only tell which pairs may be near enough; their rounding is allowed for.
+    Products only tell which pairs may be near enough; their rounding is allowed for. Vectors are taken from the middle of
+    the base rows, so that the rounding goes by how far they lie apart, and products of half the width are enough.
     """
 
+    def base(self, payload):
+        return (matrix(payload),)
+
+    def asked(self, rows, cell):
+        return rows
+
     def near(self, queries, base, limit, k):
-        own, other = (queries * queries).sum(axis=1), (base[0] * base[0]).sum(axis=1)
-        rough = own[:, None] + other[None, :] - 2 * (queries @ base[0].T)
-        slip = 8 * (queries.shape[1] + 8) * np.finfo(np.float64).eps * (own.max(initial=0) + other.max(initial=0))
-        cut = limit * limit
-        open_ = np.flatnonzero(np.isinf(cut))
-        if len(open_) and rough.shape[1] > k:
-            cut[open_] = np.partition(rough[open_], k - 1, axis=1)[:, k - 1] + slip
-        rows, columns, _ = within(rough, cut * (1 + 1e-12) + slip)
-        total = np.zeros(len(rows))
-        for d in range(queries.shape[1]):
-            total += (queries[rows, d] - base[0][columns, d]) ** 2
-        return rows, columns, np.sqrt(total)
+        with np.errstate(over="ignore", invalid="ignore"):  # numbers too great for products leave every pair to be measured
+            middle = base[0].mean(axis=0)
+            q, b = queries - middle, base[0] - middle
+            own, half = (q * q).sum(axis=1), (b * b).sum(axis=1) / 2
+            reach = own + 2 * half.max(initial=0)
+            kind = np.float32 if reach.max(initial=0) < 1e30 else np.float64
+            # a product of small numbers may be lost altogether
+            slip = _slip(q.shape[1], kind) * reach + 4 * (q.shape[1] + 8) * np.finfo(kind).tiny
+            products = q.astype(kind) @ b.astype(kind).T
+            products -= half.astype(kind)
+            # |q - b|^2 <= limit^2 where q b - |b|^2 / 2 >= (|q|^2 - limit^2) / 2
+            least = (own - limit * limit * (1 + 1e-12)) / 2 - slip
+            open_ = np.flatnonzero(np.isinf(limit))
+            if len(open_) and products.shape[1] > k:
+                least[open_] = np.partition(products[open_], -k, axis=1)[:, -k] - 2 * slip[open_]
+            least[~np.isfinite(least)] = -np.inf
+            return _measured(_distance, queries, base[0], _at_least(products, least), limit)
+
+
+def _distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    apart = x - y
+    return np.sqrt(np.einsum("ij,ij->i", apart, apart))
+
+
+def _slip(dimension: int, kind: type) -> float:
+    """By how much a product of two vectors of length one, and what is added to it, may be wrong in numbers of this kind."""
+    return 2 * (dimension + 8) * float(np.finfo(kind).eps)
+
+
+def _at_least(products: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the products that are not less than ``least`` of their row."""
+    least = np.nextafter(least.astype(products.dtype), products.dtype.type(-np.inf))
+    return np.divmod(_set(~(products < least[:, None]).ravel()), products.shape[1])
+
+
+def _set(flags: np.ndarray) -> np.ndarray:
+    """Places of the flags that are set, of which there are few: eight are looked at together."""
+    whole = len(flags) // 8 * 8
+    some = np.flatnonzero(flags[:whole].view(np.uint64))
+    row, column = np.nonzero(flags[:whole].reshape(-1, 8)[some])
+    return np.concatenate([some[row] * 8 + column, whole + np.flatnonzero(flags[whole:])])
+
+
+def _measured(score, queries: np.ndarray, base: np.ndarray, found: tuple[np.ndarray, np.ndarray], limit: np.ndarray) -> Near:
+    """Those of the found pairs that score ``limit`` of their row or less, ``PAIRS`` of them at a time."""
+    rows, columns = found
+    scores = np.empty(len(rows))
+    for a in range(0, len(rows), PAIRS):
+        scores[a:a + PAIRS] = score(queries[rows[a:a + PAIRS]], base[columns[a:a + PAIRS]])
+    near = ~(scores > limit[rows])
+    return rows[near], columns[near], scores[near]
 
 
 def merge(best: np.ndarray, place: np.ndarray, found: Near, k: int) -> np.ndarray:

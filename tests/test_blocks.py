@@ -1,7 +1,10 @@
 """Block pairs of the searches: what moves, ties, limits."""
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from seqtide.operators import blocks
@@ -64,3 +67,59 @@ def test_few_found_pairs_wait_for_more_before_they_are_merged(monkeypatch):
     d = 1 - x[:20] @ x.T
     assert [[s["neighbour"] for s in f] for f in found] == np.argsort(d, axis=1)[:, :40].tolist()
     assert len(calls) < 30  # of 60 tiles
+
+
+def test_pairs_that_are_measured_do_not_grow_with_the_distance_from_zero():
+    """Vectors close together and far from zero: only pairs within the limit come back, and all of those."""
+    rng = np.random.default_rng(5)
+    q, b = rng.normal(size=(50, 7)) + 1e6, rng.normal(size=(300, 7)) + 1e6
+    true = np.sqrt(((q[:, None] - b[None]) ** 2).sum(-1))
+    limit = np.sort(true, axis=1)[:, 3] * (1 + 1e-9)
+    rows, columns, scores = Euclidean().near(q, (b,), limit, 4)
+    assert list(zip(rows.tolist(), columns.tolist())) == [(i, j) for i in range(50) for j in np.flatnonzero(true[i] <= limit[i])]
+    assert np.allclose(scores, true[rows, columns], rtol=1e-12, atol=0)
+
+
+def test_a_tile_is_compared_in_half_the_width():
+    """What a task holds per pair: a product of four bytes and its mark."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1024, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for score, limit in ((Cosine(), 0.05), (Euclidean(), 0.3)):
+        base = score.base(pa.chunked_array([pa.array(list(x))]))
+        tracemalloc.start()
+        rows, columns, _ = score.near(x, base, np.full(1024, limit), 5)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 10 * 1024 * 1024, (score, peak)
+        d = 1 - x @ x.T if isinstance(score, Cosine) else np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+        assert set(zip(rows.tolist(), columns.tolist())) >= set(zip(*(a.tolist() for a in np.nonzero(d <= limit - 1e-12))))
+
+
+@pytest.mark.parametrize("scale", [1e-160, 1e-25, 1.0, 1e12, 1e20, 1e150])
+def test_no_near_pair_is_lost_to_rounding(scale):
+    """Clusters a millionth wide, copies and a far point, at any scale, with limits and without."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(20, 9)).repeat(12, axis=0)
+    x += 1e-6 * rng.normal(size=x.shape)
+    x[5], x[-1] = x[4], 1e3
+    x *= scale
+    true = np.sqrt((((x[:, None] - x[None]) / scale) ** 2).sum(-1)) * scale
+    kth = np.sort(true, axis=1)[:, 4]
+    for limit in (kth * (1 + 1e-9), np.where(np.arange(240) % 2, kth * (1 + 1e-9), np.inf)):
+        rows, columns, _ = Euclidean().near(x, (x,), limit, 5)
+        assert set(zip(rows.tolist(), columns.tolist())) >= {(i, j) for i in range(240) for j in np.flatnonzero(true[i] <= kth[i])}
+    unit = x / scale
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    d = 1 - np.einsum("id,jd->ij", unit, unit)
+    near = np.sort(d, axis=1)[:, 4] + 1e-15
+    score = Cosine()
+    rows, columns, _ = score.near(unit, score.base(pa.chunked_array([pa.array(list(unit))])), near, 5)
+    assert set(zip(rows.tolist(), columns.tolist())) >= {(i, j) for i in range(240) for j in np.flatnonzero(d[i] <= near[i] - 2e-15)}
+
+
+def test_set_flags_are_found_in_order():
+    for n in (0, 5, 8, 29, 64):
+        for share in (0.0, 0.2, 1.0):
+            flags = np.random.default_rng(n).random(n) < share
+            assert blocks._set(flags).tolist() == np.flatnonzero(flags).tolist()
