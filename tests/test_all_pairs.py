@@ -100,3 +100,23 @@ def test_blocks_meet_without_a_shuffle(spark):
     codes = np.concatenate([np.sort(np.array(sets[i].hashes) % (1 << 26)) for i in order])
     block = set_blocks.block_of(number[order], set_blocks.pa.array([sets[i].accession for i in order]), np.zeros(len(order), bool), size[order], codes)
     assert len(block.pack()) < 8 * len(codes)
+
+
+def test_near_holders_are_found_in_blocks_as_in_buckets(spark, monkeypatch):
+    """The capped pairs, which containment_recall asks for: of one block, of many, and by the buckets are the same."""
+    rng = np.random.default_rng(9)
+    letters = np.array(list("ACGT"))
+    whole, rows = rng.choice(letters, 4000), []
+    for i in range(60):
+        copy = whole.copy()
+        copy[rng.random(4000) < 0.004 * (i % 5)] = "A"
+        a = int(rng.integers(0, 2000))
+        rows.append((f"C{i:02}", "".join(copy[a:a + int(rng.integers(60, 2000))])))
+    records = spark.createDataFrame(rows, "accession string, sequence string")
+    for near in (1, 2, 3):
+        want = sorted(map(tuple, containment._near_pairs(records, containment.K, containment.SCALE, containment.MIN_CONTAINMENT, near).collect()))
+        assert sorted(map(tuple, containment.similar_pairs(records, near=near).collect())) == want
+        monkeypatch.setattr(containment, "SIDE_BYTES", 32 * 300)
+        assert sorted(map(tuple, containment.similar_pairs(records, near=near).collect())) == want
+        monkeypatch.undo()
+    assert len(want) < containment.similar_pairs(records).count()
